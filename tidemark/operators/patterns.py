@@ -7,7 +7,7 @@ are the processors in ``tidemark.streaming.processors``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.time import interval
 from tidemark.operators.sequence import DEFAULT_BUCKET, next_match, with_neighbors
@@ -23,7 +23,7 @@ def login_fail_pairs(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: s
     """Two failures in a row (no other event of the key between) at most
     ``within`` apart (``<=``; strict ``<`` with ``inclusive=False``)."""
     d = with_neighbors(df, key, ts, seq, [event], 1, "_p", "preceding", bucket)
-    prev = F.col("_p")[0]
+    prev = F.get(F.col("_p"), 0)
     gap_ok = (F.col(ts) <= prev["ts"] + interval(within)) if inclusive else (
         F.col(ts) < prev["ts"] + interval(within))
     hit = _is(event, fail) & (F.size("_p") == 1) & (prev[event] == F.lit(fail)) & gap_ok
@@ -39,7 +39,7 @@ def match_consecutive(df: DataFrame, n: int = 2, key: str = "user_id", ts: str =
     reported."""
     d = with_neighbors(df, key, ts, seq, [event], n - 1, "_p", "preceding", bucket)
     prev_all = F.forall("_p", lambda e: e[event] == F.lit(fail))
-    first_ts = F.col("_p")[0]["ts"] if n > 1 else F.col(ts)
+    first_ts = F.get(F.col("_p"), 0)["ts"] if n > 1 else F.col(ts)
     hit = _is(event, fail) & (F.size("_p") == n - 1) & prev_all & (
         F.col(ts) < first_ts + interval(within))
     return d.where(hit).select(key, first_ts.alias("first_ts"), F.col(ts).alias("last_ts"),
@@ -52,7 +52,7 @@ def match_next(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: str = "
     """``begin(fail).next(fail).within(T)``: a failure whose very next event
     of the key is a failure less than ``within`` later."""
     d = with_neighbors(df, key, ts, seq, [event], 1, "_n", "following", bucket)
-    nxt = F.col("_n")[0]
+    nxt = F.get(F.col("_n"), 0)
     hit = _is(event, fail) & (F.size("_n") == 1) & (nxt[event] == F.lit(fail)) & (
         nxt["ts"] < F.col(ts) + interval(within))
     return d.where(hit).select(key, F.col(ts).alias("first_ts"), nxt["ts"].alias("last_ts"))
@@ -95,10 +95,85 @@ def order_timeout_state(df: DataFrame, key: str = "order_id", ts: str = "ts", se
     """
     d = df.where(F.col(event).isin(start, end))
     d = with_neighbors(d, key, ts, seq, [event], 1, "_n", "following", bucket).where(_is(event, start))
-    nxt = F.col("_n")[0]
+    nxt = F.get(F.col("_n"), 0)
     deadline = F.col(ts) + interval(within)
     status = (F.when(F.size("_n") == 0, F.lit("timeout"))
               .when(nxt["ts"] >= deadline, F.lit("timeout"))
               .when(nxt[event] == F.lit(end), F.lit("payed")))
     return (d.select(key, F.col(ts).alias("create_ts"), deadline.alias("deadline"), status.alias("status"))
             .where(F.col("status").isNotNull()))
+
+
+MAX_SEQ = (1 << 63) - 1
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    from tidemark.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def login_fail_bursts(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: str = "seq",
+                      event: str = "event_type", fail: str = "fail", horizon="5 seconds",
+                      min_fails: int = 2, bucket=DEFAULT_BUCKET) -> DataFrame:
+    """Failure bursts with a timer: the first failure opens a burst with a
+    deadline ``horizon`` later (inclusive); failures up to the deadline
+    join it; a success up to the deadline cancels it; at the deadline the
+    burst is reported if it holds at least ``min_fails`` failures.  The
+    next failure after the deadline opens a new burst.
+
+    Distributed form: (1) *segments* are runs of failures with no success
+    between and gaps of at most ``horizon`` (a larger gap always restarts);
+    (2) each failure points to the first failure of its segment later than
+    its own deadline (``next_match`` on probe rows); (3) burst starts are
+    the pointer chain from the segment head, marked by pointer doubling in
+    ``ceil(log2(longest segment))`` rounds of joins (checkpointed), so no
+    segment is ever gathered in one task; (4) bursts are aggregated and a
+    segment-ending success inside the last burst's horizon cancels it.
+    """
+    from tidemark.operators.sequence import running_sum
+
+    is_fail = F.col(event) == F.lit(fail)
+    d = with_neighbors(df, key, ts, seq, [event], 1, "_p", "preceding", bucket)
+    d = with_neighbors(d, key, ts, seq, [event], 1, "_nx", "following", bucket)
+    prev = F.get(F.col("_p"), 0)
+    seg_start = is_fail & ((F.size("_p") == 0) | (prev[event] != F.lit(fail))
+                           | (F.col(ts) > prev["ts"] + interval(horizon)))
+    fails = (d.where(is_fail)
+             .select(key, ts, seq, seg_start.cast("int").alias("_ss"),
+                     F.get(F.col("_nx"), 0).alias("_term")))
+    fails = running_sum(fails, key, ts, seq, "_ss", "_seg", bucket)
+    fails = _checkpointed(fails)
+
+    # (2) next burst-start candidate of every failure.
+    probes = fails.select(key, "_seg", (F.col(ts) + interval(horizon)).alias(ts),
+                          F.lit(MAX_SEQ).cast("bigint").alias(seq), F.col(seq).alias("_of"))
+    u = fails.select(key, "_seg", ts, seq, F.lit(None).cast("bigint").alias("_of")).unionByName(probes)
+    u = next_match(u, [key, "_seg"], ts, seq, F.col("_of").isNull(), "_nm", bucket)
+    jump = _checkpointed(u.where(F.col("_of").isNotNull())
+                         .select(F.col("_of").alias("_id"), F.col("_nm.seq").alias("_to")))
+
+    # (3) pointer doubling from the segment heads.
+    longest = fails.groupBy(key, "_seg").count().agg(F.max("count")).first()[0] or 1
+    rounds = max(1, int(longest - 1).bit_length())
+    marked = fails.where(F.col("_ss") == 1).select(F.col(seq).alias("_id"))
+    for _ in range(rounds):
+        step = marked.join(jump, "_id").where(F.col("_to").isNotNull()).select(F.col("_to").alias("_id"))
+        marked = _checkpointed(marked.unionByName(step))
+        j2 = jump.alias("a").join(jump.alias("b"), F.col("a._to") == F.col("b._id"), "left")
+        jump = _checkpointed(j2.select(F.col("a._id").alias("_id"), F.col("b._to").alias("_to")))
+
+    # (4) bursts and cancellation.
+    starts = marked.select(F.col("_id").alias(seq), F.lit(1).alias("_st"))
+    f2 = fails.join(starts, seq, "left").withColumn("_st", F.coalesce("_st", F.lit(0)))
+    f2 = running_sum(f2, [key, "_seg"], ts, seq, "_st", "_burst", bucket)
+    bursts = f2.groupBy(key, "_seg", "_burst").agg(
+        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
+        F.count(F.lit(1)).cast("bigint").alias("n_fails"),
+        F.max_by("_term", F.struct(F.col(ts), F.col(seq))).alias("_term"))
+    last = Window.partitionBy(key, "_seg")
+    bursts = bursts.withColumn("_last", F.col("_burst") == F.max("_burst").over(last))
+    cancelled = (F.col("_last") & F.col("_term").isNotNull() & (F.col("_term")[event] != F.lit(fail))
+                 & (F.col("_term.ts") <= F.col("first_ts") + interval(horizon)))
+    return (bursts.where((F.col("n_fails") >= min_fails) & ~cancelled)
+            .select(key, "first_ts", "last_ts", "n_fails"))

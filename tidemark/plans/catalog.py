@@ -427,3 +427,32 @@ def q_receipt_without_pay(spark, sf):
                             "1 hour", "1 hour", "right_anti", "o_", "r_")
     return j.select(F.col("r_tx_id").alias("tx_id"), F.col("r_ts").alias("receipt_ts"),
                     F.col("r_seq").alias("receipt_seq"))
+
+
+@register("login_fail_bursts", """
+WITH RECURSIVE ev AS (
+  SELECT user_id, ts, f, rn FROM (
+    SELECT user_id, ts, event_type = 'error' AS f,
+           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events
+    UNION ALL
+    SELECT user_id, TIMESTAMP '9000-01-01' AS ts, false AS f, count(*) + 1 AS rn FROM events GROUP BY user_id) x),
+walk AS (
+  SELECT user_id, rn, CASE WHEN f THEN ts END AS os, CASE WHEN f THEN 1 ELSE 0 END AS n,
+         CASE WHEN f THEN ts END AS lt,
+         CAST(NULL AS TIMESTAMP) AS e_first, CAST(NULL AS TIMESTAMP) AS e_last, CAST(NULL AS BIGINT) AS e_n
+  FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn,
+         CASE WHEN w.os IS NOT NULL AND e.ts <= w.os + INTERVAL 5 HOUR
+              THEN (CASE WHEN e.f THEN w.os END) ELSE (CASE WHEN e.f THEN e.ts END) END,
+         CASE WHEN w.os IS NOT NULL AND e.ts <= w.os + INTERVAL 5 HOUR
+              THEN (CASE WHEN e.f THEN w.n + 1 ELSE 0 END) ELSE (CASE WHEN e.f THEN 1 ELSE 0 END) END,
+         CASE WHEN e.f THEN e.ts END,
+         CASE WHEN w.os IS NOT NULL AND e.ts > w.os + INTERVAL 5 HOUR AND w.n >= 2 THEN w.os END,
+         CASE WHEN w.os IS NOT NULL AND e.ts > w.os + INTERVAL 5 HOUR AND w.n >= 2 THEN w.lt END,
+         CASE WHEN w.os IS NOT NULL AND e.ts > w.os + INTERVAL 5 HOUR AND w.n >= 2 THEN w.n END
+  FROM walk w JOIN ev e ON e.user_id = w.user_id AND e.rn = w.rn + 1)
+SELECT user_id, e_first AS first_ts, e_last AS last_ts, CAST(e_n AS BIGINT) AS n_fails
+FROM walk WHERE e_n IS NOT NULL""")
+def q_login_fail_bursts(spark, sf):
+    return patterns.login_fail_bursts(dt.logins(spark, sf), horizon="5 hours")
