@@ -105,6 +105,9 @@ def order_timeout_state(df: DataFrame, key: str = "order_id", ts: str = "ts", se
 
 
 MAX_SEQ = (1 << 63) - 1
+# Segments of at most this many failures are folded in one bounded array;
+# longer ones go through pointer doubling (exact for any length).
+FOLD_LIMIT = 256
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
@@ -113,6 +116,56 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _fold_bursts(evs, horizon, ts_type):
+    """Greedy bursts of one segment's failures (sorted array of (ts, seq))
+    -> array of (first_ts, last_ts, n_fails)."""
+    h = interval(horizon)
+    burst_t = f"struct<first_ts:{ts_type},last_ts:{ts_type},n_fails:bigint>"
+    init = F.struct(F.lit(None).cast(ts_type).alias("s"), F.lit(None).cast(ts_type).alias("l"),
+                    F.lit(0).cast("bigint").alias("n"), F.array().cast(f"array<{burst_t}>").alias("out"))
+
+    def close(acc):
+        return F.when(acc["s"].isNotNull(), F.array_append(acc["out"], F.struct(
+            acc["s"].alias("first_ts"), acc["l"].alias("last_ts"), acc["n"].alias("n_fails")))).otherwise(acc["out"])
+
+    def step(acc, e):
+        new = acc["s"].isNull() | (e["ts"] > acc["s"] + h)
+        return F.when(new, F.struct(e["ts"].alias("s"), e["ts"].alias("l"), F.lit(1).cast("bigint").alias("n"),
+                                    close(acc).alias("out"))).otherwise(
+            F.struct(acc["s"].alias("s"), e["ts"].alias("l"), (acc["n"] + 1).alias("n"), acc["out"].alias("out")))
+
+    return F.aggregate(evs, init, step, close)
+
+
+def _bursts_by_doubling(fails: DataFrame, key, ts, seq, horizon, bucket) -> DataFrame:
+    """Bursts of arbitrarily long segments: failure -> next start candidate
+    pointers, chain from each segment head marked by pointer doubling."""
+    from tidemark.operators.sequence import running_sum
+    probes = fails.select(key, "_seg", (F.col(ts) + interval(horizon)).alias(ts),
+                          F.lit(MAX_SEQ).cast("bigint").alias(seq), F.col(seq).alias("_of"))
+    u = fails.select(key, "_seg", ts, seq, F.lit(None).cast("bigint").alias("_of")).unionByName(probes)
+    u = next_match(u, [key, "_seg"], ts, seq, F.col("_of").isNull(), "_nm", bucket)
+    jump = _checkpointed(u.where(F.col("_of").isNotNull())
+                         .select(F.col("_of").alias("_id"), F.col("_nm.seq").alias("_to")))
+    longest = fails.agg(F.max("_len")).first()[0] or 1
+    marked = fails.where(F.col("_ss") == 1).select(F.col(seq).alias("_id"))
+    for _ in range(max(1, int(longest - 1).bit_length())):
+        step = marked.join(jump, "_id").where(F.col("_to").isNotNull()).select(F.col("_to").alias("_id"))
+        marked = _checkpointed(marked.unionByName(step))
+        j2 = jump.alias("a").join(jump.alias("b"), F.col("a._to") == F.col("b._id"), "left")
+        jump = _checkpointed(j2.select(F.col("a._id").alias("_id"), F.col("b._to").alias("_to")))
+    starts = marked.select(F.col("_id").alias(seq), F.lit(1).alias("_st"))
+    f2 = fails.join(starts, seq, "left").withColumn("_st", F.coalesce("_st", F.lit(0)))
+    f2 = running_sum(f2, [key, "_seg"], ts, seq, "_st", "_burst", bucket)
+    b = f2.groupBy(key, "_seg", "_burst").agg(
+        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
+        F.count(F.lit(1)).cast("bigint").alias("n_fails"),
+        F.max_by("_term", F.struct(F.col(ts), F.col(seq))).alias("_term"))
+    last = b.groupBy(key, "_seg").agg(F.max("_burst").alias("_lb"))
+    return (b.join(last, [key, "_seg"]).withColumn("_last", F.col("_burst") == F.col("_lb"))
+            .select(key, "first_ts", "last_ts", "n_fails", "_last", "_term"))
+
+
 def login_fail_bursts(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: str = "seq",
                       event: str = "event_type", fail: str = "fail", horizon="5 seconds",
                       min_fails: int = 2, bucket=DEFAULT_BUCKET) -> DataFrame:
@@ -123,19 +176,21 @@ def login_fail_bursts(df: DataFrame, key: str = "user_id", ts: str = "ts", seq:
     next failure after the deadline opens a new burst.
 
     Distributed form: (1) *segments* are runs of failures with no success
-    between and gaps of at most ``horizon`` (a larger gap always restarts);
-    (2) each failure points to the first failure of its segment later than
-    its own deadline (``next_match`` on probe rows); (3) burst starts are
-    the pointer chain from the segment head, marked by pointer doubling in
-    ``ceil(log2(longest segment))`` rounds of joins (checkpointed), so no
-    segment is ever gathered in one task; (4) bursts are aggregated and a
-    segment-ending success inside the last burst's horizon cancels it.
+    between and gaps of at most ``horizon`` (a larger gap always restarts
+    the chain); (2) a segment of at most ``FOLD_LIMIT`` failures is folded
+    greedily over its sorted array (bounded size); (3) longer segments use
+    pointers from each failure to the first failure past its deadline
+    (``next_match`` on probe rows) and mark the chain from the segment head
+    by pointer doubling in ``ceil(log2(length))`` rounds of joins
+    (checkpointed), so no long segment is ever gathered in one task;
+    (4) a segment-ending success inside the last burst's horizon cancels it.
     """
     from tidemark.operators.sequence import running_sum
 
+    ts_type = df.schema[ts].dataType.simpleString()
     is_fail = F.col(event) == F.lit(fail)
-    d = with_neighbors(df, key, ts, seq, [event], 1, "_p", "preceding", bucket)
-    d = with_neighbors(d, key, ts, seq, [event], 1, "_nx", "following", bucket)
+    d = with_neighbors(df, key, ts, seq, [event], 1, "_p", "preceding", bucket,
+                       n_after=1, out_after="_nx")
     prev = F.get(F.col("_p"), 0)
     seg_start = is_fail & ((F.size("_p") == 0) | (prev[event] != F.lit(fail))
                            | (F.col(ts) > prev["ts"] + interval(horizon)))
@@ -143,37 +198,20 @@ def login_fail_bursts(df: DataFrame, key: str = "user_id", ts: str = "ts", seq:
              .select(key, ts, seq, seg_start.cast("int").alias("_ss"),
                      F.get(F.col("_nx"), 0).alias("_term")))
     fails = running_sum(fails, key, ts, seq, "_ss", "_seg", bucket)
-    fails = _checkpointed(fails)
-
-    # (2) next burst-start candidate of every failure.
-    probes = fails.select(key, "_seg", (F.col(ts) + interval(horizon)).alias(ts),
-                          F.lit(MAX_SEQ).cast("bigint").alias(seq), F.col(seq).alias("_of"))
-    u = fails.select(key, "_seg", ts, seq, F.lit(None).cast("bigint").alias("_of")).unionByName(probes)
-    u = next_match(u, [key, "_seg"], ts, seq, F.col("_of").isNull(), "_nm", bucket)
-    jump = _checkpointed(u.where(F.col("_of").isNotNull())
-                         .select(F.col("_of").alias("_id"), F.col("_nm.seq").alias("_to")))
-
-    # (3) pointer doubling from the segment heads.
-    longest = fails.groupBy(key, "_seg").count().agg(F.max("count")).first()[0] or 1
-    rounds = max(1, int(longest - 1).bit_length())
-    marked = fails.where(F.col("_ss") == 1).select(F.col(seq).alias("_id"))
-    for _ in range(rounds):
-        step = marked.join(jump, "_id").where(F.col("_to").isNotNull()).select(F.col("_to").alias("_id"))
-        marked = _checkpointed(marked.unionByName(step))
-        j2 = jump.alias("a").join(jump.alias("b"), F.col("a._to") == F.col("b._id"), "left")
-        jump = _checkpointed(j2.select(F.col("a._id").alias("_id"), F.col("b._to").alias("_to")))
-
-    # (4) bursts and cancellation.
-    starts = marked.select(F.col("_id").alias(seq), F.lit(1).alias("_st"))
-    f2 = fails.join(starts, seq, "left").withColumn("_st", F.coalesce("_st", F.lit(0)))
-    f2 = running_sum(f2, [key, "_seg"], ts, seq, "_st", "_burst", bucket)
-    bursts = f2.groupBy(key, "_seg", "_burst").agg(
-        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
-        F.count(F.lit(1)).cast("bigint").alias("n_fails"),
-        F.max_by("_term", F.struct(F.col(ts), F.col(seq))).alias("_term"))
-    last = Window.partitionBy(key, "_seg")
-    bursts = bursts.withColumn("_last", F.col("_burst") == F.max("_burst").over(last))
+    sizes = fails.groupBy(key, "_seg").agg(F.count(F.lit(1)).alias("_len"))
+    fails = _checkpointed(fails.join(sizes, [key, "_seg"]))
+
+    short = (fails.where(F.col("_len") <= FOLD_LIMIT).groupBy(key, "_seg")
+             .agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq")))).alias("_evs"),
+                  F.max_by("_term", F.struct(F.col(ts), F.col(seq))).alias("_term")))
+    folded = short.select(key, "_term", _fold_bursts(F.col("_evs"), horizon, ts_type).alias("_bs"))
+    bursts = (folded.select(key, "_term", F.size("_bs").alias("_nb"), F.posexplode("_bs").alias("_i", "_b"))
+              .select(key, "_b.first_ts", "_b.last_ts", "_b.n_fails",
+                      (F.col("_i") == F.col("_nb") - 1).alias("_last"), "_term"))
+    long_ = fails.where(F.col("_len") > FOLD_LIMIT)
+    if not long_.isEmpty():
+        bursts = bursts.unionByName(_bursts_by_doubling(long_, key, ts, seq, horizon, bucket))
     cancelled = (F.col("_last") & F.col("_term").isNotNull() & (F.col("_term")[event] != F.lit(fail))
                  & (F.col("_term.ts") <= F.col("first_ts") + interval(horizon)))
-    return (bursts.where((F.col("n_fails") >= min_fails) & ~cancelled)
+    return (bursts.where((F.col("n_fails") >= min_fails) & ~F.coalesce(cancelled, F.lit(False)))
             .select(key, "first_ts", "last_ts", "n_fails"))

@@ -68,41 +68,63 @@ def capped_rank(df: DataFrame, keys, ts: str, seq: str, cap: int,
     return below.unionByName(edge).drop("_b", "_boff", "_bn")
 
 
-def with_neighbors(df: DataFrame, keys, ts: str, seq: str, fields, n: int, out: str = "_prev",
-                   direction: str = "preceding", bucket=DEFAULT_BUCKET) -> DataFrame:
-    """Add ``out``: array of the ``n`` nearest earlier (``preceding``) or
-    later (``following``) rows of the same key, as structs of
-    ``(ts, seq, *fields)`` in time order (oldest first).
+def with_neighbors(df: DataFrame, keys, ts: str, seq: str, fields, n: int = 1, out: str = "_prev",
+                   direction: str = "preceding", bucket=DEFAULT_BUCKET, n_after: int = 0,
+                   out_after: str = "_next") -> DataFrame:
+    """Add ``out``: array of the ``n`` nearest earlier rows of the same key
+    (``direction="following"``: later rows) as structs of
+    ``(ts, seq, *fields)`` in time order (oldest first).  With
+    ``n_after > 0`` (and ``direction="preceding"``) also add ``out_after``
+    with the ``n_after`` nearest later rows in the same pass.
 
     Within a bucket the neighbours come from a bounded window frame; across
-    a bucket boundary from the tails (heads) of the ``n`` nearest non-empty
+    a bucket boundary from the tails / heads of the nearest non-empty
     buckets, a table with at most ``n`` entries per bucket.
     """
     keys = _keys(keys)
+    if direction == "following":
+        n_before, n_after, out_after = 0, n, out
+    else:
+        n_before = n
     fields = [f for f in fields if f not in (ts, seq)]
     ev = F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), *[F.col(f) for f in fields])
+    order = F.struct(F.col(ts), F.col(seq))
     d = df.withColumn("_b", time_bucket(ts, bucket))
-    back = direction == "preceding"
-    o_edge = [F.col(ts).desc(), F.col(seq).desc()] if back else [F.col(ts).asc(), F.col(seq).asc()]
-    edge_rows = (d.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*o_edge)))
-                 .where(F.col("_r") <= n))
-    edges = edge_rows.groupBy(*keys, "_b").agg(F.sort_array(F.collect_list(ev)).alias("_edge"))
-    if back:
-        wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(-n, -1)
-    else:
-        wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, n)
-    carry = edges.select(*keys, "_b", F.flatten(F.collect_list("_edge").over(wb)).alias("_carry"))
-    if back:
-        wi = Window.partitionBy(*keys, "_b").orderBy(ts, seq).rowsBetween(-n, -1)
-    else:
-        wi = Window.partitionBy(*keys, "_b").orderBy(ts, seq).rowsBetween(1, n)
-    j = d.join(carry, [*keys, "_b"]).withColumn("_in", F.collect_list(ev).over(wi))
-    if back:
-        allv = F.concat(F.col("_carry"), F.col("_in"))
-        res = F.slice(allv, F.greatest(F.size(allv) - F.lit(n) + 1, F.lit(1)), n)
+    if n_before <= 1 and n_after <= 1:
+        # one neighbour each way: bounded partial aggregation, no sort
+        aggs = []
+        if n_before:
+            aggs.append(F.array(F.max_by(ev, order)).alias("_tail"))
+        if n_after:
+            aggs.append(F.array(F.min_by(ev, order)).alias("_head"))
+        edges = d.groupBy(*keys, "_b").agg(*aggs)
     else:
-        res = F.slice(F.concat(F.col("_in"), F.col("_carry")), 1, n)
-    return j.withColumn(out, res).drop("_b", "_carry", "_in")
+        wk = Window.partitionBy(*keys, "_b")
+        e = d
+        aggs = []
+        if n_before:
+            e = e.withColumn("_rd", F.row_number().over(wk.orderBy(F.col(ts).desc(), F.col(seq).desc())))
+            aggs.append(F.sort_array(F.collect_list(F.when(F.col("_rd") <= n_before, ev))).alias("_tail"))
+        if n_after:
+            e = e.withColumn("_ra", F.row_number().over(wk.orderBy(ts, seq)))
+            aggs.append(F.sort_array(F.collect_list(F.when(F.col("_ra") <= n_after, ev))).alias("_head"))
+        edges = e.groupBy(*keys, "_b").agg(*aggs)
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    carry_cols = []
+    if n_before:
+        carry_cols.append(F.flatten(F.collect_list("_tail").over(wb.rowsBetween(-n_before, -1))).alias("_cb"))
+    if n_after:
+        carry_cols.append(F.flatten(F.collect_list("_head").over(wb.rowsBetween(1, n_after))).alias("_ca"))
+    carry = edges.select(*keys, "_b", *carry_cols)
+    j = d.join(carry, [*keys, "_b"])
+    wi = Window.partitionBy(*keys, "_b").orderBy(ts, seq)
+    if n_before:
+        allv = F.concat(F.col("_cb"), F.collect_list(ev).over(wi.rowsBetween(-n_before, -1)))
+        j = j.withColumn(out, F.slice(allv, F.greatest(F.size(allv) - F.lit(n_before) + 1, F.lit(1)), n_before))
+    if n_after:
+        allv = F.concat(F.collect_list(ev).over(wi.rowsBetween(1, n_after)), F.col("_ca"))
+        j = j.withColumn(out_after, F.slice(allv, 1, n_after))
+    return j.drop("_b", "_cb", "_ca")
 
 
 def next_match(df: DataFrame, keys, ts: str, seq: str, is_target, out: str = "_next",
