@@ -26,6 +26,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
     """Local/test session.  On a cluster, use the cluster's session and
     call :func:`configure` on it instead."""
+    # Python workers (transformWithState processors) must import this
+    # package; locally they inherit the driver's environment.  On a
+    # cluster ship it with --py-files / spark.submit.pyFiles instead.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -55,6 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                               "distributed file system) before running lineage-cutting operators")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -10,7 +10,7 @@ state and timers are epoch milliseconds; inputs carry ``ts_ms`` (see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tidemark.functions.time import duration_us
@@ -31,16 +31,15 @@ def _ms(spec) -> int:
 
 # ------------------------------------------------------------------ daily cap
 
-CAP_OUT = "tag string, user_id bigint, ad_id bigint, ts_ms bigint, seq bigint, local_day int, ts timestamp"
-
-
 class DailyCap(StatefulProcessor):
     """Per key: pass the first ``cap`` rows of each local day, warn on the
     ``cap``-th, drop the rest; state evicted at the next local midnight.
-    Input needs ``local_day`` (int day number) and ``next_midnight_ms``."""
+    Input needs ``local_day`` (int day number) and ``next_midnight_ms``;
+    output columns are ``tag`` then ``cols`` (in schema order)."""
 
-    def __init__(self, cap: int = 100):
+    def __init__(self, cap: int, cols):
         self.cap = cap
+        self.cols = list(cols)
 
     def init(self, handle):
         self.handle = handle
@@ -56,12 +55,11 @@ class DailyCap(StatefulProcessor):
                 day, n, timer = r["local_day"], 0, r["next_midnight_ms"]
                 self.handle.registerTimer(timer)
             n += 1
-            base = dict(user_id=r["user_id"], ad_id=r["ad_id"], ts_ms=r["ts_ms"], seq=r["seq"],
-                        local_day=r["local_day"], ts=r["ts"])
+            vals = {c: r[c] for c in self.cols}
             if n <= self.cap:
-                yield Row(tag="pass", **base)
+                yield Row(tag="pass", **vals)
             if n == self.cap:
-                yield Row(tag="warning", **base)
+                yield Row(tag="warning", **vals)
         self.state.update((day, n, timer))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -73,15 +71,18 @@ class DailyCap(StatefulProcessor):
 
 
 def daily_cap_stream(clicks: DataFrame, cap: int = 100, tz: str = "Asia/Shanghai",
-                     keys=("user_id", "ad_id")) -> DataFrame:
-    """Tagged output (``pass`` / ``warning``) with event time ``ts`` kept,
-    so a windowed aggregation can follow."""
+                     keys=("user_id", "ad_id"), extra=()) -> DataFrame:
+    """Tagged output (``pass`` / ``warning``) with the event time ``ts``
+    kept as the event-time column, so a windowed aggregation can follow."""
     from tidemark.functions.time import local_day, next_local_midnight
     d = prepare(clicks).withColumn(
         "local_day", F.datediff(local_day("ts", tz), F.lit("1970-01-01")).cast("int")).withColumn(
         "next_midnight_ms", F.floor(F.unix_micros(next_local_midnight("ts", tz, ntz=False)) / 1000).cast("bigint"))
+    cols = [*keys, "ts_ms", "seq", "local_day", "ts", *extra]
+    schema = T.StructType([T.StructField("tag", T.StringType())] + [
+        T.StructField(c, d.schema[c].dataType) for c in cols])
     return d.groupBy(*keys).transformWithState(
-        DailyCap(cap), CAP_OUT, "Append", "EventTime", eventTimeColumnName="ts")
+        DailyCap(cap, cols), schema, "Append", "EventTime", eventTimeColumnName="ts")
 
 
 # ------------------------------------------------------------------ order timeout

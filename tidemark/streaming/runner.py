@@ -59,3 +59,14 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.table(name)
+
+
+def write_tagged(batch: DataFrame, batch_id: int, sinks: dict[str, str], tag_col: str = "tag",
+                 fmt: str = "parquet") -> None:
+    """``foreachBatch`` body fanning a tagged stream out to one folder per
+    tag (the side outputs of the reference jobs).  Idempotent per batch:
+    each batch writes under ``batch=<id>`` with overwrite, so a replayed
+    batch after a failure replaces its own output."""
+    for tag, path in sinks.items():
+        (batch.where(F.col(tag_col) == tag).drop(tag_col).write.mode("overwrite")
+         .format(fmt).save(os.path.join(path, f"batch={batch_id}")))

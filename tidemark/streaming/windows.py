@@ -15,12 +15,27 @@ def event_time(df: DataFrame, ts: str = "ts", delay="0 seconds") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{duration_us(delay)} microseconds")
 
 
-def sliding_count_stream(df: DataFrame, keys, ts: str = "ts", size="1 hour", slide="5 minutes") -> DataFrame:
+def sliding_count_stream(df: DataFrame, keys, ts: str = "ts", size="1 hour", slide="5 minutes",
+                         panes: bool | None = None) -> DataFrame:
     """Windowed count keeping the ``w`` window struct (needed by a chained
-    aggregation as its event-time column)."""
+    aggregation as its event-time column).
+
+    Pane form (large fan-out, size a multiple of slide): count per
+    slide-wide tumbling pane, then a chained windowed sum over
+    ``window_time(pane)`` (the pane's last instant, which lies in exactly
+    the windows that contain the pane)."""
+    from tidemark.operators.windows import PANE_FANOUT_THRESHOLD
     keys = [keys] if isinstance(keys, str) else list(keys)
-    w = F.window(F.col(ts), f"{duration_us(size)} microseconds", f"{duration_us(slide)} microseconds")
-    return df.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("cnt"))
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    fan, rem = divmod(size_us, slide_us)
+    if panes is None:
+        panes = rem == 0 and fan > PANE_FANOUT_THRESHOLD
+    sz, sl = f"{size_us} microseconds", f"{slide_us} microseconds"
+    if not panes:
+        return df.groupBy(F.window(F.col(ts), sz, sl).alias("w"), *keys).agg(F.count(F.lit(1)).alias("cnt"))
+    pc = df.groupBy(F.window(F.col(ts), sl).alias("pane"), *keys).agg(F.count(F.lit(1)).alias("_n"))
+    return (pc.groupBy(F.window(F.window_time("pane"), sz, sl).alias("w"), *keys)
+            .agg(F.sum("_n").cast("bigint").alias("cnt")))
 
 
 def topn_stream(counts: DataFrame, key: str, n: int = 5) -> DataFrame:
