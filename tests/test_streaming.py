@@ -105,3 +105,44 @@ def test_late_refined_topn_upsert(spark, tmp_path, n_files):
     _same(table.select("window_end", "url", "cnt"), want.select("window_end", "url", "cnt"))
     _same(sw.topn_from_counts(table, "url"), topn.topn_per_window(want, "url", 5).select(
         "window_end", "rank", "url", "cnt"))
+
+
+def test_late_split_stream_equals_batch(spark, tmp_path):
+    from tidemark.operators import late
+    e = dt.events(spark, SF_SMALL).select("event_id", "ts", F.col("event_id").alias("seq"))
+    e = e.withColumn("arrival", F.col("ts") + F.make_dt_interval(
+        secs=((F.col("seq") * 7919) % 7200).cast("decimal(18,6)")))
+    root = runner.write_replay_files(e, 4, None, order_col="arrival")
+    s = runner.read_replay(spark, root, e.schema)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    q = (s.writeStream.foreachBatch(lambda b, i: sw.split_late_batch(
+            b, i, state, out, "ts", "arrival", "10 minutes", None, "10 minutes", "60 minutes"))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(out + "/late").select("event_id")
+    want = late.split_late(e, "ts", "arrival", "seq", "10 minutes", None, "10 minutes", "60 minutes")
+    want = want.where("is_late").select("event_id")
+    assert want.count() > 0
+    _same(got, want)
+
+
+def test_running_uv_update_mode_and_upsert(spark, tmp_path):
+    e = dt.events(spark, SF_SMALL).select("user_id", "ts", F.col("event_id").alias("seq"))
+    s = _replay(spark, e, {"user_id": -1, "seq": -1})
+    path = str(tmp_path / "uv")
+    q = (sw.uv_stream(s, "user_id", "ts", "1 hour").writeStream.outputMode("update")
+         .foreachBatch(lambda b, i: sw.uv_upsert(b, i, path))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(path).where(F.year("window_end") < 2100).select(
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "uv")
+    _same(got, distinct.uv_exact(e, "user_id", "ts", "1 hour"))
+
+
+def test_hll_rollup(spark):
+    e = dt.events(spark, SF_SMALL)
+    daily = distinct.uv_rollup(distinct.uv_sketches(e, "user_id", "ts", "1 hour", 12), "1 day")
+    exact = distinct.uv_exact(e, "user_id", "ts", "1 day").withColumnRenamed("uv", "ex")
+    j = daily.join(exact, "window_end")
+    assert j.count() == exact.count()
+    assert j.where("abs(uv - ex) > greatest(1, ex * 0.05)").count() == 0

@@ -61,3 +61,14 @@ def uv_running(df: DataFrame, user: str = "user_id", ts: str = "ts", seq: str =
                .withColumn("_first", ((F.col(ts) == F.col("_fts")) & (F.col(seq) == F.col("_fseq"))).cast("int"))
                .drop("_fts", "_fseq"))
     return running_sum(flagged, ["window_end"], ts, seq, "_first", out, bucket=sub_bucket).drop("_first")
+
+
+def uv_rollup(sketches: DataFrame, size="1 day", out: str = "uv") -> DataFrame:
+    """Roll per-window HLL sketches (``uv_sketches``) up to longer tumbling
+    windows by sketch union, without re-reading rows."""
+    ntz = ts_type_of(sketches, "window_end")
+    # a window ending at e holds instants up to e - 1 microsecond
+    last = (F.col("window_end") - F.expr("INTERVAL 1 MICROSECONDS")).alias("_last")
+    return (sketches.select(last, "sketch")
+            .select(window_end_col("_last", duration_us(size), ntz).alias("window_end"), "sketch")
+            .groupBy("window_end").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(out)))

@@ -9,7 +9,7 @@ per key.  Rows are ordered by ``(ts, seq)``; ``seq`` breaks ties.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.time import duration_us, to_micros
 
@@ -151,7 +151,10 @@ def running_max_before(df: DataFrame, order_ts: str, seq: str, value: str, out:
     A global order has no key; the prefix max is split by buckets of
     ``order_ts``: per-bucket maxima (one row per bucket) give the carry,
     the within-bucket frame gives the rest."""
-    d = df.withColumn("_b", time_bucket(order_ts, bucket))
+    if isinstance(df.schema[order_ts].dataType, (T.TimestampType, T.TimestampNTZType)):
+        d = df.withColumn("_b", time_bucket(order_ts, bucket))
+    else:  # a numeric arrival order: blocks of 2^16 positions
+        d = df.withColumn("_b", F.floor(F.col(order_ts) / F.lit(1 << 16)).cast("bigint"))
     bmax = d.groupBy("_b").agg(F.max(value).alias("_bm"))
     wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = bmax.select("_b", F.max("_bm").over(wb).alias("_carry"))

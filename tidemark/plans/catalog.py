@@ -456,3 +456,32 @@ SELECT user_id, e_first AS first_ts, e_last AS last_ts, CAST(e_n AS BIGINT) AS n
 FROM walk WHERE e_n IS NOT NULL""")
 def q_login_fail_bursts(spark, sf):
     return patterns.login_fail_bursts(dt.logins(spark, sf), horizon="5 hours")
+
+
+# --------------------------------------------------------------- reference window sizes
+# The reference's own window parameters (1 h / 5 min for items, 1 h / 5 s
+# for ad clicks): 12- and 720-way fan-out, both on the pane path.
+
+HOT_ITEMS_REF_COUNTS_SQL = f"""
+SELECT item_id, window_end, CAST(count(*) AS BIGINT) AS cnt FROM (
+  SELECT {K_SQL} AS item_id,
+         time_bucket(INTERVAL 5 MINUTE, ts, {ORIGIN}) + to_minutes(CAST(5 * (g + 1) AS BIGINT)) AS window_end
+  FROM events, range(0, 12) t(g) WHERE event_type = 'view') x
+GROUP BY item_id, window_end"""
+
+
+@register("hot_items_topn_ref", _topn_sql(HOT_ITEMS_REF_COUNTS_SQL, "item_id"))
+def q_hot_items_topn_ref(spark, sf):
+    counts = windows.sliding_count(_item_views(spark, sf), "item_id", "ts", "1 hour", "5 minutes")
+    return topn.topn_per_window(counts, "item_id", TOP_N).select("window_end", "rank", "item_id", "cnt")
+
+
+@register("ad_clicks_by_province_ref", f"""
+SELECT n.n_name AS province, window_end, CAST(count(*) AS BIGINT) AS cnt
+FROM (SELECT user_id, time_bucket(INTERVAL 5 SECOND, ts, {ORIGIN}) + to_seconds(CAST(5 * (g + 1) AS BIGINT)) AS window_end
+      FROM ({CLICK_RANK_SQL}) r, range(0, 720) t(g) WHERE rn <= {CAP}) x
+JOIN nation n ON n.n_nationkey = x.user_id % 25
+GROUP BY n.n_name, window_end""")
+def q_ad_clicks_by_province_ref(spark, sf):
+    passed = caps.daily_cap(dt.ad_clicks(spark, sf), ["user_id"], "ts", "seq", CAP, TZ)
+    return jobs_ad_clicks_by_province(passed, dt.provinces(spark, sf), "1 hour", "5 seconds")

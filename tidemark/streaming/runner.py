@@ -18,23 +18,27 @@ from tidemark.session import scratch_path
 SENTINEL_TS = "2100-01-01 00:00:00"
 
 
-def write_replay_files(df: DataFrame, n_files: int, sentinel: dict, ts: str = "ts",
-                       path: str | None = None) -> str:
-    """Write ``df`` as ``n_files`` parquet folders in event-time order plus
-    two sentinel batches; returns the root folder (read it with
+def write_replay_files(df: DataFrame, n_files: int, sentinel: dict | None, ts: str = "ts",
+                       path: str | None = None, order_col: str | None = None) -> str:
+    """Write ``df`` as ``n_files`` parquet folders in event-time order (or
+    ``order_col`` order, e.g. an arrival time) plus two sentinel batches
+    (none when ``sentinel`` is None); returns the root folder (read it with
     ``read_replay``)."""
     spark = df.sparkSession
     root = path or scratch_path(spark, "replay")
-    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    split_col = order_col or ts
+    lo, hi = df.agg(F.min(split_col), F.max(split_col)).first()
     span = (hi - lo) / n_files if hi != lo else None
     for i in range(n_files):
         if span is None:
             part = df if i == 0 else df.limit(0)
         else:
             a, b = lo + span * i, lo + span * (i + 1)
-            cond = (F.col(ts) >= a) & ((F.col(ts) < b) if i < n_files - 1 else F.lit(True))
+            cond = (F.col(split_col) >= a) & ((F.col(split_col) < b) if i < n_files - 1 else F.lit(True))
             part = df.where(cond)
         part.coalesce(1).write.parquet(os.path.join(root, f"b{i:05d}"))
+    if sentinel is None:
+        return root
     row = {c: None for c in df.columns}
     row.update(sentinel)
     for j in range(2):

@@ -86,3 +86,51 @@ def topn_from_counts(counts: DataFrame, key: str, n: int = 5) -> DataFrame:
     w = Window.partitionBy("window_end").orderBy(F.col("cnt").desc(), F.col(key).asc())
     return (counts.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
             .select("window_end", "rank", key, "cnt"))
+
+
+def uv_upsert(batch: DataFrame, batch_id: int, path: str) -> None:
+    """``foreachBatch`` body for an ``update``-mode UV stream: keep the
+    latest ``(window_end, uv)`` per window in a parquet table."""
+    upsert_counts(batch, path, keys=("window_end",))
+
+
+def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path: str,
+                     ts: str = "ts", order: str = "seq", size="10 minutes", slide=None,
+                     disorder="2 seconds", lateness="60 seconds") -> None:
+    """``foreachBatch`` body delivering the late rows Spark would drop.
+
+    The watermark a row sees is the max event time of all earlier rows
+    (previous batches: a one-row state table per batch under
+    ``state_path``; this batch: the prefix max in ``order``) minus
+    ``disorder``.  Rows whose windows are all closed go to
+    ``out_path/late/batch=<id>``, the rest to ``out_path/on_time/batch=<id>``;
+    both are overwritten when a batch is replayed.
+    """
+    from tidemark.functions.time import interval
+    from tidemark.operators.late import ONE_MS
+    from tidemark.operators.sequence import running_max_before
+    from tidemark.operators.windows import window_end_col
+    from tidemark.functions.time import ts_type_of
+    import os
+    spark = batch.sparkSession
+    try:
+        prev = (spark.read.parquet(state_path).where(F.col("batch") < batch_id)
+                .agg(F.max("max_ts")).first()[0])
+    except Exception:  # noqa: BLE001 - no state yet
+        prev = None
+    d = running_max_before(batch, order, order, ts, "_mx") if order != ts else \
+        running_max_before(batch, ts, ts, ts, "_mx")
+    carried = F.lit(prev).cast(batch.schema[ts].dataType) if prev is not None else F.lit(None).cast(
+        batch.schema[ts].dataType)
+    best = F.greatest(F.col("_mx"), carried)  # greatest skips NULLs
+    wm = best - interval(disorder)
+    last_end = window_end_col(ts, duration_us(slide or size), ts_type_of(batch, ts))
+    closed = F.coalesce(last_end - interval(ONE_MS) + interval(lateness) <= wm, F.lit(False))
+    marked = d.withColumn("is_late", closed).drop("_mx")
+    checkpoint_dir(spark)
+    marked = marked.checkpoint(eager=True)
+    marked.where("is_late").write.mode("overwrite").parquet(os.path.join(out_path, "late", f"batch={batch_id}"))
+    marked.where("NOT is_late").write.mode("overwrite").parquet(
+        os.path.join(out_path, "on_time", f"batch={batch_id}"))
+    mx = batch.agg(F.max(ts).alias("max_ts")).withColumn("batch", F.lit(batch_id))
+    mx.write.mode("overwrite").parquet(os.path.join(state_path, f"b={batch_id}"))
