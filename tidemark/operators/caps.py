@@ -17,7 +17,7 @@ def _with_day(df, ts, tz):
 
 
 def daily_cap(df: DataFrame, keys, ts: str = "ts", seq: str = "seq", cap: int = 100,
-              tz: str = "Asia/Shanghai", sub_bucket="1 hour") -> DataFrame:
+              tz: str = "Asia/Shanghai", sub_bucket="1 minute") -> DataFrame:
     """Rows that pass the cap (original columns plus ``local_day``)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     d = _with_day(df, ts, tz)
@@ -25,7 +25,7 @@ def daily_cap(df: DataFrame, keys, ts: str = "ts", seq: str = "seq", cap: int =
 
 
 def daily_cap_warnings(df: DataFrame, keys, ts: str = "ts", seq: str = "seq", cap: int = 100,
-                       tz: str = "Asia/Shanghai", sub_bucket="1 hour") -> DataFrame:
+                       tz: str = "Asia/Shanghai", sub_bucket="1 minute") -> DataFrame:
     """One warning row per (keys, local day) that reached the cap."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     d = _with_day(df, ts, tz)

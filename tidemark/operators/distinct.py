@@ -45,7 +45,7 @@ def uv_sketches(df: DataFrame, user: str = "user_id", ts: str = "ts", size="1 ho
 
 
 def uv_running(df: DataFrame, user: str = "user_id", ts: str = "ts", seq: str = "seq",
-               size="1 hour", out: str = "uv", sub_bucket="1 minute") -> DataFrame:
+               size="1 hour", out: str = "uv", sub_bucket="1 second") -> DataFrame:
     """One row per input row: distinct users of its window seen so far
     (inclusive), in ``(ts, seq)`` order.
 

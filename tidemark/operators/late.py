@@ -19,14 +19,14 @@ ONE_MS = "1 millisecond"
 
 
 def with_row_watermark(df: DataFrame, ts: str = "ts", arrival: str = "arrival", seq: str = "seq",
-                       disorder="2 seconds", out: str = "wm", bucket="1 hour") -> DataFrame:
+                       disorder="2 seconds", out: str = "wm", bucket="1 second") -> DataFrame:
     d = running_max_before(df, arrival, seq, ts, "_maxts", bucket)
     return d.withColumn(out, F.col("_maxts") - interval(disorder)).drop("_maxts")
 
 
 def split_late(df: DataFrame, ts: str = "ts", arrival: str = "arrival", seq: str = "seq",
                size="10 minutes", slide=None, disorder="2 seconds", lateness="60 seconds",
-               bucket="1 hour") -> DataFrame:
+               bucket="1 second") -> DataFrame:
     """Add ``is_late``: all of the row's windows were closed when it
     arrived.  For sliding windows the last window (the latest end) decides."""
     d = with_row_watermark(df, ts, arrival, seq, disorder, "wm", bucket)
@@ -39,7 +39,7 @@ def split_late(df: DataFrame, ts: str = "ts", arrival: str = "arrival", seq: str
 def sliding_count_with_lateness(df: DataFrame, key: str, ts: str = "ts", arrival: str = "arrival",
                                 seq: str = "seq", size="10 minutes", slide="5 seconds",
                                 disorder="1 second", lateness="60 seconds",
-                                bucket="1 hour", precomputed_wm: str | None = None) -> DataFrame:
+                                bucket="1 second", precomputed_wm: str | None = None) -> DataFrame:
     """Final (fully refined) count per key and sliding window: each row
     counts in the windows that were still open for it on arrival.
 

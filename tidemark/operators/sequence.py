@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.time import duration_us, to_micros
 
-DEFAULT_BUCKET = "1 hour"
+DEFAULT_BUCKET = "1 minute"
 
 
 def _keys(keys):
@@ -144,22 +144,34 @@ def next_match(df: DataFrame, keys, ts: str, seq: str, is_target, out: str = "_n
 
 
 def running_max_before(df: DataFrame, order_ts: str, seq: str, value: str, out: str,
-                       bucket="1 hour") -> DataFrame:
+                       bucket="1 second", coarse="1 hour") -> DataFrame:
     """``out`` = max of ``value`` over all rows strictly before the current
     one in global ``(order_ts, seq)`` order (NULL for the first row).
 
-    A global order has no key; the prefix max is split by buckets of
-    ``order_ts``: per-bucket maxima (one row per bucket) give the carry,
-    the within-bucket frame gives the rest."""
+    A global order has no key, so it is split twice by time: rows are
+    ranked only inside fine buckets (``bucket``); the maxima of earlier
+    fine buckets come from a per-fine-bucket table scanned inside coarse
+    buckets (``coarse``), and the maxima of earlier coarse buckets from a
+    per-coarse-bucket table (one row per coarse bucket, the only
+    unpartitioned step).  A numeric ``order_ts`` (arrival position) uses
+    blocks of 2^16 / 2^26 positions instead.
+    """
     if isinstance(df.schema[order_ts].dataType, (T.TimestampType, T.TimestampNTZType)):
+        fine_us, coarse_us = duration_us(bucket), duration_us(coarse)
+        ratio = max(coarse_us // fine_us, 1)
         d = df.withColumn("_b", time_bucket(order_ts, bucket))
-    else:  # a numeric arrival order: blocks of 2^16 positions
+    else:
+        ratio = 1 << 10
         d = df.withColumn("_b", F.floor(F.col(order_ts) / F.lit(1 << 16)).cast("bigint"))
-    bmax = d.groupBy("_b").agg(F.max(value).alias("_bm"))
-    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = bmax.select("_b", F.max("_bm").over(wb).alias("_carry"))
+    d = d.withColumn("_c", F.floor(F.col("_b") / F.lit(ratio)).cast("bigint"))
+    fine = d.groupBy("_c", "_b").agg(F.max(value).alias("_bm"))
+    coarse_t = fine.groupBy("_c").agg(F.max("_bm").alias("_cm"))
+    c_carry = coarse_t.select("_c", F.max("_cm").over(
+        Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)).alias("_cc"))
+    f_carry = fine.select("_c", "_b", F.max("_bm").over(
+        Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_fc"))
+    carry = f_carry.join(c_carry, "_c").select(
+        "_b", F.greatest(F.col("_fc"), F.col("_cc")).alias("_carry"))  # greatest skips NULLs
     wi = Window.partitionBy("_b").orderBy(order_ts, seq).rowsBetween(Window.unboundedPreceding, -1)
     j = d.join(carry, "_b").withColumn("_in", F.max(value).over(wi))
-    best = F.when(F.col("_in").isNull(), F.col("_carry")).when(
-        F.col("_carry").isNull(), F.col("_in")).otherwise(F.greatest("_in", "_carry"))
-    return j.withColumn(out, best).drop("_b", "_carry", "_in")
+    return j.withColumn(out, F.greatest(F.col("_in"), F.col("_carry"))).drop("_b", "_c", "_carry", "_in")

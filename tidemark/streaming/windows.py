@@ -96,7 +96,7 @@ def uv_upsert(batch: DataFrame, batch_id: int, path: str) -> None:
 
 def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path: str,
                      ts: str = "ts", order: str = "seq", size="10 minutes", slide=None,
-                     disorder="2 seconds", lateness="60 seconds") -> None:
+                     disorder="2 seconds", lateness="60 seconds", seq: str = "seq") -> None:
     """``foreachBatch`` body delivering the late rows Spark would drop.
 
     The watermark a row sees is the max event time of all earlier rows
@@ -118,8 +118,7 @@ def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path:
                 .agg(F.max("max_ts")).first()[0])
     except Exception:  # noqa: BLE001 - no state yet
         prev = None
-    d = running_max_before(batch, order, order, ts, "_mx") if order != ts else \
-        running_max_before(batch, ts, ts, ts, "_mx")
+    d = running_max_before(batch, order, seq, ts, "_mx")
     carried = F.lit(prev).cast(batch.schema[ts].dataType) if prev is not None else F.lit(None).cast(
         batch.schema[ts].dataType)
     best = F.greatest(F.col("_mx"), carried)  # greatest skips NULLs
