@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.time import duration_us, from_micros, interval, to_micros, ts_type_of
 from tidemark.operators.sequence import running_max_before
-from tidemark.operators.windows import window_end_col
+from tidemark.operators.windows import sweep_ranges, window_end_col
 
 ONE_MS = "1 millisecond"
 
@@ -66,9 +66,8 @@ def sliding_count_with_lateness(df: DataFrame, key: str, ts: str = "ts", arrival
                        F.lit(fan))
     pc = (d.select(key, first_end.alias("_fe"), F.coalesce(n_closed, F.lit(0)).cast("int").alias("_k"))
           .groupBy(key, "_fe", "_k").agg(F.count(F.lit(1)).alias("_n")))
-    ex = (pc.where(F.col("_k") < fan)
-          .select(key, "_n", "_fe", F.explode(F.sequence(F.col("_k"), F.lit(fan - 1))).alias("_i"))
-          .select(key, "_n", (F.col("_fe") + F.col("_i").cast("bigint") * F.lit(slide_us)).alias("_end")))
-    ntz = ts_type_of(df, ts)
-    return (ex.groupBy(key, "_end").agg(F.sum("_n").cast("bigint").alias("cnt"))
-            .select(key, from_micros(F.col("_end"), ntz).alias("window_end"), "cnt"))
+    # open windows of a group: ends _fe + k*slide .. _fe + (fan-1)*slide
+    ranges = pc.where(F.col("_k") < fan).select(
+        key, (F.col("_fe") + F.col("_k").cast("bigint") * F.lit(slide_us)).alias("_a"),
+        (F.col("_fe") + F.lit(fan * slide_us)).alias("_z"), "_n")
+    return sweep_ranges(ranges, key, slide_us, ts_type_of(df, ts), "cnt")

@@ -7,7 +7,7 @@ Windows are epoch aligned ``[start, end)``; rows are reported by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.hashing import salt as salt_expr
 from tidemark.functions.time import duration_us, from_micros, to_micros, ts_type_of
@@ -38,7 +38,7 @@ def tumbling_count(df: DataFrame, keys, ts: str = "ts", size="1 hour",
 
 
 def sliding_count(df: DataFrame, keys, ts: str = "ts", size="1 hour", slide="5 minutes",
-                  out: str = "cnt", panes: bool | None = None) -> DataFrame:
+                  out: str = "cnt", panes: bool | None = None, method: str | None = None) -> DataFrame:
     """Count per key and sliding window -> (keys..., window_end, cnt).
 
     Pane form (default when a row falls into more than
@@ -57,7 +57,11 @@ def sliding_count(df: DataFrame, keys, ts: str = "ts", size="1 hour", slide="5 m
         panes = rem == 0 and fanout > PANE_FANOUT_THRESHOLD
     if panes and rem != 0:
         raise ValueError("pane form needs size to be a multiple of slide")
-    if not panes:
+    if method is None:
+        method = "sweep" if panes else "direct"
+    if method == "sweep":
+        return _sweep_count(df, keys, ts, size_us, slide_us, ntz, out)
+    if method == "direct" or not panes:
         w = F.window(F.col(ts), f"{size_us} microseconds", f"{slide_us} microseconds")
         return (df.groupBy(*keys, w.alias("w")).agg(F.count(F.lit(1)).alias(out))
                 .select(*keys, F.col("w.end").alias("window_end"), out))
@@ -83,3 +87,42 @@ def salted_count(df: DataFrame, keys, ts: str = "ts", size="1 hour", buckets: in
     first = df.groupBy(salt_expr(cols, buckets).alias("_salt"), *keys, end).agg(
         F.count(F.lit(1)).alias("_n"))
     return first.groupBy(*keys, "window_end").agg(F.sum("_n").cast("bigint").alias(out))
+
+
+def _sweep_count(df: DataFrame, keys, ts: str, size_us: int, slide_us: int, ntz: bool,
+                 out: str) -> DataFrame:
+    """Sliding counts by a sweep over change points: a pane ``[p, p+slide)``
+    with ``n`` rows adds ``n`` to the window ends ``p+slide .. p+size``."""
+    m = to_micros(ts)
+    pane = (m - F.pmod(m, F.lit(slide_us))).alias("_p")
+    pc = df.groupBy(*keys, pane).agg(F.count(F.lit(1)).alias("_n"))
+    ranges = pc.select(*keys, (F.col("_p") + F.lit(slide_us)).alias("_a"),
+                       (F.col("_p") + F.lit(size_us + slide_us)).alias("_z"), "_n")
+    return sweep_ranges(ranges, keys, slide_us, ntz, out)
+
+
+def sweep_ranges(ranges: DataFrame, keys, slide_us: int, ntz: bool, out: str = "cnt") -> DataFrame:
+    """Sum weighted ranges of window ends: each row adds ``_n`` to the ends
+    ``_a, _a+slide, ..., < _z`` (epoch micros).  Returns one row per key and
+    window end with a positive total.
+
+    Each range becomes two change points (``+n`` at ``_a``, ``-n`` at
+    ``_z``); a running sum over a key's change points gives the total of
+    each stretch of ends, expanded to rows map-side.  Only change points are
+    shuffled, never one row per (range, end).  The per-key window runs over
+    change points, at most ``2 x span/slide`` per key whatever the row
+    volume.
+    """
+    keys = _keys(keys)
+    deltas = ranges.select(*keys, F.explode(F.array(
+        F.struct(F.col("_a").alias("t"), F.col("_n").alias("d")),
+        F.struct(F.col("_z").alias("t"), (-F.col("_n")).alias("d")),
+    )).alias("_e")).select(*keys, "_e.t", "_e.d")
+    cp = deltas.groupBy(*keys, "t").agg(F.sum("d").alias("d"))
+    w = Window.partitionBy(*keys).orderBy("t")
+    runs = cp.select(*keys, "t", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_c"),
+                     F.lead("t").over(w).alias("_nt"))
+    live = runs.where(F.col("_c") > 0)
+    ends = F.explode(F.sequence(F.col("t"), F.col("_nt") - F.lit(slide_us), F.lit(slide_us)))
+    return live.select(*keys, ends.alias("_end"), F.col("_c").cast("bigint").alias(out)).select(
+        *keys, from_micros(F.col("_end"), ntz).alias("window_end"), out)

@@ -294,11 +294,12 @@ def q_ad_clicks_by_province(spark, sf):
 
 
 def jobs_ad_clicks_by_province(passed: DataFrame, provinces: DataFrame, size, slide) -> DataFrame:
-    """Count per nation key first (the dimension join then sees only
-    aggregated rows), attach the province name, and re-total by name."""
-    per_key = windows.sliding_count(passed, "nation_key", "ts", size, slide)
-    return (per_key.join(provinces, "nation_key")
-            .groupBy("province", "window_end").agg(F.sum("cnt").cast("bigint").alias("cnt")))
+    """Attach the province to each click, then count per province and
+    window.  The nation table is a fixed-size dimension (25 rows), so the
+    planner's size check broadcasts it and the join is a map-side lookup;
+    a large dimension would be planned as a shuffle join instead."""
+    named = passed.join(provinces, "nation_key")
+    return windows.sliding_count(named, "province", "ts", size, slide)
 
 
 # --------------------------------------------------------------- login risk
