@@ -146,3 +146,43 @@ def test_hll_rollup(spark):
     j = daily.join(exact, "window_end")
     assert j.count() == exact.count()
     assert j.where("abs(uv - ex) > greatest(1, ex * 0.05)").count() == 0
+
+
+def test_reconcile_one_to_one_stream(spark, ref):
+    o, r = ref["order"], ref["receipt"]
+    pays = o.where("tx_id <> ''").select("tx_id", "ts", "seq")
+    rc = r.select("tx_id", "ts", "seq")
+    sp = _replay(spark, pays, {"tx_id": "~p", "seq": -1})
+    sr = _replay(spark, rc, {"tx_id": "~r", "seq": -1})
+    got = runner.run_to_memory(processors.reconcile_1to1_stream(sp, sr), "t_r11").where("tx_id NOT LIKE '~%'")
+    tags = {x.tag: x.n for x in got.groupBy("tag").agg(F.count("*").alias("n")).collect()}
+    assert tags == {"matched": 5, "pay_without_receipt": 34, "receipt_without_pay": 35}
+
+
+def test_one_to_one_consumes_partner(spark, tmp_path):
+    # two pays and one receipt of the same id: one match, one unmatched pay
+    rows = [("t", 100, 1, "pay"), ("t", 101, 2, "pay"), ("t", 103, 3, "receipt")]
+    df = spark.createDataFrame(rows, "tx_id string, ts_s bigint, seq bigint, side string").withColumn(
+        "ts", F.timestamp_seconds("ts_s"))
+    p = df.where("side = 'pay'").select("tx_id", "ts", "seq")
+    r = df.where("side = 'receipt'").select("tx_id", "ts", "seq")
+    sp = _replay(spark, p, {"tx_id": "~p", "seq": -1}, n=1)
+    sr = _replay(spark, r, {"tx_id": "~r", "seq": -1}, n=1)
+    got = runner.run_to_memory(processors.reconcile_1to1_stream(sp, sr), "t_r11b").where("tx_id = 't'")
+    res = sorted((x.tag, x.pay_seq, x.receipt_seq) for x in got.collect())
+    assert res == [("matched", 1, 3), ("pay_without_receipt", 2, None)]
+
+
+def test_upsert_topn(spark, tmp_path):
+    e = dt.access_hits(spark, SF_SMALL).withColumnRenamed("event_time", "ts").where("method = 'GET'")
+    s = _replay(spark, e.select("url", "ts", "seq"), {"url": "~", "seq": -1}, n=3, delay="1 day")
+    counts = sw.sliding_count_stream(s, "url", "ts", "1 day", "6 hours").select(
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "url", "cnt")
+    cpath, tpath = str(tmp_path / "counts"), str(tmp_path / "top")
+    q = (counts.writeStream.outputMode("update")
+         .foreachBatch(lambda b, i: sw.upsert_topn(b.where("url <> '~'"), i, cpath, tpath, "url", 5))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(tpath).drop("window_day")
+    want = topn.topn_per_window(windows.sliding_count(e, "url", "ts", "1 day", "6 hours"), "url", 5)
+    _same(got.select("window_end", "rank", "url", "cnt"), want.select("window_end", "rank", "url", "cnt"))

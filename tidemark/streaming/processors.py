@@ -241,3 +241,87 @@ def fail_bursts_stream(logins: DataFrame, horizon="5 seconds", min_fails: int =
 def fail_pairs_stream(logins: DataFrame, within="2 seconds") -> DataFrame:
     return prepare(logins).groupBy("user_id").transformWithState(
         FailPair(within), PAIR_OUT, "Append", "None")
+
+
+# ------------------------------------------------------------------ 1:1 reconciliation
+
+RECON_OUT = ("tx_id string, tag string, pay_ms bigint, pay_seq bigint, receipt_ms bigint, "
+             "receipt_seq bigint")
+
+
+class Reconcile1to1(StatefulProcessor):
+    """Pays and receipts of one transaction id, matched one to one: an
+    arriving row takes the earliest waiting row of the other side within
+    the interval (consumed on match); otherwise it waits until the
+    watermark passes its own ts + the interval and is then reported
+    unmatched.  Input: a tagged union with ``side`` in {"pay", "receipt"}.
+    """
+
+    def __init__(self, lower="5 seconds", upper="5 seconds"):
+        self.lo, self.hi = _ms(lower), _ms(upper)
+
+    def init(self, handle):
+        self.handle = handle
+        self.pays = handle.getListState("pays", "ms bigint, seq bigint")
+        self.rcpts = handle.getListState("receipts", "ms bigint, seq bigint")
+
+    def _load(self, st):
+        return [tuple(x) for x in st.get()] if st.exists() else []
+
+    def _store(self, st, items):
+        if items:
+            st.put(items)
+        else:
+            st.clear()
+
+    def _row(self, key, tag, p=None, r=None):
+        return Row(tx_id=key[0], tag=tag, pay_ms=p[0] if p else None, pay_seq=p[1] if p else None,
+                   receipt_ms=r[0] if r else None, receipt_seq=r[1] if r else None)
+
+    def handleInputRows(self, key, rows, timerValues):
+        pays, rcpts = self._load(self.pays), self._load(self.rcpts)
+        out = []
+        for r in _sorted(rows):
+            me = (r["ts_ms"], r["seq"])
+            if r["side"] == "pay":
+                # receipt must lie in [pay - lo, pay + hi]
+                hit = next((x for x in rcpts if me[0] - self.lo <= x[0] <= me[0] + self.hi), None)
+                if hit:
+                    rcpts.remove(hit)
+                    out.append(self._row(key, "matched", me, hit))
+                else:
+                    pays.append(me)
+                    self.handle.registerTimer(me[0] + self.hi + 1)
+            else:
+                hit = next((x for x in pays if x[0] - self.lo <= me[0] <= x[0] + self.hi), None)
+                if hit:
+                    pays.remove(hit)
+                    out.append(self._row(key, "matched", hit, me))
+                else:
+                    rcpts.append(me)
+                    self.handle.registerTimer(me[0] + self.lo + 1)
+        self._store(self.pays, pays)
+        self._store(self.rcpts, rcpts)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        pays, rcpts = self._load(self.pays), self._load(self.rcpts)
+        out = [self._row(key, "pay_without_receipt", p=x) for x in pays if x[0] + self.hi < wm]
+        out += [self._row(key, "receipt_without_pay", r=x) for x in rcpts if x[0] + self.lo < wm]
+        self._store(self.pays, [x for x in pays if x[0] + self.hi >= wm])
+        self._store(self.rcpts, [x for x in rcpts if x[0] + self.lo >= wm])
+        return iter(out)
+
+    def close(self):
+        pass
+
+
+def reconcile_1to1_stream(pays: DataFrame, receipts: DataFrame, lower="5 seconds", upper="5 seconds",
+                          key: str = "tx_id") -> DataFrame:
+    """Tagged union of both sides (same watermark column ``ts``), matched
+    one to one per transaction id."""
+    u = (pays.select(F.col(key).alias("tx_id"), "ts", "seq", F.lit("pay").alias("side"))
+         .unionByName(receipts.select(F.col(key).alias("tx_id"), "ts", "seq", F.lit("receipt").alias("side"))))
+    return prepare(u).groupBy("tx_id").transformWithState(
+        Reconcile1to1(lower, upper), RECON_OUT, "Append", "EventTime")

@@ -133,3 +133,34 @@ def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path:
         os.path.join(out_path, "on_time", f"batch={batch_id}"))
     mx = batch.agg(F.max(ts).alias("max_ts")).withColumn("batch", F.lit(batch_id))
     mx.write.mode("overwrite").parquet(os.path.join(state_path, f"b={batch_id}"))
+
+
+def upsert_topn(batch: DataFrame, batch_id: int, counts_path: str, topn_path: str, key: str = "url",
+                n: int = 5) -> None:
+    """``foreachBatch`` body for the late-refined top-N: merge the changed
+    (window, key) counts into the counts table, re-rank only the windows
+    this batch touched, and replace their rows in the top-N table (both
+    day-partitioned parquet).  The top-N table always holds the latest
+    ranking of every window."""
+    spark = batch.sparkSession
+    upsert_counts(batch, counts_path, keys=("window_end", key))
+    touched = batch.select("window_end").distinct()
+    counts = spark.read.parquet(counts_path).join(touched, "window_end", "left_semi").drop("window_day")
+    upsert_rows_replace_windows(topn_from_counts(counts, key, n), topn_path)
+
+
+def upsert_rows_replace_windows(rows: DataFrame, path: str, part_col: str = "window_day") -> None:
+    """Replace, in the day-partitioned table at ``path``, all rows of the
+    windows present in ``rows``."""
+    spark = rows.sparkSession
+    rows = rows.withColumn(part_col, F.to_date("window_end"))
+    days = [r[0] for r in rows.select(part_col).distinct().collect()]
+    try:
+        old = spark.read.parquet(path).where(F.col(part_col).isin(days))
+        merged = old.join(rows.select("window_end").distinct(), "window_end", "left_anti").unionByName(rows)
+    except Exception:  # noqa: BLE001 - first batch
+        merged = rows
+    checkpoint_dir(spark)
+    merged = merged.checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))
