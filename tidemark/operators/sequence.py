@@ -135,9 +135,13 @@ def next_match(df: DataFrame, keys, ts: str, seq: str, is_target, out: str = "_n
     tgt = F.when(is_target, F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq")))
     d = df.withColumn("_b", time_bucket(ts, bucket)).withColumn("_tgt", tgt)
     firsts = d.groupBy(*keys, "_b").agg(F.min("_tgt").alias("_bmin"))
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+    # "all later rows" is written as a running frame over the reversed order:
+    # Spark evaluates UNBOUNDED PRECEDING frames incrementally, but
+    # recomputes UNBOUNDED FOLLOWING frames for every row.
+    wb = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = firsts.select(*keys, "_b", F.min("_bmin").over(wb).alias("_carry"))
-    wi = Window.partitionBy(*keys, "_b").orderBy(ts, seq).rowsBetween(1, Window.unboundedFollowing)
+    wi = (Window.partitionBy(*keys, "_b").orderBy(F.col(ts).desc(), F.col(seq).desc())
+          .rowsBetween(Window.unboundedPreceding, -1))
     return (d.join(carry, [*keys, "_b"])
             .withColumn(out, F.coalesce(F.min("_tgt").over(wi), F.col("_carry")))
             .drop("_b", "_tgt", "_carry"))
