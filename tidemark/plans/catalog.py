@@ -95,7 +95,8 @@ def q_local_day(spark, sf):
 # --------------------------------------------------------------- hot items
 
 def _item_views(spark, sf):
-    return dt.item_views(spark, sf).where(F.col("behavior") == "pv")
+    # pv filter expressed on the raw column so that it reaches the scan
+    return dt.item_views(spark, sf, where=F.col("event_type") == dt.VIEW)
 
 
 HOT_ITEMS_COUNTS_SQL = _sliding_sql(f"{K_SQL} AS item_id", "event_type = 'view'", 6, 4, "item_id")
@@ -124,7 +125,8 @@ def q_topn_report(spark, sf):
 # --------------------------------------------------------------- hot urls
 
 def _gets(spark, sf):
-    return dt.access_hits(spark, sf).where(F.col("method") == "GET").withColumnRenamed("event_time", "ts")
+    # GET lines are the click events; filter on the raw column (pushed down)
+    return dt.access_hits(spark, sf, where=F.col("event_type") == dt.CLICK).withColumnRenamed("event_time", "ts")
 
 
 URL_SQL = f"'/k/' || CAST({K_SQL} AS VARCHAR) AS url"
@@ -254,7 +256,7 @@ def q_uv_running(spark, sf):
 @register("channel_counts", _sliding_sql(f"{K_SQL} % 4 AS channel, event_type AS behavior",
                                          "event_type <> 'error'", 6, 4, "channel, behavior"))
 def q_channel_counts(spark, sf):
-    m = dt.market_rows(spark, sf).where(~F.col("behavior").eqNullSafe("UNINSTALL"))
+    m = dt.market_rows(spark, sf, where=~F.col("event_type").eqNullSafe(dt.ERROR))
     return windows.sliding_count(m, ["channel", "behavior"], "ts", "1 day", "6 hours")
 
 
@@ -380,14 +382,14 @@ WITHIN_SQL = "r.tx_id = p.tx_id AND r.ts BETWEEN p.ts - INTERVAL 1 HOUR AND p.ts
 
 
 def _reconcile(spark, sf):
-    return joins.reconcile(dt.order_events(spark, sf), dt.receipts(spark, sf), "1 hour", "1 hour")
+    return joins.reconcile(dt.order_events(spark, sf, pays_only=True), dt.receipts(spark, sf), "1 hour", "1 hour")
 
 
 @register("reconcile_interval_join", f"""
 SELECT p.tx_id AS tx_id, p.ts AS pay_ts, p.event_id AS pay_seq, r.ts AS receipt_ts, r.event_id AS receipt_seq
 FROM ({PAYS_SQL}) p JOIN ({RCPT_SQL}) r ON {WITHIN_SQL}""")
 def q_reconcile_interval_join(spark, sf):
-    pays = dt.order_events(spark, sf).where(F.col("tx_id") != "")
+    pays = dt.order_events(spark, sf, pays_only=True)
     j = joins.interval_join(pays, dt.receipts(spark, sf), "tx_id", "tx_id", "ts", "ts",
                             "1 hour", "1 hour", "inner", "o_", "r_")
     return j.select(F.col("o_tx_id").alias("tx_id"), F.col("o_ts").alias("pay_ts"),
@@ -412,7 +414,7 @@ def q_reconcile_full(spark, sf):
 SELECT p.tx_id AS tx_id, p.ts AS pay_ts, p.event_id AS pay_seq FROM ({PAYS_SQL}) p
 WHERE NOT EXISTS (SELECT 1 FROM ({RCPT_SQL}) r WHERE {WITHIN_SQL})""")
 def q_pay_without_receipt(spark, sf):
-    pays = dt.order_events(spark, sf).where(F.col("tx_id") != "")
+    pays = dt.order_events(spark, sf, pays_only=True)
     j = joins.interval_join(pays, dt.receipts(spark, sf), "tx_id", "tx_id", "ts", "ts",
                             "1 hour", "1 hour", "left_anti", "o_", "r_")
     return j.select(F.col("o_tx_id").alias("tx_id"), F.col("o_ts").alias("pay_ts"),
@@ -423,7 +425,7 @@ def q_pay_without_receipt(spark, sf):
 SELECT r.tx_id AS tx_id, r.ts AS receipt_ts, r.event_id AS receipt_seq FROM ({RCPT_SQL}) r
 WHERE NOT EXISTS (SELECT 1 FROM ({PAYS_SQL}) p WHERE {WITHIN_SQL})""")
 def q_receipt_without_pay(spark, sf):
-    pays = dt.order_events(spark, sf).where(F.col("tx_id") != "")
+    pays = dt.order_events(spark, sf, pays_only=True)
     j = joins.interval_join(pays, dt.receipts(spark, sf), "tx_id", "tx_id", "ts", "ts",
                             "1 hour", "1 hour", "right_anti", "o_", "r_")
     return j.select(F.col("r_tx_id").alias("tx_id"), F.col("r_ts").alias("receipt_ts"),

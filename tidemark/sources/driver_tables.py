@@ -33,18 +33,26 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def item_views(spark, sf_dir) -> DataFrame:
-    """UserBehavior-shaped rows: (user_id, item_id, behavior, ts, seq)."""
+def _raw(spark, sf_dir, where=None) -> DataFrame:
+    """``events``, optionally filtered on its own columns first: a predicate
+    on raw columns reaches the parquet scan, one on a mapped (CASE) column
+    does not."""
     e = events(spark, sf_dir)
+    return e if where is None else e.where(where)
+
+
+def item_views(spark, sf_dir, where=None) -> DataFrame:
+    """UserBehavior-shaped rows: (user_id, item_id, behavior, ts, seq)."""
+    e = _raw(spark, sf_dir, where)
     return e.select(
         "user_id", k_col().alias("item_id"),
         F.when(F.col("event_type") == VIEW, F.lit("pv")).otherwise(F.col("event_type")).alias("behavior"),
         "ts", F.col("event_id").alias("seq"))
 
 
-def access_hits(spark, sf_dir) -> DataFrame:
+def access_hits(spark, sf_dir, where=None) -> DataFrame:
     """ApacheLog-shaped rows: (ip, user, event_time, method, url, seq)."""
-    e = events(spark, sf_dir)
+    e = _raw(spark, sf_dir, where)
     return e.select(
         F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")).alias("ip"),
         F.col("user_id").cast("string").alias("user"),
@@ -54,9 +62,9 @@ def access_hits(spark, sf_dir) -> DataFrame:
         F.col("event_id").alias("seq"))
 
 
-def market_rows(spark, sf_dir) -> DataFrame:
+def market_rows(spark, sf_dir, where=None) -> DataFrame:
     """MarketUserBehavior-shaped rows; ``error`` plays the uninstall."""
-    e = events(spark, sf_dir)
+    e = _raw(spark, sf_dir, where)
     return e.select(
         "user_id",
         F.when(F.col("event_type") == ERROR, F.lit("UNINSTALL")).otherwise(F.col("event_type")).alias("behavior"),
@@ -77,18 +85,19 @@ def provinces(spark, sf_dir) -> DataFrame:
         F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("province"))
 
 
-def logins(spark, sf_dir) -> DataFrame:
+def logins(spark, sf_dir, where=None) -> DataFrame:
     """LoginEvent-shaped rows: (user_id, event_type fail/success, ts, seq)."""
-    e = events(spark, sf_dir)
+    e = _raw(spark, sf_dir, where)
     return e.select(
         "user_id",
         F.when(F.col("event_type") == ERROR, F.lit("fail")).otherwise(F.lit("success")).alias("event_type"),
         "ts", F.col("event_id").alias("seq"))
 
 
-def order_events(spark, sf_dir) -> DataFrame:
+def order_events(spark, sf_dir, pays_only: bool = False) -> DataFrame:
     """OrderEvent-shaped rows: (order_id, event_type create/pay, tx_id, ts, seq)."""
-    e = events(spark, sf_dir).where(F.col("event_type").isin(SIGNUP, PURCHASE))
+    e = events(spark, sf_dir).where(
+        (F.col("event_type") == PURCHASE) if pays_only else F.col("event_type").isin(SIGNUP, PURCHASE))
     is_pay = F.col("event_type") == PURCHASE
     return e.select(
         F.col("user_id").alias("order_id"),
