@@ -186,3 +186,12 @@ def test_upsert_topn(spark, tmp_path):
     got = spark.read.parquet(tpath).drop("window_day")
     want = topn.topn_per_window(windows.sliding_count(e, "url", "ts", "1 day", "6 hours"), "url", 5)
     _same(got.select("window_end", "rank", "url", "cnt"), want.select("window_end", "rank", "url", "cnt"))
+
+
+def test_consecutive_fails_stream(spark):
+    lg = dt.logins(spark, SF_SMALL)
+    s = _replay(spark, lg, {"user_id": -1, "event_type": "success", "seq": -1})
+    got = runner.run_to_memory(processors.consecutive_fails_stream(s, 3, "12 hours"), "t_c3").where("user_id >= 0")
+    want = patterns.match_consecutive(lg, 3, within="12 hours")
+    assert want.count() > 0
+    _same(got, want.select("user_id", _ms("first_ts").alias("first_ms"), _ms("last_ts").alias("last_ms"), "n_fails"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.time import duration_us, from_micros, interval, to_micros, ts_type_of
+from tidemark.functions.time import duration_us, interval, to_micros, ts_type_of
 from tidemark.operators.sequence import running_max_before
 from tidemark.operators.windows import sweep_ranges, window_end_col
 

@@ -6,9 +6,10 @@ shuffle, so each map task ships at most N rows per window: the final
 ranking of a window never sees more than ``N x map partitions`` rows, no
 matter how many keys the window holds.
 
-Streaming: ranking functions are not supported on streams, so the chained
-form keeps, per window, a bounded array ``slice(sort_array(collect_list))``
-after the windowed count (append mode).
+Streaming: ranking functions are not supported on streams; the chained
+form (``tidemark.streaming.windows.topn_stream``) keeps, per window, a
+bounded array ``slice(sort_array(collect_list))`` after the windowed count
+(append mode).
 """
 
 from __future__ import annotations
@@ -34,16 +35,3 @@ def topn_report(topn: DataFrame, key: str, window_col: str = "window_end", count
         java_ts_string(window_col).alias("window_end_text"),
         F.format_string(f"TOP %d {key_label}=%s heat=%d", F.col(rank_col),
                         F.col(key).cast("string"), F.col(count_col)).alias("line"))
-
-
-def topn_streaming(counts: DataFrame, key: str, n: int = 5, window_col: str = "window_end",
-                   count_col: str = "cnt") -> DataFrame:
-    """Streaming top-N after an append-mode windowed count: one row per
-    (window, rank).  Sorting on ``(-count, key)`` ascending matches the
-    batch order."""
-    arr = F.slice(F.sort_array(F.collect_list(F.struct(
-        (-F.col(count_col)).alias("neg"), F.col(key).alias("k")))), 1, n)
-    top = counts.groupBy(window_col).agg(arr.alias("_top"))
-    return top.select(window_col, F.posexplode("_top").alias("_pos", "_e")).select(
-        window_col, (F.col("_pos") + 1).cast("bigint").alias("rank"),
-        F.col("_e.k").alias(key), (-F.col("_e.neg")).alias(count_col))

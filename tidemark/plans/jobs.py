@@ -155,12 +155,14 @@ def login_risk(logins: DataFrame, method: str = "bursts", within="2 seconds", ho
 
 
 def login_risk_stream(logins: DataFrame, method: str = "bursts", within="2 seconds",
-                      horizon="5 seconds", disorder="2 seconds") -> DataFrame:
+                      horizon="5 seconds", disorder="2 seconds", n: int = 2) -> DataFrame:
     s = swin.event_time(logins, "ts", disorder)
     if method == "bursts":
         return processors.fail_bursts_stream(s, horizon)
     if method == "pairs":
         return processors.fail_pairs_stream(s, within)
+    if method in ("consecutive", "next"):
+        return processors.consecutive_fails_stream(s, n if method == "consecutive" else 2, within)
     raise ValueError(method)
 
 

@@ -325,3 +325,41 @@ def reconcile_1to1_stream(pays: DataFrame, receipts: DataFrame, lower="5 seconds
          .unionByName(receipts.select(F.col(key).alias("tx_id"), "ts", "seq", F.lit("receipt").alias("side"))))
     return prepare(u).groupBy("tx_id").transformWithState(
         Reconcile1to1(lower, upper), RECON_OUT, "Append", "EventTime")
+
+
+RUN_OUT = "user_id bigint, first_ms bigint, last_ms bigint, n_fails bigint"
+
+
+class ConsecutiveFails(StatefulProcessor):
+    """``n`` failures in a row (no other event of the key between) whose
+    last minus first is strictly below ``within``; overlapping runs all
+    reported.  State: the key's last ``n - 1`` events."""
+
+    def __init__(self, n: int = 2, within="2 seconds"):
+        self.n, self.w = n, _ms(within)
+
+    def init(self, handle):
+        self.state = handle.getListState("recent", "ms bigint, fail boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        recent = [tuple(x) for x in self.state.get()] if self.state.exists() else []
+        out = []
+        for r in _sorted(rows):
+            recent.append((r["ts_ms"], r["event_type"] == "fail"))
+            recent = recent[-self.n:]
+            if len(recent) == self.n and all(f for _, f in recent) and recent[-1][0] - recent[0][0] < self.w:
+                out.append(Row(user_id=key[0], first_ms=recent[0][0], last_ms=recent[-1][0], n_fails=self.n))
+        keep = recent[-(self.n - 1):] if self.n > 1 else []
+        if keep:
+            self.state.put(keep)
+        else:
+            self.state.clear()
+        return iter(out)
+
+    def close(self):
+        pass
+
+
+def consecutive_fails_stream(logins: DataFrame, n: int = 2, within="2 seconds") -> DataFrame:
+    return prepare(logins).groupBy("user_id").transformWithState(
+        ConsecutiveFails(n, within), RUN_OUT, "Append", "None")
