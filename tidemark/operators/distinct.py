@@ -49,18 +49,21 @@ def uv_running(df: DataFrame, user: str = "user_id", ts: str = "ts", seq: str =
     """One row per input row: distinct users of its window seen so far
     (inclusive), in ``(ts, seq)`` order.
 
-    First sightings come from an aggregation (min (ts, seq) per
-    (window, user)), joined back as a flag; the running sum of the flag is a
-    prefix sum split by sub-buckets of the window.
+    First sightings come from an aggregation (min ``(ts, seq)`` per
+    (window, user), partial aggregation absorbs hot users).  They are
+    unioned into the rows as ``+1`` markers ordered just before the row
+    they mark, and a prefix sum split by sub-buckets of the window counts
+    the markers up to each row; no join of the rows with the sightings.
     """
     d = df.withColumn("window_end", _end(df, ts, size))
     firsts = (d.groupBy("window_end", user)
-              .agg(F.min(F.struct(F.col(ts).alias("_fts"), F.col(seq).alias("_fseq"))).alias("_f"))
-              .select("window_end", user, "_f._fts", "_f._fseq"))
-    flagged = (d.join(firsts, ["window_end", user], "left")
-               .withColumn("_first", ((F.col(ts) == F.col("_fts")) & (F.col(seq) == F.col("_fseq"))).cast("int"))
-               .drop("_fts", "_fseq"))
-    return running_sum(flagged, ["window_end"], ts, seq, "_first", out, bucket=sub_bucket).drop("_first")
+              .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))).alias("_f"))
+              .select("window_end", F.col("_f.t").alias(ts), (F.col("_f.s") * 2).alias("_o"),
+                      F.lit(1).alias("_v")))
+    rows = d.withColumn("_o", F.col(seq) * 2 + 1).withColumn("_v", F.lit(0))
+    u = rows.unionByName(firsts, allowMissingColumns=True)
+    r = running_sum(u, ["window_end"], ts, "_o", "_v", out, bucket=sub_bucket)
+    return r.where(F.col("_v") == 0).drop("_o", "_v")
 
 
 def uv_rollup(sketches: DataFrame, size="1 day", out: str = "uv") -> DataFrame:
