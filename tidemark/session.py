@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # incremental state checkpoints (changelog) instead of full snapshots
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -45,11 +47,37 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply runtime SQL settings to an existing session (idempotent)."""
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """SQL settings sized to the input volume of a job.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes``
+    each (so a task's sort/aggregation buffers fit executor memory and
+    spill rarely); AQE starts from that many shuffle partitions and
+    coalesces small ones, and splits a partition more than 4x the median
+    and above 1 GiB in skewed joins.  For 100 TB this gives ~400k shuffle
+    partitions, i.e. a few hundred tasks per executor on 1000 executors.
+    """
+    parts = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply runtime SQL settings to an existing session (idempotent);
+    with ``input_bytes``, also the volume-derived settings of
+    :func:`scale_settings`."""
     for k, v in BASE_CONF.items():
         if k.startswith("spark.sql.") and k != "spark.sql.execution.arrow.pyspark.enabled":
             spark.conf.set(k, v)
+    if input_bytes:
+        for k, v in scale_settings(input_bytes).items():
+            spark.conf.set(k, v)
     return spark
 
 
