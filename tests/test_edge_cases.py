@@ -98,3 +98,16 @@ def test_order_permutation_within_file_does_not_matter(spark):
     a = patterns.login_fail_bursts(e, horizon="5 hours")
     b = patterns.login_fail_bursts(e.orderBy(F.rand(7)).repartition(5), horizon="5 hours")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_running_uv_bitmap_collision(spark):
+    # 487219231975 and 678895977082 share the 29-bit offset 349607502
+    rows = [(487219231975, 10, 0), (678895977082, 20, 1), (5, 30, 2)]
+    df = _df(spark, rows, "user_id bigint, ts_s bigint, seq bigint")
+    from tidemark.functions.hashing import bitmap_offset
+    assert {r[0] for r in df.select(bitmap_offset("user_id")).collect()} >= {349607502}
+    by_user = [r.uv for r in distinct.uv_running(df, "user_id", "ts", "seq", "1 hour").orderBy("seq").collect()]
+    by_bits = [r.uv for r in distinct.uv_running(df, "user_id", "ts", "seq", "1 hour",
+                                                 distinct_on="bitmap").orderBy("seq").collect()]
+    assert by_user == [1, 2, 3] and by_bits == [1, 1, 2]
+    assert distinct.uv_bitmap(df, "user_id", "ts", "1 hour").first().uv == 2

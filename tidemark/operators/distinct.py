@@ -45,9 +45,12 @@ def uv_sketches(df: DataFrame, user: str = "user_id", ts: str = "ts", size="1 ho
 
 
 def uv_running(df: DataFrame, user: str = "user_id", ts: str = "ts", seq: str = "seq",
-               size="1 hour", out: str = "uv", sub_bucket="1 second") -> DataFrame:
+               size="1 hour", out: str = "uv", sub_bucket="1 second",
+               distinct_on: str = "user", bits: int = BITMAP_BITS) -> DataFrame:
     """One row per input row: distinct users of its window seen so far
-    (inclusive), in ``(ts, seq)`` order.
+    (inclusive), in ``(ts, seq)`` order.  ``distinct_on="bitmap"`` counts
+    distinct bitmap offsets instead (what a running single-hash bitmap
+    reports: ids colliding on an offset count once).
 
     First sightings come from an aggregation (min ``(ts, seq)`` per
     (window, user), partial aggregation absorbs hot users).  They are
@@ -56,14 +59,18 @@ def uv_running(df: DataFrame, user: str = "user_id", ts: str = "ts", seq: str =
     the markers up to each row; no join of the rows with the sightings.
     """
     d = df.withColumn("window_end", _end(df, ts, size))
-    firsts = (d.groupBy("window_end", user)
+    ident = user
+    if distinct_on == "bitmap":
+        d = d.withColumn("_off", bitmap_offset(user, bits))
+        ident = "_off"
+    firsts = (d.groupBy("window_end", ident)
               .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))).alias("_f"))
               .select("window_end", F.col("_f.t").alias(ts), (F.col("_f.s") * 2).alias("_o"),
                       F.lit(1).alias("_v")))
     rows = d.withColumn("_o", F.col(seq) * 2 + 1).withColumn("_v", F.lit(0))
     u = rows.unionByName(firsts, allowMissingColumns=True)
     r = running_sum(u, ["window_end"], ts, "_o", "_v", out, bucket=sub_bucket)
-    return r.where(F.col("_v") == 0).drop("_o", "_v")
+    return r.where(F.col("_v") == 0).drop("_o", "_v", "_off")
 
 
 def uv_rollup(sketches: DataFrame, size="1 day", out: str = "uv") -> DataFrame:

@@ -242,12 +242,13 @@ SELECT event_id, window_end,
        CAST(sum(is_first) OVER (PARTITION BY window_end ORDER BY ts, event_id
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS uv
 FROM (SELECT event_id, ts, {HOUR_END_SQL} AS window_end,
-             CASE WHEN row_number() OVER (PARTITION BY {HOUR_END_SQL}, user_id ORDER BY ts, event_id) = 1
+             CASE WHEN row_number() OVER (PARTITION BY {HOUR_END_SQL}, {BITMAP_SQL} ORDER BY ts, event_id) = 1
                   THEN 1 ELSE 0 END AS is_first
       FROM events) f""")
 def q_uv_running(spark, sf):
+    # running count of distinct bitmap offsets, as the running bitmap job reports
     e = dt.events(spark, sf).withColumnRenamed("event_id", "seq")
-    r = distinct.uv_running(e, "user_id", "ts", "seq", "1 hour")
+    r = distinct.uv_running(e, "user_id", "ts", "seq", "1 hour", distinct_on="bitmap")
     return r.select(F.col("seq").alias("event_id"), "window_end", "uv")
 
 

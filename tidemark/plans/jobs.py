@@ -44,7 +44,7 @@ def hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", n: int = 5, d
     d = log.withColumnRenamed("event_time", "ts") if "event_time" in log.columns else log
     if arrival is None:
         counts = windows.sliding_count(d.where(F.col("method") == "GET"), "url", "ts", size, slide)
-        return topn.topn_per_window(counts, "url", n), d.limit(0).withColumn("is_late", F.lit(True))
+        return topn.topn_per_window(counts, "url", n), d.where(F.lit(False)).withColumn("is_late", F.lit(True))
     marked = late.with_row_watermark(d, "ts", arrival, "seq", disorder, "wm")
     gets = marked.where(F.col("method") == "GET")
     counts = late.sliding_count_with_lateness(gets, "url", "ts", arrival, "seq", size, slide,

@@ -31,7 +31,7 @@ def write_replay_files(df: DataFrame, n_files: int, sentinel: dict | None, ts: s
     span = (hi - lo) / n_files if hi != lo else None
     for i in range(n_files):
         if span is None:
-            part = df if i == 0 else df.limit(0)
+            part = df if i == 0 else df.where(F.lit(False))
         else:
             a, b = lo + span * i, lo + span * (i + 1)
             cond = (F.col(split_col) >= a) & ((F.col(split_col) < b) if i < n_files - 1 else F.lit(True))
