@@ -111,3 +111,10 @@ def test_running_uv_bitmap_collision(spark):
                                                  distinct_on="bitmap").orderBy("seq").collect()]
     assert by_user == [1, 2, 3] and by_bits == [1, 1, 2]
     assert distinct.uv_bitmap(df, "user_id", "ts", "1 hour").first().uv == 2
+
+
+def test_bitmap_aggregates_equal_distinct_offsets(spark):
+    e = dt.events(spark, "/root/testdata/sf0.01")
+    a = distinct.uv_bitmap(e, "user_id", "ts", "1 hour")
+    b = distinct.uv_bitmap(e, "user_id", "ts", "1 hour", method="bitmaps")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

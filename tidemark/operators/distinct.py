@@ -23,11 +23,22 @@ def uv_exact(df: DataFrame, user: str = "user_id", ts: str = "ts", size="1 hour"
 
 
 def uv_bitmap(df: DataFrame, user: str = "user_id", ts: str = "ts", size="1 hour",
-              bits: int = BITMAP_BITS, out: str = "uv") -> DataFrame:
+              bits: int = BITMAP_BITS, out: str = "uv", method: str = "distinct") -> DataFrame:
     """Distinct bitmap offsets per window: what a single-hash bitmap of
-    ``2**bits`` bits counts (ids colliding on an offset count once)."""
-    return (df.select(_end(df, ts, size), bitmap_offset(user, bits).alias("_off"))
-            .groupBy("window_end").agg(F.count_distinct("_off").alias(out)))
+    ``2**bits`` bits counts (ids colliding on an offset count once).
+
+    ``method="distinct"``: distinct count of offsets.  ``method="bitmaps"``:
+    Spark's bitmap aggregates: one fixed-size bitmap per (window, offset
+    bucket) built with ``bitmap_construct_agg`` (mergeable partial
+    aggregates), ``bitmap_count`` per bucket, summed per window; memory
+    per group is bounded by the bucket bitmap, never by the user count.
+    """
+    offs = df.select(_end(df, ts, size), bitmap_offset(user, bits).alias("_off"))
+    if method == "distinct":
+        return offs.groupBy("window_end").agg(F.count_distinct("_off").alias(out))
+    per_bucket = (offs.groupBy("window_end", F.bitmap_bucket_number("_off").alias("_bk"))
+                  .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_off"))).alias("_n")))
+    return per_bucket.groupBy("window_end").agg(F.sum("_n").cast("bigint").alias(out))
 
 
 def uv_hll(df: DataFrame, user: str = "user_id", ts: str = "ts", size="1 hour",

@@ -232,6 +232,12 @@ def q_uv_hourly_bitmap(spark, sf):
     return distinct.uv_bitmap(dt.events(spark, sf), "user_id", "ts", "1 hour")
 
 
+@register("uv_hourly_bitmap_agg", f"""
+SELECT {HOUR_END_SQL} AS window_end, CAST(count(DISTINCT {BITMAP_SQL}) AS BIGINT) AS uv FROM events GROUP BY 1""")
+def q_uv_hourly_bitmap_agg(spark, sf):
+    return distinct.uv_bitmap(dt.events(spark, sf), "user_id", "ts", "1 hour", method="bitmaps")
+
+
 @register("uv_hourly_hll")  # approximate: rows-only check; tolerance in tests
 def q_uv_hourly_hll(spark, sf):
     return distinct.uv_hll(dt.events(spark, sf), "user_id", "ts", "1 hour", rsd=0.01)
