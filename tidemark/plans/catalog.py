@@ -243,6 +243,13 @@ def q_uv_hourly_hll(spark, sf):
     return distinct.uv_hll(dt.events(spark, sf), "user_id", "ts", "1 hour", rsd=0.01)
 
 
+@register("uv_daily_hll_rollup")  # approximate: rows-only check; tolerance in tests
+def q_uv_daily_hll_rollup(spark, sf):
+    """Hourly mergeable sketches rolled up to days by sketch union."""
+    hourly = distinct.uv_sketches(dt.events(spark, sf), "user_id", "ts", "1 hour", lg_k=12)
+    return distinct.uv_rollup(hourly, "1 day")
+
+
 @register("uv_running", f"""
 SELECT event_id, window_end,
        CAST(sum(is_first) OVER (PARTITION BY window_end ORDER BY ts, event_id
