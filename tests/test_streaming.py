@@ -195,3 +195,18 @@ def test_consecutive_fails_stream(spark):
     want = patterns.match_consecutive(lg, 3, within="12 hours")
     assert want.count() > 0
     _same(got, want.select("user_id", _ms("first_ts").alias("first_ms"), _ms("last_ts").alias("last_ms"), "n_fails"))
+
+
+def test_followed_by_stream(spark, ref):
+    o = ref["order"]
+    s = _replay(spark, o, {"order_id": -1, "event_type": "create", "tx_id": "", "ts_s": 0, "seq": -1})
+    got = runner.run_to_memory(processors.followed_by_stream(s, "15 minutes"), "t_fby").where("order_id >= 0")
+    want = patterns.followed_by(o, "order_id", within="15 minutes")
+    _same(got.select("order_id", "start_ms", "matched"),
+          want.select("order_id", _ms("start_ts").alias("start_ms"), "matched"))
+    e = dt.order_events(spark, SF_SMALL)
+    s2 = _replay(spark, e, {"order_id": -1, "event_type": "create", "tx_id": "", "seq": -1})
+    got2 = runner.run_to_memory(processors.followed_by_stream(s2, "1 day"), "t_fby2").where("order_id >= 0")
+    want2 = patterns.followed_by(e, "order_id", within="1 day")
+    _same(got2.select("order_id", "start_ms", "matched"),
+          want2.select("order_id", _ms("start_ts").alias("start_ms"), "matched"))

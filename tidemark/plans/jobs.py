@@ -174,8 +174,11 @@ def order_timeout(orders: DataFrame, within="15 minutes", method: str = "pattern
     return patterns.order_timeout_state(orders, "order_id", within=within)
 
 
-def order_timeout_stream(orders: DataFrame, within="15 minutes") -> DataFrame:
-    return processors.order_timeout_stream(swin.event_time(orders, "ts", "0 seconds"), within)
+def order_timeout_stream(orders: DataFrame, within="15 minutes", method: str = "pattern") -> DataFrame:
+    s = swin.event_time(orders, "ts", "0 seconds")
+    if method == "pattern":
+        return processors.followed_by_stream(s, within)
+    return processors.order_timeout_stream(s, within)
 
 
 def reconcile(orders: DataFrame, receipts: DataFrame, within="5 seconds") -> DataFrame:

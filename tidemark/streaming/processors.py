@@ -363,3 +363,63 @@ class ConsecutiveFails(StatefulProcessor):
 def consecutive_fails_stream(logins: DataFrame, n: int = 2, within="2 seconds") -> DataFrame:
     return prepare(logins).groupBy("user_id").transformWithState(
         ConsecutiveFails(n, within), RUN_OUT, "Append", "None")
+
+
+FOLLOW_OUT = "order_id bigint, start_ms bigint, end_ms bigint, deadline_ms bigint, matched boolean"
+
+
+class FollowedBy(StatefulProcessor):
+    """``begin(start).followedBy(end).within(T)``: every open ``start`` is
+    matched by the first later ``end`` strictly before its deadline; a
+    ``start`` whose deadline passes first is reported as timed out (by
+    the event that passes it, or by its timer)."""
+
+    def __init__(self, within="15 minutes", start: str = "create", end: str = "pay"):
+        self.w, self.start, self.end = _ms(within), start, end
+
+    def init(self, handle):
+        self.handle = handle
+        self.open = handle.getListState("open", "ms bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        opened = [x[0] for x in self.open.get()] if self.open.exists() else []
+        out = []
+        for r in _sorted(rows):
+            t = r["ts_ms"]
+            for c in [c for c in opened if t >= c + self.w]:
+                out.append(Row(order_id=key[0], start_ms=c, end_ms=None, deadline_ms=c + self.w, matched=False))
+                self.handle.deleteTimer(c + self.w)
+                opened.remove(c)
+            if r["event_type"] == self.start:
+                opened.append(t)
+                self.handle.registerTimer(t + self.w)
+            elif r["event_type"] == self.end:
+                for c in opened:
+                    out.append(Row(order_id=key[0], start_ms=c, end_ms=t, deadline_ms=c + self.w, matched=True))
+                    self.handle.deleteTimer(c + self.w)
+                opened = []
+        if opened:
+            self.open.put([(c,) for c in opened])
+        else:
+            self.open.clear()
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        opened = [x[0] for x in self.open.get()] if self.open.exists() else []
+        out = [Row(order_id=key[0], start_ms=c, end_ms=None, deadline_ms=c + self.w, matched=False)
+               for c in opened if c + self.w <= wm]
+        rest = [(c,) for c in opened if c + self.w > wm]
+        if rest:
+            self.open.put(rest)
+        else:
+            self.open.clear()
+        return iter(out)
+
+    def close(self):
+        pass
+
+
+def followed_by_stream(orders: DataFrame, within="15 minutes", key: str = "order_id") -> DataFrame:
+    return prepare(orders).groupBy(key).transformWithState(
+        FollowedBy(within), FOLLOW_OUT, "Append", "EventTime")
