@@ -111,9 +111,8 @@ FOLD_LIMIT = 256
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
-    from tidemark.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from tidemark.session import reliable_checkpoint
+    return reliable_checkpoint(df)
 
 
 def _fold_bursts(evs, horizon, ts_type):

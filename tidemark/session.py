@@ -104,3 +104,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     checkpoints and lineage-cutting tables)."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` into the shared checkpoint folder and cut its
+    lineage.  The input is cached only while the checkpoint is written, so
+    it is computed once (``checkpoint`` alone runs it twice: once to count,
+    once to write)."""
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.time import duration_us
-from tidemark.session import checkpoint_dir
+from tidemark.session import reliable_checkpoint
 
 
 def event_time(df: DataFrame, ts: str = "ts", delay="0 seconds") -> DataFrame:
@@ -76,8 +76,7 @@ def upsert_counts(batch: DataFrame, path: str, keys=("window_end", "url"),
         merged = upd
     # Cut the lineage to the files about to be replaced (reliable checkpoint
     # in the shared spark.checkpoint.dir).
-    checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
+    merged = reliable_checkpoint(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
 
@@ -126,8 +125,7 @@ def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path:
     last_end = window_end_col(ts, duration_us(slide or size), ts_type_of(batch, ts))
     closed = F.coalesce(last_end - interval(ONE_MS) + interval(lateness) <= wm, F.lit(False))
     marked = d.withColumn("is_late", closed).drop("_mx")
-    checkpoint_dir(spark)
-    marked = marked.checkpoint(eager=True)
+    marked = reliable_checkpoint(marked)
     marked.where("is_late").write.mode("overwrite").parquet(os.path.join(out_path, "late", f"batch={batch_id}"))
     marked.where("NOT is_late").write.mode("overwrite").parquet(
         os.path.join(out_path, "on_time", f"batch={batch_id}"))
@@ -160,7 +158,6 @@ def upsert_rows_replace_windows(rows: DataFrame, path: str, part_col: str = "win
         merged = old.join(rows.select("window_end").distinct(), "window_end", "left_anti").unionByName(rows)
     except Exception:  # noqa: BLE001 - first batch
         merged = rows
-    checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
+    merged = reliable_checkpoint(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
