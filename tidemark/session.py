@@ -17,14 +17,6 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Joins of full rows with per-bucket tables: let the planner pick a
-    # shuffled hash join when one side is much smaller (no sort of the big
-    # side for the join; the window after it sorts once).
-    "spark.sql.join.preferSortMergeJoin": "false",
-    # ... and AQE's runtime version of that check: a sort-merge join becomes
-    # a shuffled hash join when every build-side partition is measured
-    # below this size.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 << 20),
     # incremental state checkpoints (changelog) instead of full snapshots
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
@@ -73,6 +65,14 @@ def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) ->
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        # Joins of full rows with per-bucket tables: when the bucket table
+        # is too big to broadcast, AQE turns the sort-merge join into a
+        # shuffled hash join once every build-side partition measures below
+        # this size, so the big side is sorted once (for the window after
+        # the join) instead of twice.  Not set for small local runs, where
+        # broadcasting wins.
+        "spark.sql.join.preferSortMergeJoin": "false",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(target_partition_bytes),
     }
 
 
