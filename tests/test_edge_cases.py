@@ -118,3 +118,40 @@ def test_bitmap_aggregates_equal_distinct_offsets(spark):
     a = distinct.uv_bitmap(e, "user_id", "ts", "1 hour")
     b = distinct.uv_bitmap(e, "user_id", "ts", "1 hour", method="bitmaps")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_late_hit_within_and_beyond_lateness(spark):
+    from tidemark.operators import late
+    # tumbling 10 s windows (size = slide), disorder 1 s, lateness 60 s.
+    # arrival order: t=0 (url a), t=100 (b) moves the watermark to 99 s,
+    # then a late hit at t=45 (window [40,50): closed at 49.999+60 = 109.999 > 99 -> still open)
+    # then t=200 (b) moves the watermark to 199 s, then a hit at t=46 (closed: 109.999 <= 199 -> late)
+    rows = [("a", 0, 0, 0), ("b", 100, 1, 1), ("a", 45, 2, 2), ("b", 200, 3, 3), ("a", 46, 4, 4)]
+    df = spark.createDataFrame(rows, "url string, ts_s bigint, arr_s bigint, seq bigint").withColumn(
+        "ts", F.timestamp_seconds("ts_s")).withColumn("arrival", F.timestamp_seconds("arr_s"))
+    split = {r.seq: r.is_late for r in late.split_late(df, "ts", "arrival", "seq", "10 seconds", None,
+                                                        "1 second", "60 seconds").collect()}
+    assert split == {0: False, 1: False, 2: False, 3: False, 4: True}
+    counts = late.sliding_count_with_lateness(df, "url", "ts", "arrival", "seq", "10 seconds", "10 seconds",
+                                              disorder="1 second", lateness="60 seconds")
+    got = {(r.url, int(r.window_end.timestamp())): r.cnt for r in counts.collect()}
+    assert got[("a", 50)] == 1  # the hit within lateness refines the window, the one beyond does not
+    assert got[("a", 10)] == 1 and got[("b", 110)] == 1 and got[("b", 210)] == 1
+
+
+def test_unflushed_tail_needs_sentinel(spark):
+    from tidemark.streaming import runner, windows as sw
+    v = dt.item_views(spark, SF_SMALL).where("behavior = 'pv'")
+    last_end = windows.sliding_count(v, "item_id", "ts", "1 day", "6 hours").agg(F.max("window_end")).first()[0]
+
+    def run(sentinel, name):
+        root = runner.write_replay_files(v, 3, sentinel)
+        s = sw.event_time(runner.read_replay(spark, root, v.schema), "ts", "0 seconds")
+        out = runner.run_to_memory(sw.topn_stream(sw.sliding_count_stream(s, "item_id", "ts", "1 day", "6 hours"),
+                                                  "item_id", 5), name)
+        return out.where("item_id >= 0").agg(F.max("window_end")).first()[0]
+
+    unflushed = run(None, "t_tail0")  # the watermark never passes the last windows
+    assert unflushed is None or unflushed.replace(tzinfo=None) < last_end.replace(tzinfo=None)
+    flushed = run({"user_id": -1, "item_id": -1, "behavior": "pv", "seq": -1}, "t_tail2")
+    assert flushed.replace(tzinfo=None) == last_end.replace(tzinfo=None)
