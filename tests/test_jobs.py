@@ -47,3 +47,25 @@ def test_hot_urls_late_table(spark):
     # a late row's window is closed for it, so it is absent from that window's count
     assert late_rows.count() >= 0
     assert set(late_rows.columns) >= {"url", "ts", "arrival", "is_late"}
+
+
+def test_hot_urls_stream_job_update_mode(spark, tmp_path):
+    """Update mode with a fan-out above the pane threshold (24 windows per
+    row) must use a single aggregation; the upserted top-N equals batch."""
+    from tests.conftest import SF_SMALL
+    from tidemark.sources import driver_tables as dt
+    hits = dt.access_hits(spark, SF_SMALL)
+    root = runner.write_replay_files(hits.withColumnRenamed("event_time", "ts"), 3,
+                                     {"ip": "", "user": "", "method": "GET", "url": "~", "seq": -1})
+    s = runner.read_replay(spark, root, hits.withColumnRenamed("event_time", "ts").schema)
+    counts = jobs.hot_urls_stream_counts(s, "1 day", "1 hour", "0 seconds", "0 seconds").where("url <> '~'")
+    cpath, tpath = str(tmp_path / "c"), str(tmp_path / "t")
+    q = (counts.writeStream.outputMode("update")
+         .foreachBatch(lambda b, i: sw.upsert_topn(b.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")),
+                                                   i, cpath, tpath, "url", 5))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(tpath).drop("window_day").select("window_end", "rank", "url", "cnt")
+    want, _ = jobs.hot_urls(hits, "1 day", "1 hour", 5)
+    want = want.select("window_end", "rank", "url", "cnt")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -63,7 +63,8 @@ def hot_urls_stream_counts(log: DataFrame, size="10 minutes", slide="5 seconds",
     delay = f"{duration_us(disorder) + duration_us(lateness)} microseconds"
     s = swin.event_time(log.withColumnRenamed("event_time", "ts"), "ts", delay)
     gets = s.where(F.when(F.col("ts").isNotNull(), F.col("method") == "GET"))
-    return swin.sliding_count_stream(gets, "url", "ts", size, slide).select(
+    # update mode allows one stateful aggregation only: no pane chaining
+    return swin.sliding_count_stream(gets, "url", "ts", size, slide, panes=False).select(
         F.col("w.end").alias("window_end"), "url", "cnt")
 
 

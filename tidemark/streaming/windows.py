@@ -23,7 +23,9 @@ def sliding_count_stream(df: DataFrame, keys, ts: str = "ts", size="1 hour", sli
     Pane form (large fan-out, size a multiple of slide): count per
     slide-wide tumbling pane, then a chained windowed sum over
     ``window_time(pane)`` (the pane's last instant, which lies in exactly
-    the windows that contain the pane)."""
+    the windows that contain the pane).  The pane form chains two stateful
+    aggregations, which Spark allows in append mode only; pass
+    ``panes=False`` for ``update`` mode."""
     from tidemark.operators.windows import PANE_FANOUT_THRESHOLD
     keys = [keys] if isinstance(keys, str) else list(keys)
     size_us, slide_us = duration_us(size), duration_us(slide)
