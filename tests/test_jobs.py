@@ -69,3 +69,32 @@ def test_hot_urls_stream_job_update_mode(spark, tmp_path):
     want, _ = jobs.hot_urls(hits, "1 day", "1 hour", 5)
     want = want.select("window_end", "rank", "url", "cnt")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_wrappers(spark, ref):
+    from tests.conftest import SF_SMALL
+    from tidemark.operators import topn as top, windows as win
+    from tidemark.sources import driver_tables as dt
+    # hot items at the reference's 1 h / 5 min: pane count -> window sum -> top-N, all append mode
+    v = dt.item_views(spark, SF_SMALL)
+    root = runner.write_replay_files(v, 3, {"user_id": -1, "item_id": -1, "behavior": "pv", "seq": -1})
+    got = runner.run_to_memory(jobs.hot_items_stream(runner.read_replay(spark, root, v.schema)), "j_hi").where(
+        "item_id >= 0").select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "rank", "item_id", "cnt")
+    want = jobs.hot_items(v).select("window_end", "rank", "item_id", "cnt")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # login risk and reconciliation wrappers on the sample inputs
+    lg = ref["login"]
+    sent = {"user_id": -1, "ip": "", "event_type": "success", "ts_s": 0, "seq": -1}
+    for method, expected in [("bursts", 1), ("pairs", 3), ("consecutive", 3)]:
+        r = runner.write_replay_files(lg, 3, sent)
+        out = runner.run_to_memory(jobs.login_risk_stream(runner.read_replay(spark, r, lg.schema), method,
+                                                          within="2 seconds", horizon="5 seconds", n=2),
+                                   f"j_lr_{method}").where("user_id >= 0")
+        assert out.count() == expected, method
+    o, rc = ref["order"], ref["receipt"]
+    ro = runner.write_replay_files(o, 2, {"order_id": -1, "event_type": "pay", "tx_id": "~", "ts_s": 0, "seq": -1})
+    rr = runner.write_replay_files(rc, 2, {"tx_id": "~~", "pay_channel": "", "ts_s": 0, "seq": -1})
+    rec = runner.run_to_memory(jobs.reconcile_stream(runner.read_replay(spark, ro, o.schema),
+                                                     runner.read_replay(spark, rr, rc.schema)), "j_rec")
+    rec = rec.where("coalesce(o_seq, 0) >= 0 AND coalesce(r_seq, 0) >= 0")
+    assert rec.where("tag = 'matched'").count() == 5 and rec.count() == 74
