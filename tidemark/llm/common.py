@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.session import scratch_path
 
 # Rows per Arrow batch handed to Python: documents can be long, so batches stay small.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
