@@ -10,8 +10,10 @@ the full shingle sets.
 
 Documents with one and the same set are one node from the start.  In a
 bucket, members are first compared with one head only; only members of
-buckets that still hold several components are then compared among
-themselves, so a large group of near copies costs a star and not all pairs.
+buckets that still hold several components are compared again, with other
+heads for some rounds, and at last whatever is outside a bucket's largest
+component with all members.  A large group of near copies so costs some
+stars, and not all pairs.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ POSITIONS = CHUNKS * CHUNK
 #: of the threshold, 0.85, a pair is farther apart with probability 2e-4 and is then
 #: still found unless every chunk differs in two positions (probability 4e-6).
 FOUND_DISTANCE = 2 * CHUNKS - 1
-#: Pairs that differ in more positions aren't near: probability below 1e-7 at 0.85.
-MAX_DISTANCE = 18
+#: Pairs that differ in more positions aren't near: probability 2e-5 at 0.85.
+MAX_DISTANCE = 15
+HEAD_ROUNDS = 4         # further heads before the rest is compared in full
 PERCENT = 85            # link: 100 * intersection >= PERCENT * union
 BLOCK = 256             # texts compared with one head in a task
 
@@ -174,7 +177,7 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(found, pa.int64()), "b": pa.array([hub] * len(found), pa.int64())})
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) linked by their full sets.  The texts of a head's partners go to
     blocks of about ``BLOCK``, with a copy of the head's, so no head is a hot group."""
     blocks = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("k"))
@@ -184,12 +187,31 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     need = need.unionByName(blocks.select(F.col("b").alias("hub"),
                                           F.explode(F.sequence(F.lit(0), (F.col("k") - 1).cast("int"))).alias("block"),
                                           F.col("b").alias("node")))
-    need = need.join(nodes.select("node", "jk", "fp"), "node")
-    texts = docs.select(F.coalesce("doc_id", "th").alias("jk"), "text")
-    return written(need.join(texts, "jk").select("hub", "block", "node", "fp", "text")
+    return written(need.join(texts, "node").select("hub", "block", "node", "fp", "text")
                    .groupBy("hub", "block").applyInArrow(_compare, "a bigint, b bigint"), "confirmed")
 
 
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, a, root) of the buckets whose members are in several components."""
+    placed = (members.select("key", "a").join(roots, F.col("a") == F.col("node"), "left")
+              .select("key", "a", F.coalesce("root", "a").alias("root")))
+    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    return written(placed.join(several.select("key"), "key"), "mixed")
+
+
+def _candidates(pairs: DataFrame, few: DataFrame, tested: DataFrame | None) -> DataFrame:
+    """The distinct pairs (a, b) that are near by signature and weren't tested before."""
+    pairs = pairs.distinct()
+    if tested is not None:
+        pairs = pairs.join(tested.select(F.col("u").alias("a"), F.col("v").alias("b")), ["a", "b"], "left_anti")
+    return written(pairs.alias("p").join(few.alias("x"), F.expr("p.a = x.node"))
+                   .join(few.alias("y"), F.expr("p.b = y.node")).where(_near("x", "y")).select("p.a", "p.b"), "pairs")
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.selectExpr("inline(array(struct(a AS u, b AS v), struct(b AS u, a AS v)))")
+
+
 def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Signed rows, and (fp, root) of each distinct non-empty set."""
     signed = written(docs.mapInArrow(_sign, _SIGNED), "signed")
@@ -201,26 +223,40 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                       .repartition("part").sortWithinPartitions("part", "key", "a")
                       .mapInArrow(_buckets, "key bigint, a bigint, b bigint"), "buckets")
     few = nodes.select("node", "n", "sig")
-    stars = written(buckets.where("a <> b").select("a", "b").distinct().alias("p")
-                    .join(few.alias("x"), F.expr("p.a = x.node")).join(few.alias("y"), F.expr("p.b = y.node"))
-                    .where(_near("x", "y")).select("p.a", "p.b"), "stars")
-    links = _confirmed(stars, nodes, docs)
+    texts = written(buckets.select(F.col("a").alias("node")).distinct().join(nodes.select("node", "jk", "fp"), "node")
+                    .join(docs.select(F.coalesce("doc_id", "th").alias("jk"), "text"), "jk")
+                    .select("node", "fp", "text"), "texts")
+    pairs = _candidates(buckets.where("a <> b").select("a", "b"), few, None)
+    links, tested, mixed = _confirmed(pairs, texts), _both_ways(pairs), buckets
     roots = components(links)
-    # members of buckets that hold several components: compared among themselves
-    placed = (buckets.select("key", "a").join(roots, F.col("a") == F.col("node"), "left")
-              .select("key", "a", F.coalesce("root", "a").alias("root")))
-    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    mixed = written(placed.join(several.select("key"), "key").join(few, F.col("a") == F.col("node"))
-                    .select("key", "a", "root", "n", "sig"), "mixed")
-    known = stars.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-    rest = written(mixed.alias("x").join(mixed.alias("y"), F.expr("x.key = y.key AND x.a < y.a AND x.root <> y.root")
-                                         & _near("x", "y"))
-                   .select(F.col("x.a").alias("u"), F.col("y.a").alias("v")).distinct()
-                   .join(known, ["u", "v"], "left_anti").select(F.col("u").alias("a"), F.col("v").alias("b")), "rest")
-    if not rest.isEmpty():
-        more = _confirmed(rest, nodes, docs)
-        if not more.isEmpty():
-            roots = components(links.unionByName(more))
+    for turn in range(1, HEAD_ROUNDS + 1):
+        mixed = _mixed(mixed, roots)
+        first = F.min(F.struct(F.xxhash64("a", F.lit(turn)), F.col("a").alias("h"), F.col("root").alias("hr")))
+        heads = mixed.groupBy("key").agg(first.alias("m")).select("key", "m.h", "m.hr")
+        pairs = _candidates(mixed.join(heads, "key").where("root <> hr").select("a", F.col("h").alias("b")),
+                            few, tested)
+        if pairs.isEmpty():
+            break
+        tested = tested.unionByName(_both_ways(pairs))
+        found = _confirmed(pairs, texts)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        roots = components(links)
+        if turn == HEAD_ROUNDS:
+            mixed = _mixed(mixed, roots)
+    # what is outside a bucket's largest component, with all members of other components
+    largest = (mixed.groupBy("key", "root").count().groupBy("key")
+               .agg(F.max(F.struct("count", "root")).alias("m")).select("key", F.col("m.root").alias("major")))
+    outside = mixed.join(largest, "key").where("root <> major").select("key", "a", "root")
+    cross = outside.alias("x").join(mixed.alias("y"), F.expr("x.key = y.key AND x.root <> y.root"))
+    pairs = _candidates(cross.select(F.col("y.a").alias("a"), F.col("x.a").alias("b")), few, tested)
+    if not pairs.isEmpty():
+        # a pair outside on both sides comes both ways: once is enough
+        twice = pairs.selectExpr("b AS a", "a AS b", "true AS twice")
+        found = _confirmed(pairs.join(twice, ["a", "b"], "left").where("twice is null OR a < b").select("a", "b"), texts)
+        if not found.isEmpty():
+            roots = components(links.unionByName(found))
     return signed, nodes.select("fp", "node").join(roots, "node", "left").select(
         "fp", F.coalesce("root", "node").alias("root"))
 
