@@ -63,11 +63,13 @@ def _automaton(symbols: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    start = np.zeros(width, dtype=np.int64)
+    # a symbol that the sample lacks is a phrase of its own: after it, in the last state, all is new
+    start = np.full(width, len(nxt), dtype=np.int64)
     for c, s in nxt[0].items():
         start[c] = s
-    table = np.empty((len(nxt), width), dtype=np.int32)
+    table = np.empty((len(nxt) + 1, width), dtype=np.int32)
     table[:] = start * width * 2 + 1            # no longer match: a new phrase starts with this symbol
+    table[0] -= 1                               # the first phrase is counted from the start
     for s, row in enumerate(nxt):
         for c, t in row.items():
             table[s, c] = t * width * 2

@@ -249,7 +249,9 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     largest = (mixed.groupBy("key", "root").count().groupBy("key")
                .agg(F.max(F.struct("count", "root")).alias("m")).select("key", F.col("m.root").alias("major")))
     outside = mixed.join(largest, "key").where("root <> major").select("key", "a", "root")
-    cross = outside.alias("x").join(mixed.alias("y"), F.expr("x.key = y.key AND x.root <> y.root"))
+    outside = outside.join(few, F.col("a") == F.col("node"))
+    cross = outside.alias("x").join(mixed.join(few, F.col("a") == F.col("node")).alias("y"),
+                                    F.expr("x.key = y.key AND x.root <> y.root") & _near("x", "y"))
     pairs = _candidates(cross.select(F.col("y.a").alias("a"), F.col("x.a").alias("b")), few, tested)
     if not pairs.isEmpty():
         # a pair outside on both sides comes both ways: once is enough
