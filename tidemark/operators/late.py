@@ -29,11 +29,15 @@ def split_late(df: DataFrame, ts: str = "ts", arrival: str = "arrival", seq: str
                bucket="1 second") -> DataFrame:
     """Add ``is_late``: all of the row's windows were closed when it
     arrived.  For sliding windows the last window (the latest end) decides."""
-    d = with_row_watermark(df, ts, arrival, seq, disorder, "wm", bucket)
-    slide_us = duration_us(slide or size)
-    last_end = window_end_col(ts, slide_us, ts_type_of(df, ts))
-    closed = last_end - interval(ONE_MS) + interval(lateness) <= F.col("wm")
-    return d.withColumn("is_late", F.coalesce(closed, F.lit(False)))
+    return mark_late(with_row_watermark(df, ts, arrival, seq, disorder, "wm", bucket), ts, "wm", size, slide, lateness)
+
+
+def mark_late(df: DataFrame, ts: str, wm: str, size, slide=None, lateness="60 seconds") -> DataFrame:
+    """:func:`split_late` for rows that carry their watermark in column ``wm``,
+    e.g. one computed on a wider stream."""
+    last_end = window_end_col(ts, duration_us(slide or size), ts_type_of(df, ts))
+    closed = last_end - interval(ONE_MS) + interval(lateness) <= F.col(wm)
+    return df.withColumn("is_late", F.coalesce(closed, F.lit(False)))
 
 
 def sliding_count_with_lateness(df: DataFrame, key: str, ts: str = "ts", arrival: str = "arrival",

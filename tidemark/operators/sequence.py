@@ -49,25 +49,6 @@ def running_sum(df: DataFrame, keys, ts: str, seq: str, value: str, out: str,
             .drop("_b", "_boff"))
 
 
-def capped_rank(df: DataFrame, keys, ts: str, seq: str, cap: int,
-                bucket=DEFAULT_BUCKET) -> DataFrame:
-    """Rows whose rank (1-based, ``(ts, seq)`` order within ``keys``) is at
-    most ``cap``, with column ``_rank`` set only where it matters: rows of
-    buckets entirely below the cap pass without being sorted (``_rank``
-    NULL), rows of buckets entirely above it are dropped unsorted, and only
-    the bucket holding the cap-th row is ranked."""
-    keys = _keys(keys)
-    d = df.withColumn("_b", time_bucket(ts, bucket))
-    off = bucket_offsets(d, keys, "_b")
-    j = d.join(off, [*keys, "_b"]).where(F.col("_boff") < cap)
-    below = j.where(F.col("_boff") + F.col("_bn") < cap).withColumn("_rank", F.lit(None).cast("bigint"))
-    w = Window.partitionBy(*keys, "_b").orderBy(ts, seq)
-    edge = (j.where(F.col("_boff") + F.col("_bn") >= cap)
-            .withColumn("_rank", (F.col("_boff") + F.row_number().over(w)).cast("bigint"))
-            .where(F.col("_rank") <= cap))
-    return below.unionByName(edge).drop("_b", "_boff", "_bn")
-
-
 def with_neighbors(df: DataFrame, keys, ts: str, seq: str, fields, n: int = 1, out: str = "_prev",
                    direction: str = "preceding", bucket=DEFAULT_BUCKET, n_after: int = 0,
                    out_after: str = "_next") -> DataFrame:

@@ -49,8 +49,8 @@ def hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", n: int = 5, d
     gets = marked.where(F.col("method") == "GET")
     counts = late.sliding_count_with_lateness(gets, "url", "ts", arrival, "seq", size, slide,
                                               disorder=disorder, lateness=lateness, precomputed_wm="wm")
-    split = late.split_late(gets.drop("wm"), "ts", arrival, "seq", size, slide, disorder, lateness)
-    return topn.topn_per_window(counts, "url", n), split.where("is_late")
+    # the same watermark decides both: a GET row counts in a window or is in the late table
+    return topn.topn_per_window(counts, "url", n), late.mark_late(gets, "ts", "wm", size, slide, lateness).where("is_late")
 
 
 def hot_urls_stream_counts(log: DataFrame, size="10 minutes", slide="5 seconds", disorder="1 second",
@@ -114,7 +114,8 @@ def channel_promotion_stream(market: DataFrame, size="1 hour", slide="5 seconds"
     """Processing-time windows stamp each row with ``current_timestamp()``
     at ingest (the reference job uses processing time)."""
     m = market.withColumn("ts", F.current_timestamp()) if processing_time else market
-    m = swin.event_time(m, "ts", "0 seconds").where(~F.col("behavior").eqNullSafe("UNINSTALL"))
+    m = swin.event_time(m, "ts", "0 seconds")
+    m = m.where(F.when(F.col("ts").isNotNull(), ~F.col("behavior").eqNullSafe("UNINSTALL")))
     return swin.sliding_count_stream(m, ["channel", "behavior"], "ts", size, slide).select(
         "channel", "behavior", F.col("w.end").alias("window_end"), "cnt")
 
@@ -159,7 +160,7 @@ def login_risk_stream(logins: DataFrame, method: str = "bursts", within="2 secon
                       horizon="5 seconds", disorder="2 seconds", n: int = 2) -> DataFrame:
     s = swin.event_time(logins, "ts", disorder)
     if method == "bursts":
-        return processors.fail_bursts_stream(s, horizon)
+        return processors.fail_bursts_stream(s, horizon, n)
     if method == "pairs":
         return processors.fail_pairs_stream(s, within)
     if method in ("consecutive", "next"):

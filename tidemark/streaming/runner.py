@@ -35,7 +35,7 @@ def write_replay_files(df: DataFrame, n_files: int, sentinel: dict | None, ts: s
         else:
             a, b = lo + span * i, lo + span * (i + 1)
             cond = (F.col(split_col) >= a) & ((F.col(split_col) < b) if i < n_files - 1 else F.lit(True))
-            part = df.where(cond)
+            part = df.where(cond | F.col(split_col).isNull() if i == 0 else cond)    # rows without a time come first
         part.coalesce(1).write.parquet(os.path.join(root, f"b{i:05d}"))
     if sentinel is None:
         return root

@@ -3,12 +3,18 @@ upserting late-refined top-N sink."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.time import duration_us
 from tidemark.session import reliable_checkpoint
 
 
+def _no_table(error: AnalysisException) -> bool:
+    """Whether a read failed because nothing was written yet; any other error must surface."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def event_time(df: DataFrame, ts: str = "ts", delay="0 seconds") -> DataFrame:
     """Watermark on ``ts``; ``timestamp_ntz`` is cast to ``timestamp`` first
     (watermarks need it; the session zone is UTC, so values are kept)."""
@@ -74,7 +80,9 @@ def upsert_counts(batch: DataFrame, path: str, keys=("window_end", "url"),
     try:
         old = spark.read.parquet(path).where(F.col(part_col).isin(days))
         merged = old.join(upd.select(*keys), keys, "left_anti").unionByName(upd)
-    except Exception:  # noqa: BLE001 - first batch: no table yet
+    except AnalysisException as e:
+        if not _no_table(e):
+            raise
         merged = upd
     # Cut the lineage to the files about to be replaced (reliable checkpoint
     # in the shared spark.checkpoint.dir).
@@ -117,7 +125,9 @@ def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path:
     try:
         prev = (spark.read.parquet(state_path).where(F.col("batch") < batch_id)
                 .agg(F.max("max_ts")).first()[0])
-    except Exception:  # noqa: BLE001 - no state yet
+    except AnalysisException as e:
+        if not _no_table(e):
+            raise
         prev = None
     d = running_max_before(batch, order, seq, ts, "_mx")
     carried = F.lit(prev).cast(batch.schema[ts].dataType) if prev is not None else F.lit(None).cast(
@@ -158,7 +168,9 @@ def upsert_rows_replace_windows(rows: DataFrame, path: str, part_col: str = "win
     try:
         old = spark.read.parquet(path).where(F.col(part_col).isin(days))
         merged = old.join(rows.select("window_end").distinct(), "window_end", "left_anti").unionByName(rows)
-    except Exception:  # noqa: BLE001 - first batch
+    except AnalysisException as e:
+        if not _no_table(e):
+            raise
         merged = rows
     merged = reliable_checkpoint(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
