@@ -173,16 +173,19 @@ def test_minhash(docs, odd):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 8]
 
 
-def test_minhash_family_of_near_copies(spark):
+@pytest.mark.parametrize("block", [minhash.SHINGLES, 2000])
+def test_minhash_family_of_near_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "SHINGLES", block)     # the smaller: groups of several blocks
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(120)]
     rows = []
-    for i in range(60):
+    for i in range(150):
         w = list(base)
-        for k in rng.integers(0, len(w), 2):
+        for k in rng.integers(0, len(w), rng.integers(1, 5)):
             w[k] = f"z{i}{k}"
         rows.append((i, " ".join(w)))
     want = brute_components({i: shingles(t) for i, t in rows})
+    assert 10 < len(set(want.values())) < 140
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 

@@ -9,11 +9,10 @@ by their whole signatures, and what is near by signature is confirmed on
 the full shingle sets.
 
 Documents with one and the same set are one node from the start.  In a
-bucket, members are first compared with one head only; only members of
-buckets that still hold several components are compared again, with other
-heads for some rounds, and at last whatever is outside a bucket's largest
-component with all members.  A large group of near copies so costs some
-stars, and not all pairs.
+bucket, members are first compared with one head only.  Buckets that then
+still hold several components are compared in blocks, each text outside the
+largest component with all texts of other components; a block gives out the
+links that join components, and no pairs.
 """
 
 from __future__ import annotations
@@ -36,9 +35,9 @@ POSITIONS = CHUNKS * CHUNK
 FOUND_DISTANCE = 2 * CHUNKS - 1
 #: Pairs that differ in more positions aren't near: probability 2e-5 at 0.85.
 MAX_DISTANCE = 15
-HEAD_ROUNDS = 4         # further heads before the rest is compared in full
 PERCENT = 85            # link: 100 * intersection >= PERCENT * union
 BLOCK = 256             # texts compared with one head in a task
+SHINGLES = 250_000      # shingles in a block of a group compared in full
 
 _SEEDS = np.random.default_rng(20_240_501)
 _XOR = _SEEDS.integers(0, 1 << 63, POSITIONS, dtype=np.uint64)
@@ -154,7 +153,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(left: str, right: str) -> Column:
-    """Whether two nodes may be linked: by set sizes, and by the whole signatures."""
+    """Whether a member and a head may be linked: by set sizes, and by the whole signatures."""
     small = F.least(f"{left}.n", f"{right}.n")
     large = F.greatest(f"{left}.n", f"{right}.n")
     apart = sum((F.col(f"{left}.sig")[i] != F.col(f"{right}.sig")[i]).cast("int") for i in range(POSITIONS))
@@ -191,25 +190,76 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                    .groupBy("hub", "block").applyInArrow(_compare, "a bigint, b bigint"), "confirmed")
 
 
-def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, a, root) of the buckets whose members are in several components."""
-    placed = (members.select("key", "a").join(roots, F.col("a") == F.col("node"), "left")
+def _merge(table: pa.Table) -> pa.Table:
+    """Links (a, b) that join the components of one pair of blocks, on full sets: one link
+    for each two components that meet.  Pairs within a component aren't compared."""
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    rows: dict[int, int] = {}
+    sets = []
+    ids, want = table.column("node").to_pylist(), table.column("fp").to_pylist()
+    for at, s in enumerate(shingle_sets(text_bytes(table.column("text")))):
+        if ids[at] not in rows and fingerprint(s) == want[at]:  # else another row that bears the same id
+            rows[ids[at]] = at
+            sets.append(s)
+    take = np.fromiter(rows.values(), np.int64, len(rows))
+    node, own = np.fromiter(rows, np.int64, len(rows)), table.column("own").to_numpy()[take]
+    comp = np.unique(table.column("root").to_numpy()[take], return_inverse=True)[1]
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    a, b = [], []
+    if len(left) and len(right):
+        size = np.array([len(s) for s in sets])
+        every, code = np.unique(np.concatenate(sets), return_inverse=True)
+        code = np.split(code, np.cumsum(size)[:-1])
+        marked = np.zeros(len(every), np.int32)
+        for r in left:
+            meet = right[(comp[right] != comp[r]) & (100 * np.minimum(size[right], size[r])
+                                                     >= PERCENT * np.maximum(size[right], size[r]))]
+            if i == j:
+                meet = meet[meet > r]
+            for at in range(0, len(meet), BLOCK):
+                some = meet[at:at + BLOCK]
+                marked[code[r]] = 1
+                both = np.add.reduceat(marked[np.concatenate([code[m] for m in some])],
+                                       np.cumsum(size[some]) - size[some])
+                marked[code[r]] = 0
+                near = some[100 * both >= PERCENT * (size[r] + size[some] - both)]
+                for c, first in zip(*np.unique(comp[near], return_index=True)):
+                    if c != comp[r]:
+                        a.append(node[r])
+                        b.append(node[near[first]])
+                        comp[comp == c] = comp[r]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _merged(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that join all components which have near texts in one bucket.
+
+    Buckets of one component need nothing.  The others are gathered by their
+    smallest node, which is the same for most buckets of a family, so a text
+    goes to a few groups and not to one for each key.  A group is dealt to
+    blocks of about ``SHINGLES``: those outside its largest component meet
+    all blocks, those inside meet the outside ones only.
+    """
+    placed = (buckets.select("key", "a").join(roots, F.col("a") == F.col("node"), "left")
               .select("key", "a", F.coalesce("root", "a").alias("root")))
-    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    return written(placed.join(several.select("key"), "key"), "mixed")
-
-
-def _candidates(pairs: DataFrame, few: DataFrame, tested: DataFrame | None) -> DataFrame:
-    """The distinct pairs (a, b) that are near by signature and weren't tested before."""
-    pairs = pairs.distinct()
-    if tested is not None:
-        pairs = pairs.join(tested.select(F.col("u").alias("a"), F.col("v").alias("b")), ["a", "b"], "left_anti")
-    return written(pairs.alias("p").join(few.alias("x"), F.expr("p.a = x.node"))
-                   .join(few.alias("y"), F.expr("p.b = y.node")).where(_near("x", "y")).select("p.a", "p.b"), "pairs")
-
-
-def _both_ways(pairs: DataFrame) -> DataFrame:
-    return pairs.selectExpr("inline(array(struct(a AS u, b AS v), struct(b AS u, a AS v)))")
+    several = (placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("a").alias("hub"))
+               .where("lo < hi").select("key", "hub"))
+    met = written(placed.join(several, "key").select("hub", "a", "root").distinct()
+                  .join(nodes.select(F.col("node").alias("a"), "n"), "a"), "met")
+    sizes = (met.groupBy("hub", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s")).groupBy("hub")
+             .agg(F.sum("s").alias("total"), F.max(F.struct("c", "root", "s")).alias("m"))
+             .select("hub", "total", F.col("m.root").alias("major"), F.col("m.s").alias("inside"))
+             .withColumn("split", F.col("total") > SHINGLES)
+             .select("hub", "major",
+                     F.expr(f"int(if(split, ceil((total - inside) / {SHINGLES}), 1))").alias("k_out"),
+                     F.expr(f"int(if(split, ceil(inside / {SHINGLES}), 0))").alias("k_in")))
+    dealt = (met.join(sizes, "hub").withColumn("inner", F.expr("k_in > 0 AND root = major"))
+             .withColumn("own", F.expr("int(if(inner, k_out + pmod(xxhash64(a), k_in), pmod(xxhash64(a), k_out)))"))
+             .withColumn("other", F.explode(F.expr("sequence(0, if(inner, k_out, k_out + k_in) - 1)")))
+             .select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+                     F.col("a").alias("node"), "root"))
+    return written(dealt.join(texts, "node").groupBy("hub", "i", "j").applyInArrow(_merge, "a bigint, b bigint"),
+                   "merged")
 
 
 def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -226,39 +276,14 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = written(buckets.select(F.col("a").alias("node")).distinct().join(nodes.select("node", "jk", "fp"), "node")
                     .join(docs.select(F.coalesce("doc_id", "th").alias("jk"), "text"), "jk")
                     .select("node", "fp", "text"), "texts")
-    pairs = _candidates(buckets.where("a <> b").select("a", "b"), few, None)
-    links, tested, mixed = _confirmed(pairs, texts), _both_ways(pairs), buckets
+    pairs = written(buckets.where("a <> b").select("a", "b").distinct().alias("p")
+                    .join(few.alias("x"), F.expr("p.a = x.node")).join(few.alias("y"), F.expr("p.b = y.node"))
+                    .where(_near("x", "y")).select("p.a", "p.b"), "pairs")
+    links = _confirmed(pairs, texts)
     roots = components(links)
-    for turn in range(1, HEAD_ROUNDS + 1):
-        mixed = _mixed(mixed, roots)
-        first = F.min(F.struct(F.xxhash64("a", F.lit(turn)), F.col("a").alias("h"), F.col("root").alias("hr")))
-        heads = mixed.groupBy("key").agg(first.alias("m")).select("key", "m.h", "m.hr")
-        pairs = _candidates(mixed.join(heads, "key").where("root <> hr").select("a", F.col("h").alias("b")),
-                            few, tested)
-        if pairs.isEmpty():
-            break
-        tested = tested.unionByName(_both_ways(pairs))
-        found = _confirmed(pairs, texts)
-        if found.isEmpty():
-            break
-        links = links.unionByName(found)
-        roots = components(links)
-        if turn == HEAD_ROUNDS:
-            mixed = _mixed(mixed, roots)
-    # what is outside a bucket's largest component, with all members of other components
-    largest = (mixed.groupBy("key", "root").count().groupBy("key")
-               .agg(F.max(F.struct("count", "root")).alias("m")).select("key", F.col("m.root").alias("major")))
-    outside = mixed.join(largest, "key").where("root <> major").select("key", "a", "root")
-    outside = outside.join(few, F.col("a") == F.col("node"))
-    cross = outside.alias("x").join(mixed.join(few, F.col("a") == F.col("node")).alias("y"),
-                                    F.expr("x.key = y.key AND x.root <> y.root") & _near("x", "y"))
-    pairs = _candidates(cross.select(F.col("y.a").alias("a"), F.col("x.a").alias("b")), few, tested)
-    if not pairs.isEmpty():
-        # a pair outside on both sides comes both ways: once is enough
-        twice = pairs.selectExpr("b AS a", "a AS b", "true AS twice")
-        found = _confirmed(pairs.join(twice, ["a", "b"], "left").where("twice is null OR a < b").select("a", "b"), texts)
-        if not found.isEmpty():
-            roots = components(links.unionByName(found))
+    more = _merged(buckets, roots, nodes, texts)
+    if not more.isEmpty():
+        roots = components(links.unionByName(more))
     return signed, nodes.select("fp", "node").join(roots, "node", "left").select(
         "fp", F.coalesce("root", "node").alias("root"))
 
