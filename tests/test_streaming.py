@@ -210,3 +210,59 @@ def test_followed_by_stream(spark, ref):
     want2 = patterns.followed_by(e, "order_id", within="1 day")
     _same(got2.select("order_id", "start_ms", "matched"),
           want2.select("order_id", _ms("start_ts").alias("start_ms"), "matched"))
+
+
+def _disordered(spark, df, sentinel, by: int, n=6):
+    """Replay of ``df`` with each row up to ``by`` seconds late, in any order within that bound."""
+    late = F.make_dt_interval(secs=F.pmod(F.xxhash64("seq", "ts"), F.lit(by)).cast("decimal(18,6)"))
+    df = df.withColumn("arrival", F.col("ts") + late)
+    root = runner.write_replay_files(df, n, {**sentinel, "arrival": None}, order_col="arrival")
+    return sw.event_time(runner.read_replay(spark, root, df.schema), "ts", f"{by} seconds")
+
+
+def test_processors_under_disorder(spark):
+    """Rows that arrive in another order within the watermark delay give the batch rows."""
+    day = 86_400
+    lg, oe = dt.logins(spark, SF_SMALL), dt.order_events(spark, SF_SMALL)
+    user, order = {"user_id": -1, "event_type": "success", "seq": -1}, {"order_id": -1, "event_type": "", "seq": -1}
+    ms = [_ms("first_ts").alias("first_ms"), _ms("last_ts").alias("last_ms")]
+    for name, make, want in (
+            ("pair", lambda s: processors.fail_pairs_stream(s, "12 hours"),
+             patterns.login_fail_pairs(lg, within="12 hours").select("user_id", *ms)),
+            ("run", lambda s: processors.consecutive_fails_stream(s, 3, "2 days"),
+             patterns.match_consecutive(lg, 3, within="2 days").select("user_id", *ms, "n_fails")),
+            ("burst", lambda s: processors.fail_bursts_stream(s, "1 day"),
+             patterns.login_fail_bursts(lg, horizon="1 day").select("user_id", *ms, "n_fails"))):
+        got = runner.run_to_memory(make(_disordered(spark, lg, user, day)), f"t_dis_{name}").where("user_id >= 0")
+        assert want.count() > 0
+        _same(got, want)
+    got = runner.run_to_memory(processors.order_timeout_stream(_disordered(spark, oe, order, day), "1 day"), "t_dis_ot")
+    _same(got.where("order_id >= 0").select("order_id", "create_ms", "status"),
+          patterns.order_timeout_state(oe, within="1 day").select("order_id", _ms("create_ts").alias("create_ms"), "status"))
+    got = runner.run_to_memory(processors.followed_by_stream(_disordered(spark, oe, order, day), "1 day"), "t_dis_fb")
+    _same(got.where("order_id >= 0").select("order_id", "start_ms", "matched"),
+          patterns.followed_by(oe, "order_id", within="1 day").select("order_id", _ms("start_ts").alias("start_ms"), "matched"))
+
+
+def test_daily_cap_under_disorder(spark, ref):
+    ad = ref["ad_click"]
+    s = _disordered(spark, ad, {"user_id": -1, "ad_id": -1, "seq": -1}, 3600)
+    got = runner.run_to_memory(processors.daily_cap_stream(s, 5), "t_dis_cap").where("user_id >= 0 AND tag = 'pass'")
+    _same(got.select("seq"), caps.daily_cap(ad, ["user_id", "ad_id"], "ts", "seq", 5).select("seq"))
+
+
+def test_late_partner_in_a_later_batch(spark):
+    """A row that comes in the batch after its successor still takes its place in time."""
+    def run(rows, make, name):
+        df = spark.createDataFrame(rows, "arrival bigint, k bigint, event_type string, s bigint")
+        df = df.select("arrival", F.col("k").alias("user_id"), F.col("k").alias("order_id"), "event_type",
+                       F.timestamp_seconds("s").alias("ts"), F.monotonically_increasing_id().alias("seq"))
+        root = runner.write_replay_files(df, 2, {"arrival": 9, "user_id": -1, "order_id": -1, "event_type": "", "seq": -1},
+                                         order_col="arrival")
+        s = sw.event_time(runner.read_replay(spark, root, df.schema), "ts", "5 seconds")
+        return runner.run_to_memory(make(s), name).collect()
+    fails = [(1, 7, "fail", 100), (1, 7, "fail", 102), (2, 7, "success", 101)]
+    assert run(fails, processors.fail_pairs_stream, "t_lp1") == []
+    assert run(fails, lambda s: processors.consecutive_fails_stream(s, 2, "5 seconds"), "t_lp2") == []
+    paid = run([(1, 7, "pay", 101), (2, 7, "create", 100)], processors.order_timeout_stream, "t_lp3")
+    assert [(r.order_id, r.status) for r in paid] == [(7, "payed")]

@@ -110,11 +110,11 @@ def channel_promotion(market: DataFrame, size="1 hour", slide="5 seconds") -> Da
 
 
 def channel_promotion_stream(market: DataFrame, size="1 hour", slide="5 seconds",
-                             processing_time: bool = True) -> DataFrame:
+                             processing_time: bool = True, disorder="0 seconds") -> DataFrame:
     """Processing-time windows stamp each row with ``current_timestamp()``
     at ingest (the reference job uses processing time)."""
     m = market.withColumn("ts", F.current_timestamp()) if processing_time else market
-    m = swin.event_time(m, "ts", "0 seconds")
+    m = swin.event_time(m, "ts", disorder)
     m = m.where(F.when(F.col("ts").isNotNull(), ~F.col("behavior").eqNullSafe("UNINSTALL")))
     return swin.sliding_count_stream(m, ["channel", "behavior"], "ts", size, slide).select(
         "channel", "behavior", F.col("w.end").alias("window_end"), "cnt")
@@ -129,12 +129,12 @@ def ad_clicks(clicks: DataFrame, cap: int = 100, size="1 hour", slide="5 seconds
 
 
 def ad_clicks_stream(clicks: DataFrame, cap: int = 100, size="1 hour", slide="5 seconds",
-                     tz: str = "Asia/Shanghai") -> tuple[DataFrame, DataFrame]:
+                     tz: str = "Asia/Shanghai", disorder="0 seconds") -> tuple[DataFrame, DataFrame]:
     """(windowed clicks per province after the cap, warnings).  The cap
     processor keeps the event time (``eventTimeColumnName``), so the
     windowed count chains after it in append mode.  Input needs
     ``province``."""
-    s = swin.event_time(clicks, "ts", "0 seconds")
+    s = swin.event_time(clicks, "ts", disorder)
     tagged = processors.daily_cap_stream(s, cap, tz, extra=("province",))
     counts = swin.sliding_count_stream(tagged.where(F.col("tag") == "pass"), "province", "ts", size, slide)
     return (counts.select("province", F.col("w.end").alias("window_end"), "cnt"),
@@ -176,8 +176,9 @@ def order_timeout(orders: DataFrame, within="15 minutes", method: str = "pattern
     return patterns.order_timeout_state(orders, "order_id", within=within)
 
 
-def order_timeout_stream(orders: DataFrame, within="15 minutes", method: str = "pattern") -> DataFrame:
-    s = swin.event_time(orders, "ts", "0 seconds")
+def order_timeout_stream(orders: DataFrame, within="15 minutes", method: str = "pattern",
+                         disorder="0 seconds") -> DataFrame:
+    s = swin.event_time(orders, "ts", disorder)
     if method == "pattern":
         return processors.followed_by_stream(s, within)
     return processors.order_timeout_stream(s, within)
@@ -187,6 +188,6 @@ def reconcile(orders: DataFrame, receipts: DataFrame, within="5 seconds") -> Dat
     return joins.reconcile(orders, receipts, within, within)
 
 
-def reconcile_stream(orders: DataFrame, receipts: DataFrame, within="5 seconds") -> DataFrame:
-    return sjoins.reconcile_stream(swin.event_time(orders, "ts", "0 seconds"),
-                                   swin.event_time(receipts, "ts", "0 seconds"), within, within)
+def reconcile_stream(orders: DataFrame, receipts: DataFrame, within="5 seconds", disorder="0 seconds") -> DataFrame:
+    return sjoins.reconcile_stream(swin.event_time(orders, "ts", disorder),
+                                   swin.event_time(receipts, "ts", disorder), within, within)

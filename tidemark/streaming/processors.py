@@ -1,11 +1,11 @@
 """``transformWithState`` processors for the stateful jobs.
 
-Rows of one key in one micro-batch are sorted by ``(ts, seq)`` first.
-Every decision also compares event times explicitly (not only timers), so
-the output does not depend on where micro-batch boundaries fall; timers
-only flush state once the watermark has passed a deadline.  Times in
-state and timers are epoch milliseconds; inputs carry ``ts_ms`` (see
-``prepare``).
+Every processor is an ``EventOrder``: rows of a key wait in state until the
+watermark has passed them and are then handled in ``(ts, seq)`` order, so
+neither micro-batch borders nor arrival order (within the watermark delay)
+change the output.  A key has one timer, at its earliest waiting row or
+deadline.  Times in state and timers are epoch milliseconds.  Rows without
+a time have no place in this order and are left out by ``prepare``.
 """
 
 from __future__ import annotations
@@ -17,59 +17,128 @@ from tidemark.functions.time import duration_us
 
 
 def prepare(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Add ``ts_ms`` (epoch ms, for state and timers)."""
-    return df.withColumn("ts_ms", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 1000).cast("bigint"))
-
-
-def _sorted(rows):
-    return sorted(rows, key=lambda r: (r["ts_ms"], r["seq"]))
+    """Add ``ts_us`` and ``ts_ms`` (epoch micro- and milliseconds, for state and timers)."""
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    return (df.withColumn("ts_us", us).where(F.col("ts_us").isNotNull())
+            .withColumn("ts_ms", F.floor(F.col("ts_us") / 1000).cast("bigint")))
 
 
 def _ms(spec) -> int:
     return duration_us(spec) // 1000
 
 
-# ------------------------------------------------------------------ daily cap
+class EventOrder(StatefulProcessor):
+    """Hands a key's rows to ``step`` in event-time order.
 
-class DailyCap(StatefulProcessor):
-    """Per key: pass the first ``cap`` rows of each local day, warn on the
-    ``cap``-th, drop the rest; state evicted at the next local midnight.
-    Input needs ``local_day`` (int day number) and ``next_midnight_ms``;
-    output columns are ``tag`` then ``cols`` (in schema order)."""
+    Subclasses keep their state in a short list of tuples of ``MEMORY`` and
+    define ``step(key, memory, row) -> outputs`` (changing ``memory`` in
+    place), and, where a deadline can pass without a row,
+    ``expire(key, memory, now) -> outputs`` for deadlines up to ``now`` and
+    ``deadline(memory)``, the earliest one left.
+    """
 
-    def __init__(self, cap: int, cols):
-        self.cap = cap
-        self.cols = list(cols)
+    MEMORY = ""
+    COLS = T.StructType().add("event_type", "string")   # what ``step`` reads of a row, beside times and seq
 
     def init(self, handle):
         self.handle = handle
-        self.state = handle.getValueState("day_count", "day int, n bigint, timer bigint")
+        times = T.StructType([T.StructField(c, T.LongType()) for c in ("ts_us", "ts_ms", "seq")])
+        schema = T.StructType([*times, *(f for f in self.COLS if f.name not in times.names)])
+        self.names = schema.names
+        self.pending = handle.getListState("pending", schema)
+        self.memory = handle.getListState("memory", self.MEMORY)
+        self.timer = handle.getValueState("timer", "ms bigint")
+
+    def step(self, key, memory, r):
+        raise NotImplementedError
+
+    def expire(self, key, memory, now):
+        return []
+
+    def deadline(self, memory):
+        return None
+
+    @staticmethod
+    def _due(us: int) -> int:
+        """The first watermark after which no row of this time can arrive."""
+        return -(-us // 1000)
+
+    def _arm(self, at) -> None:
+        """Set the key's one timer to the watermark ``at`` (None: no timer)."""
+        old = self.timer.get()[0] if self.timer.exists() else None
+        if at == old:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old - 1)
+        if at is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(at - 1)   # a timer fires when the watermark is beyond it
+            self.timer.update((at,))
 
     def handleInputRows(self, key, rows, timerValues):
-        st = self.state.get() if self.state.exists() else None
-        day, n, timer = (st[0], st[1], st[2]) if st else (None, 0, None)
-        for r in _sorted(rows):
-            if r["local_day"] != day:
-                if timer is not None:
-                    self.handle.deleteTimer(timer)
-                day, n, timer = r["local_day"], 0, r["next_midnight_ms"]
-                self.handle.registerTimer(timer)
-            n += 1
-            vals = {c: r[c] for c in self.cols}
-            if n <= self.cap:
-                yield Row(tag="pass", **vals)
-            if n == self.cap:
-                yield Row(tag="warning", **vals)
-        self.state.update((day, n, timer))
+        held = [tuple(r[c] for c in self.names) for r in rows]
+        if held:
+            self.pending.appendList(held)
+            first = min(self._due(r[0]) for r in held)
+            self._arm(min(first, self.timer.get()[0]) if self.timer.exists() else first)
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
-        return iter([])
+        now = timerValues.getCurrentWatermarkInMs()
+        self.timer.clear()      # it has just fired
+        held = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
+        memory = [tuple(r) for r in self.memory.get()] if self.memory.exists() else []
+        out, later = [], []
+        for r in sorted(held, key=lambda r: (r[0], r[2] is not None, r[2])):
+            if self._due(r[0]) <= now:
+                out += self.step(key, memory, dict(zip(self.names, r)))
+            else:
+                later.append(r)
+        out += self.expire(key, memory, now)
+        for state, items in ((self.pending, later), (self.memory, memory)):
+            if items:
+                state.put(items)
+            else:
+                state.clear()
+        ahead = [t for t in (self._due(later[0][0]) if later else None, self.deadline(memory)) if t is not None]
+        self._arm(min(ahead) if ahead else None)
+        return iter(out)
 
     def close(self):
         pass
 
 
+# ------------------------------------------------------------------ daily cap
+
+class DailyCap(EventOrder):
+    """Per key: pass the first ``cap`` rows of each local day, warn on the
+    ``cap``-th, drop the rest; state evicted at the next local midnight.
+    Input needs ``local_day`` (int day number) and ``next_midnight_ms``;
+    output columns are ``tag`` then those of ``cols`` (a schema)."""
+
+    MEMORY = "day int, n bigint, midnight_ms bigint"
+
+    def __init__(self, cap: int, cols: T.StructType):
+        self.cap = cap
+        self.out = cols.names
+        self.COLS = T.StructType(list(cols) + [T.StructField("next_midnight_ms", T.LongType())])
+
+    def step(self, key, memory, r):
+        n = memory[0][1] + 1 if memory and memory[0][0] == r["local_day"] else 1
+        memory[:] = [(r["local_day"], n, r["next_midnight_ms"])]
+        row = {c: r[c] for c in self.out}
+        tags = ["pass"] * (n <= self.cap) + ["warning"] * (n == self.cap)
+        return [Row(tag=t, **row) for t in tags]
+
+    def expire(self, key, memory, now):
+        memory[:] = [m for m in memory if m[2] > now]
+        return []
+
+    def deadline(self, memory):
+        return memory[0][2] if memory else None
+
+
 def daily_cap_stream(clicks: DataFrame, cap: int = 100, tz: str = "Asia/Shanghai",
                      keys=("user_id", "ad_id"), extra=()) -> DataFrame:
     """Tagged output (``pass`` / ``warning``) with the event time ``ts``
@@ -78,9 +147,9 @@ def daily_cap_stream(clicks: DataFrame, cap: int = 100, tz: str = "Asia/Shanghai
     d = prepare(clicks).withColumn(
         "local_day", F.datediff(local_day("ts", tz), F.lit("1970-01-01")).cast("int")).withColumn(
         "next_midnight_ms", F.floor(F.unix_micros(next_local_midnight("ts", tz, ntz=False)) / 1000).cast("bigint"))
-    cols = [*keys, "ts_ms", "seq", "local_day", "ts", *extra]
-    schema = T.StructType([T.StructField("tag", T.StringType())] + [
-        T.StructField(c, d.schema[c].dataType) for c in cols])
+    cols = T.StructType([T.StructField(c, d.schema[c].dataType)
+                         for c in [*keys, "ts_ms", "seq", "local_day", "ts", *extra]])
+    schema = T.StructType([T.StructField("tag", T.StringType()), *cols])
     return d.groupBy(*keys).transformWithState(
         DailyCap(cap, cols), schema, "Append", "EventTime", eventTimeColumnName="ts")
 
@@ -90,51 +159,33 @@ def daily_cap_stream(clicks: DataFrame, cap: int = 100, tz: str = "Asia/Shanghai
 ORDER_OUT = "order_id bigint, create_ms bigint, deadline_ms bigint, status string"
 
 
-class OrderTimeout(StatefulProcessor):
+class OrderTimeout(EventOrder):
     """One open order per key: ``create`` opens (a later create before the
     deadline replaces it), ``pay`` strictly before the deadline reports
     ``payed``; the deadline reports ``timeout``."""
 
+    MEMORY = "create_ms bigint, deadline_ms bigint"
+
     def __init__(self, within="15 minutes"):
         self.within = _ms(within)
 
-    def init(self, handle):
-        self.handle = handle
-        self.state = handle.getValueState("open", "create_ms bigint, deadline_ms bigint")
+    def step(self, key, memory, r):
+        t, out = r["ts_ms"], self.expire(key, memory, r["ts_ms"])
+        if r["event_type"] == "create":
+            memory[:] = [(t, t + self.within)]
+        elif r["event_type"] == "pay" and memory:
+            c, end = memory.pop()
+            out.append(Row(order_id=key[0], create_ms=c, deadline_ms=end, status="payed"))
+        return out
 
-    def handleInputRows(self, key, rows, timerValues):
-        st = self.state.get() if self.state.exists() else None
-        out = []
-        for r in _sorted(rows):
-            t = r["ts_ms"]
-            if st is not None and t >= st[1]:
-                out.append(Row(order_id=key[0], create_ms=st[0], deadline_ms=st[1], status="timeout"))
-                self.handle.deleteTimer(st[1])
-                st = None
-            if r["event_type"] == "create":
-                if st is not None:
-                    self.handle.deleteTimer(st[1])
-                st = (t, t + self.within)
-                self.handle.registerTimer(st[1])
-            elif r["event_type"] == "pay" and st is not None:
-                out.append(Row(order_id=key[0], create_ms=st[0], deadline_ms=st[1], status="payed"))
-                self.handle.deleteTimer(st[1])
-                st = None
-        if st is None:
-            self.state.clear()
-        else:
-            self.state.update(st)
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.state.exists():
-            c, dl = self.state.get()
-            self.state.clear()
-            return iter([Row(order_id=key[0], create_ms=c, deadline_ms=dl, status="timeout")])
-        return iter([])
+    def expire(self, key, memory, now):
+        if not memory or memory[0][1] > now:
+            return []
+        c, end = memory.pop()
+        return [Row(order_id=key[0], create_ms=c, deadline_ms=end, status="timeout")]
 
-    def close(self):
-        pass
+    def deadline(self, memory):
+        return memory[0][1] if memory else None
 
 
 def order_timeout_stream(orders: DataFrame, within="15 minutes", key: str = "order_id") -> DataFrame:
@@ -147,90 +198,62 @@ def order_timeout_stream(orders: DataFrame, within="15 minutes", key: str = "ord
 BURST_OUT = "user_id bigint, first_ms bigint, last_ms bigint, n_fails bigint"
 
 
-class FailBurst(StatefulProcessor):
+class FailBurst(EventOrder):
     """First failure opens a burst with deadline ``+horizon`` (inclusive);
     failures join it, a success before the deadline cancels it; at the
     deadline it is reported when it holds ``min_fails`` or more."""
 
+    MEMORY = "first_ms bigint, last_ms bigint, n bigint"
+
     def __init__(self, horizon="5 seconds", min_fails: int = 2):
         self.h = _ms(horizon)
         self.min_fails = min_fails
 
-    def init(self, handle):
-        self.handle = handle
-        self.state = handle.getValueState("burst", "first_ms bigint, last_ms bigint, n bigint")
-
-    def _emit(self, key, st):
-        if st[2] >= self.min_fails:
-            return [Row(user_id=key[0], first_ms=st[0], last_ms=st[1], n_fails=st[2])]
-        return []
-
-    def handleInputRows(self, key, rows, timerValues):
-        st = self.state.get() if self.state.exists() else None
-        st = tuple(st) if st is not None else None
-        out = []
-        for r in _sorted(rows):
-            t, fail = r["ts_ms"], r["event_type"] == "fail"
-            if st is not None and t > st[0] + self.h:
-                out += self._emit(key, st)
-                self.handle.deleteTimer(st[0] + self.h + 1)
-                st = None
-            if st is None:
-                if fail:
-                    st = (t, t, 1)
-                    self.handle.registerTimer(t + self.h + 1)
-            elif fail:
-                st = (st[0], t, st[2] + 1)
-            else:
-                self.handle.deleteTimer(st[0] + self.h + 1)
-                st = None
-        if st is None:
-            self.state.clear()
+    def step(self, key, memory, r):
+        t, out = r["ts_ms"], self.expire(key, memory, r["ts_ms"])
+        if r["event_type"] != "fail":
+            memory.clear()
+        elif memory:
+            memory[0] = (memory[0][0], t, memory[0][2] + 1)
         else:
-            self.state.update(st)
-        return iter(out)
+            memory.append((t, t, 1))
+        return out
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.state.exists():
-            st = tuple(self.state.get())
-            self.state.clear()
-            return iter(self._emit(key, st))
-        return iter([])
+    def expire(self, key, memory, now):
+        if not memory or self.deadline(memory) > now:
+            return []
+        first, last, n = memory.pop()
+        return [Row(user_id=key[0], first_ms=first, last_ms=last, n_fails=n)] if n >= self.min_fails else []
 
-    def close(self):
-        pass
+    def deadline(self, memory):
+        return memory[0][0] + self.h + 1 if memory else None
 
 
 PAIR_OUT = "user_id bigint, first_ms bigint, last_ms bigint"
 
 
-class FailPair(StatefulProcessor):
+class FailPair(EventOrder):
     """Two failures in a row at most ``within`` apart; a success resets."""
 
+    MEMORY = "ms bigint"
+
     def __init__(self, within="2 seconds"):
         self.w = _ms(within)
 
-    def init(self, handle):
-        self.state = handle.getValueState("last_fail", "ms bigint")
+    def step(self, key, memory, r):
+        t, last = r["ts_ms"], memory[0][0] if memory else None
+        memory.clear()
+        if r["event_type"] != "fail":
+            return []
+        memory.append((t,))
+        return [Row(user_id=key[0], first_ms=last, last_ms=t)] if last is not None and t - last <= self.w else []
 
-    def handleInputRows(self, key, rows, timerValues):
-        last = self.state.get()[0] if self.state.exists() else None
-        out = []
-        for r in _sorted(rows):
-            if r["event_type"] == "fail":
-                if last is not None and r["ts_ms"] - last <= self.w:
-                    out.append(Row(user_id=key[0], first_ms=last, last_ms=r["ts_ms"]))
-                last = r["ts_ms"]
-            else:
-                last = None
-        if last is None:
-            self.state.clear()
-        else:
-            self.state.update((last,))
-        return iter(out)
+    def expire(self, key, memory, now):
+        memory[:] = [m for m in memory if m[0] + self.w >= now]     # no pair can follow
+        return []
 
-    def close(self):
-        pass
+    def deadline(self, memory):
+        return memory[0][0] + self.w + 1 if memory else None
 
 
 def fail_bursts_stream(logins: DataFrame, horizon="5 seconds", min_fails: int = 2) -> DataFrame:
@@ -240,7 +263,7 @@ def fail_bursts_stream(logins: DataFrame, horizon="5 seconds", min_fails: int =
 
 def fail_pairs_stream(logins: DataFrame, within="2 seconds") -> DataFrame:
     return prepare(logins).groupBy("user_id").transformWithState(
-        FailPair(within), PAIR_OUT, "Append", "None")
+        FailPair(within), PAIR_OUT, "Append", "EventTime")
 
 
 # ------------------------------------------------------------------ 1:1 reconciliation
@@ -249,72 +272,47 @@ RECON_OUT = ("tx_id string, tag string, pay_ms bigint, pay_seq bigint, receipt_m
              "receipt_seq bigint")
 
 
-class Reconcile1to1(StatefulProcessor):
-    """Pays and receipts of one transaction id, matched one to one: an
-    arriving row takes the earliest waiting row of the other side within
-    the interval (consumed on match); otherwise it waits until the
-    watermark passes its own ts + the interval and is then reported
+class Reconcile1to1(EventOrder):
+    """Pays and receipts of one transaction id, matched one to one: each
+    row, in event-time order, takes the earliest waiting row of the other
+    side within the interval (consumed on match); otherwise it waits until
+    the watermark passes its own ts + the interval and is then reported
     unmatched.  Input: a tagged union with ``side`` in {"pay", "receipt"}.
     """
 
+    MEMORY = "side string, ms bigint, seq bigint"
+    COLS = T.StructType().add("side", "string")
+
     def __init__(self, lower="5 seconds", upper="5 seconds"):
         self.lo, self.hi = _ms(lower), _ms(upper)
 
-    def init(self, handle):
-        self.handle = handle
-        self.pays = handle.getListState("pays", "ms bigint, seq bigint")
-        self.rcpts = handle.getListState("receipts", "ms bigint, seq bigint")
-
-    def _load(self, st):
-        return [tuple(x) for x in st.get()] if st.exists() else []
-
-    def _store(self, st, items):
-        if items:
-            st.put(items)
-        else:
-            st.clear()
-
     def _row(self, key, tag, p=None, r=None):
-        return Row(tx_id=key[0], tag=tag, pay_ms=p[0] if p else None, pay_seq=p[1] if p else None,
-                   receipt_ms=r[0] if r else None, receipt_seq=r[1] if r else None)
-
-    def handleInputRows(self, key, rows, timerValues):
-        pays, rcpts = self._load(self.pays), self._load(self.rcpts)
-        out = []
-        for r in _sorted(rows):
-            me = (r["ts_ms"], r["seq"])
-            if r["side"] == "pay":
-                # receipt must lie in [pay - lo, pay + hi]
-                hit = next((x for x in rcpts if me[0] - self.lo <= x[0] <= me[0] + self.hi), None)
-                if hit:
-                    rcpts.remove(hit)
-                    out.append(self._row(key, "matched", me, hit))
-                else:
-                    pays.append(me)
-                    self.handle.registerTimer(me[0] + self.hi + 1)
-            else:
-                hit = next((x for x in pays if x[0] - self.lo <= me[0] <= x[0] + self.hi), None)
-                if hit:
-                    pays.remove(hit)
-                    out.append(self._row(key, "matched", hit, me))
-                else:
-                    rcpts.append(me)
-                    self.handle.registerTimer(me[0] + self.lo + 1)
-        self._store(self.pays, pays)
-        self._store(self.rcpts, rcpts)
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        wm = timerValues.getCurrentWatermarkInMs()
-        pays, rcpts = self._load(self.pays), self._load(self.rcpts)
-        out = [self._row(key, "pay_without_receipt", p=x) for x in pays if x[0] + self.hi < wm]
-        out += [self._row(key, "receipt_without_pay", r=x) for x in rcpts if x[0] + self.lo < wm]
-        self._store(self.pays, [x for x in pays if x[0] + self.hi >= wm])
-        self._store(self.rcpts, [x for x in rcpts if x[0] + self.lo >= wm])
-        return iter(out)
-
-    def close(self):
-        pass
+        return Row(tx_id=key[0], tag=tag, pay_ms=p[1] if p else None, pay_seq=p[2] if p else None,
+                   receipt_ms=r[1] if r else None, receipt_seq=r[2] if r else None)
+
+    def _end(self, m) -> int:
+        """When a waiting row can no longer be matched: a receipt lies in [pay - lower, pay + upper]."""
+        return m[1] + (self.hi if m[0] == "pay" else self.lo) + 1
+
+    def step(self, key, memory, r):
+        me = (r["side"], r["ts_ms"], r["seq"])
+        out = self.expire(key, memory, me[1])
+        other = next((m for m in memory if m[0] != me[0]), None)    # all that wait are within reach
+        if other is None:
+            memory.append(me)
+            return out
+        memory.remove(other)
+        pay, receipt = (me, other) if me[0] == "pay" else (other, me)
+        return out + [self._row(key, "matched", pay, receipt)]
+
+    def expire(self, key, memory, now):
+        gone = [m for m in memory if self._end(m) <= now]
+        memory[:] = [m for m in memory if self._end(m) > now]
+        return [self._row(key, "pay_without_receipt", p=m) if m[0] == "pay"
+                else self._row(key, "receipt_without_pay", r=m) for m in gone]
+
+    def deadline(self, memory):
+        return min(map(self._end, memory), default=None)
 
 
 def reconcile_1to1_stream(pays: DataFrame, receipts: DataFrame, lower="5 seconds", upper="5 seconds",
@@ -330,94 +328,71 @@ def reconcile_1to1_stream(pays: DataFrame, receipts: DataFrame, lower="5 seconds
 RUN_OUT = "user_id bigint, first_ms bigint, last_ms bigint, n_fails bigint"
 
 
-class ConsecutiveFails(StatefulProcessor):
+class ConsecutiveFails(EventOrder):
     """``n`` failures in a row (no other event of the key between) whose
     last minus first is strictly below ``within``; overlapping runs all
-    reported.  State: the key's last ``n - 1`` events."""
+    reported.  State: the key's last ``n - 1`` failures of the current run."""
+
+    MEMORY = "ms bigint"
 
     def __init__(self, n: int = 2, within="2 seconds"):
         self.n, self.w = n, _ms(within)
 
-    def init(self, handle):
-        self.state = handle.getListState("recent", "ms bigint, fail boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        recent = [tuple(x) for x in self.state.get()] if self.state.exists() else []
-        out = []
-        for r in _sorted(rows):
-            recent.append((r["ts_ms"], r["event_type"] == "fail"))
-            recent = recent[-self.n:]
-            if len(recent) == self.n and all(f for _, f in recent) and recent[-1][0] - recent[0][0] < self.w:
-                out.append(Row(user_id=key[0], first_ms=recent[0][0], last_ms=recent[-1][0], n_fails=self.n))
-        keep = recent[-(self.n - 1):] if self.n > 1 else []
-        if keep:
-            self.state.put(keep)
-        else:
-            self.state.clear()
-        return iter(out)
+    def step(self, key, memory, r):
+        if r["event_type"] != "fail":
+            memory.clear()
+            return []
+        run = [*memory, (r["ts_ms"],)]
+        memory[:] = run[-(self.n - 1):] if self.n > 1 else []
+        if len(run) < self.n or run[-1][0] - run[-self.n][0] >= self.w:
+            return []
+        return [Row(user_id=key[0], first_ms=run[-self.n][0], last_ms=run[-1][0], n_fails=self.n)]
+
+    def expire(self, key, memory, now):
+        memory[:] = [m for m in memory if m[0] + self.w > now]      # no run can start there
+        return []
 
-    def close(self):
-        pass
+    def deadline(self, memory):
+        return memory[0][0] + self.w if memory else None
 
 
 def consecutive_fails_stream(logins: DataFrame, n: int = 2, within="2 seconds") -> DataFrame:
     return prepare(logins).groupBy("user_id").transformWithState(
-        ConsecutiveFails(n, within), RUN_OUT, "Append", "None")
+        ConsecutiveFails(n, within), RUN_OUT, "Append", "EventTime")
 
 
 FOLLOW_OUT = "order_id bigint, start_ms bigint, end_ms bigint, deadline_ms bigint, matched boolean"
 
 
-class FollowedBy(StatefulProcessor):
+class FollowedBy(EventOrder):
     """``begin(start).followedBy(end).within(T)``: every open ``start`` is
     matched by the first later ``end`` strictly before its deadline; a
-    ``start`` whose deadline passes first is reported as timed out (by
-    the event that passes it, or by its timer)."""
+    ``start`` whose deadline passes first is reported as timed out."""
+
+    MEMORY = "ms bigint"
 
     def __init__(self, within="15 minutes", start: str = "create", end: str = "pay"):
         self.w, self.start, self.end = _ms(within), start, end
 
-    def init(self, handle):
-        self.handle = handle
-        self.open = handle.getListState("open", "ms bigint")
-
-    def handleInputRows(self, key, rows, timerValues):
-        opened = [x[0] for x in self.open.get()] if self.open.exists() else []
-        out = []
-        for r in _sorted(rows):
-            t = r["ts_ms"]
-            for c in [c for c in opened if t >= c + self.w]:
-                out.append(Row(order_id=key[0], start_ms=c, end_ms=None, deadline_ms=c + self.w, matched=False))
-                self.handle.deleteTimer(c + self.w)
-                opened.remove(c)
-            if r["event_type"] == self.start:
-                opened.append(t)
-                self.handle.registerTimer(t + self.w)
-            elif r["event_type"] == self.end:
-                for c in opened:
-                    out.append(Row(order_id=key[0], start_ms=c, end_ms=t, deadline_ms=c + self.w, matched=True))
-                    self.handle.deleteTimer(c + self.w)
-                opened = []
-        if opened:
-            self.open.put([(c,) for c in opened])
-        else:
-            self.open.clear()
-        return iter(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        wm = timerValues.getCurrentWatermarkInMs()
-        opened = [x[0] for x in self.open.get()] if self.open.exists() else []
-        out = [Row(order_id=key[0], start_ms=c, end_ms=None, deadline_ms=c + self.w, matched=False)
-               for c in opened if c + self.w <= wm]
-        rest = [(c,) for c in opened if c + self.w > wm]
-        if rest:
-            self.open.put(rest)
-        else:
-            self.open.clear()
-        return iter(out)
-
-    def close(self):
-        pass
+    def _row(self, key, start, end=None):
+        return Row(order_id=key[0], start_ms=start, end_ms=end, deadline_ms=start + self.w, matched=end is not None)
+
+    def step(self, key, memory, r):
+        t, out = r["ts_ms"], self.expire(key, memory, r["ts_ms"])
+        if r["event_type"] == self.start:
+            memory.append((t,))
+        elif r["event_type"] == self.end:
+            out += [self._row(key, m[0], t) for m in memory]
+            memory.clear()
+        return out
+
+    def expire(self, key, memory, now):
+        out = [self._row(key, m[0]) for m in memory if m[0] + self.w <= now]
+        memory[:] = [m for m in memory if m[0] + self.w > now]
+        return out
+
+    def deadline(self, memory):
+        return memory[0][0] + self.w if memory else None
 
 
 def followed_by_stream(orders: DataFrame, within="15 minutes", key: str = "order_id") -> DataFrame:
