@@ -155,3 +155,16 @@ def test_unflushed_tail_needs_sentinel(spark):
     assert unflushed is None or unflushed.replace(tzinfo=None) < last_end.replace(tzinfo=None)
     flushed = run({"user_id": -1, "item_id": -1, "behavior": "pv", "seq": -1}, "t_tail2")
     assert flushed.replace(tzinfo=None) == last_end.replace(tzinfo=None)
+
+
+def test_null_keys_and_times_keep_their_rows(spark):
+    from tidemark.operators import sequence
+    rows = [(None, 10, 1), (None, 100, 2), (1, None, 3), (1, 20, 4), (None, None, 5)]
+    df = spark.createDataFrame(rows, "user_id bigint, s bigint, seq bigint").select(
+        "user_id", F.timestamp_seconds("s").alias("ts"), "seq", F.lit(1).alias("one"))
+    summed = sequence.running_sum(df, "user_id", "ts", "seq", "one", "n")
+    assert {r.seq: r.n for r in summed.collect()} == {5: 1, 1: 2, 2: 3, 3: 1, 4: 2}
+    near = sequence.with_neighbors(df, "user_id", "ts", "seq", [], 1, "_p")
+    assert {r.seq: [p.seq for p in r["_p"]] for r in near.collect()} == {5: [], 1: [5], 2: [1], 3: [], 4: [3]}
+    assert sequence.next_match(df, "user_id", "ts", "seq", F.col("seq") == 2).count() == 5
+    assert sequence.running_max_before(df, "ts", "seq", "seq", "m").count() == 5

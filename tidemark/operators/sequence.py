@@ -9,6 +9,9 @@ per key.  Rows are ordered by ``(ts, seq)``; ``seq`` breaks ties.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.time import duration_us, to_micros
@@ -25,6 +28,14 @@ def time_bucket(ts: str, bucket) -> F.Column:
     return F.floor(to_micros(ts) / F.lit(us)).cast("bigint")
 
 
+def rejoin(df: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """``df`` with the columns of ``table``, whose rows are one for each value of ``on``
+    in ``df``; null is a value like others, so no row is lost."""
+    names = {c: f"_on_{c}" for c in on}
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return df.join(table.withColumnsRenamed(names), same).drop(*names.values())
+
+
 def bucket_offsets(df: DataFrame, keys, bucket_col: str, value=None) -> DataFrame:
     """Per (keys, bucket): ``_bn`` = rows (or sum of ``value``) in the
     bucket and ``_boff`` = the same summed over the key's earlier buckets."""
@@ -44,7 +55,7 @@ def running_sum(df: DataFrame, keys, ts: str, seq: str, value: str, out: str,
     off = bucket_offsets(d, keys, "_b", F.col(value)).select(*keys, "_b", "_boff")
     w = (Window.partitionBy(*keys, "_b").orderBy(ts, seq)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (d.join(off, [*keys, "_b"])
+    return (rejoin(d, off, [*keys, "_b"])
             .withColumn(out, (F.col("_boff") + F.sum(value).over(w)).cast("bigint"))
             .drop("_b", "_boff"))
 
@@ -97,7 +108,7 @@ def with_neighbors(df: DataFrame, keys, ts: str, seq: str, fields, n: int = 1, o
     if n_after:
         carry_cols.append(F.flatten(F.collect_list("_head").over(wb.rowsBetween(1, n_after))).alias("_ca"))
     carry = edges.select(*keys, "_b", *carry_cols)
-    j = d.join(carry, [*keys, "_b"])
+    j = rejoin(d, carry, [*keys, "_b"])
     wi = Window.partitionBy(*keys, "_b").orderBy(ts, seq)
     if n_before:
         allv = F.concat(F.col("_cb"), F.collect_list(ev).over(wi.rowsBetween(-n_before, -1)))
@@ -123,7 +134,7 @@ def next_match(df: DataFrame, keys, ts: str, seq: str, is_target, out: str = "_n
     carry = firsts.select(*keys, "_b", F.min("_bmin").over(wb).alias("_carry"))
     wi = (Window.partitionBy(*keys, "_b").orderBy(F.col(ts).desc(), F.col(seq).desc())
           .rowsBetween(Window.unboundedPreceding, -1))
-    return (d.join(carry, [*keys, "_b"])
+    return (rejoin(d, carry, [*keys, "_b"])
             .withColumn(out, F.coalesce(F.min("_tgt").over(wi), F.col("_carry")))
             .drop("_b", "_tgt", "_carry"))
 
@@ -155,8 +166,8 @@ def running_max_before(df: DataFrame, order_ts: str, seq: str, value: str, out:
         Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)).alias("_cc"))
     f_carry = fine.select("_c", "_b", F.max("_bm").over(
         Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_fc"))
-    carry = f_carry.join(c_carry, "_c").select(
+    carry = rejoin(f_carry, c_carry, ["_c"]).select(
         "_b", F.greatest(F.col("_fc"), F.col("_cc")).alias("_carry"))  # greatest skips NULLs
     wi = Window.partitionBy("_b").orderBy(order_ts, seq).rowsBetween(Window.unboundedPreceding, -1)
-    j = d.join(carry, "_b").withColumn("_in", F.max(value).over(wi))
+    j = rejoin(d, carry, ["_b"]).withColumn("_in", F.max(value).over(wi))
     return j.withColumn(out, F.greatest(F.col("_in"), F.col("_carry"))).drop("_b", "_c", "_carry", "_in")

@@ -12,9 +12,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.functions.hashing import salt as salt_expr
 from tidemark.functions.time import duration_us, from_micros, to_micros, ts_type_of
 
-# Above this many windows per row, the pane form is used by default.
-PANE_FANOUT_THRESHOLD = 8
-
 
 def _keys(keys) -> list[str]:
     if keys is None:
@@ -41,9 +38,7 @@ def sliding_count(df: DataFrame, keys, ts: str = "ts", size="1 hour", slide="5 m
                   out: str = "cnt", panes: bool | None = None, method: str | None = None) -> DataFrame:
     """Count per key and sliding window -> (keys..., window_end, cnt).
 
-    Pane form (default when a row falls into more than
-    ``PANE_FANOUT_THRESHOLD`` windows and size is a multiple of slide):
-    count per slide-wide pane first (map-side partial aggregation, one
+    Pane form (default when size is a multiple of slide): count per slide-wide pane first (map-side partial aggregation, one
     shuffle of pane counts), then expand each *pane count* to the
     ``size/slide`` windows that contain it and sum.  This replaces
     ``rows x size/slide`` expanded rows with ``panes x size/slide``.
@@ -54,7 +49,7 @@ def sliding_count(df: DataFrame, keys, ts: str = "ts", size="1 hour", slide="5 m
     ntz = ts_type_of(df, ts)
     fanout, rem = divmod(size_us, slide_us)
     if panes is None:
-        panes = rem == 0 and fanout > PANE_FANOUT_THRESHOLD
+        panes = rem == 0
     if panes and rem != 0:
         raise ValueError("pane form needs size to be a multiple of slide")
     if method is None:

@@ -238,16 +238,31 @@ def q_uv_hourly_bitmap_agg(spark, sf):
     return distinct.uv_bitmap(dt.events(spark, sf), "user_id", "ts", "1 hour", method="bitmaps")
 
 
-@register("uv_hourly_hll")  # approximate: rows-only check; tolerance in tests
+def _beside_exact(approx, exact):
+    """Exact counts, and whether the approximate ones lie within 5 percent of them."""
+    near = F.abs(F.col("_approx") - F.col("uv")) <= F.greatest(F.lit(1), F.col("uv") * 0.05)
+    return (exact.join(approx.withColumnRenamed("uv", "_approx"), "window_end", "full")
+            .select("window_end", "uv", F.coalesce(near, F.lit(False)).alias("within_5_percent")))
+
+
+@register("uv_hourly_hll", f"""
+SELECT {HOUR_END_SQL} AS window_end, CAST(count(DISTINCT user_id) AS BIGINT) AS uv, true AS within_5_percent
+FROM events GROUP BY 1""")
 def q_uv_hourly_hll(spark, sf):
-    return distinct.uv_hll(dt.events(spark, sf), "user_id", "ts", "1 hour", rsd=0.01)
+    e = dt.events(spark, sf)
+    return _beside_exact(distinct.uv_hll(e, "user_id", "ts", "1 hour", rsd=0.01),
+                         distinct.uv_exact(e, "user_id", "ts", "1 hour"))
 
 
-@register("uv_daily_hll_rollup")  # approximate: rows-only check; tolerance in tests
+@register("uv_daily_hll_rollup", """
+SELECT date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, CAST(count(DISTINCT user_id) AS BIGINT) AS uv,
+       true AS within_5_percent
+FROM events GROUP BY 1""")
 def q_uv_daily_hll_rollup(spark, sf):
     """Hourly mergeable sketches rolled up to days by sketch union."""
-    hourly = distinct.uv_sketches(dt.events(spark, sf), "user_id", "ts", "1 hour", lg_k=12)
-    return distinct.uv_rollup(hourly, "1 day")
+    e = dt.events(spark, sf)
+    hourly = distinct.uv_sketches(e, "user_id", "ts", "1 hour", lg_k=12)
+    return _beside_exact(distinct.uv_rollup(hourly, "1 day"), distinct.uv_exact(e, "user_id", "ts", "1 day"))
 
 
 @register("uv_running", f"""

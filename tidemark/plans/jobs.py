@@ -28,7 +28,7 @@ def hot_items_stream(behavior: DataFrame, size="1 hour", slide="5 minutes", n: i
     """Append-mode chained top-N (ascending timestamps: zero delay)."""
     s = swin.event_time(behavior, "ts", delay)
     pv = s.where(F.when(F.col("ts").isNotNull(), F.col("behavior") == "pv"))
-    return swin.topn_stream(swin.sliding_count_stream(pv, "item_id", "ts", size, slide), "item_id", n)
+    return swin.topn_stream(swin.sliding_count_stream(pv, "item_id", "ts", size, slide, panes=True), "item_id", n)
 
 
 def hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", n: int = 5, disorder="1 second",
@@ -116,7 +116,7 @@ def channel_promotion_stream(market: DataFrame, size="1 hour", slide="5 seconds"
     m = market.withColumn("ts", F.current_timestamp()) if processing_time else market
     m = swin.event_time(m, "ts", disorder)
     m = m.where(F.when(F.col("ts").isNotNull(), ~F.col("behavior").eqNullSafe("UNINSTALL")))
-    return swin.sliding_count_stream(m, ["channel", "behavior"], "ts", size, slide).select(
+    return swin.sliding_count_stream(m, ["channel", "behavior"], "ts", size, slide, panes=True).select(
         "channel", "behavior", F.col("w.end").alias("window_end"), "cnt")
 
 
@@ -136,7 +136,8 @@ def ad_clicks_stream(clicks: DataFrame, cap: int = 100, size="1 hour", slide="5
     ``province``."""
     s = swin.event_time(clicks, "ts", disorder)
     tagged = processors.daily_cap_stream(s, cap, tz, extra=("province",))
-    counts = swin.sliding_count_stream(tagged.where(F.col("tag") == "pass"), "province", "ts", size, slide)
+    counts = swin.sliding_count_stream(tagged.where(F.col("tag") == "pass"), "province", "ts", size, slide,
+                                       panes=True)
     return (counts.select("province", F.col("w.end").alias("window_end"), "cnt"),
             tagged.where(F.col("tag") == "warning"))
 

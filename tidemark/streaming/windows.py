@@ -22,22 +22,20 @@ def event_time(df: DataFrame, ts: str = "ts", delay="0 seconds") -> DataFrame:
 
 
 def sliding_count_stream(df: DataFrame, keys, ts: str = "ts", size="1 hour", slide="5 minutes",
-                         panes: bool | None = None) -> DataFrame:
+                         panes: bool = False) -> DataFrame:
     """Windowed count keeping the ``w`` window struct (needed by a chained
     aggregation as its event-time column).
 
-    Pane form (large fan-out, size a multiple of slide): count per
+    Pane form (``panes=True``; size a multiple of slide): count per
     slide-wide tumbling pane, then a chained windowed sum over
     ``window_time(pane)`` (the pane's last instant, which lies in exactly
     the windows that contain the pane).  The pane form chains two stateful
-    aggregations, which Spark allows in append mode only; pass
-    ``panes=False`` for ``update`` mode."""
-    from tidemark.operators.windows import PANE_FANOUT_THRESHOLD
+    aggregations, which Spark allows in append mode only; the direct form
+    serves ``update`` mode too."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     size_us, slide_us = duration_us(size), duration_us(slide)
-    fan, rem = divmod(size_us, slide_us)
-    if panes is None:
-        panes = rem == 0 and fan > PANE_FANOUT_THRESHOLD
+    if panes and size_us % slide_us:
+        raise ValueError("pane form needs size to be a multiple of slide")
     sz, sl = f"{size_us} microseconds", f"{slide_us} microseconds"
     if not panes:
         return df.groupBy(F.window(F.col(ts), sz, sl).alias("w"), *keys).agg(F.count(F.lit(1)).alias("cnt"))
