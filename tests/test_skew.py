@@ -1,6 +1,6 @@
 """Hot keys: a third of the rows on one key.  The bucketed operators must
-agree with plain per-key window formulations, and the long-segment path of
-the burst detector (pointer doubling) with its bounded fold."""
+agree with plain per-key window formulations, and the burst detector with
+a walk over each key."""
 
 from pyspark.sql import Window, functions as F
 
@@ -50,18 +50,63 @@ def test_hot_key_running_uv_matches_plain_window(spark):
     _same(got, want)
 
 
-def test_bursts_doubling_equals_fold(spark, monkeypatch):
-    lg = _hot(dt.logins(spark, SF_SMALL))
-    want = patterns.login_fail_bursts(lg, horizon="5 hours")
-    monkeypatch.setattr(patterns, "FOLD_LIMIT", 1)
-    got = patterns.login_fail_bursts(lg, horizon="5 hours")
-    assert want.count() > 0
-    _same(got, want)
+def _bursts_by_hand(rows, horizon_us):
+    out = []
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r.user_id, []).append(r)
+    for key, rs in by_key.items():
+        open_ = None
+        for r in sorted(rs, key=lambda r: (r.m, r.seq)):
+            if open_ and r.m > open_[0] + horizon_us:
+                out.append((key, *open_))
+                open_ = None
+            if r.event_type == "fail":
+                open_ = (open_[0], r.m, open_[2] + 1) if open_ else (r.m, r.m, 1)
+            else:
+                open_ = None
+        if open_:
+            out.append((key, *open_))
+    return sorted(r for r in out if r[3] >= 2)
+
+
+def test_bursts_of_hot_key_match_a_walk(spark):
+    lg = _hot(dt.logins(spark, SF))
+    # the same rows squeezed in time: long segments with many bursts each
+    dense = lg.withColumn("ts", F.timestamp_micros((F.unix_micros(F.col("ts").cast("timestamp")) / 60).cast("bigint")))
+    for d in (lg, dense):
+        rows = d.select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("m"), "seq", "event_type").collect()
+        want = _bursts_by_hand(rows, 5 * 3600 * 10**6)
+        got = patterns.login_fail_bursts(d, horizon="5 hours")
+        got = got.select("user_id", F.unix_micros(F.col("first_ts").cast("timestamp")).alias("a"),
+                         F.unix_micros(F.col("last_ts").cast("timestamp")).alias("z"), "n_fails").collect()
+        assert want and sorted(tuple(r) for r in got) == want
+
+
+def test_halo_and_stitched_forms_agree(spark):
+    """Partners exactly at, one microsecond inside and outside a border of the buckets."""
+    rows, seq = [], 0
+    for k in range(1, 12):               # halo buckets of 2 s patterns are 8 s wide
+        for off in (-2_000_000, -1_999_999, -1, 0, 1, 1_999_999, 2_000_000, 2_000_001):
+            rows.append((k % 3, "fail" if (seq * 7) % 5 else "success", 8_000_000 * k + off, seq))
+            seq += 1
+    rows += [(1, "fail", None, seq), (None, "fail", 8_000_000, seq + 1), (None, "fail", 8_000_001, seq + 2)]
+    df = spark.createDataFrame(rows, "user_id bigint, event_type string, us bigint, seq bigint").withColumn(
+        "ts", F.timestamp_micros("us"))
+    for fn, kw in ((patterns.login_fail_pairs, {}), (patterns.login_fail_pairs, {"inclusive": False}),
+                   (patterns.match_next, {}), (patterns.match_consecutive, {"n": 2}), (patterns.match_consecutive, {"n": 3})):
+        got = fn(df, within="2 seconds", **kw)
+        assert got.count() > 0
+        _same(got, fn(df, within="2 seconds", bucket="1 second", **kw))
+    names = dict(key="user_id", start="fail", end="success", within="2 seconds")
+    for fn in (patterns.followed_by, patterns.order_timeout_state):
+        got = fn(df.where("us IS NOT NULL"), **names)
+        assert got.count() > 0
+        _same(got, fn(df.where("us IS NOT NULL"), bucket="1 second", **names))
 
 
 def test_bursts_long_segment(spark):
-    # 600 failures one second apart (a segment far above the fold limit, so
-    # pointer doubling runs): greedy 5 s bursts of 6 failures each, the
+    # 600 failures one second apart (one segment): greedy 5 s bursts of 6 failures each, the
     # k-th starting at 1000 + 6(k-1); the last one covers 1594..1599.
     def run(success_ts):
         rows = [(7, "fail", 1000 + i, i) for i in range(600)] + [(7, "success", success_ts, 600)]

@@ -1,28 +1,50 @@
 """Event-pattern operators over a key's timeline in ``(ts, seq)`` order.
 
-All forms are exact batch plans built from ``with_neighbors`` /
-``next_match`` (partitioned by key and time bucket); the streaming forms
-are the processors in ``tidemark.streaming.processors``.
+Every pattern is bounded by a duration, so by default rows are copied
+across the borders of time buckets (``sequence.halo``) and one window over
+``(key, bucket)`` decides: one shuffle, no join.  A bucket is some multiple
+of the pattern's duration; where that is long and a single key holds very
+many rows, pass ``bucket`` (e.g. ``"1 minute"``) for the stitched form of
+``with_neighbors`` / ``next_match``, which splits a key finer and joins a
+per-bucket table.  The streaming forms are the processors in
+``tidemark.streaming.processors``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
 
-from tidemark.functions.time import interval
-from tidemark.operators.sequence import DEFAULT_BUCKET, next_match, with_neighbors
+from pyspark.sql import DataFrame, Window, functions as F
+
+from tidemark.functions.time import duration_us, interval, to_micros
+from tidemark.operators.sequence import halo, home_rows, next_match, with_neighbors
+from tidemark.session import reliable_checkpoint
 
 
 def _is(col, value):
     return F.col(col) == F.lit(value)
 
 
+def _neighbors(df: DataFrame, key: str, ts: str, seq: str, event: str, n: int, out: str, within,
+               direction: str = "preceding", bucket=None) -> DataFrame:
+    """``with_neighbors`` for neighbours at most ``within`` away (farther ones may be missing)."""
+    if bucket is not None:
+        return with_neighbors(df, key, ts, seq, [event], n, out, direction, bucket)
+    reach = duration_us(within)
+    back = direction == "preceding"
+    d = halo(df, ts, reach, 0) if back else halo(df, ts, 0, reach)
+    ev = F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col(event))
+    w = Window.partitionBy(key, "_hb").orderBy(ts, seq)
+    w = w.rowsBetween(-n, -1) if back else w.rowsBetween(1, n)
+    return home_rows(d.withColumn(out, F.collect_list(ev).over(w)))
+
+
 def login_fail_pairs(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: str = "seq",
                      event: str = "event_type", fail: str = "fail", within="2 seconds",
-                     inclusive: bool = True, bucket=DEFAULT_BUCKET) -> DataFrame:
+                     inclusive: bool = True, bucket=None) -> DataFrame:
     """Two failures in a row (no other event of the key between) at most
     ``within`` apart (``<=``; strict ``<`` with ``inclusive=False``)."""
-    d = with_neighbors(df, key, ts, seq, [event], 1, "_p", "preceding", bucket)
+    d = _neighbors(df, key, ts, seq, event, 1, "_p", within, bucket=bucket)
     prev = F.get(F.col("_p"), 0)
     gap_ok = (F.col(ts) <= prev["ts"] + interval(within)) if inclusive else (
         F.col(ts) < prev["ts"] + interval(within))
@@ -33,13 +55,16 @@ def login_fail_pairs(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: s
 
 def match_consecutive(df: DataFrame, n: int = 2, key: str = "user_id", ts: str = "ts",
                       seq: str = "seq", event: str = "event_type", fail: str = "fail",
-                      within="2 seconds", bucket=DEFAULT_BUCKET) -> DataFrame:
+                      within="2 seconds", bucket=None) -> DataFrame:
     """Every run of ``n`` consecutive matching events of a key whose last
     minus first is strictly below ``within``; overlapping runs all
     reported."""
-    d = with_neighbors(df, key, ts, seq, [event], n - 1, "_p", "preceding", bucket)
+    if n == 1:
+        return df.where(_is(event, fail) & F.col(ts).isNotNull()).select(
+            key, F.col(ts).alias("first_ts"), F.col(ts).alias("last_ts"), F.lit(1).cast("bigint").alias("n_fails"))
+    d = _neighbors(df, key, ts, seq, event, n - 1, "_p", within, bucket=bucket)
     prev_all = F.forall("_p", lambda e: e[event] == F.lit(fail))
-    first_ts = F.get(F.col("_p"), 0)["ts"] if n > 1 else F.col(ts)
+    first_ts = F.get(F.col("_p"), 0)["ts"]
     hit = _is(event, fail) & (F.size("_p") == n - 1) & prev_all & (
         F.col(ts) < first_ts + interval(within))
     return d.where(hit).select(key, first_ts.alias("first_ts"), F.col(ts).alias("last_ts"),
@@ -48,10 +73,10 @@ def match_consecutive(df: DataFrame, n: int = 2, key: str = "user_id", ts: str =
 
 def match_next(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: str = "seq",
                event: str = "event_type", fail: str = "fail", within="2 seconds",
-               bucket=DEFAULT_BUCKET) -> DataFrame:
+               bucket=None) -> DataFrame:
     """``begin(fail).next(fail).within(T)``: a failure whose very next event
     of the key is a failure less than ``within`` later."""
-    d = with_neighbors(df, key, ts, seq, [event], 1, "_n", "following", bucket)
+    d = _neighbors(df, key, ts, seq, event, 1, "_n", within, "following", bucket)
     nxt = F.get(F.col("_n"), 0)
     hit = _is(event, fail) & (F.size("_n") == 1) & (nxt[event] == F.lit(fail)) & (
         nxt["ts"] < F.col(ts) + interval(within))
@@ -60,15 +85,23 @@ def match_next(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: str = "
 
 def followed_by(df: DataFrame, key: str = "order_id", ts: str = "ts", seq: str = "seq",
                 event: str = "event_type", start: str = "create", end: str = "pay",
-                within="15 minutes", bucket=DEFAULT_BUCKET) -> DataFrame:
+                within="15 minutes", bucket=None) -> DataFrame:
     """``begin(start).followedBy(end).within(T)`` with both outcomes: every
     ``start`` row with the first later ``end`` row of its key (other rows
     skipped); ``matched`` when that row is strictly less than ``within``
     later, else timed out at ``deadline = start ts + within``."""
     d = df.where(F.col(event).isin(start, end))
-    d = next_match(d, key, ts, seq, _is(event, end), "_nx", bucket).where(_is(event, start))
+    if bucket is not None:
+        d = next_match(d, key, ts, seq, _is(event, end), "_nx", bucket)
+    else:
+        # a running frame over the reversed order is evaluated incrementally
+        later = (Window.partitionBy(key, "_hb").orderBy(F.col(ts).desc(), F.col(seq).desc())
+                 .rowsBetween(Window.unboundedPreceding, -1))
+        target = F.when(_is(event, end), F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq")))
+        d = home_rows(halo(d, ts, 0, duration_us(within)).withColumn("_nx", F.min(target).over(later)))
+    d = d.where(_is(event, start))
     deadline = F.col(ts) + interval(within)
-    ok = F.col("_nx").isNotNull() & (F.col("_nx.ts") < deadline)
+    ok = F.coalesce(F.col("_nx.ts") < deadline, F.lit(False))
     return d.select(key, F.col(ts).alias("start_ts"), F.col(seq).alias("start_seq"),
                     F.when(ok, F.col("_nx.ts")).alias("end_ts"),
                     deadline.alias("deadline"), ok.alias("matched"))
@@ -86,7 +119,7 @@ def order_timeout(df: DataFrame, **kw) -> DataFrame:
 
 def order_timeout_state(df: DataFrame, key: str = "order_id", ts: str = "ts", seq: str = "seq",
                         event: str = "event_type", start: str = "create", end: str = "pay",
-                        within="15 minutes", bucket=DEFAULT_BUCKET) -> DataFrame:
+                        within="15 minutes", bucket=None) -> DataFrame:
     """Timer semantics with one open order per key: a ``start`` opens it
     (a later ``start`` before the deadline replaces it silently), an
     ``end`` strictly before the deadline closes it as ``payed``; reaching
@@ -94,7 +127,7 @@ def order_timeout_state(df: DataFrame, key: str = "order_id", ts: str = "ts", se
     ignored.  Each start's fate is decided by the key's next start/end row.
     """
     d = df.where(F.col(event).isin(start, end))
-    d = with_neighbors(d, key, ts, seq, [event], 1, "_n", "following", bucket).where(_is(event, start))
+    d = _neighbors(d, key, ts, seq, event, 1, "_n", within, "following", bucket).where(_is(event, start))
     nxt = F.get(F.col("_n"), 0)
     deadline = F.col(ts) + interval(within)
     status = (F.when(F.size("_n") == 0, F.lit("timeout"))
@@ -104,113 +137,73 @@ def order_timeout_state(df: DataFrame, key: str = "order_id", ts: str = "ts", se
             .where(F.col("status").isNotNull()))
 
 
-MAX_SEQ = (1 << 63) - 1
-# Segments of at most this many failures are folded in one bounded array;
-# longer ones go through pointer doubling (exact for any length).
-FOLD_LIMIT = 256
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    from tidemark.session import reliable_checkpoint
-    return reliable_checkpoint(df)
-
-
-def _fold_bursts(evs, horizon, ts_type):
-    """Greedy bursts of one segment's failures (sorted array of (ts, seq))
-    -> array of (first_ts, last_ts, n_fails)."""
-    h = interval(horizon)
-    burst_t = f"struct<first_ts:{ts_type},last_ts:{ts_type},n_fails:bigint>"
-    init = F.struct(F.lit(None).cast(ts_type).alias("s"), F.lit(None).cast(ts_type).alias("l"),
-                    F.lit(0).cast("bigint").alias("n"), F.array().cast(f"array<{burst_t}>").alias("out"))
-
-    def close(acc):
-        return F.when(acc["s"].isNotNull(), F.array_append(acc["out"], F.struct(
-            acc["s"].alias("first_ts"), acc["l"].alias("last_ts"), acc["n"].alias("n_fails")))).otherwise(acc["out"])
-
-    def step(acc, e):
-        new = acc["s"].isNull() | (e["ts"] > acc["s"] + h)
-        return F.when(new, F.struct(e["ts"].alias("s"), e["ts"].alias("l"), F.lit(1).cast("bigint").alias("n"),
-                                    close(acc).alias("out"))).otherwise(
-            F.struct(acc["s"].alias("s"), e["ts"].alias("l"), (acc["n"] + 1).alias("n"), acc["out"].alias("out")))
-
-    return F.aggregate(evs, init, step, close)
-
-
-def _bursts_by_doubling(fails: DataFrame, key, ts, seq, horizon, bucket) -> DataFrame:
-    """Bursts of arbitrarily long segments: failure -> next start candidate
-    pointers, chain from each segment head marked by pointer doubling."""
-    from tidemark.operators.sequence import running_sum
-    probes = fails.select(key, "_seg", (F.col(ts) + interval(horizon)).alias(ts),
-                          F.lit(MAX_SEQ).cast("bigint").alias(seq), F.col(seq).alias("_of"))
-    u = fails.select(key, "_seg", ts, seq, F.lit(None).cast("bigint").alias("_of")).unionByName(probes)
-    u = next_match(u, [key, "_seg"], ts, seq, F.col("_of").isNull(), "_nm", bucket)
-    jump = _checkpointed(u.where(F.col("_of").isNotNull())
-                         .select(F.col("_of").alias("_id"), F.col("_nm.seq").alias("_to")))
-    longest = fails.agg(F.max("_len")).first()[0] or 1
-    marked = fails.where(F.col("_ss") == 1).select(F.col(seq).alias("_id"))
-    for _ in range(max(1, int(longest - 1).bit_length())):
-        step = marked.join(jump, "_id").where(F.col("_to").isNotNull()).select(F.col("_to").alias("_id"))
-        marked = _checkpointed(marked.unionByName(step))
-        j2 = jump.alias("a").join(jump.alias("b"), F.col("a._to") == F.col("b._id"), "left")
-        jump = _checkpointed(j2.select(F.col("a._id").alias("_id"), F.col("b._to").alias("_to")))
-    starts = marked.select(F.col("_id").alias(seq), F.lit(1).alias("_st"))
-    f2 = fails.join(starts, seq, "left").withColumn("_st", F.coalesce("_st", F.lit(0)))
-    f2 = running_sum(f2, [key, "_seg"], ts, seq, "_st", "_burst", bucket)
-    b = f2.groupBy(key, "_seg", "_burst").agg(
-        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
-        F.count(F.lit(1)).cast("bigint").alias("n_fails"),
-        F.max_by("_term", F.struct(F.col(ts), F.col(seq))).alias("_term"))
-    last = b.groupBy(key, "_seg").agg(F.max("_burst").alias("_lb"))
-    return (b.join(last, [key, "_seg"]).withColumn("_last", F.col("_burst") == F.col("_lb"))
-            .select(key, "first_ts", "last_ts", "n_fails", "_last", "_term"))
-
-
 def login_fail_bursts(df: DataFrame, key: str = "user_id", ts: str = "ts", seq: str = "seq",
                       event: str = "event_type", fail: str = "fail", horizon="5 seconds",
-                      min_fails: int = 2, bucket=DEFAULT_BUCKET) -> DataFrame:
+                      min_fails: int = 2) -> DataFrame:
     """Failure bursts with a timer: the first failure opens a burst with a
     deadline ``horizon`` later (inclusive); failures up to the deadline
     join it; a success up to the deadline cancels it; at the deadline the
     burst is reported if it holds at least ``min_fails`` failures.  The
-    next failure after the deadline opens a new burst.
-
-    Distributed form: (1) *segments* are runs of failures with no success
-    between and gaps of at most ``horizon`` (a larger gap always restarts
-    the chain); (2) a segment of at most ``FOLD_LIMIT`` failures is folded
-    greedily over its sorted array (bounded size); (3) longer segments use
-    pointers from each failure to the first failure past its deadline
-    (``next_match`` on probe rows) and mark the chain from the segment head
-    by pointer doubling in ``ceil(log2(length))`` rounds of joins
-    (checkpointed), so no long segment is ever gathered in one task;
-    (4) a segment-ending success inside the last burst's horizon cancels it.
+    next failure after the deadline opens a new burst.  Rows without a time
+    take no part.
+
+    (1) A *segment* is a run of failures with no success between and gaps of
+    at most ``horizon``; its first failure always opens a burst.  Within one
+    segment all that a burst needs lies within two horizons of its first
+    failure, so one shuffle into haloed time buckets gives every failure the
+    burst it would open: size, last row, cancellation, and the failure that
+    would open the next one.  (2) Which failures do open one follows from
+    the pointers to the next: marked from the segments' heads by pointer
+    doubling, one round more than the logarithm of the most bursts in one
+    segment.  Each round runs as the query is built, cut by a reliable
+    checkpoint; no segment, however long, is gathered in one task.
     """
-    from tidemark.operators.sequence import running_sum
-
-    ts_type = df.schema[ts].dataType.simpleString()
-    is_fail = F.col(event) == F.lit(fail)
-    d = with_neighbors(df, key, ts, seq, [event], 1, "_p", "preceding", bucket,
-                       n_after=1, out_after="_nx")
-    prev = F.get(F.col("_p"), 0)
-    seg_start = is_fail & ((F.size("_p") == 0) | (prev[event] != F.lit(fail))
-                           | (F.col(ts) > prev["ts"] + interval(horizon)))
-    fails = (d.where(is_fail)
-             .select(key, ts, seq, seg_start.cast("int").alias("_ss"),
-                     F.get(F.col("_nx"), 0).alias("_term")))
-    fails = running_sum(fails, key, ts, seq, "_ss", "_seg", bucket)
-    sizes = fails.groupBy(key, "_seg").agg(F.count(F.lit(1)).alias("_len"))
-    fails = _checkpointed(fails.join(sizes, [key, "_seg"]))
-
-    short = (fails.where(F.col("_len") <= FOLD_LIMIT).groupBy(key, "_seg")
-             .agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq")))).alias("_evs"),
-                  F.max_by("_term", F.struct(F.col(ts), F.col(seq))).alias("_term")))
-    folded = short.select(key, "_term", _fold_bursts(F.col("_evs"), horizon, ts_type).alias("_bs"))
-    bursts = (folded.select(key, "_term", F.size("_bs").alias("_nb"), F.posexplode("_bs").alias("_i", "_b"))
-              .select(key, "_b.first_ts", "_b.last_ts", "_b.n_fails",
-                      (F.col("_i") == F.col("_nb") - 1).alias("_last"), "_term"))
-    long_ = fails.where(F.col("_len") > FOLD_LIMIT)
-    if not long_.isEmpty():
-        bursts = bursts.unionByName(_bursts_by_doubling(long_, key, ts, seq, horizon, bucket))
-    cancelled = (F.col("_last") & F.col("_term").isNotNull() & (F.col("_term")[event] != F.lit(fail))
-                 & (F.col("_term.ts") <= F.col("first_ts") + interval(horizon)))
-    return (bursts.where((F.col("n_fails") >= min_fails) & ~F.coalesce(cancelled, F.lit(False)))
+    h = duration_us(horizon)
+    at = F.col("_m")
+    d = halo(df.where(F.col(ts).isNotNull()), ts, h, 2 * h)
+    d = d.withColumn("_m", to_micros(ts)).withColumn("_f", F.col(event).eqNullSafe(fail))
+    w = Window.partitionBy(key, "_hb").orderBy(ts, seq)
+    d = d.select("*", F.lag("_f").over(w).alias("_pf"), F.lag("_m").over(w).alias("_pm"),
+                 F.lead("_f").over(w).alias("_nf"), F.lead("_m").over(w).alias("_nm"))
+    d = d.where("_f").withColumn("_head", F.coalesce(~F.col("_pf") | (at > F.col("_pm") + F.lit(h)), F.lit(True)))
+    d = d.withColumn("_seg", F.sum(F.col("_head").cast("int")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    seg = Window.partitionBy(key, "_hb", "_seg")
+    up, down = seg.orderBy("_m"), seg.orderBy(at.desc())
+    until = up.rangeBetween(Window.unboundedPreceding, h)
+    success = F.when(~F.col("_nf"), F.col("_nm"))
+    # a burst opens at the first failure of its instant: those before it are strictly earlier
+    d = d.select("*", F.max(F.struct(F.col(ts), F.col(seq), success.alias("stop"))).over(until).alias("_last"),
+                 (F.count(F.lit(1)).over(until)
+                  - F.count(F.lit(1)).over(up.rangeBetween(Window.unboundedPreceding, -1))).alias("_n"),
+                 F.min(F.struct(F.col(ts), F.col(seq))).over(
+                     down.rangeBetween(Window.unboundedPreceding, -(h + 1))).alias("_nx"))
+    stop = F.col("_last.stop")
+    ident = [F.col(key).alias("k")]
+    fails = reliable_checkpoint(home_rows(d).select(
+        key, F.col(ts).alias("first_ts"), F.col(f"_last.{ts}").alias("last_ts"), F.col("_n").alias("n_fails"), "_head",
+        F.coalesce(stop <= at + F.lit(h), F.lit(False)).alias("_cancelled"),
+        F.struct(*ident, F.col(ts).alias("t"), F.col(seq).alias("s")).alias("_id"),
+        F.when(F.col("_nx").isNotNull(), F.struct(
+            *ident, F.col(f"_nx.{ts}").alias("t"), F.col(f"_nx.{seq}").alias("s"))).alias("_to")))
+    bursts = fails.where("_head")
+    starts = _chained(bursts.select("_id"), fails.where(F.col("_to").isNotNull()).select("_id", "_to"))
+    if starts is not None:
+        bursts = bursts.unionByName(fails.join(starts, "_id", "left_semi"))
+    return (bursts.where((F.col("n_fails") >= min_fails) & ~F.col("_cancelled"))
             .select(key, "first_ts", "last_ts", "n_fails"))
+
+
+def _chained(heads: DataFrame, jump: DataFrame) -> DataFrame | None:
+    """All ``_id`` reached from ``heads`` by one or more pointers ``_id -> _to``
+    (no chains that meet), ``None`` if there are none: before round k all at a distance
+    below ``2**k`` are marked and ``jump`` spans ``2**k`` pointers."""
+    steps = []
+    while True:
+        marked = reduce(DataFrame.unionByName, steps, heads)
+        step = reliable_checkpoint(marked.join(jump, "_id").select(F.col("_to").alias("_id")))
+        if step.isEmpty():
+            return reduce(DataFrame.unionByName, steps) if steps else None
+        steps.append(step)
+        a, b = jump.alias("a"), jump.alias("b")
+        jump = reliable_checkpoint(a.join(b, F.col("a._to") == F.col("b._id")).select("a._id", "b._to"))

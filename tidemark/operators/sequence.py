@@ -36,6 +36,29 @@ def rejoin(df: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
     return df.join(table.withColumnsRenamed(names), same).drop(*names.values())
 
 
+def halo(df: DataFrame, ts: str, before_us: int = 0, after_us: int = 0, factor: int = 4) -> DataFrame:
+    """Rows copied into every time bucket that needs them, for order work in
+    which a row looks back at most ``before_us`` and ahead at most
+    ``after_us`` microseconds: one window over ``(keys, _hb)`` then sees all
+    that matters to its home rows (``_home``), without any join.
+
+    Buckets are ``factor`` reaches wide, so at most about ``1/factor`` of the
+    rows are copied.  Rows without a time share one bucket of their own.
+    """
+    width = F.lit(max(factor * (before_us + after_us), 1))
+    m = to_micros(ts)
+
+    def start(c):
+        return c - F.pmod(c, width)
+    spread = F.sequence(start(m - F.lit(after_us)), start(m + F.lit(before_us)), width)
+    return df.withColumn("_hb", F.explode_outer(spread)).withColumn("_home", F.col("_hb").eqNullSafe(start(m)))
+
+
+def home_rows(df: DataFrame) -> DataFrame:
+    """The rows of :func:`halo` without the copies."""
+    return df.where("_home").drop("_hb", "_home")
+
+
 def bucket_offsets(df: DataFrame, keys, bucket_col: str, value=None) -> DataFrame:
     """Per (keys, bucket): ``_bn`` = rows (or sum of ``value``) in the
     bucket and ``_boff`` = the same summed over the key's earlier buckets."""
