@@ -29,3 +29,13 @@ def ref(spark):
         df = read_records(spark, kind, os.path.join(DATA, fname)).coalesce(1)
         out[kind] = with_event_time(df).cache()
     return out
+
+
+def topn_rows(counts, key, n=5):
+    """Run finished counts (append mode) through the top-N sink; its rows as a batch DataFrame."""
+    from tidemark.streaming import windows as sw
+    root = tempfile.mkdtemp(prefix="tidemark-test-top-")
+    out = os.path.join(root, "top")
+    (counts.writeStream.outputMode("append").foreachBatch(lambda b, i: sw.topn_sink(b, i, out, key, n))
+     .option("checkpointLocation", os.path.join(root, "ck")).trigger(availableNow=True).start().awaitTermination())
+    return counts.sparkSession.read.parquet(out).drop("batch")

@@ -4,7 +4,7 @@ import datetime as dtm
 
 from pyspark.sql import functions as F
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, topn_rows
 from tidemark.operators import caps, distinct, joins, patterns, topn, windows
 from tidemark.sources import driver_tables as dt
 
@@ -147,8 +147,8 @@ def test_unflushed_tail_needs_sentinel(spark):
     def run(sentinel, name):
         root = runner.write_replay_files(v, 3, sentinel)
         s = sw.event_time(runner.read_replay(spark, root, v.schema), "ts", "0 seconds")
-        out = runner.run_to_memory(sw.topn_stream(sw.sliding_count_stream(s, "item_id", "ts", "1 day", "6 hours"),
-                                                  "item_id", 5), name)
+        out = topn_rows(sw.finished_counts(sw.sliding_count_stream(s, "item_id", "ts", "1 day", "6 hours"), "item_id"),
+                        "item_id")
         return out.where("item_id >= 0").agg(F.max("window_end")).first()[0]
 
     unflushed = run(None, "t_tail0")  # the watermark never passes the last windows
@@ -168,3 +168,29 @@ def test_null_keys_and_times_keep_their_rows(spark):
     assert {r.seq: [p.seq for p in r["_p"]] for r in near.collect()} == {5: [], 1: [5], 2: [1], 3: [], 4: [3]}
     assert sequence.next_match(df, "user_id", "ts", "seq", F.col("seq") == 2).count() == 5
     assert sequence.running_max_before(df, "ts", "seq", "seq", "m").count() == 5
+
+
+def test_sliding_rows_are_late_only_when_every_window_is_closed(spark):
+    from tidemark.operators import late
+    # 30 s windows every 10 s: t=5 lies in the windows that end at 10, 20 and 30 s
+    rows = [(5, w, w) for w in (None, 8, 9, 28, 29, 30, 31)]
+    df = spark.createDataFrame(rows, "t int, w int, seq int").selectExpr(
+        "timestamp_seconds(t) AS ts", "timestamp_seconds(w) AS wm", "seq")
+    got = {r.seq: r.is_late for r in late.mark_late(df, "ts", "wm", "30 seconds", "10 seconds", 0).collect()}
+    assert got == {None: False, 8: False, 9: False, 28: False, 29: False, 30: True, 31: True}
+
+
+def test_sweep_over_chunk_borders(spark):
+    # 3 chunks of ends, ranges that start, end and lie across their borders
+    slide = 10
+    edge = windows.SWEEP_CHUNK * slide
+    rows = [("a", edge - 20, edge + 20, 2), ("a", edge, edge + 10, 1), ("a", 2 * edge - 10, 2 * edge, 5),
+            ("b", 0, 3 * edge, 1), (None, edge - 10, edge, 7), ("c", 5, 5, 1)]
+    df = spark.createDataFrame(rows, "k string, _a bigint, _z bigint, _n bigint")
+    got = {(r.k, r.us): r.cnt for r in windows.sweep_ranges(df, "k", slide, False).selectExpr(
+        "k", "unix_micros(window_end) AS us", "cnt").collect()}
+    want = {}
+    for k, a, z, n in rows:
+        for t in range(a, z, slide):
+            want[k, t] = want.get((k, t), 0) + n
+    assert got == want

@@ -84,13 +84,12 @@ def test_hot_urls_stream_job_update_mode(spark, tmp_path):
 
 
 def test_stream_wrappers(spark, ref):
-    from tests.conftest import SF_SMALL
-    from tidemark.operators import topn as top, windows as win
+    from tests.conftest import SF_SMALL, topn_rows
     from tidemark.sources import driver_tables as dt
     # hot items at the reference's 1 h / 5 min: pane count -> window sum -> top-N, all append mode
     v = dt.item_views(spark, SF_SMALL)
     root = runner.write_replay_files(v, 3, {"user_id": -1, "item_id": -1, "behavior": "pv", "seq": -1})
-    got = runner.run_to_memory(jobs.hot_items_stream(runner.read_replay(spark, root, v.schema)), "j_hi").where(
+    got = topn_rows(jobs.hot_items_stream(runner.read_replay(spark, root, v.schema)), "item_id").where(
         "item_id >= 0").select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "rank", "item_id", "cnt")
     want = jobs.hot_items(v).select("window_end", "rank", "item_id", "cnt")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -110,3 +109,35 @@ def test_stream_wrappers(spark, ref):
                                                      runner.read_replay(spark, rr, rc.schema)), "j_rec")
     rec = rec.where("coalesce(o_seq, 0) >= 0 AND coalesce(r_seq, 0) >= 0")
     assert rec.where("tag = 'matched'").count() == 5 and rec.count() == 74
+
+
+def test_page_views_and_visitors(spark):
+    from tests.conftest import SF_SMALL
+    from tidemark.sources import driver_tables as dt
+    v = dt.item_views(spark, SF_SMALL)
+    plain = jobs.page_views(v)
+    assert plain.agg({"pv": "sum"}).first()[0] == v.where("behavior = 'pv'").count()
+    assert plain.exceptAll(jobs.page_views(v, salted=True)).count() == 0
+    e = dt.events(spark, SF_SMALL).select("user_id", "ts", F.col("event_id").alias("seq"))
+    exact = jobs.unique_visitors(e)
+    last = jobs.unique_visitors(e, method="running").groupBy("window_end").agg(F.max("uv").alias("uv"))
+    assert exact.count() > 0 and exact.exceptAll(last).count() == 0
+    near = exact.join(jobs.unique_visitors(e, method="hll").withColumnRenamed("uv", "h"), "window_end")
+    assert near.count() == exact.count() and near.where("abs(uv - h) > 1 + 0.05 * uv").count() == 0
+    root = runner.write_replay_files(e, 3, {"user_id": -1, "seq": -1})
+    for method in ("exact", "bitmap"):
+        s = runner.read_replay(spark, root, e.schema)
+        got = runner.run_to_memory(jobs.unique_visitors_stream(s, method=method), f"j_uv_{method}")
+        got = got.where("year(window_end) < 2100").select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "uv")
+        want = jobs.unique_visitors(e, method=method)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_topn_sink_ranks_a_window_of_many_keys(spark, tmp_path):
+    n = 100_000
+    counts = spark.range(n).selectExpr("timestamp_seconds(3600) AS window_end", "id AS item_id", "id * 7919 % 1000 AS cnt")
+    sw.topn_sink(counts, 0, str(tmp_path / "top"), "item_id", 3)
+    sw.topn_sink(counts, 0, str(tmp_path / "top"), "item_id", 3)     # a replayed batch replaces its rows
+    got = spark.read.parquet(str(tmp_path / "top")).orderBy("rank").collect()
+    best = sorted(((i * 7919) % 1000 * -1, i) for i in range(n))[:3]
+    assert [(r["rank"], -r.cnt, r.item_id) for r in got] == [(k + 1, *b) for k, b in enumerate(best)]

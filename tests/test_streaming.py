@@ -4,7 +4,7 @@ batch forms."""
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, topn_rows
 from tidemark.operators import caps, distinct, joins, patterns, topn, windows
 from tidemark.sources import driver_tables as dt
 from tidemark.streaming import joins as sj, processors, runner, windows as sw
@@ -61,7 +61,7 @@ def test_chained_topn_stream(spark):
     v = dt.item_views(spark, SF_SMALL).where("behavior = 'pv'")
     s = _replay(spark, v, {"user_id": -1, "item_id": -1, "behavior": "pv", "seq": -1}, n=5)
     counts = sw.sliding_count_stream(s, "item_id", "ts", "1 day", "6 hours")
-    got = runner.run_to_memory(sw.topn_stream(counts, "item_id", 5), "t_top").where("item_id >= 0")
+    got = topn_rows(sw.finished_counts(counts, "item_id"), "item_id").where("item_id >= 0")
     want = topn.topn_per_window(windows.sliding_count(v, "item_id", "ts", "1 day", "6 hours"), "item_id", 5)
     _same(got.select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "rank", "item_id", "cnt"),
           want.select("window_end", "rank", "item_id", "cnt"))

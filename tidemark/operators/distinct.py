@@ -36,7 +36,8 @@ def uv_bitmap(df: DataFrame, user: str = "user_id", ts: str = "ts", size="1 hour
     offs = df.select(_end(df, ts, size), bitmap_offset(user, bits).alias("_off"))
     if method == "distinct":
         return offs.groupBy("window_end").agg(F.count_distinct("_off").alias(out))
-    per_bucket = (offs.groupBy("window_end", F.bitmap_bucket_number("_off").alias("_bk"))
+    # one row per (window, offset) first: sparse ids then fill no partial bitmap per task
+    per_bucket = (offs.distinct().groupBy("window_end", F.bitmap_bucket_number("_off").alias("_bk"))
                   .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_off"))).alias("_n")))
     return per_bucket.groupBy("window_end").agg(F.sum("_n").cast("bigint").alias(out))
 

@@ -60,10 +60,10 @@ def interval_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lts:
         # Swap roles so the right side keeps a single bucket per row.
         return _bucketed_pairs(R, L, rk, lk, rt, lt, upper, lower, "right", "left_anti")
     if how == "full":
-        pairs = interval_join(left, right, lkey, rkey, lts, rts, lower, upper, "inner", lprefix, rprefix)
-        lonly = interval_join(left, right, lkey, rkey, lts, rts, lower, upper, "left_anti", lprefix, rprefix)
+        # a left row has one bucket, so an outer join also finds the left rows without a partner
+        found = _bucketed_pairs(L, R, lk, rk, lt, rt, lower, upper, "right", "left")
         ronly = interval_join(left, right, lkey, rkey, lts, rts, lower, upper, "right_anti", lprefix, rprefix)
-        return pairs.unionByName(lonly, allowMissingColumns=True).unionByName(ronly, allowMissingColumns=True)
+        return found.unionByName(ronly, allowMissingColumns=True)
     raise ValueError(f"unsupported join type {how!r}")
 
 

@@ -18,6 +18,12 @@ from tidemark.operators.windows import sweep_ranges, window_end_col
 ONE_MS = "1 millisecond"
 
 
+def latest_window_end(ts: str, size, slide, ntz: bool) -> F.Column:
+    """End of the last window that holds ``ts``: it starts at the latest slide up to ``ts``."""
+    pane_end = window_end_col(ts, duration_us(slide or size), ntz)
+    return pane_end + F.expr(f"INTERVAL {duration_us(size) - duration_us(slide or size)} MICROSECONDS")
+
+
 def with_row_watermark(df: DataFrame, ts: str = "ts", arrival: str = "arrival", seq: str = "seq",
                        disorder="2 seconds", out: str = "wm", bucket="1 second") -> DataFrame:
     d = running_max_before(df, arrival, seq, ts, "_maxts", bucket)
@@ -35,7 +41,7 @@ def split_late(df: DataFrame, ts: str = "ts", arrival: str = "arrival", seq: str
 def mark_late(df: DataFrame, ts: str, wm: str, size, slide=None, lateness="60 seconds") -> DataFrame:
     """:func:`split_late` for rows that carry their watermark in column ``wm``,
     e.g. one computed on a wider stream."""
-    last_end = window_end_col(ts, duration_us(slide or size), ts_type_of(df, ts))
+    last_end = latest_window_end(ts, size, slide, ts_type_of(df, ts))
     closed = last_end - interval(ONE_MS) + interval(lateness) <= F.col(wm)
     return df.withColumn("is_late", F.coalesce(closed, F.lit(False)))
 

@@ -6,10 +6,9 @@ shuffle, so each map task ships at most N rows per window: the final
 ranking of a window never sees more than ``N x map partitions`` rows, no
 matter how many keys the window holds.
 
-Streaming: ranking functions are not supported on streams; the chained
-form (``tidemark.streaming.windows.topn_stream``) keeps, per window, a
-bounded array ``slice(sort_array(collect_list))`` after the windowed count
-(append mode).
+Streaming: ranking functions are not supported on streams;
+``tidemark.streaming.windows.topn_sink`` ranks the windows that an
+append-mode count finished in a micro-batch, by the same rank limit.
 """
 
 from __future__ import annotations

@@ -13,6 +13,10 @@ from tidemark.functions.hashing import salt as salt_expr
 from tidemark.functions.time import duration_us, from_micros, to_micros, ts_type_of
 
 
+# Window ends per time chunk of a sweep (``sweep_ranges``).
+SWEEP_CHUNK = 4096
+
+
 def _keys(keys) -> list[str]:
     if keys is None:
         return []
@@ -101,20 +105,27 @@ def sweep_ranges(ranges: DataFrame, keys, slide_us: int, ntz: bool, out: str = "
     ``_a, _a+slide, ..., < _z`` (epoch micros).  Returns one row per key and
     window end with a positive total.
 
-    Each range becomes two change points (``+n`` at ``_a``, ``-n`` at
-    ``_z``); a running sum over a key's change points gives the total of
-    each stretch of ends, expanded to rows map-side.  Only change points are
-    shuffled, never one row per (range, end).  The per-key window runs over
-    change points, at most ``2 x span/slide`` per key whatever the row
-    volume.
+    Ranges are cut at the borders of time chunks (``SWEEP_CHUNK`` ends each),
+    so a key's chunks are swept apart, on any number of tasks and with no
+    totals carried over.  Each piece becomes two change points (``+n`` at its
+    start, ``-n`` at its end); a running sum over a chunk's change points gives
+    the total of each stretch of ends, expanded to rows map-side.  Only
+    change points are shuffled, never one row per (range, end), and a window
+    holds at most ``SWEEP_CHUNK + 1`` of them whatever the row volume.
     """
     keys = _keys(keys)
-    deltas = ranges.select(*keys, F.explode(F.array(
-        F.struct(F.col("_a").alias("t"), F.col("_n").alias("d")),
-        F.struct(F.col("_z").alias("t"), (-F.col("_n")).alias("d")),
-    )).alias("_e")).select(*keys, "_e.t", "_e.d")
-    cp = deltas.groupBy(*keys, "t").agg(F.sum("d").alias("d"))
-    w = Window.partitionBy(*keys).orderBy("t")
+    width = F.lit(SWEEP_CHUNK * slide_us)
+
+    def chunk(c):
+        return c - F.pmod(c, width)
+    chunks = F.explode(F.sequence(chunk(F.col("_a")), chunk(F.col("_z") - F.lit(slide_us)), width))
+    pieces = ranges.where(F.col("_a") < F.col("_z")).select(*keys, "_a", "_z", "_n", chunks.alias("_ch"))
+    deltas = pieces.select(*keys, "_ch", F.explode(F.array(
+        F.struct(F.greatest("_a", "_ch").alias("t"), F.col("_n").alias("d")),
+        F.struct(F.least(F.col("_z"), F.col("_ch") + width).alias("t"), (-F.col("_n")).alias("d")),
+    )).alias("_e")).select(*keys, "_ch", "_e.t", "_e.d")
+    cp = deltas.groupBy(*keys, "_ch", "t").agg(F.sum("d").alias("d"))
+    w = Window.partitionBy(*keys, "_ch").orderBy("t")
     runs = cp.select(*keys, "t", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_c"),
                      F.lead("t").over(w).alias("_nt"))
     live = runs.where(F.col("_c") > 0)

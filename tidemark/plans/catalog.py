@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.time import local_day, next_local_midnight
 from tidemark.operators import caps, distinct, joins, late, patterns, topn, windows
+from tidemark.plans import jobs
 from tidemark.sources import driver_tables as dt
 from tidemark.sources.readers import parse_access_log
 
@@ -178,6 +179,20 @@ def q_hot_urls_topn_late(spark, sf):
     return topn.topn_per_window(counts, "url", TOP_N).select("window_end", "rank", "url", "cnt")
 
 
+@register("hot_urls_late_rows", f"""
+SELECT event_id AS seq, {URL_SQL}, ts, arrival FROM (
+  SELECT *, max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              - INTERVAL 10 MINUTE AS wm
+  FROM (SELECT *, {ARRIVAL_SQL} FROM events) a) b
+WHERE event_type = 'click' AND time_bucket(INTERVAL 10 MINUTE, ts, {ORIGIN}) + INTERVAL 30 MINUTE
+      - INTERVAL 1 MILLISECOND + INTERVAL 5 MINUTE <= wm""")
+def q_hot_urls_late_rows(spark, sf):
+    # 30 min / 10 min windows: GET rows all of whose windows were closed on arrival
+    hits = _arrival(dt.access_hits(spark, sf).withColumnRenamed("event_time", "ts"))
+    _, late_rows = jobs.hot_urls(hits, "30 minutes", "10 minutes", TOP_N, "10 minutes", "5 minutes", "arrival")
+    return late_rows.select("seq", "url", "ts", "arrival")
+
+
 @register("late_events_split", f"""
 SELECT event_id, arrival,
        COALESCE(time_bucket(INTERVAL 10 MINUTE, ts, {ORIGIN}) + INTERVAL 10 MINUTE - INTERVAL 1 MILLISECOND

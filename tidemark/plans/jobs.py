@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.hashing import BITMAP_BITS, bitmap_offset
 from tidemark.operators import caps, distinct, joins, late, patterns, topn, windows
 from tidemark.streaming import joins as sjoins, processors, windows as swin
 
@@ -23,12 +24,13 @@ def hot_items(behavior: DataFrame, size="1 hour", slide="5 minutes", n: int = 5)
     return topn.topn_per_window(windows.sliding_count(pv, "item_id", "ts", size, slide), "item_id", n)
 
 
-def hot_items_stream(behavior: DataFrame, size="1 hour", slide="5 minutes", n: int = 5,
+def hot_items_stream(behavior: DataFrame, size="1 hour", slide="5 minutes",
                      delay="0 seconds") -> DataFrame:
-    """Append-mode chained top-N (ascending timestamps: zero delay)."""
+    """Page views per item and finished window, in append mode (ascending
+    timestamps: zero delay).  Feed to ``foreachBatch(topn_sink)``, which ranks them."""
     s = swin.event_time(behavior, "ts", delay)
     pv = s.where(F.when(F.col("ts").isNotNull(), F.col("behavior") == "pv"))
-    return swin.topn_stream(swin.sliding_count_stream(pv, "item_id", "ts", size, slide, panes=True), "item_id", n)
+    return swin.finished_counts(swin.sliding_count_stream(pv, "item_id", "ts", size, slide, panes=True), "item_id")
 
 
 def hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", n: int = 5, disorder="1 second",
@@ -94,6 +96,8 @@ def unique_visitors_stream(events: DataFrame, size="1 hour", method: str = "exac
     s = swin.event_time(events, "ts", delay)
     if method == "exact":
         return swin.uv_stream(s, "user_id", "ts", size)
+    if method == "bitmap":  # ids whose hashes meet count once, as in the batch form
+        return swin.uv_stream(s, bitmap_offset("user_id", BITMAP_BITS), "ts", size)
     if method == "hll":
         from tidemark.functions.time import duration_us
         w = F.window("ts", f"{duration_us(size)} microseconds")

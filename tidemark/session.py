@@ -49,22 +49,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+SHUFFLE_PARTITION_BYTES = 1 << 30
+
+
+def scale_settings(input_bytes: int, shuffle_partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> dict:
     """SQL settings sized to the input volume of a job.
 
-    Scan splits and shuffle partitions aim at ``target_partition_bytes``
-    each (so a task's sort/aggregation buffers fit executor memory and
-    spill rarely); AQE starts from that many shuffle partitions and
-    coalesces small ones, and splits a partition more than 4x the median
-    and above 1 GiB in skewed joins.  For 100 TB this gives ~400k shuffle
-    partitions, i.e. a few hundred tasks per executor on 1000 executors.
+    Shuffle partitions of about 1 GiB of input (columns pruned and rows
+    pre-aggregated, so a shuffled partition is smaller and sorts within an
+    executor's memory): about 100k for 100 TB.  AQE starts from that many,
+    coalesces small ones, and splits a partition more than 4x the median and
+    above 1 GiB in skewed joins.
     """
-    parts = max(200, int(input_bytes // target_partition_bytes))
+    parts = max(200, int(input_bytes // shuffle_partition_bytes))
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
         # Joins of full rows with per-bucket tables: when the bucket table
@@ -74,10 +76,25 @@ def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) ->
         # the join) instead of twice.  Not set for small local runs, where
         # broadcasting wins.
         "spark.sql.join.preferSortMergeJoin": "false",
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(target_partition_bytes),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(256 << 20),
     }
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below ``path``, from the file system alone (0 if there is none)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
+
+
+def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the session's shuffle partitions to one per GiB of input, which AQE
+    never does by itself; what the session set is never lowered."""
+    parts = int(input_bytes // SHUFFLE_PARTITION_BYTES)
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+
+
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply runtime SQL settings to an existing session (idempotent);
     with ``input_bytes``, also the volume-derived settings of

@@ -74,7 +74,3 @@ def write_tagged(batch: DataFrame, batch_id: int, sinks: dict[str, str], tag_col
     for tag, path in sinks.items():
         (batch.where(F.col(tag_col) == tag).drop(tag_col).write.mode("overwrite")
          .format(fmt).save(os.path.join(path, f"batch={batch_id}")))
-
-
-# The bounded-input flush of SURVEY T12 under its inventory name.
-flush_bounded = write_replay_files

@@ -1,4 +1,4 @@
-"""Streaming windowed counts, chained top-N, distinct users and the
+"""Streaming windowed counts, top-N of finished windows, distinct users and the
 upserting late-refined top-N sink."""
 
 from __future__ import annotations
@@ -44,24 +44,29 @@ def sliding_count_stream(df: DataFrame, keys, ts: str = "ts", size="1 hour", sli
             .agg(F.sum("_n").cast("bigint").alias("cnt")))
 
 
-def topn_stream(counts: DataFrame, key: str, n: int = 5) -> DataFrame:
-    """Chained after ``sliding_count_stream`` (append mode): per window, a
-    bounded array of the best ``n`` (sorted on ``(-cnt, key)``), exploded
-    to ``(window_end, rank, key, cnt)``."""
-    arr = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k")))), 1, n)
-    top = counts.groupBy("w").agg(arr.alias("_top"))
-    return top.select(F.col("w.end").alias("window_end"), F.posexplode("_top").alias("_pos", "_e")).select(
-        "window_end", (F.col("_pos") + 1).cast("bigint").alias("rank"), F.col("_e.k").alias(key),
-        (-F.col("_e.neg")).alias("cnt"))
+def finished_counts(counts: DataFrame, key: str) -> DataFrame:
+    """``(window_end, key, cnt)`` of ``sliding_count_stream`` in append mode, for ``topn_sink``."""
+    return counts.select(F.col("w.end").alias("window_end"), key, F.col("cnt").cast("bigint").alias("cnt"))
 
 
-def uv_stream(df: DataFrame, user: str = "user_id", ts: str = "ts", size="1 hour") -> DataFrame:
+def topn_sink(batch: DataFrame, batch_id: int, path: str, key: str, n: int = 5) -> None:
+    """``foreachBatch`` body for append-mode counts: a window's keys all
+    finish in the same micro-batch, so its best ``n`` follow by a rank limit
+    (applied before the shuffle too), with no window gathered anywhere.  Rows
+    ``(window_end, rank, key, cnt)`` go to ``path/batch=<id>``, overwritten when the
+    batch is replayed."""
+    topn_from_counts(batch, key, n).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def uv_stream(df: DataFrame, user="user_id", ts: str = "ts", size="1 hour") -> DataFrame:
     """Exact distinct users per tumbling window on a stream: deduplicate
     (window, user) within the watermark, then count per window (chained,
-    append mode).  State is one row per (window, user) until the window
+    append mode).  ``user`` may be any expression of one, such as its
+    bitmap offset.  State is one row per (window, user) until the window
     closes; ``approx_count_distinct`` is the fixed-memory alternative."""
     w = F.window(F.col(ts), f"{duration_us(size)} microseconds")
-    firsts = df.select(w.alias("w"), user).dropDuplicates(["w", user])
+    who = F.col(user) if isinstance(user, str) else user
+    firsts = df.select(w.alias("w"), who.alias("who")).dropDuplicates(["w", "who"])
     return firsts.groupBy("w").agg(F.count(F.lit(1)).alias("uv")).select(
         F.col("w.end").alias("window_end"), "uv")
 
@@ -114,9 +119,8 @@ def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path:
     both are overwritten when a batch is replayed.
     """
     from tidemark.functions.time import interval
-    from tidemark.operators.late import ONE_MS
+    from tidemark.operators.late import ONE_MS, latest_window_end
     from tidemark.operators.sequence import running_max_before
-    from tidemark.operators.windows import window_end_col
     from tidemark.functions.time import ts_type_of
     import os
     spark = batch.sparkSession
@@ -132,7 +136,7 @@ def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path:
         batch.schema[ts].dataType)
     best = F.greatest(F.col("_mx"), carried)  # greatest skips NULLs
     wm = best - interval(disorder)
-    last_end = window_end_col(ts, duration_us(slide or size), ts_type_of(batch, ts))
+    last_end = latest_window_end(ts, size, slide, ts_type_of(batch, ts))
     closed = F.coalesce(last_end - interval(ONE_MS) + interval(lateness) <= wm, F.lit(False))
     marked = d.withColumn("is_late", closed).drop("_mx")
     marked = reliable_checkpoint(marked)
@@ -153,7 +157,9 @@ def upsert_topn(batch: DataFrame, batch_id: int, counts_path: str, topn_path: st
     spark = batch.sparkSession
     upsert_counts(batch, counts_path, keys=("window_end", key))
     touched = batch.select("window_end").distinct()
-    counts = spark.read.parquet(counts_path).join(touched, "window_end", "left_semi").drop("window_day")
+    days = [r[0] for r in touched.select(F.to_date("window_end")).distinct().collect()]
+    counts = (spark.read.parquet(counts_path).where(F.col("window_day").isin(days))
+              .join(touched, "window_end", "left_semi").drop("window_day"))
     upsert_rows_replace_windows(topn_from_counts(counts, key, n), topn_path)
 
 
