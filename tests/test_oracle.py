@@ -9,8 +9,6 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-TABLES = ["events", "nation"]
-
 
 def _norm(df):
     df = df[sorted(df.columns)]
@@ -33,8 +31,8 @@ def _norm(df):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in TABLES:
-        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{os.path.join(SF_SMALL, t + '.parquet')}'")
+    for f in os.listdir(SF_SMALL):
+        c.sql(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{os.path.join(SF_SMALL, f)}'")
     return c
 
 

@@ -83,7 +83,7 @@ def scale_settings(input_bytes: int, shuffle_partition_bytes: int = SHUFFLE_PART
 def table_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of the files below ``path``, from the file system alone (0 if there is none)."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     return fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
 
 
