@@ -1,8 +1,9 @@
 """The operators' queries over their whole tables, with production parameters.
 
-None has an oracle in SQL: each rests on a tokenizer, a trained model or a
-set computation that SQL can't express or not at this size.  ``tests/llm``
-holds them against brute force, round trips and held-out labels.
+``ORACLE`` holds the SQL of those that it can express: op5, op6 and op9, by
+plain joins of all pairs.  The others rest on a tokenizer, a trained model or
+an approximate index; ``tests/llm`` holds them against brute force, round
+trips and held-out labels.
 """
 
 from __future__ import annotations
@@ -70,4 +71,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_language_id, op4_sentencepiece, op5_minhash_dedup,
                             op6_chat_format, op7_quality, op8_ann, op9_embedding_dedup, op10_html)}
 
-ORACLE: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# Names (v, c) of all that is reached from each of ``nodes`` over ``pairs`` (a, b), both ways.
+_REACHED = """
+reached AS (
+  SELECT id AS v, id AS c FROM nodes
+  UNION
+  SELECT r.v, p.b AS c FROM reached r JOIN pairs p ON r.c = p.a),
+named AS (SELECT v, min(c) AS component_id FROM reached GROUP BY v)"""
+
+ORACLE: dict[str, str] = {
+    "op5_minhash_dedup": rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words),
+nodes AS (SELECT doc_id AS id, CAST(count(s) AS BIGINT) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_common
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+pairs AS (
+  SELECT a, b FROM shared JOIN nodes na ON na.id = a JOIN nodes nb ON nb.id = b
+  WHERE 100 * n_common >= 85 * (na.n + nb.n - n_common)),
+{_REACHED}
+SELECT id AS doc_id, n AS n_shingles, component_id, id = component_id AS kept FROM nodes JOIN named ON v = id""",
+    "op6_chat_format": rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TEXT}'),
+sized AS (
+  SELECT *, length(x) + len(regexp_extract_all(x, '<\\*(\|\w+\|>|/?s>)|\[\\*(/?INST\])')) AS escaped
+  FROM (SELECT *, role || text AS x FROM turns) t)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(escaped + length('<|turn|><|body|><|end|>')) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id""",
+    "op9_embedding_dedup": rf"""
+WITH RECURSIVE nodes AS (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x,
+         coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+                  AND len(list_filter(embedding, lambda c: c <> 0)) > 0, false) AS ok
+  FROM embeddings),
+good AS MATERIALIZED (SELECT id, x FROM nodes WHERE ok),
+pairs AS MATERIALIZED (
+  SELECT p.id AS a, q.id AS b FROM good p JOIN good q ON p.id <> q.id WHERE list_cosine_similarity(p.x, q.x) >= 0.9),
+{_REACHED}
+SELECT id AS vec_id, (SELECT CAST(count(*) AS BIGINT) FROM pairs WHERE a = id) AS n_links, component_id,
+       id = component_id AS kept
+FROM nodes JOIN named ON v = id""",
+}
