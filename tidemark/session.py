@@ -21,6 +21,9 @@ BASE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # incremental state checkpoints (changelog) instead of full snapshots
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # files of checkpoints that nothing refers to any more are deleted (set before the session
+    # starts; on a cluster, in its own settings)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
