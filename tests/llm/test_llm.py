@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from array import array
 
@@ -274,6 +275,31 @@ def test_html(page, want):
     assert html.visible_text(page) == want
 
 
+@pytest.mark.parametrize("tag", ["img src", "div hidden title", "div style='display:none' title"])
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_html_long_attributes(tag, quote):
+    value = "data:x;y,<p>" + "AB>C" * 250_000
+    page = f"<p>a<{tag}={quote}{value}{quote}>b</div>c"
+    assert html.visible_text(page) == ("abc" if tag == "img src" else "a\n\nc")
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p title=it's>a</p><p class='x''>b</p><p 5\">c", "a\n\nb\n\nc"), ('a <i title="b>c <b>d</b>', 'a <i title="b>c d'),
+    ("<i title = 'x>y'/hidden>n</i><i =hidden>v</i>", "v"),
+])
+def test_html_quotes(page, want):
+    assert html.visible_text(page) == want
+
+
+@pytest.mark.parametrize("part, end", [("<a ", ""), ("<a ", '="'), ("<a", ' ="'), ('<a x="1>2" ', ""), ("<b/y=c", " y='"),
+                                       ("<a x='<b x=\"", ""), ("<a/", "='"), ("<a x = ", "'>")])
+def test_html_broken_tags_in_linear_time(part, end):
+    page = part * (1_000_000 // len(part)) + end
+    start = time.perf_counter()
+    html.visible_text(page)
+    assert time.perf_counter() - start < 20
+
+
 def test_html_pages(spark):
     pages = table(spark, SF_SMALL, "pages")
     for r in html.extract(pages).collect():

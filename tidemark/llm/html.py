@@ -45,9 +45,10 @@ MAX_DEPTH = 512         # deeper elements become siblings, as browsers do
 PAD = 80                # table columns wider than this aren't padded
 SPAN = 1000             # columns or rows that one cell may span, as browsers do
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,65536}\"|'[^']{0,65536}')*)>"
-                  r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z", re.S)
-_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+# What comes next in a tag: its end, or an attribute and the sign or quote that its value follows.
+_ATTR = re.compile(r"[\s/]*+(?:(>)|([^\s/>][^\s/>=]*+)(?:\s*+=\s*+([\"'])?+)?+)")
+_UNQUOTED = re.compile(r"[^\s>]*+")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 
 
@@ -65,12 +66,50 @@ class Element:
                 or "style" in a and bool(_NO_DISPLAY.search(a["style"])))
 
 
-def _attributes(text: str) -> dict[str, str]:
-    out: dict[str, str] = {}
-    if text and not text.isspace():
-        for m in _ATTR.finditer(text):
-            out.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
-    return out
+class Tags:
+    """Reads the tags of a page.  Quotes count where a value begins, as in browsers,
+    and a value may have any length.  A tag with a quote that is never closed, or
+    without an end, is no tag.
+
+    Positions passed on the way to such a failure are kept, so that no later tag
+    goes that way again and the time stays linear in the page.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {c: html.rfind(c) for c in "<>\"'"}
+        self.failed: set[int] = set()
+        self.failed_name = -1       # end of the last name whose tag failed
+        self.run = (0, -1)          # the unquoted value read last
+
+    def read(self, at: int) -> tuple[str, dict[str, str], int] | None:
+        """(name, attributes, end) of the tag whose name starts at ``at``."""
+        html = self.html
+        name = _NAME.match(html, at) if self.failed_name <= at < self.last[">"] else None
+        if name is None:
+            return None
+        at, passed, spans = name.end(), [], []
+        while at not in self.failed and (m := _ATTR.match(html, at)):
+            if m[1]:
+                attrs: dict[str, str] = {}
+                for key, i, j in spans:
+                    attrs.setdefault(key.lower(), unescape(html[i:j]))
+                return name[0].lower(), attrs, m.end()
+            passed.append(at)
+            start = end = at = m.end()
+            if m[3]:
+                end = html.find(m[3], start) if start <= self.last[m[3]] else -1
+                if end < 0:
+                    break
+                at = end + 1
+            elif start > m.end(2):      # an equals sign
+                if not self.run[0] <= start <= self.run[1]:
+                    self.run = start, _UNQUOTED.match(html, start).end()
+                end = at = self.run[1]
+            spans.append((m[2], start, end))
+        self.failed.update(passed)
+        self.failed_name = name.end()
+        return None
 
 
 class TreeBuilder:
@@ -107,7 +146,7 @@ class TreeBuilder:
         else:
             self.here.children.append(s)
 
-    def open(self, tag: str, attrs: dict[str, str], closed: bool = False) -> None:
+    def open(self, tag: str, attrs: dict[str, str]) -> None:
         if tag == "html":
             return
         if self.here.tag == "head" and tag not in HEAD_ONLY and tag not in ("head", "body"):
@@ -137,7 +176,7 @@ class TreeBuilder:
             at.insert(len(at) - 1 if at and at[-1] is table else len(at), e)
         else:
             parent.children.append(e)
-        if not closed and tag not in VOID:
+        if tag not in VOID:
             self.here = e
 
     def close(self, tag: str) -> None:
@@ -156,21 +195,31 @@ class TreeBuilder:
 
 def build(html: str) -> Element:
     """The element tree of a page."""
-    b, at, n = TreeBuilder(), 0, len(html)
-    while at < n:
-        m = _TAG.search(html, at)
-        if m is None:
-            break
-        if m.start() > at:
-            b.text(unescape(html[at:m.start()]))
-        at = m.end()
-        if m[2] is None:
+    b, at, n, tags = TreeBuilder(), 0, len(html), Tags(html)
+    start = html.find("<")
+    while start >= 0:
+        found, end, sign = None, -1, html[start + 1:start + 2]
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4) + 3
+            end = end if end > 2 else n
+        elif found := tags.read(start + 1 + (sign == "/")):
+            end = found[2]
+        elif sign and sign in "!?/":
+            end = html.find(">", start + 2) + 1 or n
+        elif sign.isascii() and sign.isalpha() and start == tags.last["<"] and start > tags.last[">"]:
+            end = n
+        if end < 0:
+            start = html.find("<", start + 1)
             continue
-        tag = m[2].lower()
-        if m[1]:
-            b.close(tag)
+        b.text(unescape(html[at:start]))
+        at = end
+        if found is None or sign == "/":
+            if found:
+                b.close(found[0])
+            start = html.find("<", at)
             continue
-        b.open(tag, _attributes(m[3]), m[3].endswith("/") and tag in VOID)
+        tag = found[0]
+        b.open(tag, found[1])
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             stop = end.start() if end else n
@@ -183,6 +232,7 @@ def build(html: str) -> Element:
         elif tag == "plaintext":
             b.text(html[at:])
             at = n
+        start = html.find("<", at)
     if at < n:
         b.text(unescape(html[at:]))
     return b.root
