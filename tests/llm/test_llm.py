@@ -129,6 +129,25 @@ def test_langid_phrases_by_brute_force():
     assert langid.phrase_counts([text, text * 100], model)[0][0, 0] == n
 
 
+def language_docs(spark, starts, docs, words, seed=0):
+    """Documents of invented languages, each of words over 30 letters from a code point on."""
+    rng, rows = np.random.default_rng(seed), []
+    for k, start in enumerate(starts):
+        vocabulary = ["".join(chr(start + i) for i in rng.integers(0, 30, 4)) for _ in range(60)]
+        for _ in range(docs):
+            rows.append((len(rows), " ".join(rng.choice(vocabulary, words)), f"l{k:03}"))
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(2)
+
+
+def test_langid_many_scripts(spark):
+    scripts = language_docs(spark, [0x4E00 + 40 * k for k in range(68)] + [0x430, 0xAC00], 8, 20)
+    model = langid.fit(scripts)
+    truth = {r["doc_id"]: r["lang"] for r in scripts.collect()}
+    assert len(model.languages) == 70
+    assert all(r["lang_pred"] == truth[r["doc_id"]] for r in langid.predict(scripts, model).collect())
+    assert langid.keep_known(scripts, model).count() == len(truth)
+
+
 def test_sentencepiece(docs, odd):
     sp = sentencepiece.encoder().sp
     for df in (docs, odd):

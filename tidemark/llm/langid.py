@@ -6,16 +6,22 @@ The longest matches come from a suffix automaton of each language's sample.
 Many texts are parsed at once: blocks of letters step through an automaton
 side by side, one numpy look-up per letter, a restart being counted where
 no longer match exists.
+
+Letters are coded as the bytes of their lower-case UTF-8 form, so all scripts
+are told apart.  Automata are kept as lists of edges, in groups of languages;
+their step tables are made where they are used.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import hashed_sample, id_crc
 
@@ -23,21 +29,19 @@ from tidemark.llm.common import hashed_sample, id_crc
 SAMPLE_DOCS = 60            # about so many documents of each language
 SAMPLE_CHARS = 20_000       # longer documents aren't drawn
 SAMPLE_SYMBOLS = 24_000     # symbols of each language's automaton
-MAX_LANGUAGES = 64          # the most frequent ones
-ALPHABET = 62
+ALPHABET = 254              # symbols of letters: bytes
+GROUP = 64                  # languages whose automata are held at once
+TABLE_BYTES = 64 << 20      # step tables kept from text to text; those of more languages are made anew
 BLOCK = 256                 # letters parsed as one run; a longer text has several
 UNKNOWN = "und"
-GAP, OTHER = 0, 1           # symbols: no letter; a letter outside the alphabet
-#: Fewest letters a phrase must have on average for a text to count as a known language.
+GAP = 0                     # symbol of what is no letter
+#: Fewest letters a phrase must have on average for a text to count as a known language;
+#: a letter of three bytes or more counts as half its bytes, since large alphabets have short phrases.
 MIN_PHRASE = 1.6
 
 
-def _automaton(symbols: np.ndarray, width: int) -> np.ndarray:
-    """Step table of the suffix automaton of a symbol string.
-
-    Entry ``state * width + symbol`` holds the next state's row times two,
-    plus one when the match had to end and a new phrase began.
-    """
+def _edges(symbols: np.ndarray) -> list[dict[int, int]]:
+    """States of the suffix automaton of a symbol string: next state by symbol."""
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols.tolist():
@@ -63,35 +67,87 @@ def _automaton(symbols: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
+    return nxt
+
+
+def _table(states: int, width: int, sources: np.ndarray, symbols: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Step table of an automaton given by its edges.
+
+    Entry ``state * width + symbol`` holds the next state's row times two,
+    plus one when the match had to end and a new phrase began.
+    """
     # a symbol that the sample lacks is a phrase of its own: after it, in the last state, all is new
-    start = np.full(width, len(nxt), dtype=np.int64)
-    for c, s in nxt[0].items():
-        start[c] = s
-    table = np.empty((len(nxt) + 1, width), dtype=np.int32)
+    start = np.full(width, states, dtype=np.int32)
+    first = sources == 0
+    start[symbols[first]] = targets[first]
+    table = np.empty((states + 1, width), dtype=np.int32)
     table[:] = start * width * 2 + 1            # no longer match: a new phrase starts with this symbol
     table[0] -= 1                               # the first phrase is counted from the start
-    for s, row in enumerate(nxt):
-        for c, t in row.items():
-            table[s, c] = t * width * 2
+    table[sources, symbols] = targets * np.int32(width * 2)
     return table.ravel()
 
 
+def _edge_arrays(nxt: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edges of each state, their symbols, their targets)."""
+    return (np.array([len(row) for row in nxt], dtype=np.uint8),
+            np.array([c for row in nxt for c in row], dtype=np.uint8),
+            np.array([t for row in nxt for t in row.values()], dtype=np.int32))
+
+
+def _automaton(symbols: np.ndarray, width: int) -> np.ndarray:
+    """Step table over ``width`` symbols of the suffix automaton of a symbol string."""
+    degree, c, t = _edge_arrays(_edges(symbols))
+    return _table(len(degree), width, np.repeat(np.arange(len(degree)), degree), c, t)
+
+
+class Automaton:
+    """Suffix automaton of a language's sample, as edges; its step table has a column
+    for each symbol of the sample and one for all others, which no match goes over."""
+
+    def __init__(self, symbols: np.ndarray):
+        self.size = len(symbols)
+        self.degree, self.symbols, self.targets = _edge_arrays(_edges(symbols))
+        own = np.unique(np.append(symbols, GAP))
+        self.width = len(own) + 1
+        self.column = np.full(ALPHABET + 2, len(own), dtype=np.int32)
+        self.column[own] = np.arange(len(own))
+
+    def table_bytes(self) -> int:
+        return (len(self.degree) + 1) * self.width * 4
+
+    def table(self) -> np.ndarray:
+        return _table(len(self.degree), self.width, np.repeat(np.arange(len(self.degree)), self.degree),
+                      self.column[self.symbols], self.targets)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
-    symbol_of: np.ndarray       # code point -> symbol
-    tables: tuple[np.ndarray, ...]
+    symbol_of: np.ndarray       # code point -> symbols, one in each byte from the lowest on
+    tables: tuple[Automaton | np.ndarray, ...]      # automata, or step tables over all symbols
 
 
+@cache
 def _letters() -> np.ndarray:
-    """Symbol of each code point before an alphabet is known: letters OTHER, the rest GAP."""
-    return np.array([OTHER if chr(c).isalpha() else GAP for c in range(0x110000)], dtype=np.uint8)
+    """Symbols of each code point: the UTF-8 bytes of the lower-case letter, GAP for what is no letter."""
+    out = np.zeros(0x110000, dtype=np.uint32)
+    for c in range(0x110000):
+        if chr(c).isalpha():
+            out[c] = int.from_bytes(chr(c).lower()[0].encode(), "little")
+    return out
 
 
 def _symbols(text: str, symbol_of: np.ndarray) -> np.ndarray:
     """Symbols of a text, runs of gaps as one."""
-    s = symbol_of[np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)]
-    return s[(s != GAP) | (np.concatenate(([GAP], s[:-1])) != GAP)]
+    if text.isascii():
+        s = symbol_of[:128].astype(np.uint8)[np.frombuffer(text.encode(), dtype=np.uint8)]
+        return s[(s != GAP) | (np.concatenate(([GAP], s[:-1])) != GAP)]
+    code = symbol_of[np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)].astype("<u4")
+    code = code[(code != GAP) | (np.concatenate(([GAP], code[:-1])) != GAP)]
+    s = code.view(np.uint8).reshape(-1, 4)
+    used = s != 0
+    used[:, 0] = True           # a gap is one symbol too
+    return s[used]
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
@@ -100,23 +156,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     known = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
              .where((id_crc("_id") % 4 != 2) & F.col("_lang").isNotNull()
                     & (F.length("_text") > 0) & (F.length("_text") <= SAMPLE_CHARS)))
-    top = known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES)
-    names = [r["_lang"] for r in top.collect()]
-    rows = hashed_sample(known.where(F.col("_lang").isin(names)), ["_id"], "_lang", SAMPLE_DOCS).collect()
+    rows = hashed_sample(known, ["_id"], "_lang", SAMPLE_DOCS).collect()
     texts: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["_lang"], r["_id"], r["_text"])):
         texts.setdefault(r["_lang"], []).append(r["_text"])
     symbol_of = _letters()
-    fold: dict[str, int] = {}
-    for ts in texts.values():
-        for t in ts:
-            for ch in t.lower():
-                if ch.isalpha():
-                    fold[ch] = fold.get(ch, 0) + 1
-    for i, ch in enumerate(sorted(fold, key=lambda c: (-fold[c], c))[:ALPHABET]):
-        for form in {ch, ch.upper(), ch.lower()}:
-            if len(form) == 1:
-                symbol_of[ord(form)] = OTHER + 1 + i
     languages, tables = [], []
     for name, ts in sorted(texts.items()):
         share = max(200, SAMPLE_SYMBOLS // len(ts))
@@ -124,60 +168,113 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         sample = np.concatenate([r for r in runs if len(r) <= 4 * share] or runs[:1])[:SAMPLE_SYMBOLS]
         if (sample != GAP).any():
             languages.append(name)
-            tables.append(_automaton(sample, ALPHABET + 2))
+            tables.append(Automaton(sample))
     return LanguageModel(tuple(languages), symbol_of, tuple(tables))
 
 
-def phrase_counts(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
-    """(texts x languages) phrase counts, and the letters of each text."""
-    runs = [_symbols(t, model.symbol_of) for t in texts]
-    sizes = np.array([len(r) for r in runs], dtype=np.int64)
-    letters = np.array([int((r != GAP).sum()) for r in runs], dtype=np.int64)
-    blocks = -(-sizes // BLOCK)
-    owner = np.repeat(np.arange(len(texts)), blocks)
-    counts = np.zeros((len(texts), len(model.tables)), dtype=np.int64)
-    if not len(owner):
-        return counts, letters
-    # every block is a row; the unused end of a text's last block is not counted
-    grid = np.zeros((len(owner), BLOCK), dtype=np.int32)
-    first = np.concatenate(([0], np.cumsum(blocks)[:-1]))
-    flat = grid.reshape(-1)
-    for i, r in enumerate(runs):
-        flat[first[i] * BLOCK:first[i] * BLOCK + len(r)] = r
-    used = np.full(len(owner), BLOCK, dtype=np.int64)
-    ends = (first + blocks - 1)[blocks > 0]
-    used[ends] = (sizes - (blocks - 1) * BLOCK)[blocks > 0]
-    order = np.argsort(-used, kind="stable")        # so that the blocks still running are a prefix
-    columns = np.ascontiguousarray(grid[order].T)
-    running = np.searchsorted(-used[order], -np.arange(1, BLOCK + 1), side="right")
-    for j, table in enumerate(model.tables):
-        state = np.zeros(len(owner), dtype=np.int32)
-        seen = np.ones(len(owner), dtype=np.int32)      # the first phrase
+class Blocks:
+    """Texts cut into blocks of symbols that are parsed side by side."""
+
+    def __init__(self, texts: list[str], symbol_of: np.ndarray):
+        runs = [_symbols(t, symbol_of) for t in texts]
+        sizes = np.array([len(r) for r in runs], dtype=np.int64)
+        n = np.array([int((r != GAP).sum()) for r in runs], dtype=np.int64)
+        self.letters = np.maximum(n - np.array([int((r & 0xC0 == 0x80).sum()) for r in runs], dtype=np.int64), n / 2)
+        self.texts = len(texts)
+        blocks = -(-sizes // BLOCK)
+        owner = np.repeat(np.arange(len(texts)), blocks)
+        # every block is a row; the unused end of a text's last block is not counted
+        grid = np.zeros((len(owner), BLOCK), dtype=np.uint8)
+        first = np.concatenate(([0], np.cumsum(blocks)[:-1])) if len(texts) else blocks
+        flat = grid.reshape(-1)
+        for i, r in enumerate(runs):
+            flat[first[i] * BLOCK:first[i] * BLOCK + len(r)] = r
+        used = np.full(len(owner), BLOCK, dtype=np.int64)
+        ends = (first + blocks - 1)[blocks > 0]
+        used[ends] = (sizes - (blocks - 1) * BLOCK)[blocks > 0]
+        order = np.argsort(-used, kind="stable")        # so that the blocks still running are a prefix
+        self.owner = owner[order]
+        self.columns = np.ascontiguousarray(grid[order].T)
+        self.running = np.searchsorted(-used[order], -np.arange(1, BLOCK + 1), side="right")
+
+    def phrases(self, table: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Phrases of each text by a step table with the symbols' columns."""
+        state = np.zeros(len(self.owner), dtype=np.int32)
+        seen = np.ones(len(self.owner), dtype=np.int32)      # the first phrase
         for c in range(BLOCK):
-            n = running[c]
+            n = self.running[c]
             if not n:
                 break
-            step = table.take(state[:n] + columns[c, :n])
+            step = table.take(state[:n] + column.take(self.columns[c, :n]))
             seen[:n] += step & 1
             state[:n] = step >> 1
-        np.add.at(counts[:, j], owner[order], seen)
-    return counts, letters
+        return np.bincount(self.owner, seen, self.texts).astype(np.int64)
+
+
+_ALL = np.arange(ALPHABET + 2, dtype=np.int32)
+
+
+class Parser:
+    """Phrase counts by groups of languages, each group fetched when it is needed."""
+
+    def __init__(self, symbol_of: np.ndarray, groups: list):
+        self.symbol_of, self.groups = symbol_of, groups
+        self.kept: dict[tuple[int, int], np.ndarray] = {}
+        self.room = TABLE_BYTES
+
+    def _table(self, key: tuple[int, int], automaton: Automaton) -> np.ndarray:
+        table = self.kept.get(key)
+        if table is None:
+            table = automaton.table()
+            if automaton.table_bytes() <= self.room:
+                self.room -= automaton.table_bytes()
+                self.kept[key] = table
+        return table
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        blocks, counts = Blocks(texts, self.symbol_of), []
+        for g, group in enumerate(self.groups):
+            for j, a in enumerate(group()):
+                counts.append(blocks.phrases(a, _ALL) if isinstance(a, np.ndarray) else
+                              blocks.phrases(self._table((g, j), a), a.column))
+        return np.array(counts, dtype=np.int64).reshape(-1, len(texts)).T, blocks.letters
+
+
+def phrase_counts(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """(texts x languages) phrase counts, and the letters of each text."""
+    return Parser(model.symbol_of, [lambda: model.tables]).counts(texts)
+
+
+class SharedModel:
+    """A model as broadcasts: a worker holds the automata of one group of languages at a time."""
+
+    def __init__(self, spark: SparkSession, model: LanguageModel):
+        put = spark.sparkContext.broadcast
+        self.languages, self.symbol_of = model.languages, put(model.symbol_of)
+        self.groups = [put(model.tables[i:i + GROUP]) for i in range(0, len(model.tables), GROUP)]
+
+    def parser(self) -> Parser:
+        def fetch(b: Broadcast):
+            if len(self.groups) == 1 or not getattr(b, "_path", None):
+                return lambda: b.value
+            return lambda: b.load_from_path(b._path)        # b.value would stay in memory
+        return Parser(self.symbol_of.value, [fetch(b) for b in self.groups])
 
 
-def _predict(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _predict(texts: list[str | None], languages: tuple[str, ...], parser: Parser) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(language, score, mean letters of a phrase) per text.
 
     The score is the winner's share when each phrase more counts as one
     natural unit of evidence less; equal counts go to the first name.
     """
-    counts, letters = phrase_counts([t or "" for t in texts], model)
-    if not model.languages:
+    if not languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    counts, letters = parser.counts([t or "" for t in texts])
     best = counts.argmin(axis=1)
     fewest = counts[np.arange(len(texts)), best]
     share = 1.0 / np.exp(np.clip(fewest[:, None] - counts, -50, 0)).sum(axis=1)
     some = letters > 0
-    names = [model.languages[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist())]
+    names = [languages[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist())]
     return names, np.where(some, share, 0.0), np.where(some, letters / np.maximum(fewest, 1), 0.0)
 
 
@@ -202,14 +299,14 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     A null text or one without letters is ``und`` with score 0.  A null id
     counts as trained on.  Repeated rows give repeated rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = SharedModel(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
+        parser = shared.parser()
         for b in batches:
             names, scores = [], []
             for part in _slices(b.column(2).to_pylist()):
-                n, s, _ = _predict(part, fitted)
+                n, s, _ = _predict(part, shared.languages, parser)
                 names += n
                 scores.append(s)
             yield pa.RecordBatch.from_arrays(
@@ -226,14 +323,15 @@ def keep_known(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                min_phrase: float = MIN_PHRASE) -> DataFrame:
     """The rows of ``docs``, all columns, in one of the learned languages: with letters,
     and with phrases of ``min_phrase`` letters or more on average in the winning one."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = SharedModel(docs.sparkSession, model)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parser = shared.parser()
         for b in batches:
             keep = []
             for part in _slices(b.column(at).to_pylist()):
-                names, _, phrase = _predict(part, shared.value)
+                names, _, phrase = _predict(part, shared.languages, parser)
                 keep += [n != UNKNOWN and p >= min_phrase for n, p in zip(names, phrase.tolist())]
             yield b.filter(pa.array(keep, pa.bool_()))
 
