@@ -8,6 +8,7 @@ from array import array
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
@@ -148,6 +149,33 @@ def test_langid_many_scripts(spark):
     assert langid.keep_known(scripts, model).count() == len(truth)
 
 
+def test_langid_even_samples(spark):
+    # one short document beside long ones; documents all beyond 20,000 characters; many short ones
+    a = language_docs(spark, [0x61], 60, 1500).collect()
+    b = language_docs(spark, [0x61], 12, 6000, 1).collect()
+    c = language_docs(spark, [0x61], 6000, 3, 2).collect()
+    rows = [(0, "aaaa bbbb", "a")] + [(0, r["text"], k) for k, d in (("a", a), ("b", b), ("c", c)) for r in d]
+    given = spark.createDataFrame([(i, t, k) for i, (_, t, k) in enumerate(rows)],
+                                  "doc_id bigint, text string, lang string").coalesce(2)
+    model = langid.fit(given)
+    assert model.languages == ("a", "b", "c")
+    assert [t.size for t in model.tables] == [langid.SAMPLE_SYMBOLS] * 3
+    runs = [np.full(n, i, np.uint8) for i, n in enumerate((10, 5000, 5000, 40))]
+    assert np.bincount(langid._even(runs, 1001)).tolist() == [10, 476, 475, 40]
+    assert np.bincount(langid._even(runs, 90_000)).tolist() == [10, 5000, 5000, 40]
+    # a language with little text, as a weaker sample must not lose its documents
+    few = given.where("lang <> 'b' OR doc_id % 4 = 2").withColumn("text", F.when(F.col("lang") == "b", F.substring(
+        "text", 1, 400)).otherwise(F.col("text")))
+    model = langid.fit(few)
+    assert model.tables[1].size < 2000
+    found = langid.predict(given.where("lang = 'b'").withColumn("text", F.substring("text", 500, 200)), model)
+    assert all(r["lang_pred"] == "b" for r in found.collect())
+    model = langid.fit(given)
+    truth = {i: k for i, (_, _, k) in enumerate(rows)}
+    got = [r for r in langid.predict(given, model).collect() if r["held_out"]]
+    assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in got if r["doc_id"]]) > 0.98
+
+
 def test_sentencepiece(docs, odd):
     sp = sentencepiece.encoder().sp
     for df in (docs, odd):

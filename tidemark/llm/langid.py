@@ -1,6 +1,7 @@
 """Language identification by cross-parsing: a text is cut into phrases, each
 the longest match in a language's sample text; the language that needs the
-fewest phrases per letter wins.
+fewest phrases wins, counted times the logarithm of its sample's size, since
+a smaller sample has shorter matches.
 
 The longest matches come from a suffix automaton of each language's sample.
 Many texts are parsed at once: blocks of letters step through an automaton
@@ -23,16 +24,17 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import hashed_sample, id_crc
+from tidemark.llm.common import id_crc
 
 # Documented bounds of the training sample.
-SAMPLE_DOCS = 60            # about so many documents of each language
-SAMPLE_CHARS = 20_000       # longer documents aren't drawn
-SAMPLE_SYMBOLS = 24_000     # symbols of each language's automaton
+SAMPLE_DOCS = 60            # about so many documents of each language, more if they are short
+SAMPLE_SYMBOLS = 24_000     # symbols of each language's automaton; fewer only if all its texts hold fewer
+SAMPLE_PART = 2 * SAMPLE_SYMBOLS // SAMPLE_DOCS     # characters read of a document where there are enough of them
 ALPHABET = 254              # symbols of letters: bytes
 GROUP = 64                  # languages whose automata are held at once
 TABLE_BYTES = 64 << 20      # step tables kept from text to text; those of more languages are made anew
 BLOCK = 256                 # letters parsed as one run; a longer text has several
+LEAST_SIZE = 30             # smaller samples are weighted as this size
 UNKNOWN = "und"
 GAP = 0                     # symbol of what is no letter
 #: Fewest letters a phrase must have on average for a text to count as a known language;
@@ -126,6 +128,11 @@ class LanguageModel:
     symbol_of: np.ndarray       # code point -> symbols, one in each byte from the lowest on
     tables: tuple[Automaton | np.ndarray, ...]      # automata, or step tables over all symbols
 
+    def weights(self) -> np.ndarray:
+        """What a phrase counts for in each language: 1 if its sample is whole."""
+        sizes = np.array([a.size if isinstance(a, Automaton) else SAMPLE_SYMBOLS for a in self.tables], dtype=np.float64)
+        return np.log(np.maximum(sizes, LEAST_SIZE)) / np.log(float(SAMPLE_SYMBOLS))
+
 
 @cache
 def _letters() -> np.ndarray:
@@ -150,22 +157,49 @@ def _symbols(text: str, symbol_of: np.ndarray) -> np.ndarray:
     return s[used]
 
 
+def _even(runs: list[np.ndarray], size: int) -> np.ndarray:
+    """The first symbols of every run, as many of each as make ``size`` together;
+    a run that has fewer gives all, and the others more."""
+    lengths = np.array([len(r) for r in runs], dtype=np.int64)
+    low, high = 0, size             # the most of each that stays within size
+    while low < high:
+        middle = (low + high + 1) // 2
+        if np.minimum(lengths, middle).sum() <= size:
+            low = middle
+        else:
+            high = middle - 1
+    take = np.minimum(lengths, low)
+    take[np.flatnonzero(lengths > low)[:size - take.sum()]] += 1
+    return np.concatenate([r[:n] for r, n in zip(runs, take.tolist())])
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Automata of a bounded sample per language, from rows with text, language and id
-    whose id's crc32 mod 4 is not 2."""
-    known = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
-             .where((id_crc("_id") % 4 != 2) & F.col("_lang").isNotNull()
-                    & (F.length("_text") > 0) & (F.length("_text") <= SAMPLE_CHARS)))
-    rows = hashed_sample(known, ["_id"], "_lang", SAMPLE_DOCS).collect()
+    """Automata of a bounded sample of every language, from rows with text, language and id
+    whose id's crc32 mod 4 is not 2.
+
+    Documents of any length are drawn by a hash of their id, so many that
+    ``SAMPLE_PART`` characters of each make twice ``SAMPLE_SYMBOLS``, and all have
+    the same share in the sample as far as they reach.  A language with less
+    text than that gives all its documents, up to ``SAMPLE_SYMBOLS`` of each.
+    """
+    known = (docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"),
+                         F.trim(F.regexp_replace(text_col, r"[^\p{L}]+", " ")).alias("_text"))
+             .where((id_crc("_id") % 4 != 2) & F.col("_lang").isNotNull() & (F.col("_text") != "")))
+    sizes = (known.groupBy("_lang").agg(F.sum(F.least(F.length("_text") + 1, F.lit(SAMPLE_PART))).alias("_size"))
+             .select(F.col("_lang").alias("_g"), "_size"))
+    want = 2 * SAMPLE_SYMBOLS
+    h = F.pmod(F.xxhash64("_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rows = (known.join(F.broadcast(sizes), F.col("_lang") == F.col("_g")).where(h * F.col("_size") < want)
+            .select("_lang", "_id", F.substring("_text", F.lit(1), F.when(F.col("_size") > want, SAMPLE_PART)
+                                                .otherwise(SAMPLE_SYMBOLS)).alias("_text"))
+            .collect())
     texts: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["_lang"], r["_id"], r["_text"])):
         texts.setdefault(r["_lang"], []).append(r["_text"])
     symbol_of = _letters()
     languages, tables = [], []
     for name, ts in sorted(texts.items()):
-        share = max(200, SAMPLE_SYMBOLS // len(ts))
-        runs = [_symbols(t, symbol_of) for t in ts]
-        sample = np.concatenate([r for r in runs if len(r) <= 4 * share] or runs[:1])[:SAMPLE_SYMBOLS]
+        sample = _even([_symbols(t + " ", symbol_of) for t in ts], SAMPLE_SYMBOLS)
         if (sample != GAP).any():
             languages.append(name)
             tables.append(Automaton(sample))
@@ -250,7 +284,7 @@ class SharedModel:
 
     def __init__(self, spark: SparkSession, model: LanguageModel):
         put = spark.sparkContext.broadcast
-        self.languages, self.symbol_of = model.languages, put(model.symbol_of)
+        self.languages, self.weights, self.symbol_of = model.languages, model.weights(), put(model.symbol_of)
         self.groups = [put(model.tables[i:i + GROUP]) for i in range(0, len(model.tables), GROUP)]
 
     def parser(self) -> Parser:
@@ -261,21 +295,23 @@ class SharedModel:
         return Parser(self.symbol_of.value, [fetch(b) for b in self.groups])
 
 
-def _predict(texts: list[str | None], languages: tuple[str, ...], parser: Parser) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _predict(texts: list[str | None], shared: SharedModel, parser: Parser) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(language, score, mean letters of a phrase) per text.
 
-    The score is the winner's share when each phrase more counts as one
-    natural unit of evidence less; equal counts go to the first name.
+    The score is the winner's share when each phrase more, weighted by its
+    language, counts as one natural unit of evidence less; equal counts go to
+    the first name.  Letters of a phrase are those of the longest parse.
     """
-    if not languages:
+    if not shared.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     counts, letters = parser.counts([t or "" for t in texts])
-    best = counts.argmin(axis=1)
-    fewest = counts[np.arange(len(texts)), best]
-    share = 1.0 / np.exp(np.clip(fewest[:, None] - counts, -50, 0)).sum(axis=1)
+    weighted = counts * shared.weights
+    best = weighted.argmin(axis=1)
+    fewest = weighted[np.arange(len(texts)), best]
+    share = 1.0 / np.exp(np.clip(fewest[:, None] - weighted, -50, 0)).sum(axis=1)
     some = letters > 0
-    names = [languages[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist())]
-    return names, np.where(some, share, 0.0), np.where(some, letters / np.maximum(fewest, 1), 0.0)
+    names = [shared.languages[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist())]
+    return names, np.where(some, share, 0.0), np.where(some, letters / np.maximum(counts.min(axis=1), 1), 0.0)
 
 
 _SLICE = 8 << 20    # characters parsed at once
@@ -306,7 +342,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
         for b in batches:
             names, scores = [], []
             for part in _slices(b.column(2).to_pylist()):
-                n, s, _ = _predict(part, shared.languages, parser)
+                n, s, _ = _predict(part, shared, parser)
                 names += n
                 scores.append(s)
             yield pa.RecordBatch.from_arrays(
@@ -322,7 +358,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 def keep_known(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                min_phrase: float = MIN_PHRASE) -> DataFrame:
     """The rows of ``docs``, all columns, in one of the learned languages: with letters,
-    and with phrases of ``min_phrase`` letters or more on average in the winning one."""
+    and with phrases of ``min_phrase`` letters or more on average in one of them."""
     shared = SharedModel(docs.sparkSession, model)
     at = docs.columns.index(text_col)
 
@@ -331,7 +367,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, text_col: str = "text",
         for b in batches:
             keep = []
             for part in _slices(b.column(at).to_pylist()):
-                names, _, phrase = _predict(part, shared.languages, parser)
+                names, _, phrase = _predict(part, shared, parser)
                 keep += [n != UNKNOWN and p >= min_phrase for n, p in zip(names, phrase.tolist())]
             yield b.filter(pa.array(keep, pa.bool_()))
 
