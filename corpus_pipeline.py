@@ -22,7 +22,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from the documents given; those without
-    letters, or that no language parses well, go."""
+    letters, or long enough to tell and parsed well by no language, go."""
     return langid.keep_known(docs, langid.fit(docs))
 
 

@@ -176,6 +176,16 @@ def test_langid_even_samples(spark):
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in got if r["doc_id"]]) > 0.98
 
 
+def test_langid_keeps_short_and_unlearned(spark):
+    taught = language_docs(spark, [0x61], 60, 100)
+    texts = ["z", "Ok.", "Ж", "1 2", "", None, "Привет мир, как дела? Что нового сегодня?"]
+    some = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for lang, want in (("lang", {0, 1, 2}), ("NULL", {0, 1, 2, 6})):
+        model = langid.fit(taught.selectExpr("doc_id", "text", f"CAST({lang} AS string) AS lang"))
+        assert len(model.languages) == (lang == "lang")
+        assert {r["doc_id"] for r in langid.keep_known(some, model).collect()} == want
+
+
 def test_sentencepiece(docs, odd):
     sp = sentencepiece.encoder().sp
     for df in (docs, odd):

@@ -40,6 +40,7 @@ GAP = 0                     # symbol of what is no letter
 #: Fewest letters a phrase must have on average for a text to count as a known language;
 #: a letter of three bytes or more counts as half its bytes, since large alphabets have short phrases.
 MIN_PHRASE = 1.6
+MIN_LETTERS = 20            # texts of fewer letters aren't held to it: chance decides there
 
 
 def _edges(symbols: np.ndarray) -> list[dict[int, int]]:
@@ -295,23 +296,24 @@ class SharedModel:
         return Parser(self.symbol_of.value, [fetch(b) for b in self.groups])
 
 
-def _predict(texts: list[str | None], shared: SharedModel, parser: Parser) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(language, score, mean letters of a phrase) per text.
+def _predict(texts: list[str | None], shared: SharedModel, parser: Parser
+             ) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(language, score, mean letters of a phrase, letters) per text.
 
     The score is the winner's share when each phrase more, weighted by its
     language, counts as one natural unit of evidence less; equal counts go to
     the first name.  Letters of a phrase are those of the longest parse.
     """
-    if not shared.languages:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     counts, letters = parser.counts([t or "" for t in texts])
+    if not shared.languages:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), letters
     weighted = counts * shared.weights
     best = weighted.argmin(axis=1)
     fewest = weighted[np.arange(len(texts)), best]
     share = 1.0 / np.exp(np.clip(fewest[:, None] - weighted, -50, 0)).sum(axis=1)
     some = letters > 0
     names = [shared.languages[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist())]
-    return names, np.where(some, share, 0.0), np.where(some, letters / np.maximum(counts.min(axis=1), 1), 0.0)
+    return names, np.where(some, share, 0.0), np.where(some, letters / np.maximum(counts.min(axis=1), 1), 0.0), letters
 
 
 _SLICE = 8 << 20    # characters parsed at once
@@ -342,7 +344,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
         for b in batches:
             names, scores = [], []
             for part in _slices(b.column(2).to_pylist()):
-                n, s, _ = _predict(part, shared, parser)
+                n, s, _, _ = _predict(part, shared, parser)
                 names += n
                 scores.append(s)
             yield pa.RecordBatch.from_arrays(
@@ -358,7 +360,11 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 def keep_known(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                min_phrase: float = MIN_PHRASE) -> DataFrame:
     """The rows of ``docs``, all columns, in one of the learned languages: with letters,
-    and with phrases of ``min_phrase`` letters or more on average in one of them."""
+    and with phrases of ``min_phrase`` letters or more on average in one of them.
+
+    A text of fewer than ``MIN_LETTERS`` letters, which tells too little, stays if
+    it has any; where no language was learned, so does every text with letters.
+    """
     shared = SharedModel(docs.sparkSession, model)
     at = docs.columns.index(text_col)
 
@@ -367,8 +373,9 @@ def keep_known(docs: DataFrame, model: LanguageModel, text_col: str = "text",
         for b in batches:
             keep = []
             for part in _slices(b.column(at).to_pylist()):
-                names, _, phrase = _predict(part, shared, parser)
-                keep += [n != UNKNOWN and p >= min_phrase for n, p in zip(names, phrase.tolist())]
+                _, _, phrase, letters = _predict(part, shared, parser)
+                short = letters < (MIN_LETTERS if shared.languages else np.inf)
+                keep += ((letters > 0) & (short | (phrase >= min_phrase))).tolist()
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
