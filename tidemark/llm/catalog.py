@@ -1,7 +1,8 @@
 """The operators' queries over their whole tables, with production parameters.
 
 ``ORACLE`` holds the SQL of those that it can express: op5, op6 and op9, by
-plain joins of all pairs.  The others rest on a tokenizer, a trained model or
+plain joins of all pairs, op11 by recursion over levels, op12 by one query a
+round.  The others rest on a tokenizer, a trained model or
 an approximate index; ``tests/llm`` holds them against brute force, round
 trips and held-out labels.
 """
@@ -12,7 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ann, chat, embdedup, html, langid, lm, minhash, packing, quality, sentencepiece
+from tidemark.llm import (ann, chat, embdedup, html, langid, lm, merkle, minhash, packing, pqcode, quality, sentencepiece,
+                          tokencount)
 from tidemark.llm.common import table
 
 QUALITY_THRESHOLD = 0.3
@@ -67,9 +69,23 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.build(docs, claimed=merkle.tampered_chars()).proofs().drop("proof")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pqcode.encode(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_language_id, op4_sentencepiece, op5_minhash_dedup,
-                            op6_chat_format, op7_quality, op8_ann, op9_embedding_dedup, op10_html)}
+                            op6_chat_format, op7_quality, op8_ann, op9_embedding_dedup, op10_html,
+                            op11_merkle_manifest, op12_vector_codes, op13_token_counts)}
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -81,6 +97,84 @@ reached AS (
   SELECT r.v, p.b AS c FROM reached r JOIN pairs p ON r.c = p.a),
 named AS (SELECT v, min(c) AS component_id FROM reached GROUP BY v)"""
 
+
+def _merkle_sql() -> str:
+    """Trees by recursion over levels: all nodes first, then each leaf's fold towards its root."""
+    def leaf(chars: str) -> str:
+        return "sha256(" + " || ".join(
+            f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+            for c in ("doc_id", "source", "lang", chars, "text")) + ")"
+    # CRC-32 of the id's decimal text, by its bits
+    crc = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda acc, b: list_reduce([xor(acc, b)] || [0, 0, 0, 0, 0, 0, 0, 0],
+        lambda r, _: xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295), 4294967295)"""
+
+    def grown(name: str, nodes: str) -> str:
+        return f"""
+{name} AS (
+  SELECT k, 0 AS lvl, pos, digest, n FROM {nodes}
+  UNION ALL
+  SELECT k, lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY k, lvl, pos // 2, n)"""
+
+    def folded(name: str, starts: str, tree: str) -> str:
+        return f"""
+{name} AS (
+  SELECT id, k, 0 AS lvl, pos, digest, proof, n FROM {starts}
+  UNION ALL
+  SELECT f.id, f.k, f.lvl + 1, f.pos // 2,
+         sha256(CASE WHEN s.digest IS NULL THEN f.digest WHEN f.pos % 2 = 1 THEN s.digest || f.digest
+                     ELSE f.digest || s.digest END), f.proof || coalesce(s.digest, ''), (f.n + 1) // 2
+  FROM {name} f LEFT JOIN {tree} s ON s.k = f.k AND s.lvl = f.lvl AND s.pos = xor(f.pos, 1)
+  WHERE f.n > 1)"""
+    return f"""
+WITH RECURSIVE hashed AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '') AS k, {leaf('n_chars')} AS digest,
+         CASE WHEN {crc} % 7 = 0 THEN {leaf('(n_chars + CAST(1 AS HUGEINT))')} ELSE {leaf('n_chars')} END AS claimed
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+         count(*) OVER (PARTITION BY k) AS n FROM hashed),{grown('trees', 'leaves')},
+subroots AS MATERIALIZED (
+  SELECT k AS lang_key, '' AS k, digest, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS n
+  FROM trees WHERE n = 1),{grown('tops', 'subroots')},
+starts AS (SELECT id, k, pos, claimed AS digest, '' AS proof, n FROM leaves),{folded('low', 'starts', 'trees')},
+ends AS (SELECT low.id, '' AS k, s.pos, low.digest, low.proof, s.n FROM low JOIN subroots s ON s.lang_key = low.k WHERE low.n = 1),
+{folded('high', 'ends', 'tops')}
+SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, t.digest AS root, sha256(h.proof) AS proof_sha256,
+       h.digest AS folded_root, h.digest = t.digest AS verified
+FROM leaves l JOIN high h ON h.id = l.id AND h.n = 1 JOIN subroots s ON s.lang_key = l.k JOIN tops t ON t.n = 1"""
+
+
+def _vector_codes_sql(rounds: int = pqcode.ROUNDS) -> str:
+    """Each round a query over all distances; nearest by (distance, index) as one number."""
+    parts = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS i, vec_id, label,
+         list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+parts AS MATERIALIZED (SELECT i, p, x[p * (len(x) // 8) + 1:(p + 1) * (len(x) // 8)] AS y FROM kept, range(8) t(p)),
+book0 AS MATERIALIZED (SELECT p, i AS e, y AS c FROM parts WHERE i < 16),"""
+
+    def nearest(k: int) -> str:
+        return f"""
+near{k} AS MATERIALIZED (
+  SELECT i, p, min(d * 16 + e) % 16 AS e, min(d * 16 + e) // 16 AS d FROM (
+    SELECT i, p, e, CAST(list_sum(list_transform(list_zip(y, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS HUGEINT) AS d
+    FROM parts JOIN book{k} USING (p)) GROUP BY i, p),"""
+    steps = "".join(f"""{nearest(k)}
+sums{k} AS (SELECT p, e, j, sum(y[j]) AS s, count(*) AS n FROM near{k} JOIN parts USING (i, p), range(1, len(y) + 1) t(j) GROUP BY p, e, j),
+means{k} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS m FROM sums{k} GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m, c) AS c FROM book{k} LEFT JOIN means{k} USING (p, e)),"""
+                    for k in range(rounds))
+    return f"""{parts}{steps}{nearest(rounds)}
+coded AS (SELECT i, string_agg(printf('%02x', CAST(e AS INT)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+          FROM near{rounds} GROUP BY i)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (i)"""
+
+
 ORACLE: dict[str, str] = {
     "op5_minhash_dedup": rf"""
 WITH RECURSIVE words AS (
@@ -126,4 +220,6 @@ pairs AS MATERIALIZED (
 SELECT id AS vec_id, (SELECT CAST(count(*) AS BIGINT) FROM pairs WHERE a = id) AS n_links, component_id,
        id = component_id AS kept
 FROM nodes JOIN named ON v = id""",
+    "op11_merkle_manifest": _merkle_sql(),
+    "op12_vector_codes": _vector_codes_sql(),
 }
