@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.time import local_day, next_local_midnight
-from tidemark.operators import caps, distinct, joins, late, patterns, topn, windows
+from tidemark.operators import caps, distinct, joins, late, matching, patterns, topn, windows
 from tidemark.plans import jobs
 from tidemark.sources import driver_tables as dt
 from tidemark.sources.readers import parse_access_log
@@ -476,6 +476,47 @@ def q_receipt_without_pay(spark, sf):
                     F.col("r_seq").alias("receipt_seq"))
 
 
+# Both sides of each transaction walked in order; ``q`` holds the waiting rows, all of side ``s``,
+# ``p`` / ``r`` what a step matches, ``gone`` (of side ``gs``) what it gives up.
+ONE_TO_ONE_SQL = f"""
+WITH RECURSIVE ev AS (
+  SELECT tx_id, ts, event_id, side, row_number() OVER (PARTITION BY tx_id ORDER BY ts, event_id, side) AS rn FROM (
+    SELECT tx_id, ts, event_id, 'p' AS side FROM ({PAYS_SQL}) a
+    UNION ALL SELECT tx_id, ts, event_id, 'r' AS side FROM ({RCPT_SQL}) b
+    UNION ALL SELECT DISTINCT CAST(user_id AS VARCHAR), TIMESTAMP '9000-01-01', CAST(NULL AS BIGINT), 'z' FROM events) x),
+walk AS (
+  SELECT tx_id, CAST(0 AS BIGINT) AS rn, CAST([] AS STRUCT(ts TIMESTAMP, id BIGINT)[]) AS q, 'p' AS s,
+         CAST(NULL AS STRUCT(ts TIMESTAMP, id BIGINT)) AS p, CAST(NULL AS STRUCT(ts TIMESTAMP, id BIGINT)) AS r,
+         CAST([] AS STRUCT(ts TIMESTAMP, id BIGINT)[]) AS gone, 'p' AS gs
+  FROM (SELECT DISTINCT tx_id FROM ev) t
+  UNION ALL
+  SELECT tx_id, rn,
+         CASE WHEN hit THEN alive[2:] WHEN side = 'z' THEN alive ELSE alive || [me] END,
+         CASE WHEN hit THEN s ELSE side END,
+         CASE WHEN hit THEN (CASE WHEN side = 'p' THEN me ELSE alive[1] END) END,
+         CASE WHEN hit THEN (CASE WHEN side = 'r' THEN me ELSE alive[1] END) END,
+         expired, s
+  FROM (
+    SELECT *, len(alive) > 0 AND s <> side AND side <> 'z' AS hit FROM (
+      SELECT w.tx_id, e.rn, e.side, w.s, struct_pack(ts := e.ts, id := e.event_id) AS me,
+             list_filter(w.q, lambda x: x.ts + INTERVAL 1 HOUR >= e.ts) AS alive,
+             list_filter(w.q, lambda x: x.ts + INTERVAL 1 HOUR < e.ts) AS expired
+      FROM walk w JOIN ev e ON e.tx_id = w.tx_id AND e.rn = w.rn + 1) a) b)"""
+
+
+@register("reconcile_one_to_one", f"""{ONE_TO_ONE_SQL}
+SELECT tx_id, 'matched' AS tag, p.ts AS pay_ts, p.id AS pay_seq, r.ts AS receipt_ts, r.id AS receipt_seq
+FROM walk WHERE p IS NOT NULL
+UNION ALL
+SELECT tx_id, CASE WHEN gs = 'p' THEN 'pay_without_receipt' ELSE 'receipt_without_pay' END,
+       CASE WHEN gs = 'p' THEN g.ts END, CASE WHEN gs = 'p' THEN g.id END,
+       CASE WHEN gs = 'r' THEN g.ts END, CASE WHEN gs = 'r' THEN g.id END
+FROM (SELECT tx_id, gs, unnest(gone) AS g FROM walk) u""")
+def q_reconcile_one_to_one(spark, sf):
+    return matching.reconcile_one_to_one(dt.order_events(spark, sf, pays_only=True), dt.receipts(spark, sf),
+                                         "1 hour", "1 hour")
+
+
 @register("login_fail_bursts", """
 WITH RECURSIVE ev AS (
   SELECT user_id, ts, f, rn FROM (
