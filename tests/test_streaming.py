@@ -8,6 +8,7 @@ from tests.conftest import SF_SMALL, topn_rows
 from tidemark.operators import caps, distinct, joins, patterns, topn, windows
 from tidemark.sources import driver_tables as dt
 from tidemark.streaming import joins as sj, processors, runner, windows as sw
+from tidemark.streaming.upserts import UpsertTable
 
 
 def _ms(c):
@@ -97,10 +98,10 @@ def test_late_refined_topn_upsert(spark, tmp_path, n_files):
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), "url", "cnt")
     path = str(tmp_path / "counts")
     q = (counts.writeStream.outputMode("update")
-         .foreachBatch(lambda b, i: sw.upsert_counts(b, path, ("window_end", "url")))
+         .foreachBatch(lambda b, i: sw.upsert_counts(b, i, path, ("window_end", "url")))
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
-    table = spark.read.parquet(path).where("url <> '~'").drop("window_day")
+    table = UpsertTable(spark, path, ("window_end", "url")).read().where("url <> '~'")
     want = windows.sliding_count(e, "url", "ts", "1 day", "6 hours")
     _same(table.select("window_end", "url", "cnt"), want.select("window_end", "url", "cnt"))
     _same(sw.topn_from_counts(table, "url"), topn.topn_per_window(want, "url", 5).select(
@@ -134,7 +135,7 @@ def test_running_uv_update_mode_and_upsert(spark, tmp_path):
          .foreachBatch(lambda b, i: sw.uv_upsert(b, i, path))
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
-    got = spark.read.parquet(path).where(F.year("window_end") < 2100).select(
+    got = UpsertTable(spark, path, ("window_end",)).read().where(F.year("window_end") < 2100).select(
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "uv")
     _same(got, distinct.uv_exact(e, "user_id", "ts", "1 hour"))
 
@@ -183,7 +184,7 @@ def test_upsert_topn(spark, tmp_path):
          .foreachBatch(lambda b, i: sw.upsert_topn(b.where("url <> '~'"), i, cpath, tpath, "url", 5))
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
-    got = spark.read.parquet(tpath).drop("window_day")
+    got = UpsertTable(spark, tpath, ("window_end",)).read()
     want = topn.topn_per_window(windows.sliding_count(e, "url", "ts", "1 day", "6 hours"), "url", 5)
     _same(got.select("window_end", "rank", "url", "cnt"), want.select("window_end", "rank", "url", "cnt"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.hashing import BITMAP_BITS, bitmap_offset
 from tidemark.operators import caps, distinct, joins, late, patterns, topn, windows
-from tidemark.streaming import joins as sjoins, processors, windows as swin
+from tidemark.streaming import joins as sjoins, processors, sliding, visitors, windows as swin
 
 
 # ------------------------------------------------------------ hot items / urls
@@ -30,7 +30,7 @@ def hot_items_stream(behavior: DataFrame, size="1 hour", slide="5 minutes",
     timestamps: zero delay).  Feed to ``foreachBatch(topn_sink)``, which ranks them."""
     s = swin.event_time(behavior, "ts", delay)
     pv = s.where(F.when(F.col("ts").isNotNull(), F.col("behavior") == "pv"))
-    return swin.finished_counts(swin.sliding_count_stream(pv, "item_id", "ts", size, slide, panes=True), "item_id")
+    return sliding.sliding_counts(pv, "item_id", "ts", size, slide).select("window_end", "item_id", "cnt")
 
 
 def hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", n: int = 5, disorder="1 second",
@@ -55,19 +55,23 @@ def hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", n: int = 5, d
     return topn.topn_per_window(counts, "url", n), late.mark_late(gets, "ts", "wm", size, slide, lateness).where("is_late")
 
 
+def hot_urls_stream(log: DataFrame, size="10 minutes", slide="5 seconds", disorder="1 second",
+                    lateness="60 seconds") -> DataFrame:
+    """Tagged rows for ``update`` mode: ``count`` rows (url, window_end, cnt), each replacing earlier ones
+    of its url and window until the window's end + ``lateness``, and ``late`` rows, the GET rows whose
+    windows had all closed by then, with the columns of ``log``.  One operator counts and tells what is
+    late, so every GET row is in one of the two.  The watermark advances on rows of all methods."""
+    d = log.withColumnRenamed("event_time", "ts") if "event_time" in log.columns else log
+    s = swin.event_time(d, "ts", disorder)
+    gets = s.where(F.when(F.col("ts").isNotNull(), F.col("method") == "GET"))
+    return sliding.sliding_counts(gets, "url", "ts", size, slide, lateness,
+                                  carried=[c for c in gets.columns if c != "url"])
+
+
 def hot_urls_stream_counts(log: DataFrame, size="10 minutes", slide="5 seconds", disorder="1 second",
                            lateness="60 seconds") -> DataFrame:
-    """Windowed GET counts for ``update`` mode: the watermark delay is
-    disorder + lateness, so each window keeps refining until its end +
-    lateness.  Feed to ``foreachBatch(upsert_counts)`` and rank with
-    ``topn_from_counts``."""
-    from tidemark.functions.time import duration_us
-    delay = f"{duration_us(disorder) + duration_us(lateness)} microseconds"
-    s = swin.event_time(log.withColumnRenamed("event_time", "ts"), "ts", delay)
-    gets = s.where(F.when(F.col("ts").isNotNull(), F.col("method") == "GET"))
-    # update mode allows one stateful aggregation only: no pane chaining
-    return swin.sliding_count_stream(gets, "url", "ts", size, slide, panes=False).select(
-        F.col("w.end").alias("window_end"), "url", "cnt")
+    """The ``count`` rows of :func:`hot_urls_stream`; feed to ``foreachBatch(upsert_topn)``."""
+    return hot_urls_stream(log, size, slide, disorder, lateness).where("tag = 'count'").select("window_end", "url", "cnt")
 
 
 # ------------------------------------------------------------ page views / visitors
@@ -79,6 +83,15 @@ def page_views(behavior: DataFrame, size="1 hour", salted: bool = False, buckets
     return windows.tumbling_count(pv, None, "ts", size, out="pv")
 
 
+def page_views_stream(behavior: DataFrame, size="1 hour", buckets: int = 8, delay="0 seconds",
+                      salt_cols=("seq",)) -> DataFrame:
+    """(window_end, pv) per finished window: counts per (salt, window), then their sums (append mode),
+    so no task counts a whole window's rows."""
+    s = swin.event_time(behavior, "ts", delay)
+    pv = s.where(F.when(F.col("ts").isNotNull(), F.col("behavior") == "pv"))
+    return swin.salted_count_stream(pv, "ts", size, buckets, list(salt_cols), out="pv")
+
+
 def unique_visitors(events: DataFrame, size="1 hour", method: str = "exact", rsd: float = 0.01) -> DataFrame:
     if method == "exact":
         return distinct.uv_exact(events, "user_id", "ts", size)
@@ -98,6 +111,10 @@ def unique_visitors_stream(events: DataFrame, size="1 hour", method: str = "exac
         return swin.uv_stream(s, "user_id", "ts", size)
     if method == "bitmap":  # ids whose hashes meet count once, as in the batch form
         return swin.uv_stream(s, bitmap_offset("user_id", BITMAP_BITS), "ts", size)
+    if method == "running":     # a row per input row
+        return visitors.uv_running_stream(s, "user_id", "ts", "seq", size)
+    if method == "running_bitmap":
+        return visitors.uv_running_stream(s, "user_id", "ts", "seq", size, distinct_on="bitmap")
     if method == "hll":
         from tidemark.functions.time import duration_us
         w = F.window("ts", f"{duration_us(size)} microseconds")
@@ -120,8 +137,7 @@ def channel_promotion_stream(market: DataFrame, size="1 hour", slide="5 seconds"
     m = market.withColumn("ts", F.current_timestamp()) if processing_time else market
     m = swin.event_time(m, "ts", disorder)
     m = m.where(F.when(F.col("ts").isNotNull(), ~F.col("behavior").eqNullSafe("UNINSTALL")))
-    return swin.sliding_count_stream(m, ["channel", "behavior"], "ts", size, slide, panes=True).select(
-        "channel", "behavior", F.col("w.end").alias("window_end"), "cnt")
+    return sliding.sliding_counts(m, ["channel", "behavior"], "ts", size, slide)
 
 
 def ad_clicks(clicks: DataFrame, cap: int = 100, size="1 hour", slide="5 seconds",
@@ -140,10 +156,8 @@ def ad_clicks_stream(clicks: DataFrame, cap: int = 100, size="1 hour", slide="5
     ``province``."""
     s = swin.event_time(clicks, "ts", disorder)
     tagged = processors.daily_cap_stream(s, cap, tz, extra=("province",))
-    counts = swin.sliding_count_stream(tagged.where(F.col("tag") == "pass"), "province", "ts", size, slide,
-                                       panes=True)
-    return (counts.select("province", F.col("w.end").alias("window_end"), "cnt"),
-            tagged.where(F.col("tag") == "warning"))
+    counts = sliding.sliding_counts(tagged.where(F.col("tag") == "pass"), "province", "ts", size, slide)
+    return counts, tagged.where(F.col("tag") == "warning")
 
 
 # ------------------------------------------------------------ risk / orders / payments

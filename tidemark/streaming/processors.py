@@ -27,7 +27,31 @@ def _ms(spec) -> int:
     return duration_us(spec) // 1000
 
 
-class EventOrder(StatefulProcessor):
+class OneTimer(StatefulProcessor):
+    """A processor whose keys have one timer each, kept in state so that it can be moved."""
+
+    def init(self, handle):
+        self.handle = handle
+        self.timer = handle.getValueState("timer", "ms bigint")
+
+    def _arm(self, at) -> None:
+        """Set the key's one timer to the watermark ``at`` (None: no timer)."""
+        old = self.timer.get()[0] if self.timer.exists() else None
+        if at == old:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        if at is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(at)       # fires when the watermark has reached it
+            self.timer.update((at,))
+
+    def close(self):
+        pass
+
+
+class EventOrder(OneTimer):
     """Hands a key's rows to ``step`` in event-time order.
 
     Subclasses keep their state in a short list of tuples of ``MEMORY`` and
@@ -41,13 +65,12 @@ class EventOrder(StatefulProcessor):
     COLS = T.StructType().add("event_type", "string")   # what ``step`` reads of a row, beside times and seq
 
     def init(self, handle):
-        self.handle = handle
+        super().init(handle)
         times = T.StructType([T.StructField(c, T.LongType()) for c in ("ts_us", "ts_ms", "seq")])
         schema = T.StructType([*times, *(f for f in self.COLS if f.name not in times.names)])
         self.names = schema.names
         self.pending = handle.getListState("pending", schema)
         self.memory = handle.getListState("memory", self.MEMORY)
-        self.timer = handle.getValueState("timer", "ms bigint")
 
     def step(self, key, memory, r):
         raise NotImplementedError
@@ -63,19 +86,6 @@ class EventOrder(StatefulProcessor):
         """The first watermark after which no row of this time can arrive."""
         return -(-us // 1000)
 
-    def _arm(self, at) -> None:
-        """Set the key's one timer to the watermark ``at`` (None: no timer)."""
-        old = self.timer.get()[0] if self.timer.exists() else None
-        if at == old:
-            return
-        if old is not None:
-            self.handle.deleteTimer(old - 1)
-        if at is None:
-            self.timer.clear()
-        else:
-            self.handle.registerTimer(at - 1)   # a timer fires when the watermark is beyond it
-            self.timer.update((at,))
-
     def handleInputRows(self, key, rows, timerValues):
         held = [tuple(r[c] for c in self.names) for r in rows]
         if held:
@@ -105,9 +115,6 @@ class EventOrder(StatefulProcessor):
         self._arm(min(ahead) if ahead else None)
         return iter(out)
 
-    def close(self):
-        pass
-
 
 # ------------------------------------------------------------------ daily cap
 

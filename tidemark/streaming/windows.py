@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.functions.hashing import salt as salt_expr
 from tidemark.functions.time import duration_us
 from tidemark.session import reliable_checkpoint
+from tidemark.streaming.upserts import UpsertTable
 
 
 def _no_table(error: AnalysisException) -> bool:
@@ -71,27 +73,21 @@ def uv_stream(df: DataFrame, user="user_id", ts: str = "ts", size="1 hour") -> D
         F.col("w.end").alias("window_end"), "uv")
 
 
-def upsert_counts(batch: DataFrame, path: str, keys=("window_end", "url"),
-                  part_col: str = "window_day") -> None:
-    """``foreachBatch`` body for ``update`` mode: the batch holds the latest
-    counts of changed (window, key) pairs; rewrite only the touched day
-    partitions of the parquet table at ``path`` with the new values."""
-    spark = batch.sparkSession
-    keys = list(keys)
-    upd = batch.withColumn(part_col, F.to_date(F.col(keys[0])))
-    days = [r[0] for r in upd.select(part_col).distinct().collect()]  # days touched by this batch
-    try:
-        old = spark.read.parquet(path).where(F.col(part_col).isin(days))
-        merged = old.join(upd.select(*keys), keys, "left_anti").unionByName(upd)
-    except AnalysisException as e:
-        if not _no_table(e):
-            raise
-        merged = upd
-    # Cut the lineage to the files about to be replaced (reliable checkpoint
-    # in the shared spark.checkpoint.dir).
-    merged = reliable_checkpoint(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
+def salted_count_stream(df: DataFrame, ts: str = "ts", size="1 hour", buckets: int = 8, salt_cols=("seq",),
+                        out: str = "cnt") -> DataFrame:
+    """(window_end, count) of all rows per tumbling window in two chained aggregations (append
+    mode): per (window, salt), then per window, which sees ``buckets`` rows a window."""
+    sz = f"{duration_us(size)} microseconds"
+    first = df.groupBy(F.window(F.col(ts), sz).alias("w"), salt_expr(list(salt_cols), buckets).alias("salt")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    total = first.groupBy(F.window(F.window_time("w"), sz).alias("w")).agg(F.sum("_n").cast("bigint").alias(out))
+    return total.select(F.col("w.end").alias("window_end"), out)
+
+
+def upsert_counts(batch: DataFrame, batch_id: int, path: str, keys=("window_end", "url")) -> None:
+    """``foreachBatch`` body for ``update`` mode: the batch holds the latest counts of changed
+    (window, key) pairs, which replace earlier ones in the :class:`UpsertTable` at ``path``."""
+    UpsertTable(batch.sparkSession, path, keys).commit(batch, batch_id)
 
 
 def topn_from_counts(counts: DataFrame, key: str, n: int = 5) -> DataFrame:
@@ -103,7 +99,7 @@ def topn_from_counts(counts: DataFrame, key: str, n: int = 5) -> DataFrame:
 def uv_upsert(batch: DataFrame, batch_id: int, path: str) -> None:
     """``foreachBatch`` body for an ``update``-mode UV stream: keep the
     latest ``(window_end, uv)`` per window in a parquet table."""
-    upsert_counts(batch, path, keys=("window_end",))
+    upsert_counts(batch, batch_id, path, keys=("window_end",))
 
 
 def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path: str,
@@ -149,33 +145,18 @@ def split_late_batch(batch: DataFrame, batch_id: int, state_path: str, out_path:
 
 def upsert_topn(batch: DataFrame, batch_id: int, counts_path: str, topn_path: str, key: str = "url",
                 n: int = 5) -> None:
-    """``foreachBatch`` body for the late-refined top-N: merge the changed
-    (window, key) counts into the counts table, re-rank only the windows
-    this batch touched, and replace their rows in the top-N table (both
-    day-partitioned parquet).  The top-N table always holds the latest
-    ranking of every window."""
+    """``foreachBatch`` body for the late-refined top-N: commit the changed (window, key) counts, re-rank
+    the windows this batch touched, and commit their rows, which replace the windows' earlier
+    ones.  Each of the two tables knows the batch by its id, so a replay completes what is missing."""
     spark = batch.sparkSession
-    upsert_counts(batch, counts_path, keys=("window_end", key))
-    touched = batch.select("window_end").distinct()
-    days = [r[0] for r in touched.select(F.to_date("window_end")).distinct().collect()]
-    counts = (spark.read.parquet(counts_path).where(F.col("window_day").isin(days))
-              .join(touched, "window_end", "left_semi").drop("window_day"))
-    upsert_rows_replace_windows(topn_from_counts(counts, key, n), topn_path)
-
-
-def upsert_rows_replace_windows(rows: DataFrame, path: str, part_col: str = "window_day") -> None:
-    """Replace, in the day-partitioned table at ``path``, all rows of the
-    windows present in ``rows``."""
-    spark = rows.sparkSession
-    rows = rows.withColumn(part_col, F.to_date("window_end"))
-    days = [r[0] for r in rows.select(part_col).distinct().collect()]
+    counts, top = UpsertTable(spark, counts_path, ("window_end", key)), UpsertTable(spark, topn_path, ("window_end",))
+    cached = batch.persist()
     try:
-        old = spark.read.parquet(path).where(F.col(part_col).isin(days))
-        merged = old.join(rows.select("window_end").distinct(), "window_end", "left_anti").unionByName(rows)
-    except AnalysisException as e:
-        if not _no_table(e):
-            raise
-        merged = rows
-    merged = reliable_checkpoint(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
+        counts.commit(cached, batch_id)
+        touched = cached.select("window_end").distinct()
+        days = [r[0] for r in touched.select(F.to_date("window_end")).distinct().collect()]     # days of one batch
+        found = counts.read(days) if days else None
+        rows = cached.limit(0) if found is None else found.join(touched, "window_end", "left_semi")
+        top.commit(topn_from_counts(rows.select("window_end", key, "cnt"), key, n), batch_id)
+    finally:
+        cached.unpersist()
