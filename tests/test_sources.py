@@ -54,3 +54,36 @@ def test_channel_promotion_stream_event_time(spark):
     want = jobs.channel_promotion(m, "1 day", "6 hours")
     got = got.select("channel", "behavior", F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_file_order_over_split_files(spark, tmp_path):
+    """Rows number in the order of file names and lines, whatever order the listing or the splits have."""
+    want = []
+    for name, n in (("b.csv", 3000), ("a.csv", 5000), ("c/0.csv", 10), ("d x.csv", 2000)):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("".join(f"{i},{name},fail,{i}\n" for i in range(n)))
+        want += [(name, i) for i in range(n)]
+    want.sort()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+        df = read_records(spark, "login", [str(tmp_path / "in" / p) for p in ("d x.csv", "b.csv", "c", "a.csv")], seq="seq")
+        assert df.rdd.getNumPartitions() > 5
+        got = [(r["ip"], r["user_id"]) for r in df.orderBy("seq").collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == want and len({r["seq"] for r in df.collect()}) == len(want)
+
+
+def test_split_malformed(spark):
+    from tidemark.sources.readers import split_malformed
+    lines = ["1,create,,100", "2,pay,tx,200", "x,pay,tx,1", "3,pay,tx", "4,pay,tx,1,2", "", None, ",pay,tx,5", "5,pay,tx,", "a"]
+    df = spark.createDataFrame(list(enumerate(lines)), "n int, value string")
+    good, bad = split_malformed(df, "order")
+    assert [tuple(r) for r in good.orderBy("n").collect()] == [(0, 1, "create", "", 100), (1, 2, "pay", "tx", 200)]
+    assert [(r["n"], r["value"]) for r in bad.orderBy("n").collect()] == list(enumerate(lines))[2:]
+    good, bad = split_malformed(df.where("false"), "order")
+    assert good.count() == bad.count() == 0

@@ -17,7 +17,8 @@ from tidemark.functions.time import local_day, next_local_midnight
 from tidemark.operators import caps, distinct, joins, late, matching, patterns, topn, windows
 from tidemark.plans import jobs
 from tidemark.sources import driver_tables as dt
-from tidemark.sources.readers import parse_access_log
+from tidemark.session import scratch_path
+from tidemark.sources.readers import parse_access_log, read_records, split_malformed, with_event_time
 
 # Fixed parameters of the catalog queries.
 TOP_N = 5
@@ -83,6 +84,93 @@ def q_parse_access_log(spark, sf):
     return parse_access_log(hits.select("seq", line.alias("value")), keep=["seq"], ntz=True)
 
 
+def _scanned(df: DataFrame, kind: str, columns: list[str]) -> DataFrame:
+    """``df`` rendered as comma-separated text files and scanned back under the fixed schema."""
+    path = scratch_path(df.sparkSession, f"scan-{kind}")
+    df.select(*columns, F.unix_seconds(F.col("ts").cast("timestamp"))).write.csv(path)
+    return with_event_time(read_records(df.sparkSession, kind, path), seq_col=None, ntz=True).drop("ts_s")
+
+
+SECOND_SQL = "date_trunc('second', ts) AS ts"
+
+
+@register("scan_user_behavior", f"""
+SELECT user_id, {K_SQL} AS item_id, CAST({K_SQL} % 10 AS INTEGER) AS category_id,
+       CASE WHEN event_type = 'view' THEN 'pv' ELSE event_type END AS behavior, {SECOND_SQL} FROM events""")
+def q_scan_user_behavior(spark, sf):
+    v = dt.item_views(spark, sf).withColumn("category_id", F.col("item_id") % 10)
+    return _scanned(v, "user_behavior", ["user_id", "item_id", "category_id", "behavior"])
+
+
+@register("scan_ad_click", f"""
+SELECT e.user_id, {K_SQL} AS ad_id, n.n_name AS province, 'city-' || CAST(e.user_id % 7 AS VARCHAR) AS city, {SECOND_SQL}
+FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25 WHERE event_type = 'click'""")
+def q_scan_ad_click(spark, sf):
+    c = dt.ad_clicks(spark, sf).join(dt.provinces(spark, sf), "nation_key").withColumn(
+        "city", F.concat(F.lit("city-"), (F.col("user_id") % 7).cast("string")))
+    return _scanned(c, "ad_click", ["user_id", "ad_id", "province", "city"])
+
+
+@register("scan_login", f"""
+SELECT user_id, '10.0.0.' || CAST(user_id % 256 AS VARCHAR) AS ip,
+       CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS event_type, {SECOND_SQL} FROM events""")
+def q_scan_login(spark, sf):
+    lg = dt.logins(spark, sf).withColumn("ip", F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")))
+    return _scanned(lg, "login", ["user_id", "ip", "event_type"])
+
+
+@register("scan_order", f"""
+SELECT user_id AS order_id, CASE WHEN event_type = 'purchase' THEN 'pay' ELSE 'create' END AS event_type,
+       CASE WHEN event_type = 'purchase' THEN CAST(user_id AS VARCHAR) ELSE '' END AS tx_id, {SECOND_SQL}
+FROM events WHERE event_type IN ('signup', 'purchase')""")
+def q_scan_order(spark, sf):
+    return _scanned(dt.order_events(spark, sf), "order", ["order_id", "event_type", "tx_id"])
+
+
+@register("scan_receipt", f"""
+SELECT CAST(user_id AS VARCHAR) AS tx_id, 'click' AS pay_channel, {SECOND_SQL} FROM events WHERE event_type = 'click'""")
+def q_scan_receipt(spark, sf):
+    return _scanned(dt.receipts(spark, sf), "receipt", ["tx_id", "pay_channel"])
+
+
+# Login lines of which some are cut short, have a letter in a number, a field too many, or an empty number.
+LINE_SQL = """
+SELECT event_id, ts, CASE
+  WHEN event_id % 97 = 0 THEN CAST(user_id AS VARCHAR) || ',' || event_type
+  WHEN event_id % 89 = 0 THEN 'x' || CAST(user_id AS VARCHAR) || ',10.0.0.1,' || event_type || ',' || CAST(floor(epoch(ts))::BIGINT AS VARCHAR)
+  WHEN event_id % 83 = 0 THEN CAST(user_id AS VARCHAR) || ',10.0.0.1,' || event_type || ',1,2'
+  WHEN event_id % 79 = 0 THEN ',10.0.0.1,' || event_type || ',7'
+  ELSE CAST(user_id AS VARCHAR) || ',10.0.0.1,' || event_type || ',' || CAST(floor(epoch(ts))::BIGINT AS VARCHAR) END AS line,
+  event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 OR event_id % 79 = 0 AS bad,
+  user_id, event_type FROM events"""
+
+
+@register("scan_quarantine", f"""
+SELECT 'record' AS kind, user_id, '10.0.0.1' AS ip, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS ts_s, '' AS line
+FROM ({LINE_SQL}) l WHERE NOT bad
+UNION ALL
+SELECT 'malformed', -1, '', '', 0, line FROM ({LINE_SQL}) l WHERE bad""")
+def q_scan_quarantine(spark, sf):
+    e = dt.events(spark, sf)
+    user, kind = F.col("user_id").cast("string"), F.col("event_type")
+    sec = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+
+    def line(*fields):
+        return F.concat_ws(",", *[F.lit(f) if isinstance(f, str) else f for f in fields])
+    text = (F.when(F.col("event_id") % 97 == 0, line(user, kind))
+            .when(F.col("event_id") % 89 == 0, line(F.concat(F.lit("x"), user), "10.0.0.1", kind, sec))
+            .when(F.col("event_id") % 83 == 0, line(user, "10.0.0.1", kind, "1", "2"))
+            .when(F.col("event_id") % 79 == 0, line("", "10.0.0.1", kind, "7"))
+            .otherwise(line(user, "10.0.0.1", kind, sec)))
+    path = scratch_path(spark, "scan-quarantine")
+    e.select(text.alias("value")).write.text(path)
+    good, bad = split_malformed(spark.read.text(path), "login")
+    columns = ["kind", "user_id", "ip", "event_type", "ts_s", "line"]
+    return (good.select(F.lit("record").alias("kind"), *columns[1:5], F.lit("").alias("line"))
+            .unionByName(bad.selectExpr("'malformed' AS kind", "-1L AS user_id", "'' AS ip", "'' AS event_type", "0L AS ts_s",
+                                        "value AS line").select(*columns)))
+
+
 @register("local_day", """
 SELECT event_id, CAST(ts + INTERVAL 8 HOUR AS DATE) AS local_day,
        CAST(CAST(ts + INTERVAL 8 HOUR AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) - INTERVAL 8 HOUR AS next_local_midnight
@@ -105,7 +193,7 @@ HOT_ITEMS_COUNTS_SQL = _sliding_sql(f"{K_SQL} AS item_id", "event_type = 'view'"
 
 @register("hot_items_counts", HOT_ITEMS_COUNTS_SQL)
 def q_hot_items_counts(spark, sf):
-    return windows.sliding_count(_item_views(spark, sf), "item_id", "ts", "1 day", "6 hours")
+    return windows.sliding_count(_item_views(spark, sf), "item_id", "ts", "1 day", "6 hours", method="panes")
 
 
 @register("hot_items_topn", _topn_sql(HOT_ITEMS_COUNTS_SQL, "item_id"))
@@ -301,7 +389,7 @@ def q_uv_running(spark, sf):
                                          "event_type <> 'error'", 6, 4, "channel, behavior"))
 def q_channel_counts(spark, sf):
     m = dt.market_rows(spark, sf, where=~F.col("event_type").eqNullSafe(dt.ERROR))
-    return windows.sliding_count(m, ["channel", "behavior"], "ts", "1 day", "6 hours")
+    return windows.sliding_count(m, ["channel", "behavior"], "ts", "1 day", "6 hours", method="panes")
 
 
 # --------------------------------------------------------------- ad clicks
