@@ -156,3 +156,21 @@ def test_salted_page_views_stream(spark):
     got = got.where("year(window_end) < 2100").select(
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "pv")
     _same(got, jobs.page_views(v, salted=True))
+
+
+def test_replay_reads_its_source_in_one_write_and_keeps_order(spark):
+    import datetime as dt
+    rows = [(None, -5), (dt.datetime(2150, 1, 1), 3)] + [(dt.datetime(2024, 1, 1) + dt.timedelta(days=9 * i), i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "ts timestamp, seq bigint").repartition(6)
+    root = runner.write_replay_files(df, 7, {"seq": -1})
+    back = spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(root)
+    assert back.where("seq <> -1").exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    assert {r["ts"].year for r in back.where("seq = -1").collect()} == {2151}       # beyond the last row
+    seen = []
+    (runner.read_replay(spark, root, df.schema).writeStream.foreachBatch(
+        lambda b, i: seen.append([(r["ts"], r["seq"]) for r in b.collect()])).trigger(availableNow=True)
+     .option("checkpointLocation", runner.scratch_path(spark, "ck")).start().awaitTermination())
+    assert len(seen) == 9 and [len(b) for b in seen[-2:]] == [1, 1] and (None, -5) in seen[0]
+    tops = [max(t for t, _ in b if t) for b in seen]
+    lows = [min(t for t, _ in b if t) for b in seen]
+    assert tops == sorted(tops) and all(a < b for a, b in zip(tops, lows[1:-1]))

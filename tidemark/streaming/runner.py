@@ -2,54 +2,80 @@
 
 A bounded file replay with ``availableNow`` stops before the final
 watermark passes the last windows and timers.  ``write_replay_files``
-splits a DataFrame into time-ordered files, one micro-batch each, and
-appends two sentinel files holding one far-future row, so the last real
-windows close and all timers fire; callers filter the sentinel key out.
+deals a DataFrame to time slices, one file and so one micro-batch each, in
+a single write, and adds two slices with one far-future row each, so the
+last real windows close and all timers fire; callers filter the sentinel
+key out.  The order of the slices is set in the files' times, which is what a
+file stream goes by.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.time import duration_us
 from tidemark.session import scratch_path
 
-SENTINEL_TS = "2100-01-01 00:00:00"
+#: The sentinel's time, or the last row's time plus the horizon, whichever is later.
+SENTINEL_TS = dt.datetime(2100, 1, 1)
+SLICE = "_slice"
+
+
+def _position(df: DataFrame, col: str) -> F.Column:
+    """A time (or a number) as a whole number."""
+    kind = df.schema[col].dataType
+    timed = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+    return F.unix_micros(F.col(col).cast("timestamp")) if timed else F.col(col).cast("bigint")
 
 
 def write_replay_files(df: DataFrame, n_files: int, sentinel: dict | None, ts: str = "ts",
-                       path: str | None = None, order_col: str | None = None) -> str:
-    """Write ``df`` as ``n_files`` parquet folders in event-time order (or
-    ``order_col`` order, e.g. an arrival time) plus two sentinel batches
-    (none when ``sentinel`` is None); returns the root folder (read it with
-    ``read_replay``)."""
+                       path: str | None = None, order_col: str | None = None, horizon="400 days") -> str:
+    """Write ``df`` as up to ``n_files`` time slices, in event-time order (or
+    ``order_col`` order, e.g. an arrival time), plus two sentinel slices (none when
+    ``sentinel`` is None); returns the root folder (read it with ``read_replay``).
+
+    The sentinel lies ``horizon`` beyond the last row, so that must be longer than any
+    window, timer and delay of the query.  Rows without a time come first.  The rows are
+    read once for the range of times and once for the write."""
     spark = df.sparkSession
     root = path or scratch_path(spark, "replay")
-    split_col = order_col or ts
-    lo, hi = df.agg(F.min(split_col), F.max(split_col)).first()
-    span = (hi - lo) / n_files if hi != lo else None
-    for i in range(n_files):
-        if span is None:
-            part = df if i == 0 else df.where(F.lit(False))
-        else:
-            a, b = lo + span * i, lo + span * (i + 1)
-            cond = (F.col(split_col) >= a) & ((F.col(split_col) < b) if i < n_files - 1 else F.lit(True))
-            part = df.where(cond | F.col(split_col).isNull() if i == 0 else cond)    # rows without a time come first
-        part.coalesce(1).write.parquet(os.path.join(root, f"b{i:05d}"))
-    if sentinel is None:
-        return root
-    row = {c: None for c in df.columns}
-    row.update(sentinel)
-    for j in range(2):
-        s = spark.createDataFrame([tuple(row[c] for c in df.columns)], df.schema)
-        s = s.withColumn(ts, F.lit(SENTINEL_TS).cast(df.schema[ts].dataType))
-        s.coalesce(1).write.parquet(os.path.join(root, f"s{j}"))
+    at = _position(df, order_col or ts)
+    lo, hi, last = df.agg(F.min(at), F.max(at), F.max(F.col(ts).cast("timestamp"))).first()
+    slice_no = F.lit(0) if lo is None or lo == hi else F.least(
+        F.floor((at - F.lit(lo)) * F.lit(n_files) / F.lit(hi - lo)), F.lit(n_files - 1))
+    placed = F.when(at.isNull(), F.lit(0)).otherwise(slice_no.cast("int"))
+    rows = df.withColumn(SLICE, F.format_string("%07d", placed))
+    if sentinel is not None:
+        beyond = max([SENTINEL_TS] + [last + dt.timedelta(microseconds=duration_us(horizon))] * (last is not None))
+        row = {c: None for c in df.columns} | sentinel
+        for i in range(2):
+            flush = spark.createDataFrame([tuple(row[c] for c in df.columns)], df.schema).withColumn(
+                ts, F.lit(beyond.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(df.schema[ts].dataType))
+            rows = rows.unionByName(flush.withColumn(SLICE, F.lit(f"{n_files + i:07d}")))
+    rows.repartition(n_files + 2, SLICE).write.partitionBy(SLICE).parquet(root)
+    _set_order(spark, root)
     return root
 
 
+def _set_order(spark: SparkSession, root: str) -> None:
+    """Give the slices' files times a second apart, in the order of their names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found, names = fs.listFiles(folder, True), []
+    while found.hasNext():
+        names.append(found.next().getPath())
+    names = sorted((p for p in names if p.getName().startswith("part-")), key=lambda p: p.toString())
+    start = int(time.time()) - len(names)
+    for i, p in enumerate(names):
+        fs.setTimes(p, (start + i) * 1000, -1)
+
+
 def read_replay(spark: SparkSession, root: str, schema) -> DataFrame:
-    """Stream the replay folders one per micro-batch, in name order."""
+    """Stream the replay's slices one per micro-batch, in order."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
             .option("recursiveFileLookup", "true").parquet(root))
 
