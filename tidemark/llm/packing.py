@@ -46,9 +46,10 @@ class Limits:
 
 @dataclass(slots=True)
 class Piece:
-    """A run of an example's ids; ``prompt`` ids of the example come before its loss-bearing ones."""
+    """A run of an example's ids (a view, so that cutting a long example copies nothing); ``prompt``
+    ids of the example come before its loss-bearing ones."""
     doc_id: int | None
-    ids: bytes = field(repr=False)
+    ids: bytes | memoryview = field(repr=False)
     start: int
     length: int
     prompt: int
@@ -67,19 +68,49 @@ class Piece:
         return min(self.length, tokens, max(0, self.prompt - self.start) + loss)
 
 
-# Words of Latin letters, digits and ASCII punctuation (no apostrophe, which the
-# vocabulary's rules treat apart) fall into parts that are merged on their own.
-PART = r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+"
-PARTS = re.compile(PART)
-PLAIN = re.compile(f"(?:{PART})+")
+# Kinds of bytes.  Words of Latin letters, digits and ASCII punctuation (no apostrophe, which the
+# vocabulary's rules treat apart) fall into parts that are merged on their own: a run of letters, a
+# digit, a run of signs.  A word with any other byte is one part.
+SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+_KIND = np.full(256, OTHER, np.uint8)
+for _kind, _pattern in ((SPACE, rb"[\x20\x09-\x0D]"), (LETTER, rb"[A-Za-z]"), (DIGIT, rb"[0-9]"),
+                        (SIGN, rb"[!-&(-/:-@\[-`{-~]")):
+    _KIND[[i for i in range(256) if re.fullmatch(_pattern, bytes([i]))]] = _kind
+# Letters of the Latin-1 block: this lead byte and any second one, but for the signs of times and division.
+_LEAD, _NO_LETTERS = 0xC3, (0x97, 0xB7)
+PLAIN = re.compile(rb"(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+|[0-9]|(?!.*<\|)[!-&(-/:-@\[-`{-~]+")
+CALL_BYTES = 1 << 21        # of texts cut into parts at once
+
+
+def part_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the parts of all words in ``raw`` (UTF-8, a white space at its end) begin and end."""
+    kind = _KIND[raw]
+    lead = np.flatnonzero(raw[:-1] == _LEAD)
+    lead = lead[~np.isin(raw[lead + 1], _NO_LETTERS)]
+    kind[lead] = LETTER
+    kind[lead + 1] = LETTER
+    kind[np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))] = OTHER    # a special token may be spelled
+    before = np.concatenate((np.full(1, SPACE, np.uint8), kind[:-1]))
+    word = np.flatnonzero((kind != SPACE) & (before == SPACE))
+    begins = (kind != SPACE) & ((kind != before) | (kind == DIGIT))
+    odd = np.flatnonzero(kind == OTHER)
+    if len(odd):
+        stops = np.flatnonzero((kind == SPACE) & (before != SPACE))
+        for i in np.unique(np.searchsorted(word, odd, "right") - 1).tolist():
+            begins[word[i] + 1:stops[i]] = False
+    following = np.concatenate((begins[1:] | (kind[1:] == SPACE), np.ones(1, bool)))
+    # a part ends where the next begins or its word does
+    begin = np.flatnonzero(begins)
+    ends = np.flatnonzero((kind != SPACE) & following) + 1
+    return begin, ends
 
 
 class WordTokenizer:
-    """Ids of a text, word by word: the vocabulary's rules drop white space and
-    never look across it, so a word's ids don't depend on its neighbours.
-    Words and parts of words met before come from bounded caches; new parts
-    of plain words are encoded in one call, the end marks in their pieces
-    telling where each part ends."""
+    """Ids of a text from its words' parts: the vocabulary's rules drop white space and never
+    look across it, nor across the parts of a plain word.  A batch's parts are told apart and made
+    distinct in Arrow; ids of parts met before come from a bounded cache, and new
+    plain parts are encoded in one call, the end marks in their pieces telling
+    where each part ends."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -89,56 +120,72 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     def _encode_each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_parts(self, parts: list[str]) -> None:
-        joined = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0]
-        ids = np.array(joined.ids, dtype="<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) == len(parts):
-            raw, at = ids.tobytes(), (ends * 4).tolist()
-            self.parts.update(zip(parts, (raw[i:j] for i, j in zip([0, *at], at))))
-        else:
-            self.parts.update(zip(parts, self._encode_each(parts)))
-
-    def _learn(self, words: list[bytes]) -> None:
-        plain, other = {}, []
-        for w in words:
-            text = w.decode()
-            if PLAIN.fullmatch(text) and "<|" not in text:
-                plain[w] = PARTS.findall(text)
-            else:
-                other.append(w)
-        new = {p for ps in plain.values() for p in ps if p not in self.parts}
-        if len(self.parts) + len(new) > CACHE_WORDS:
-            self.parts.clear()
-            new = {p for ps in plain.values() for p in ps}
-        if new:
-            self._learn_parts(list(new))
-        get = self.parts.__getitem__
-        self.words.update((w, b"".join(map(get, ps))) for w, ps in plain.items())
-        self.words.update(zip(other, self._encode_each([w.decode() for w in other])))
+    def _learn(self, parts: list[bytes]) -> None:
+        """Encode parts that no cache holds; an odd part is a whole word and encoded by itself."""
+        plain = [p for p in parts if PLAIN.fullmatch(p)]
+        if plain:
+            joined = self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0]
+            ids = np.array(joined.ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(plain):
+                raw, at = ids.tobytes(), (ends * 4).tolist()
+                self.parts.update(zip(plain, (raw[i:j] for i, j in zip([0, *at], at))))
+        other = [p for p in parts if p not in self.parts]
+        self.parts.update(zip(other, self._encode_each([p.decode() for p in other])))
+
+    def _ids(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of each of the distinct ``parts``."""
+        if len(self.parts) + len(parts) > CACHE_WORDS:
+            self.older, self.parts = self.parts, {}
+        missing = [p for p in parts if p not in self.parts]
+        known = [p for p in missing if p in self.older]
+        self.parts.update((p, self.older[p]) for p in known)
+        if len(known) < len(missing):
+            self._learn([p for p in missing if p not in self.older])
+        return list(map(self.parts.__getitem__, parts))
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        joined = b"\n".join([*texts, b""])
+        raw = np.frombuffer(joined, np.uint8)
+        begin, end = part_bounds(raw)
+        if not len(begin):
+            return [b""] * len(texts)
+        # the parts' bytes without what lies between them, as one Arrow column
+        size = end - begin
+        at = np.concatenate(([0], np.cumsum(size)))
+        data = raw[np.repeat(begin - at[:-1], size) + np.arange(at[-1])]
+        column = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+        distinct = column.dictionary_encode()
+        code = distinct.indices.to_numpy()
+        found = self._ids(distinct.dictionary.to_pylist())
+        pool = np.frombuffer(b"".join(found), "<u4")
+        length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(length) - length
+        # ids of all parts in order, then cut by text
+        n = length[code]
+        stop = np.cumsum(n)
+        flat = pool[np.repeat(first[code] - (stop - n), n) + np.arange(stop[-1])]
+        borders = np.cumsum([len(t) + 1 for t in texts])
+        ids = np.concatenate(([0], stop))[np.searchsorted(begin, borders)].tolist()
+        return [flat[i:j].tobytes() for i, j in zip([0, *ids], ids)]
 
     def encode_batch(self, texts: list[bytes]) -> list[bytes]:
         # lower-casing A-Z early changes no id, unless a special token's own spelling would arise
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        missing = set().union(*words).difference(self.words)
-        if len(self.words) + len(missing) > CACHE_WORDS:
-            self.older, self.words = self.words, {}
-            missing = set().union(*words)
-        known = [w for w in missing if w in self.older]
-        self.words.update((w, self.older[w]) for w in known)
-        missing.difference_update(known)
-        if missing:
-            self._learn(list(missing))
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in words]
+        out, waiting, held = [], [], 0
+        for t in texts:
+            if waiting and held + len(t) > CALL_BYTES:
+                out += self._encode(waiting)
+                waiting, held = [], 0
+            waiting.append(t if b"<|" in t else t.lower())
+            held += len(t)
+        return out + self._encode(waiting) if waiting else out
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -250,7 +297,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", prompt_c
         def rows() -> pa.RecordBatch:
             out, packer.out = packer.out, []
             cols = [[p.doc_id for p, _, _ in out], [p.start for p, _, _ in out],
-                    [p.length for p, _, _ in out], [p.ids for p, _, _ in out],
+                    [p.length for p, _, _ in out], [bytes(p.ids) for p, _, _ in out],
                     [p.loss() for p, _, _ in out], [p.total for p, _, _ in out],
                     [s for _, s, _ in out], [o for _, _, o in out]]
             return pa.RecordBatch.from_arrays(
@@ -262,7 +309,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", prompt_c
             prompts = tokenizer.encode_batch(text_bytes(b.column(2))) if prompt_col else [b""] * len(texts)
             for doc_id, head, text in zip(b.column(0).to_pylist(), prompts, texts):
                 ids = head + text + end
-                packer.add(Piece(doc_id, ids, 0, len(ids) // 4, len(head) // 4, len(ids) // 4))
+                packer.add(Piece(doc_id, memoryview(ids), 0, len(ids) // 4, len(head) // 4, len(ids) // 4))
             if packer.out:
                 yield rows()
         packer.finish()
