@@ -174,3 +174,35 @@ def test_replay_reads_its_source_in_one_write_and_keeps_order(spark):
     tops = [max(t for t, _ in b if t) for b in seen]
     lows = [min(t for t, _ in b if t) for b in seen]
     assert tops == sorted(tops) and all(a < b for a, b in zip(tops, lows[1:-1]))
+
+
+@pytest.mark.parametrize("name", ["pair", "run", "paid", "timeout"])
+def test_hot_key_spread_over_buckets(spark, name):
+    """All rows of one key: the same results from (key, time bucket) states, in more than one of them."""
+    from tidemark.operators import patterns
+    from tidemark.streaming import processors
+    rng = random.Random(9)
+    us = sorted(rng.sample(range(0, 400_000_000, 250), 700))
+    order = name in ("paid", "timeout")
+    kinds = ["create", "pay", "pay"] if order else ["fail", "fail", "fail", "success"]
+    key = "order_id" if order else "user_id"
+    df = spark.createDataFrame([(7, rng.choice(kinds), t, i) for i, t in enumerate(us)],
+                               f"{key} bigint, event_type string, us bigint, seq bigint").select(
+        key, "event_type", F.timestamp_micros("us").alias("ts"), "seq")
+    flush = {key: -1, "event_type": "", "seq": -1}
+    ms = [F.expr(f"unix_millis({c})").alias(c.replace("_ts", "_ms")) for c in ("first_ts", "last_ts")]
+    make, want = {
+        "pair": (lambda s: processors.fail_pairs_stream(s, "1 second", spread=True),
+                 lambda: patterns.login_fail_pairs(df, within="1 second").select("user_id", *ms)),
+        "run": (lambda s: processors.consecutive_fails_stream(s, 3, "2 seconds", spread=True).drop("n_fails"),
+                lambda: patterns.match_consecutive(df, 3, within="2 seconds").select("user_id", *ms)),
+        "paid": (lambda s: processors.followed_by_stream(s, "700 milliseconds", spread=True).select("order_id", "start_ms", "matched"),
+                 lambda: patterns.followed_by(df, within="700 milliseconds").select(
+                     "order_id", F.expr("unix_millis(start_ts)").alias("start_ms"), "matched")),
+        "timeout": (lambda s: processors.order_timeout_stream(s, "700 milliseconds", spread=True).select("order_id", "create_ms", "status"),
+                    lambda: patterns.order_timeout_state(df, within="700 milliseconds").select(
+                        "order_id", F.expr("unix_millis(create_ts)").alias("create_ms"), "status"))}[name]
+    s = _disordered(spark, df, flush, 5, n=3)
+    got = runner.run_to_memory(make(s), f"t_spread_{name}").where(f"{key} >= 0")
+    assert want().count() > 20
+    _same(got, want())

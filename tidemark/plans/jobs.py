@@ -176,14 +176,16 @@ def login_risk(logins: DataFrame, method: str = "bursts", within="2 seconds", ho
 
 
 def login_risk_stream(logins: DataFrame, method: str = "bursts", within="2 seconds",
-                      horizon="5 seconds", disorder="2 seconds", n: int = 2) -> DataFrame:
+                      horizon="5 seconds", disorder="2 seconds", n: int = 2, spread: bool = False) -> DataFrame:
+    """``spread`` deals a user with very many rows over time buckets (not for bursts, which
+    depend on all that came before)."""
     s = swin.event_time(logins, "ts", disorder)
     if method == "bursts":
         return processors.fail_bursts_stream(s, horizon, n)
     if method == "pairs":
-        return processors.fail_pairs_stream(s, within)
+        return processors.fail_pairs_stream(s, within, spread)
     if method in ("consecutive", "next"):
-        return processors.consecutive_fails_stream(s, n if method == "consecutive" else 2, within)
+        return processors.consecutive_fails_stream(s, n if method == "consecutive" else 2, within, spread)
     raise ValueError(method)
 
 
@@ -196,11 +198,12 @@ def order_timeout(orders: DataFrame, within="15 minutes", method: str = "pattern
 
 
 def order_timeout_stream(orders: DataFrame, within="15 minutes", method: str = "pattern",
-                         disorder="0 seconds") -> DataFrame:
+                         disorder="0 seconds", spread: bool = False) -> DataFrame:
+    """``spread`` deals an order id with very many rows over time buckets."""
     s = swin.event_time(orders, "ts", disorder)
     if method == "pattern":
-        return processors.followed_by_stream(s, within)
-    return processors.order_timeout_stream(s, within)
+        return processors.followed_by_stream(s, within, spread=spread)
+    return processors.order_timeout_stream(s, within, spread=spread)
 
 
 def reconcile(orders: DataFrame, receipts: DataFrame, within="5 seconds") -> DataFrame:

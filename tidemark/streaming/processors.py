@@ -4,8 +4,16 @@ Every processor is an ``EventOrder``: rows of a key wait in state until the
 watermark has passed them and are then handled in ``(ts, seq)`` order, so
 neither micro-batch borders nor arrival order (within the watermark delay)
 change the output.  A key has one timer, at its earliest waiting row or
-deadline.  Times in state and timers are epoch milliseconds.  Rows without
-a time have no place in this order and are left out by ``prepare``.
+deadline.  Times in state are epoch microseconds, those of timers and
+results milliseconds.  Rows without a time have no place in this order and
+are left out by ``prepare``.
+
+A key's rows all pass through its state, in one task.  Where what a pattern
+reports depends on rows a bounded time away only, ``spread=True`` keys the
+state by (key, time bucket) instead, with copies of the rows that matter
+across a bucket's borders (``sequence.halo``, as in the batch form): a key
+with very many rows is then dealt over its buckets, and no bucket's state
+outlives it by more than the bound.
 """
 
 from __future__ import annotations
@@ -14,6 +22,7 @@ from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tidemark.functions.time import duration_us
+from tidemark.operators.sequence import halo
 
 
 def prepare(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -23,8 +32,15 @@ def prepare(df: DataFrame, ts: str = "ts") -> DataFrame:
             .withColumn("ts_ms", F.floor(F.col("ts_us") / 1000).cast("bigint")))
 
 
-def _ms(spec) -> int:
-    return duration_us(spec) // 1000
+def _ms(us: int | None) -> int | None:
+    return None if us is None else us // 1000
+
+
+def _by_key(df: DataFrame, key: str, spread: bool, before: int = 0, after: int = 0):
+    """Rows grouped for a processor: by key, or by (key, time bucket) with copies of the rows
+    that a bucket's own rows look back or ahead to."""
+    d = prepare(df)
+    return halo(d, "ts", before, after).groupBy(key, "_hb") if spread else d.groupBy(key)
 
 
 class OneTimer(StatefulProcessor):
@@ -58,16 +74,21 @@ class EventOrder(OneTimer):
     define ``step(key, memory, row) -> outputs`` (changing ``memory`` in
     place), and, where a deadline can pass without a row,
     ``expire(key, memory, now) -> outputs`` for deadlines up to ``now`` and
-    ``deadline(memory)``, the earliest one left.
+    ``deadline(memory)``, the earliest one left; all times in microseconds.
+
+    ``spread`` tells that keys are (key, time bucket); rows then carry ``_home``, false for copies.
     """
 
+    spread = False
+
     MEMORY = ""
     COLS = T.StructType().add("event_type", "string")   # what ``step`` reads of a row, beside times and seq
 
     def init(self, handle):
         super().init(handle)
         times = T.StructType([T.StructField(c, T.LongType()) for c in ("ts_us", "ts_ms", "seq")])
-        schema = T.StructType([*times, *(f for f in self.COLS if f.name not in times.names)])
+        cols = [*self.COLS, *([T.StructField("_home", T.BooleanType())] if self.spread else [])]
+        schema = T.StructType([*times, *(f for f in cols if f.name not in times.names)])
         self.names = schema.names
         self.pending = handle.getListState("pending", schema)
         self.memory = handle.getListState("memory", self.MEMORY)
@@ -105,14 +126,14 @@ class EventOrder(OneTimer):
                 out += self.step(key, memory, dict(zip(self.names, r)))
             else:
                 later.append(r)
-        out += self.expire(key, memory, now)
+        out += self.expire(key, memory, now * 1000)
         for state, items in ((self.pending, later), (self.memory, memory)):
             if items:
                 state.put(items)
             else:
                 state.clear()
-        ahead = [t for t in (self._due(later[0][0]) if later else None, self.deadline(memory)) if t is not None]
-        self._arm(min(ahead) if ahead else None)
+        ahead = [t for t in (later[0][0] if later else None, self.deadline(memory)) if t is not None]
+        self._arm(self._due(min(ahead)) if ahead else None)
         return iter(out)
 
 
@@ -139,11 +160,11 @@ class DailyCap(EventOrder):
         return [Row(tag=t, **row) for t in tags]
 
     def expire(self, key, memory, now):
-        memory[:] = [m for m in memory if m[2] > now]
+        memory[:] = [m for m in memory if m[2] * 1000 > now]
         return []
 
     def deadline(self, memory):
-        return memory[0][2] if memory else None
+        return memory[0][2] * 1000 if memory else None
 
 
 def daily_cap_stream(clicks: DataFrame, cap: int = 100, tz: str = "Asia/Shanghai",
@@ -171,33 +192,34 @@ class OrderTimeout(EventOrder):
     deadline replaces it), ``pay`` strictly before the deadline reports
     ``payed``; the deadline reports ``timeout``."""
 
-    MEMORY = "create_ms bigint, deadline_ms bigint"
+    MEMORY = "create_us bigint, deadline_us bigint"
 
-    def __init__(self, within="15 minutes"):
-        self.within = _ms(within)
+    def __init__(self, within="15 minutes", spread: bool = False):
+        self.within, self.spread = duration_us(within), spread
 
     def step(self, key, memory, r):
-        t, out = r["ts_ms"], self.expire(key, memory, r["ts_ms"])
-        if r["event_type"] == "create":
-            memory[:] = [(t, t + self.within)]
+        t, out = r["ts_us"], self.expire(key, memory, r["ts_us"])
+        if r["event_type"] == "create":     # a copy only ends what is open
+            memory[:] = [(t, t + self.within)] if r.get("_home", True) else []
         elif r["event_type"] == "pay" and memory:
             c, end = memory.pop()
-            out.append(Row(order_id=key[0], create_ms=c, deadline_ms=end, status="payed"))
+            out.append(Row(order_id=key[0], create_ms=_ms(c), deadline_ms=_ms(end), status="payed"))
         return out
 
     def expire(self, key, memory, now):
         if not memory or memory[0][1] > now:
             return []
         c, end = memory.pop()
-        return [Row(order_id=key[0], create_ms=c, deadline_ms=end, status="timeout")]
+        return [Row(order_id=key[0], create_ms=_ms(c), deadline_ms=_ms(end), status="timeout")]
 
     def deadline(self, memory):
         return memory[0][1] if memory else None
 
 
-def order_timeout_stream(orders: DataFrame, within="15 minutes", key: str = "order_id") -> DataFrame:
-    return prepare(orders).groupBy(key).transformWithState(
-        OrderTimeout(within), ORDER_OUT, "Append", "EventTime")
+def order_timeout_stream(orders: DataFrame, within="15 minutes", key: str = "order_id",
+                         spread: bool = False) -> DataFrame:
+    return _by_key(orders, key, spread, after=duration_us(within)).transformWithState(
+        OrderTimeout(within, spread), ORDER_OUT, "Append", "EventTime")
 
 
 # ------------------------------------------------------------------ login failures
@@ -210,14 +232,14 @@ class FailBurst(EventOrder):
     failures join it, a success before the deadline cancels it; at the
     deadline it is reported when it holds ``min_fails`` or more."""
 
-    MEMORY = "first_ms bigint, last_ms bigint, n bigint"
+    MEMORY = "first_us bigint, last_us bigint, n bigint"
 
     def __init__(self, horizon="5 seconds", min_fails: int = 2):
-        self.h = _ms(horizon)
+        self.h = duration_us(horizon)
         self.min_fails = min_fails
 
     def step(self, key, memory, r):
-        t, out = r["ts_ms"], self.expire(key, memory, r["ts_ms"])
+        t, out = r["ts_us"], self.expire(key, memory, r["ts_us"])
         if r["event_type"] != "fail":
             memory.clear()
         elif memory:
@@ -230,7 +252,7 @@ class FailBurst(EventOrder):
         if not memory or self.deadline(memory) > now:
             return []
         first, last, n = memory.pop()
-        return [Row(user_id=key[0], first_ms=first, last_ms=last, n_fails=n)] if n >= self.min_fails else []
+        return [Row(user_id=key[0], first_ms=_ms(first), last_ms=_ms(last), n_fails=n)] if n >= self.min_fails else []
 
     def deadline(self, memory):
         return memory[0][0] + self.h + 1 if memory else None
@@ -242,18 +264,20 @@ PAIR_OUT = "user_id bigint, first_ms bigint, last_ms bigint"
 class FailPair(EventOrder):
     """Two failures in a row at most ``within`` apart; a success resets."""
 
-    MEMORY = "ms bigint"
+    MEMORY = "us bigint"
 
-    def __init__(self, within="2 seconds"):
-        self.w = _ms(within)
+    def __init__(self, within="2 seconds", spread: bool = False):
+        self.w, self.spread = duration_us(within), spread
 
     def step(self, key, memory, r):
-        t, last = r["ts_ms"], memory[0][0] if memory else None
+        t, last = r["ts_us"], memory[0][0] if memory else None
         memory.clear()
         if r["event_type"] != "fail":
             return []
         memory.append((t,))
-        return [Row(user_id=key[0], first_ms=last, last_ms=t)] if last is not None and t - last <= self.w else []
+        if last is None or t - last > self.w or not r.get("_home", True):
+            return []
+        return [Row(user_id=key[0], first_ms=_ms(last), last_ms=_ms(t))]
 
     def expire(self, key, memory, now):
         memory[:] = [m for m in memory if m[0] + self.w >= now]     # no pair can follow
@@ -268,9 +292,9 @@ def fail_bursts_stream(logins: DataFrame, horizon="5 seconds", min_fails: int =
         FailBurst(horizon, min_fails), BURST_OUT, "Append", "EventTime")
 
 
-def fail_pairs_stream(logins: DataFrame, within="2 seconds") -> DataFrame:
-    return prepare(logins).groupBy("user_id").transformWithState(
-        FailPair(within), PAIR_OUT, "Append", "EventTime")
+def fail_pairs_stream(logins: DataFrame, within="2 seconds", spread: bool = False) -> DataFrame:
+    return _by_key(logins, "user_id", spread, before=duration_us(within)).transformWithState(
+        FailPair(within, spread), PAIR_OUT, "Append", "EventTime")
 
 
 # ------------------------------------------------------------------ 1:1 reconciliation
@@ -287,22 +311,22 @@ class Reconcile1to1(EventOrder):
     unmatched.  Input: a tagged union with ``side`` in {"pay", "receipt"}.
     """
 
-    MEMORY = "side string, ms bigint, seq bigint"
+    MEMORY = "side string, us bigint, seq bigint"
     COLS = T.StructType().add("side", "string")
 
     def __init__(self, lower="5 seconds", upper="5 seconds"):
-        self.lo, self.hi = _ms(lower), _ms(upper)
+        self.lo, self.hi = duration_us(lower), duration_us(upper)
 
     def _row(self, key, tag, p=None, r=None):
-        return Row(tx_id=key[0], tag=tag, pay_ms=p[1] if p else None, pay_seq=p[2] if p else None,
-                   receipt_ms=r[1] if r else None, receipt_seq=r[2] if r else None)
+        return Row(tx_id=key[0], tag=tag, pay_ms=_ms(p[1]) if p else None, pay_seq=p[2] if p else None,
+                   receipt_ms=_ms(r[1]) if r else None, receipt_seq=r[2] if r else None)
 
     def _end(self, m) -> int:
         """When a waiting row can no longer be matched: a receipt lies in [pay - lower, pay + upper]."""
         return m[1] + (self.hi if m[0] == "pay" else self.lo) + 1
 
     def step(self, key, memory, r):
-        me = (r["side"], r["ts_ms"], r["seq"])
+        me = (r["side"], r["ts_us"], r["seq"])
         out = self.expire(key, memory, me[1])
         other = next((m for m in memory if m[0] != me[0]), None)    # all that wait are within reach
         if other is None:
@@ -340,20 +364,20 @@ class ConsecutiveFails(EventOrder):
     last minus first is strictly below ``within``; overlapping runs all
     reported.  State: the key's last ``n - 1`` failures of the current run."""
 
-    MEMORY = "ms bigint"
+    MEMORY = "us bigint"
 
-    def __init__(self, n: int = 2, within="2 seconds"):
-        self.n, self.w = n, _ms(within)
+    def __init__(self, n: int = 2, within="2 seconds", spread: bool = False):
+        self.n, self.w, self.spread = n, duration_us(within), spread
 
     def step(self, key, memory, r):
         if r["event_type"] != "fail":
             memory.clear()
             return []
-        run = [*memory, (r["ts_ms"],)]
+        run = [*memory, (r["ts_us"],)]
         memory[:] = run[-(self.n - 1):] if self.n > 1 else []
-        if len(run) < self.n or run[-1][0] - run[-self.n][0] >= self.w:
+        if len(run) < self.n or run[-1][0] - run[-self.n][0] >= self.w or not r.get("_home", True):
             return []
-        return [Row(user_id=key[0], first_ms=run[-self.n][0], last_ms=run[-1][0], n_fails=self.n)]
+        return [Row(user_id=key[0], first_ms=_ms(run[-self.n][0]), last_ms=_ms(run[-1][0]), n_fails=self.n)]
 
     def expire(self, key, memory, now):
         memory[:] = [m for m in memory if m[0] + self.w > now]      # no run can start there
@@ -363,9 +387,9 @@ class ConsecutiveFails(EventOrder):
         return memory[0][0] + self.w if memory else None
 
 
-def consecutive_fails_stream(logins: DataFrame, n: int = 2, within="2 seconds") -> DataFrame:
-    return prepare(logins).groupBy("user_id").transformWithState(
-        ConsecutiveFails(n, within), RUN_OUT, "Append", "EventTime")
+def consecutive_fails_stream(logins: DataFrame, n: int = 2, within="2 seconds", spread: bool = False) -> DataFrame:
+    return _by_key(logins, "user_id", spread, before=duration_us(within)).transformWithState(
+        ConsecutiveFails(n, within, spread), RUN_OUT, "Append", "EventTime")
 
 
 FOLLOW_OUT = "order_id bigint, start_ms bigint, end_ms bigint, deadline_ms bigint, matched boolean"
@@ -376,18 +400,20 @@ class FollowedBy(EventOrder):
     matched by the first later ``end`` strictly before its deadline; a
     ``start`` whose deadline passes first is reported as timed out."""
 
-    MEMORY = "ms bigint"
+    MEMORY = "us bigint"
 
-    def __init__(self, within="15 minutes", start: str = "create", end: str = "pay"):
-        self.w, self.start, self.end = _ms(within), start, end
+    def __init__(self, within="15 minutes", start: str = "create", end: str = "pay", spread: bool = False):
+        self.w, self.start, self.end, self.spread = duration_us(within), start, end, spread
 
     def _row(self, key, start, end=None):
-        return Row(order_id=key[0], start_ms=start, end_ms=end, deadline_ms=start + self.w, matched=end is not None)
+        return Row(order_id=key[0], start_ms=_ms(start), end_ms=_ms(end), deadline_ms=_ms(start + self.w),
+                   matched=end is not None)
 
     def step(self, key, memory, r):
-        t, out = r["ts_ms"], self.expire(key, memory, r["ts_ms"])
+        t, out = r["ts_us"], self.expire(key, memory, r["ts_us"])
         if r["event_type"] == self.start:
-            memory.append((t,))
+            if r.get("_home", True):        # a copy starts in its own bucket
+                memory.append((t,))
         elif r["event_type"] == self.end:
             out += [self._row(key, m[0], t) for m in memory]
             memory.clear()
@@ -402,6 +428,6 @@ class FollowedBy(EventOrder):
         return memory[0][0] + self.w if memory else None
 
 
-def followed_by_stream(orders: DataFrame, within="15 minutes", key: str = "order_id") -> DataFrame:
-    return prepare(orders).groupBy(key).transformWithState(
-        FollowedBy(within), FOLLOW_OUT, "Append", "EventTime")
+def followed_by_stream(orders: DataFrame, within="15 minutes", key: str = "order_id", spread: bool = False) -> DataFrame:
+    return _by_key(orders, key, spread, after=duration_us(within)).transformWithState(
+        FollowedBy(within, spread=spread), FOLLOW_OUT, "Append", "EventTime")

@@ -39,13 +39,13 @@ class FirstSightings(EventOrder):
         return [Row(window_us=r["window_us"], ts_us=r["ts_us"], seq=r["seq"], first=int(first), ts=r["ts"])]
 
     def expire(self, key, memory, now):
-        if key[0] <= now * 1000:        # no row of the window can come
+        if key[0] <= now:       # no row of the window can come
             memory.clear()
         self.window_us = key[0]
         return []
 
     def deadline(self, memory):
-        return self._due(self.window_us) if memory else None
+        return self.window_us if memory else None
 
 
 class RunningTotal(OneTimer):
