@@ -95,3 +95,29 @@ def test_topn_killed_between_its_tables(spark, tmp_path, monkeypatch):
     top = UpsertTable(spark, paths[1], ("window_end",)).read()
     assert rows(top, "window_end", "rank", "url", "cnt") == [
         (at(1, 1), 1, "u0", 50), (at(1, 1), 2, "u5", 5), (at(1, 1), 3, "u4", 4), (at(2, 2), 1, "z", 1)]
+
+
+def test_topn_from_old_best_and_batch(spark, tmp_path, monkeypatch):
+    """Growing counts over many batches: the ranking equals that of all counts, which are never read again."""
+    import random
+    rng = random.Random(2)
+    paths = str(tmp_path / "c"), str(tmp_path / "top")
+    now = {}
+    for i in range(5):
+        for _ in range(60):
+            k = (rng.choice([(1, 1), (1, 2), (2, 0)]), f"u{rng.randrange(25)}")
+            now[k] = now.get(k, 0) + rng.randrange(1, 9)
+        some = rng.sample(sorted(now), 30) if i < 4 else sorted(now)[:40]
+        for k in some:
+            now[k] += 1
+        sw.upsert_topn(batch(spark, *[(*w, u, now[w, u]) for w, u in (now if i == 0 else some)]), i, *paths, "url", 4)
+        if i == 0:
+            shown = dict(now)
+        else:
+            shown.update({k: now[k] for k in some})
+        want = []
+        for w in sorted({w for w, _ in shown}):
+            best = sorted((-n, u) for (x, u), n in shown.items() if x == w)[:4]
+            want += [(at(*w), r + 1, u, -n) for r, (n, u) in enumerate(best)]
+        top = UpsertTable(spark, paths[1], ("window_end",)).read()
+        assert rows(top, "window_end", "rank", "url", "cnt") == sorted(want)

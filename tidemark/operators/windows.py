@@ -124,7 +124,8 @@ def sweep_ranges(ranges: DataFrame, keys, slide_us: int, ntz: bool, out: str = "
         F.struct(F.greatest("_a", "_ch").alias("t"), F.col("_n").alias("d")),
         F.struct(F.least(F.col("_z"), F.col("_ch") + width).alias("t"), (-F.col("_n")).alias("d")),
     )).alias("_e")).select(*keys, "_ch", "_e.t", "_e.d")
-    cp = deltas.groupBy(*keys, "_ch", "t").agg(F.sum("d").alias("d"))
+    # dealt by chunk once, for the sum and for the sweep
+    cp = deltas.repartition(*keys, "_ch").groupBy(*keys, "_ch", "t").agg(F.sum("d").alias("d"))
     w = Window.partitionBy(*keys, "_ch").orderBy("t")
     runs = cp.select(*keys, "t", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_c"),
                      F.lead("t").over(w).alias("_nt"))

@@ -147,16 +147,23 @@ def upsert_topn(batch: DataFrame, batch_id: int, counts_path: str, topn_path: st
                 n: int = 5) -> None:
     """``foreachBatch`` body for the late-refined top-N: commit the changed (window, key) counts, re-rank
     the windows this batch touched, and commit their rows, which replace the windows' earlier
-    ones.  Each of the two tables knows the batch by its id, so a replay completes what is missing."""
+    ones.  Each of the two tables knows the batch by its id, so a replay completes what is missing.
+
+    Counts only grow, so a key outside a window's best ``n`` can enter only with a count that this
+    batch brings: the new best are among the old best and the batch's rows, and the counts table
+    is never read again."""
     spark = batch.sparkSession
     counts, top = UpsertTable(spark, counts_path, ("window_end", key)), UpsertTable(spark, topn_path, ("window_end",))
     cached = batch.persist()
     try:
         counts.commit(cached, batch_id)
-        touched = cached.select("window_end").distinct()
-        days = [r[0] for r in touched.select(F.to_date("window_end")).distinct().collect()]     # days of one batch
-        found = counts.read(days) if days else None
-        rows = cached.limit(0) if found is None else found.join(touched, "window_end", "left_semi")
-        top.commit(topn_from_counts(rows.select("window_end", key, "cnt"), key, n), batch_id)
+        rows = cached.select("window_end", key, "cnt")
+        days = [r[0] for r in cached.select(F.to_date("window_end")).distinct().collect()]      # days of one batch
+        best = top.read(days) if days else None
+        if best is not None:
+            touched = best.join(rows.select("window_end").distinct(), "window_end", "left_semi")
+            rows = rows.unionByName(touched.select("window_end", key, "cnt").join(
+                rows.select("window_end", key), ["window_end", key], "left_anti"))
+        top.commit(topn_from_counts(rows, key, n), batch_id)
     finally:
         cached.unpersist()
