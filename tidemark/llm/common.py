@@ -20,10 +20,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read
     back: computed once, lineage cut, survives the loss of an executor."""
     path = scratch_path(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete all that :func:`written` wrote in this process, and tell how many tables.  A
+    result reads some of them: call this when the results have been used or saved."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    gone = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
+
+
 def id_crc(id_col: str) -> Column:
     """crc32 of the id's decimal text, the key of every train / held-out split."""
     return F.crc32(F.col(id_col).cast("string"))
@@ -50,5 +65,5 @@ def hashed_sample(df: DataFrame, keys: list[str], group: str, want: int) -> Data
             .where(h * F.col("_n") < want).drop("_g", "_n"))
 
 
-__all__ = ["BATCH_ROWS", "table", "written", "id_crc", "text_bytes", "tokenizer_path",
+__all__ = ["BATCH_ROWS", "table", "written", "clean_up", "id_crc", "text_bytes", "tokenizer_path",
            "hashed_sample"]
