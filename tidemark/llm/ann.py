@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.vectors import cosine, matrix, norms, one_per_id, sample_matrix, usable
+from tidemark.llm.vectors import cosine, matrix, norms, one_per_id, sample_matrix
 
 # Documented bounds of what the index is fitted on.
 SAMPLE = 8192
@@ -24,6 +24,7 @@ PARTS = 32
 PART_LEAST = 128        # sampled vectors that a part stands for at least
 NEIGHBOURS = 10
 RECALL = 0.97           # share of a sampled query's neighbours whose parts are searched
+WORST_RECALL = 0.8      # the same of all but the worst hundredth of the queries
 K = 5
 QUERY_STEP = 50
 BLOCK, QUERY_BLOCK = 4096, 512
@@ -114,6 +115,8 @@ def train(x: np.ndarray, target: np.ndarray, width: int = 128, epochs: int = 40,
 def fit(vectors: DataFrame, sample: int = SAMPLE, parts: int = PARTS, recall: float = RECALL) -> Router | None:
     """The router of (vec_id, vector) rows, from a sample; ``None`` without vectors."""
     x = sample_matrix(vectors, sample)
+    # equal vectors count once: a common one must not decide for all others how many parts to search
+    x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]
     if not len(x):
         return None
     parts = max(1, min(parts, len(x) // PART_LEAST))
@@ -133,9 +136,10 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, parts: int = PARTS, recall: fl
     filed, rank = router.parts(x, 1)[:, 0], np.empty((len(x), parts), np.int64)
     np.put_along_axis(rank, router.parts(x, parts), np.arange(parts)[None, :], axis=1)
     where = rank[np.arange(len(x))[:, None], filed[near]][~fitted]
-    reached = np.array([(where < p).mean() for p in range(1, parts + 1)])
-    return Router(router.hidden, router.hidden_bias, router.out, router.out_bias,
-                  int(np.argmax(reached >= recall)) + 1)
+    # enough parts for the mean, and for all but the worst hundredth of the queries
+    each = np.array([(where < p).mean(axis=1) for p in range(1, parts + 1)])
+    enough = (each.mean(axis=1) >= recall) & (np.quantile(each, 0.01, axis=1) >= WORST_RECALL)
+    return Router(router.hidden, router.hidden_bias, router.out, router.out_bias, int(np.argmax(enough)) + 1)
 
 
 def _rank(table: pa.Table) -> pa.Table:
@@ -164,12 +168,13 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     """(query_id, rank, vec_id, score): the nearest found other vectors of each row
     whose id is divisible by ``query_step``, ranked by cosine, ties by smaller id.
 
-    Vectors that are null, zero or not finite take no part; of rows with one
-    id the smallest vector counts; null ids take no part; a table without
-    vectors gives no rows.  All vectors must have one length.  A part with
-    many vectors is searched in blocks, so copies make no hot task.
+    Vectors that are null, zero or not finite take no part, nor do those of another length
+    than the usable one with the least id; of rows with one id the smallest usable
+    vector counts; null ids take no part; a table without vectors gives no rows.  A part
+    with many vectors is searched in blocks, so copies make no hot task.  Queries whose
+    parts hold fewer than ``K`` others are searched again in all parts.
     """
-    vectors = written(one_per_id(df, id_col, vector_col).where(usable("vector")), "vectors")
+    vectors = written(one_per_id(df, id_col, vector_col).where("ok").drop("ok"), "vectors")
     router = fit(vectors)
     if router is None:
         return vectors.selectExpr("vec_id AS query_id", "1 AS rank", "vec_id", "0D AS score").where("false")
@@ -183,10 +188,29 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ranked], names=["vec_id", "vector", "parts"])
 
     kind = dict(vectors.dtypes)["vector"]
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def best(found: DataFrame) -> DataFrame:
+        return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= K)
+                .select("query_id", "rank", "vec_id", "score"))
     routed = written(vectors.mapInArrow(route, f"vec_id bigint, vector {kind}, parts array<int>"), "routed")
     is_query = F.col("vec_id") % query_step == 0
     filed = routed.select(F.col("parts")[0].alias("part"), "vec_id", "vector")
-    asked = routed.where(is_query).select(F.explode("parts").alias("part"), "vec_id", "vector")
+    queries = routed.where(is_query)
+    found = written(best(_searched(filed, queries.select(F.explode("parts").alias("part"), "vec_id", "vector"))), "found")
+    short = (queries.select("vec_id", "vector").join(
+        found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("_n")), "vec_id", "left")
+        .where(F.coalesce("_n", F.lit(0)) < K).drop("_n"))
+    if short.isEmpty():
+        return found
+    parts = len(router.out_bias)
+    again = best(_searched(filed, short.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))))
+    return found.join(short, F.col("query_id") == short["vec_id"], "left_anti").unionByName(again)
+
+
+def _searched(filed: DataFrame, asked: DataFrame) -> DataFrame:
+    """(query_id, vec_id, score): the ``K`` nearest in each block of every part asked for; both
+    sides are (part, vec_id, vector)."""
     sizes = (filed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
              .join(asked.groupBy("part").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("query_blocks")),
                    "part"))
@@ -204,8 +228,5 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     queries = asked.join(sizes, "part").select("part", every("blocks").alias("block"),
                                                of("query_blocks").alias("query_block"),
                                                F.lit(True).alias("query"), "vec_id", "vector")
-    found = (candidates.unionByName(queries).groupBy("part", "block", "query_block")
-             .applyInArrow(_rank, "query_id bigint, vec_id bigint, score double"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= K)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (candidates.unionByName(queries).groupBy("part", "block", "query_block")
+            .applyInArrow(_rank, "query_id bigint, vec_id bigint, score double"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import written
 from tidemark.llm.graph import components
-from tidemark.llm.vectors import cosine, matrix, norms, one_per_id, sample_matrix, usable
+from tidemark.llm.vectors import cosine, matrix, norms, one_per_id, sample_matrix
 
 THRESHOLD = 0.9
 # Documented bounds of what the cells are fitted on.
@@ -110,12 +110,12 @@ def _compare(table: pa.Table) -> pa.Table:
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) per id of ``df``.
 
-    Vectors that are null, zero or not finite link with nothing; of rows with
-    one id the smallest vector counts; rows without an id are left out.  All
-    vectors must have one length.  A large cell is compared in pairs of
+    Vectors that are null, zero or not finite link with nothing, nor do those of another
+    length than the usable one with the least id; of rows with one id the smallest usable
+    vector counts; each row without an id is returned by itself, without links.  A large cell is compared in pairs of
     blocks, so it is no hot task.
     """
-    every = written(one_per_id(df, id_col, vector_col).withColumn("ok", usable("vector")), "vectors")
+    every = written(one_per_id(df, id_col, vector_col), "vectors")
     good = every.where("ok")
     nodes = written(good.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight")), "nodes")
     x = sample_matrix(nodes.select("vec_id", "vector"), SAMPLE)
@@ -153,4 +153,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     linked = good.join(named, "vector").select("vec_id", "n_links", "component_id")
     rest = every.where("not ok").select("vec_id", F.lit(0).cast("bigint").alias("n_links"),
                                         F.col("vec_id").alias("component_id"))
-    return linked.unionByName(rest).withColumn("kept", F.expr("vec_id = component_id"))
+    nameless = df.where(F.col(id_col).isNull()).select(
+        F.lit(None).cast("bigint").alias("vec_id"), F.lit(0).cast("bigint").alias("n_links"),
+        F.lit(None).cast("bigint").alias("component_id"))
+    return linked.unionByName(rest).unionByName(nameless).withColumn("kept", F.expr("vec_id <=> component_id"))

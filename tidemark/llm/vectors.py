@@ -16,9 +16,13 @@ def usable(col: str) -> Column:
 
 
 def one_per_id(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vector) per id that isn't null; of repeated ids the smallest vector."""
-    return (df.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("vector"))
-            .where("vec_id is not null").groupBy("vec_id").agg(F.min("vector").alias("vector")))
+    """(vec_id, vector, ok) per id that isn't null: its smallest usable vector, if it has one (``ok``),
+    else its smallest.  A usable vector must also have the length of the usable one with the least id."""
+    rows = (df.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("vector"))
+            .where("vec_id is not null").withColumn("ok", usable("vector")))
+    least = rows.where("ok").agg(F.min(F.struct("vec_id", F.size("vector").alias("size"))).alias("m")).first()["m"]
+    good = F.min(F.when(F.col("ok") & (F.size("vector") == (least["size"] if least else 0)), F.col("vector")))
+    return rows.groupBy("vec_id").agg(F.coalesce(good, F.min("vector")).alias("vector"), good.isNotNull().alias("ok"))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
