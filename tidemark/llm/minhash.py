@@ -266,16 +266,19 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Signed rows, and (fp, root) of each distinct non-empty set."""
     signed = written(docs.mapInArrow(_sign, _SIGNED), "signed")
     nodes = written(signed.where("n_shingles > 0").groupBy("fp")
-                    .agg(F.min(F.coalesce("doc_id", "th")).alias("jk"), F.min("n_shingles").alias("n"),
+                    .agg(F.min(F.struct("doc_id", "th")).alias("row"), F.min("n_shingles").alias("n"),
                          F.any_value("sig").alias("sig"))
                     .withColumn("node", F.monotonically_increasing_id()), "nodes")
     buckets = written(nodes.select("node", "sig").mapInArrow(_index, "part bigint, key bigint, a bigint, b bigint")
                       .repartition("part").sortWithinPartitions("part", "key", "a")
                       .mapInArrow(_buckets, "key bigint, a bigint, b bigint"), "buckets")
     few = nodes.select("node", "n", "sig")
-    texts = written(buckets.select(F.col("a").alias("node")).distinct().join(nodes.select("node", "jk", "fp"), "node")
-                    .join(docs.select(F.coalesce("doc_id", "th").alias("jk"), "text"), "jk")
-                    .select("node", "fp", "text"), "texts")
+    # a set's text is that of one row, found by id and text hash; rows repeated as a whole give one
+    wanted = buckets.select(F.col("a").alias("node")).distinct().join(nodes.select("node", "row", "fp"), "node")
+    same = (F.col("row.th") == F.col("th")) & F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+    texts = written(wanted.join(docs, same).select("node", "fp", "text"), "texts")
+    if texts.count() > wanted.count():
+        texts = written(texts.groupBy("node", "fp").agg(F.min("text").alias("text")), "texts")
     pairs = written(buckets.where("a <> b").select("a", "b").distinct().alias("p")
                     .join(few.alias("x"), F.expr("p.a = x.node")).join(few.alias("y"), F.expr("p.b = y.node"))
                     .where(_near("x", "y")).select("p.a", "p.b"), "pairs")
@@ -304,14 +307,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     no other, and its name is null then.  Other columns are not read.
     """
     signed, roots = _linked(_prepared(df, id_col, text_col))
-    placed = signed.join(roots, "fp", "left")
+    worded = signed.where("n_shingles > 0")
+    placed = worded.join(roots, "fp")
     # smallest id per set first: few rows per component go on
-    smallest = (placed.where("root is not null").groupBy("fp", "root").agg(F.min("doc_id").alias("m"))
+    smallest = (placed.groupBy("fp", "root").agg(F.min("doc_id").alias("m"))
                 .groupBy("root").agg(F.min("m").alias("component")))
     named = roots.join(smallest, "root").select("fp", "component")
-    return (signed.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    # rows without words all have the same empty set; they need no join
+    return (worded.select("doc_id", "n_shingles", "fp").join(named, "fp")
+            .select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+            .unionByName(signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
