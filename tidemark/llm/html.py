@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+# Of drawings and formulas only these parts aren't shown.
 UNSEEN = frozenset("script style head title template noscript noembed noframes iframe object audio video canvas "
-                   "svg math datalist rp".split())
+                   "datalist rp annotation annotation-xml defs desc metadata symbol clippath mask pattern marker".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre "
                   "search section summary table ul caption optgroup option".split())
