@@ -308,14 +308,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     signed, roots = _linked(_prepared(df, id_col, text_col))
     worded = signed.where("n_shingles > 0")
-    placed = worded.join(roots, "fp")
-    # smallest id per set first: few rows per component go on
-    smallest = (placed.groupBy("fp", "root").agg(F.min("doc_id").alias("m"))
-                .groupBy("root").agg(F.min("m").alias("component")))
-    named = roots.join(smallest, "root").select("fp", "component")
+    # one row a set first: few rows per component go on
+    sets = written(worded.groupBy("fp").agg(F.min("doc_id").alias("m"), F.count("*").alias("n")).join(roots, "fp"), "sets")
+    smallest = sets.groupBy("root").agg(F.min("m").alias("component"))
+    named = sets.join(smallest, "root").select("fp", "component", "n")
+    # sets of at least 1/1024 of the rows (so at most 1,024) are broadcast, the others joined: no hot set is a task
+    rows = sets.agg(F.sum("n")).first()[0] or 0
+    heavy = F.broadcast(named.where(F.col("n") * 1024 >= rows).drop("n"))
+    slim = worded.select("doc_id", "n_shingles", "fp")
+    found = slim.join(heavy, "fp").unionByName(
+        slim.join(heavy, "fp", "left_anti").join(named.where(F.col("n") * 1024 < rows).drop("n"), "fp"))
     # rows without words all have the same empty set; they need no join
-    return (worded.select("doc_id", "n_shingles", "fp").join(named, "fp")
-            .select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    return (found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
             .unionByName(signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
@@ -326,7 +330,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     without words are groups of their own, but repeated rows are one."""
     signed, roots = _linked(_prepared(docs, id_col, text_col))
     choice = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("best")
-    chosen = (signed.join(roots, "fp").groupBy("fp", "root").agg(choice)
+    chosen = (signed.where("n_shingles > 0").groupBy("fp").agg(choice).join(roots, "fp")
               .groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.th")
               .unionByName(signed.where("n_shingles = 0").select("doc_id", "th").distinct()))
     chosen = chosen.select(F.col("doc_id").alias("_keep_id"), F.col("th").alias("_keep_th"))
