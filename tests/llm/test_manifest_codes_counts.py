@@ -245,7 +245,7 @@ def test_token_counts(spark, vocabulary):
 @pytest.mark.parametrize("vocabulary", VOCABULARIES)
 def test_token_counts_of_split_texts(vocabulary):
     """Cut after every third character where that is safe, texts count as when whole."""
-    signs = ["a", "b", "'s", " ", "  ", "\n", "\t", "'", "ll", "1", "22", "<|endoftext|>", "<|", "|>", ".", "!", "é", "。", "、",
+    signs = ["a", "b", "'s", ",", ");", "\"", "?'t", " ", "  ", "\n", "\t", "'", "ll", "1", "22", "<|endoftext|>", "<|", "|>", ".", "!", "é", "。", "、",
              "日", "カ", "한", " ", "　", "​", "᠎", "́", "½", "😀", "\x1c", "<s>", "▁", "<|startoftext|>"]
     rng = random.Random(1)
     texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(5000)]
