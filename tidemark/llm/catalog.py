@@ -87,6 +87,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op6_chat_format, op7_quality, op8_ann, op9_embedding_dedup, op10_html,
                             op11_merkle_manifest, op12_vector_codes, op13_token_counts)}
 
+# The growing tables that a query reads: documents, if not named here.
+DOCUMENTS = ("documents",)
+READS = {"op6_chat_format": ("conversations",), "op7_quality": ("documents", "labels"), "op8_ann": ("embeddings",),
+         "op9_embedding_dedup": ("embeddings",), "op10_html": ("pages",), "op12_vector_codes": ("embeddings",)}
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Names (v, c) of all that is reached from each of ``nodes`` over ``pairs`` (a, b), both ways.
