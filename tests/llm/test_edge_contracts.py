@@ -1,6 +1,7 @@
 """Ordinary inputs at the edge of the contracts: samples in any order, common vectors, bad rows beside good ones,
 repeated ids, long examples, scratch tables."""
 
+import hashlib
 import time
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tests.llm.test_llm import brute_components, shingles
-from tidemark.llm import ann, common, embdedup, html, minhash, packing, quality
+from tidemark.llm import ann, chat, common, embdedup, html, minhash, packing, quality
 from tidemark.llm.common import table
 
 
@@ -202,3 +203,37 @@ def test_html_repeated_rows_and_clashing_columns(spark):
                                "page_id bigint, html string, text string, n_chars int")
     got = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in html.extract(df).collect())
     assert got == [("1", "a", 1)] * 3 + [("None", "b", 1)]
+
+
+def test_chat_long_text_repeated_turns_and_hot_conversation(spark):
+    """A text of a million characters, a turn there twice, a third of all turns in one conversation."""
+    long = "<|end|> said [INST] é " * 50_000
+    rows = ([(1, 0, "user", "hi"), (1, 1, "assistant", long), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"),
+             (1, 1, "assistant", "a"), (2, 0, "assistant", "")]
+            + [(3, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(400)]
+            + [(10 + i, 0, "user", "x") for i in range(800)])
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(8)
+    got = {r["conv_id"]: r for r in chat.read_back(chat.format_turns(df)).collect()}
+    assert len(got) == 803
+    by_conv: dict = {}
+    for c, t, r, x in rows:
+        by_conv.setdefault(c, []).append((t, r, x))
+    for c, turns in by_conv.items():
+        turns.sort(key=lambda t: (t[0], t[1].encode(), t[2].encode()))
+        loss = "".join(x for _, r, x in turns if r == "assistant")
+        assert got[c]["n_turns"] == len(turns) and got[c]["loss_chars"] == len(loss)
+        assert got[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
+
+
+def test_chat_reads_a_mask_that_covers_part_of_a_text(spark):
+    """The text under the mask is what the mask says, not what the role would bear."""
+    turns = chat.format_turns(spark.createDataFrame([(1, 0, "assistant", "one two three")],
+                                                    "conv_id bigint, turn bigint, role string, text string")).collect()
+    mask = bytearray(turns[0]["loss_mask"])
+    mask[mask.index(1)] = 0
+    cut = spark.createDataFrame([(1, 0, turns[0]["ids"], bytes(mask))],
+                                "conv_id bigint, turn bigint, ids binary, loss_mask binary")
+    row = chat.read_turns(cut).first()
+    assert row["text"] == "one two three" and row["loss"] == " two three"
+    assert chat.read_back(cut).first()["loss_chars"] == len(" two three")

@@ -116,17 +116,36 @@ def parse(ids: list[bytes], masks: list[bytes], vocabulary: str = VOCABULARY) ->
             for role, text, loss in zip(said[::3], said[1::3], said[2::3])]
 
 
+def read_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(conv_id, turn, role, text, loss, formatted_chars) decoded from formatted turns, a row
+    each: a map, so the turns of one conversation are decoded wherever they lie.  ``loss`` is the
+    text under the mask, null where that is the whole text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            said = parse(b.column(2).to_pylist(), b.column(3).to_pylist(), vocabulary)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([s[0] for s in said], pa.string()),
+                 pa.array([s[1] for s in said], pa.string()),
+                 pa.array([None if s[2] == s[1] else s[2] for s in said], pa.string()),
+                 pa.array([len(s[3]) for s in said], pa.int64())],
+                names=["conv_id", "turn", "role", "text", "loss", "formatted_chars"])
+
+    return turns.select("conv_id", "turn", "ids", "loss_mask").mapInArrow(
+        run, "conv_id bigint, turn bigint, role string, text string, loss string, formatted_chars bigint")
+
+
 class _Digest:
     def __init__(self, conv_id: int | None):
         self.conv_id, self.n, self.loss_chars, self.chars = conv_id, 0, 0, 0
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, role: str, text: str, loss: str, formatted: str) -> None:
+    def add(self, role: str, text: str, loss: str | None, formatted_chars: int) -> None:
+        loss = text if loss is None else loss
         self.n += 1
         self.turns.update(f"{role}\n{text}\n".encode())
         self.loss.update(loss.encode())
         self.loss_chars += len(loss)
-        self.chars += len(formatted)
+        self.chars += formatted_chars
 
     def row(self) -> tuple:
         return (self.conv_id, self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars)
@@ -137,9 +156,9 @@ _DIGEST = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigi
 
 
 def read_back(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Digests of each conversation, decoded from the formatted ids in the order of
-    turns (ties: of ids).  A task streams over its sorted rows and holds one turn
-    batch, however long a conversation is."""
+    """Digests of each conversation, decoded from the formatted ids, in the order of
+    turns (ties: of role, then text).  Turns are decoded before the shuffle; a task then streams
+    over its sorted rows, only hashing, and holds one turn batch, however long a conversation is."""
     names = [c.split()[0] for c in _DIGEST.split(", ")]
 
     def rows(done: list[tuple]) -> pa.RecordBatch:
@@ -150,8 +169,8 @@ def read_back(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         now: _Digest | None = None
         for b in batches:
             done = []
-            for conv, turn in zip(b.column(0).to_pylist(),
-                                  parse(b.column(2).to_pylist(), b.column(3).to_pylist(), vocabulary)):
+            convs, *turn_columns = (b.column(i).to_pylist() for i in (0, 2, 3, 4, 5))
+            for conv, *turn in zip(convs, *turn_columns):
                 if now is None or now.conv_id != conv:
                     if now is not None:
                         done.append(now.row())
@@ -161,4 +180,5 @@ def read_back(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         if now is not None:
             yield rows([now.row()])
 
-    return (turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "ids").mapInArrow(run, _DIGEST))
+    return (read_turns(turns, vocabulary).repartition("conv_id")
+            .sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, _DIGEST))
