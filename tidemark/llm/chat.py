@@ -57,8 +57,10 @@ def assemble(roles: list[str], texts: list[str], vocabulary: str = VOCABULARY) -
     TURN role BODY text END, the text of a loss-bearing role under the mask."""
     t = _tokenizer(vocabulary)
     n = len(roles)
-    parts = t.encode_batch([escape(x) for x in [*roles, *texts]], add_special_tokens=False)
-    role_ids, text_ids = [e.ids for e in parts[:n]], [e.ids for e in parts[n:]]
+    names = list(dict.fromkeys(roles))      # few in a batch: each is encoded once
+    parts = t.encode_batch_fast([escape(x) for x in [*names, *texts]], add_special_tokens=False)
+    of_role = {r: e.ids for r, e in zip(names, parts)}
+    role_ids, text_ids = [of_role[r] for r in roles], [e.ids for e in parts[len(names):]]
     sizes = np.ones((n, 5), np.int64)
     sizes[:, 1] = [len(x) for x in role_ids]
     sizes[:, 3] = [len(x) for x in text_ids]
@@ -105,15 +107,23 @@ def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
 def parse(ids: list[bytes], masks: list[bytes], vocabulary: str = VOCABULARY) -> list[tuple[str, str, str, str]]:
     """(role, text, text under the mask, formatted string) of formatted turns."""
     t = _tokenizer(vocabulary)
-    spans = []
+    names, spans, whole = {}, [], []
     for raw, mask in zip(ids, masks):
-        a = np.frombuffer(raw, "<u4")
+        a, m = np.frombuffer(raw, "<u4"), np.frombuffer(mask, np.int8) == 1
         body = int(np.flatnonzero(a == BODY)[0])
-        spans += [a[1:body].tolist(), a[body + 1:-1].tolist(), a[np.frombuffer(mask, np.int8) == 1].tolist()]
-    said = t.decode_batch(spans, skip_special_tokens=False)
-    return [(unescape(role), unescape(text), unescape(loss),
-             SPELLING[TURN] + role + SPELLING[BODY] + text + SPELLING[END])
-            for role, text, loss in zip(said[::3], said[1::3], said[2::3])]
+        role, under = raw[4:4 * body], a[m]
+        names.setdefault(role, len(names))
+        # the whole body under the mask, and nothing else, isn't decoded again
+        all_of_it = len(under) == len(a) - body - 2 and bool(m[body + 1:-1].all())
+        whole.append((role, all_of_it))
+        spans += [a[body + 1:-1].tolist(), [] if all_of_it else under.tolist()]
+    said = t.decode_batch([np.frombuffer(r, "<u4").tolist() for r in names] + spans, skip_special_tokens=False)
+    roles, out = said[:len(names)], []
+    for (name, all_of_it), text, loss in zip(whole, said[len(names)::2], said[len(names) + 1::2]):
+        role, plain = roles[names[name]], unescape(text)
+        out.append((unescape(role), plain, plain if all_of_it else unescape(loss),
+                    SPELLING[TURN] + role + SPELLING[BODY] + text + SPELLING[END]))
+    return out
 
 
 def read_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
