@@ -2,10 +2,12 @@
 agree with plain per-key window formulations, and the burst detector with
 a walk over each key."""
 
+import random
+
 from pyspark.sql import Window, functions as F
 
 from tests.conftest import SF_SMALL
-from tidemark.operators import caps, distinct, patterns
+from tidemark.operators import caps, distinct, late, patterns
 from tidemark.sources import driver_tables as dt
 
 SF = "/root/testdata/sf0.01"
@@ -118,3 +120,65 @@ def test_bursts_long_segment(spark):
     assert int(late_success[-1].first_ts.timestamp()) == 1594
     inside = run(1599)             # inside the last burst's horizon: it is cancelled
     assert len(inside) == 99
+
+
+def test_newest_closed_window_equals_row_watermarks(spark):
+    """Buckets of arrivals settle most rows; all get what their own watermark says, whatever the buckets."""
+    rng = random.Random(3)
+    base = 1_700_000_000
+    rows = []
+    for i in range(4000):
+        at = base + rng.randrange(0, 1200) if i % 3 else base + 300     # a third of the rows arrive in one second
+        ts = None if i % 97 == 0 else at - rng.choice([0, 0, 1, 5, 40, 400]) + rng.random()
+        rows.append((i, f"u{i % 7}", ts, None if i % 211 == 0 else at))
+    df = spark.createDataFrame(rows, "seq bigint, url string, t double, a bigint").select(
+        "seq", "url", F.timestamp_seconds("t").alias("ts"), F.timestamp_seconds("a").alias("arrival"))
+    for size, slide, disorder, lateness in (("60 seconds", "10 seconds", "2 seconds", "0 seconds"),
+                                            ("10 minutes", None, "1 second", "60 seconds"),
+                                            ("25 seconds", "10 seconds", "3 seconds", "5 seconds")):
+        wm = late.with_row_watermark(df, "ts", "arrival", "seq", disorder)
+        want = {r.seq: r.is_late for r in late.mark_late(wm, "ts", "wm", size, slide, lateness).collect()}
+        for bucket in ("1 second", "1 minute", "1 hour"):
+            got = late.split_late(df, "ts", "arrival", "seq", size, slide, disorder, lateness, bucket).collect()
+            assert len(got) == len(rows) and {r.seq: r.is_late for r in got} == want
+    # counts: every open window of every row, by brute force over the row watermarks
+    rows = late.with_row_watermark(df, "ts", "arrival", "seq", "2 seconds").collect()
+    want = {}
+    for r in rows:
+        if r.ts is None:
+            continue
+        us = round(r.ts.timestamp() * 1e6)
+        wm = None if r.wm is None else round(r.wm.timestamp() * 1e6)
+        for start in range(us // 10**7 * 10**7, us - 6 * 10**7, -10**7):
+            end = start + 6 * 10**7
+            if wm is None or end - 1000 + 5 * 10**6 > wm:
+                want[r.url, end] = want.get((r.url, end), 0) + 1
+    got = late.sliding_count_with_lateness(df, "url", "ts", "arrival", "seq", "60 seconds", "10 seconds", "2 seconds",
+                                           "5 seconds").collect()
+    assert {(r.url, round(r.window_end.timestamp() * 1e6)): r.cnt for r in got} == want
+
+
+def test_newest_closed_window_joins_long_bucket_tables(spark, monkeypatch):
+    """Beyond the bound the table of buckets is joined, not broadcast; the rows are the same."""
+    df = spark.range(500).select(F.col("id").alias("seq"), F.lit("u").alias("url"),
+                                 F.timestamp_seconds(F.col("id") * 37 % 500).alias("ts"),
+                                 F.timestamp_seconds(F.col("id")).alias("arrival"))
+    args = ("ts", "arrival", "seq", "20 seconds", "5 seconds", "1 second", "3 seconds", "c", "10 seconds")
+    want = sorted(map(tuple, late.with_newest_closed(df, *args).collect()))
+    monkeypatch.setattr(late, "BROADCAST_BUCKETS", 0)
+    assert sorted(map(tuple, late.with_newest_closed(df, *args).collect())) == want
+
+
+def test_running_visitors_across_empty_sub_buckets(spark):
+    """Sub-buckets without first sightings, or without rows, carry the count on; null users are one visitor."""
+    rng = random.Random(4)
+    rows = [(i, rng.choice([1, 2, 3, None, 50 + i // 20]), 3600 + rng.choice([1, 2, 900, 901, 3599]) + rng.random())
+            for i in range(300)] + [(1000, 1, None), (1001, 9, None)]
+    df = spark.createDataFrame(rows, "seq bigint, user_id bigint, t double").select(
+        "seq", "user_id", F.timestamp_seconds("t").alias("ts"))
+    got = {r.seq: r.uv for r in distinct.uv_running(df, size="1 hour", sub_bucket="7 seconds").collect()}
+    want, seen = {}, set()
+    for i, u, t in sorted(rows[:300], key=lambda r: (int(round(r[2] * 1e6)), r[0])):
+        seen.add(u)
+        want[i] = len(seen)
+    assert got == {**want, 1000: 1, 1001: 2}

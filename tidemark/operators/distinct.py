@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.hashing import BITMAP_BITS, bitmap_offset
-from tidemark.functions.time import duration_us, ts_type_of
-from tidemark.operators.sequence import running_sum
+from tidemark.functions.time import duration_us, to_micros, ts_type_of
+from tidemark.operators.sequence import time_bucket
 from tidemark.operators.windows import window_end_col
 
 
@@ -57,7 +57,7 @@ def uv_sketches(df: DataFrame, user: str = "user_id", ts: str = "ts", size="1 ho
 
 
 def uv_running(df: DataFrame, user: str = "user_id", ts: str = "ts", seq: str = "seq",
-               size="1 hour", out: str = "uv", sub_bucket="1 second",
+               size="1 hour", out: str = "uv", sub_bucket="1 minute",
                distinct_on: str = "user", bits: int = BITMAP_BITS) -> DataFrame:
     """One row per input row: distinct users of its window seen so far
     (inclusive), in ``(ts, seq)`` order.  ``distinct_on="bitmap"`` counts
@@ -67,22 +67,39 @@ def uv_running(df: DataFrame, user: str = "user_id", ts: str = "ts", seq: str =
     First sightings come from an aggregation (min ``(ts, seq)`` per
     (window, user), partial aggregation absorbs hot users).  They are
     unioned into the rows as ``+1`` markers ordered just before the row
-    they mark, and a prefix sum split by sub-buckets of the window counts
-    the markers up to each row; no join of the rows with the sightings.
+    they mark, and each sub-bucket of a window starts with one marker for all
+    sightings in earlier ones; a prefix sum per (window, sub-bucket) counts up to
+    each row.  Rows are shuffled once, and not joined.
     """
     d = df.withColumn("window_end", _end(df, ts, size))
     ident = user
     if distinct_on == "bitmap":
         d = d.withColumn("_off", bitmap_offset(user, bits))
         ident = "_off"
+    one = F.lit(1).cast("bigint").alias("_v")
     firsts = (d.groupBy("window_end", ident)
               .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))).alias("_f"))
-              .select("window_end", F.col("_f.t").alias(ts), (F.col("_f.s") * 2).alias("_o"),
-                      F.lit(1).alias("_v")))
-    rows = d.withColumn("_o", F.col(seq) * 2 + 1).withColumn("_v", F.lit(0))
-    u = rows.unionByName(firsts, allowMissingColumns=True)
-    r = running_sum(u, ["window_end"], ts, "_o", "_v", out, bucket=sub_bucket)
-    return r.where(F.col("_v") == 0).drop("_o", "_v", "_off")
+              .select("window_end", F.col("_f.t").alias("_t"), (F.col("_f.s") * 2).alias("_o"), one)
+              .withColumn("_b", time_bucket("_t", sub_bucket)))
+    # sightings up to each sub-bucket that has some, handed to the sub-buckets after it up to the next
+    w = Window.partitionBy("window_end").orderBy("_b")
+    last = F.floor((to_micros("window_end") - 1) / F.lit(duration_us(sub_bucket))).cast("bigint")
+    per = firsts.groupBy("window_end", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    upto = per.select("window_end", "_b", F.lead("_b").over(w).alias("_nb"),
+                      F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_v"))
+    begins = F.col("_b") + 1
+    ends = F.coalesce("_nb", last)
+    carried = upto.where(begins <= ends).select("window_end", F.explode(F.sequence(begins, ends)).alias("_b"), "_v")
+    rows = d.drop("_off").withColumns({"_t": F.col(ts), "_o": F.col(seq) * 2 + 1, "_v": F.lit(0).cast("bigint"),
+                                       "_b": time_bucket(ts, sub_bucket), "_row": F.lit(1)})
+    marks = firsts.withColumn("_row", F.lit(0)).unionByName(
+        carried.withColumn("_row", F.lit(-1)), allowMissingColumns=True)
+    u = rows.unionByName(marks, allowMissingColumns=True)
+    # the carried count first, then rows by time and order, a marker just before its row
+    order = Window.partitionBy("window_end", "_b").orderBy(
+        F.col("_row") >= 0, "_t", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    return (u.withColumn(out, F.sum("_v").over(order)).where(F.col("_row") == 1)
+            .drop("_t", "_o", "_v", "_b", "_row"))
 
 
 def uv_rollup(sketches: DataFrame, size="1 day", out: str = "uv") -> DataFrame:

@@ -162,35 +162,42 @@ def next_match(df: DataFrame, keys, ts: str, seq: str, is_target, out: str = "_n
             .drop("_b", "_tgt", "_carry"))
 
 
-def running_max_before(df: DataFrame, order_ts: str, seq: str, value: str, out: str,
-                       bucket="1 second", coarse="1 hour") -> DataFrame:
-    """``out`` = max of ``value`` over all rows strictly before the current
-    one in global ``(order_ts, seq)`` order (NULL for the first row).
-
-    A global order has no key, so it is split twice by time: rows are
-    ranked only inside fine buckets (``bucket``); the maxima of earlier
-    fine buckets come from a per-fine-bucket table scanned inside coarse
-    buckets (``coarse``), and the maxima of earlier coarse buckets from a
-    per-coarse-bucket table (one row per coarse bucket, the only
-    unpartitioned step).  A numeric ``order_ts`` (arrival position) uses
-    blocks of 2^16 / 2^26 positions instead.
-    """
+def order_buckets(df: DataFrame, order_ts: str, bucket="1 second", coarse="1 hour") -> DataFrame:
+    """Add ``_b`` and ``_c``, the fine and the coarse bucket of a global order by ``order_ts``: time
+    buckets, or blocks of 2^16 / 2^26 positions of a numeric ``order_ts`` (arrival position)."""
     if isinstance(df.schema[order_ts].dataType, (T.TimestampType, T.TimestampNTZType)):
-        fine_us, coarse_us = duration_us(bucket), duration_us(coarse)
-        ratio = max(coarse_us // fine_us, 1)
+        ratio = max(duration_us(coarse) // duration_us(bucket), 1)
         d = df.withColumn("_b", time_bucket(order_ts, bucket))
     else:
         ratio = 1 << 10
         d = df.withColumn("_b", F.floor(F.col(order_ts) / F.lit(1 << 16)).cast("bigint"))
-    d = d.withColumn("_c", F.floor(F.col("_b") / F.lit(ratio)).cast("bigint"))
+    return d.withColumn("_c", F.floor(F.col("_b") / F.lit(ratio)).cast("bigint"))
+
+
+def bucket_maxima(d: DataFrame, value: str) -> DataFrame:
+    """(_b, _bm, _carry) per fine bucket of :func:`order_buckets`: the max of ``value`` in it and
+    in all buckets before it (NULL for the first).  Fine buckets are scanned inside coarse ones;
+    the table of coarse buckets, one row each, is the only unpartitioned step."""
     fine = d.groupBy("_c", "_b").agg(F.max(value).alias("_bm"))
     coarse_t = fine.groupBy("_c").agg(F.max("_bm").alias("_cm"))
     c_carry = coarse_t.select("_c", F.max("_cm").over(
         Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)).alias("_cc"))
-    f_carry = fine.select("_c", "_b", F.max("_bm").over(
+    f_carry = fine.select("_c", "_b", "_bm", F.max("_bm").over(
         Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_fc"))
-    carry = rejoin(f_carry, c_carry, ["_c"]).select(
-        "_b", F.greatest(F.col("_fc"), F.col("_cc")).alias("_carry"))  # greatest skips NULLs
+    return rejoin(f_carry, c_carry, ["_c"]).select(
+        "_b", "_bm", F.greatest(F.col("_fc"), F.col("_cc")).alias("_carry"))  # greatest skips NULLs
+
+
+def running_max_before(df: DataFrame, order_ts: str, seq: str, value: str, out: str,
+                       bucket="1 second", coarse="1 hour") -> DataFrame:
+    """``out`` = max of ``value`` over all rows strictly before the current
+    one in global ``(order_ts, seq)`` order (NULL for the first row).
+
+    A global order has no key, so it is split twice by time: rows are
+    ranked only inside fine buckets (``bucket``); the maxima of earlier
+    fine buckets come from :func:`bucket_maxima`.
+    """
+    d = order_buckets(df, order_ts, bucket, coarse)
     wi = Window.partitionBy("_b").orderBy(order_ts, seq).rowsBetween(Window.unboundedPreceding, -1)
-    j = rejoin(d, carry, ["_b"]).withColumn("_in", F.max(value).over(wi))
+    j = rejoin(d, bucket_maxima(d, value).drop("_bm"), ["_b"]).withColumn("_in", F.max(value).over(wi))
     return j.withColumn(out, F.greatest(F.col("_in"), F.col("_carry"))).drop("_b", "_c", "_carry", "_in")

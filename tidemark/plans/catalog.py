@@ -260,10 +260,10 @@ def q_hot_urls_topn_late(spark, sf):
     # The watermark advances on every access-log line (all methods); the
     # GET filter applies to what is counted.
     hits = _arrival(dt.access_hits(spark, sf).withColumnRenamed("event_time", "ts"))
-    marked = late.with_row_watermark(hits, "ts", "arrival", "seq", "10 minutes", "wm")
+    marked = late.with_newest_closed(hits, "ts", "arrival", "seq", "1 day", "1 hour", "10 minutes", "60 minutes")
     counts = late.sliding_count_with_lateness(
         marked.where(F.col("method") == "GET"), "url", "ts", "arrival", "seq", "1 day", "1 hour",
-        disorder="10 minutes", lateness="60 minutes", precomputed_wm="wm")
+        newest_closed="newest_closed")
     return topn.topn_per_window(counts, "url", TOP_N).select("window_end", "rank", "url", "cnt")
 
 

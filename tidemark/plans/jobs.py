@@ -47,12 +47,13 @@ def hot_urls(log: DataFrame, size="10 minutes", slide="5 seconds", n: int = 5, d
     if arrival is None:
         counts = windows.sliding_count(d.where(F.col("method") == "GET"), "url", "ts", size, slide)
         return topn.topn_per_window(counts, "url", n), d.where(F.lit(False)).withColumn("is_late", F.lit(True))
-    marked = late.with_row_watermark(d, "ts", arrival, "seq", disorder, "wm")
+    marked = late.with_newest_closed(d, "ts", arrival, "seq", size, slide, disorder, lateness)
     gets = marked.where(F.col("method") == "GET")
     counts = late.sliding_count_with_lateness(gets, "url", "ts", arrival, "seq", size, slide,
-                                              disorder=disorder, lateness=lateness, precomputed_wm="wm")
+                                              newest_closed="newest_closed")
     # the same watermark decides both: a GET row counts in a window or is in the late table
-    return topn.topn_per_window(counts, "url", n), late.mark_late(gets, "ts", "wm", size, slide, lateness).where("is_late")
+    gone = gets.withColumn("is_late", late.all_closed("ts", "newest_closed", size, slide)).where("is_late")
+    return topn.topn_per_window(counts, "url", n), gone.drop("newest_closed")
 
 
 def hot_urls_stream(log: DataFrame, size="10 minutes", slide="5 seconds", disorder="1 second",
