@@ -252,6 +252,17 @@ def test_daily_cap_under_disorder(spark, ref):
     _same(got.select("seq"), caps.daily_cap(ad, ["user_id", "ad_id"], "ts", "seq", 5).select("seq"))
 
 
+def test_salted_daily_cap_under_disorder(spark, ref):
+    """Capped in parts first, then whole: the same clicks and the same warnings, also of a hot key."""
+    ad = ref["ad_click"].withColumn("user_id", F.when(F.col("seq") % 3 == 0, 7).otherwise(F.col("user_id"))) \
+        .withColumn("ad_id", F.when(F.col("user_id") == 7, 7).otherwise(F.col("ad_id")))
+    s = _disordered(spark, ad, {"user_id": -1, "ad_id": -1, "seq": -1}, 3600)
+    got = runner.run_to_memory(processors.daily_cap_stream(s, 5, salts=4), "t_salt_cap").where("user_id >= 0")
+    _same(got.where("tag = 'pass'").select("seq"), caps.daily_cap(ad, ["user_id", "ad_id"], "ts", "seq", 5).select("seq"))
+    warned = caps.daily_cap_warnings(ad, ["user_id", "ad_id"], "ts", "seq", 5)
+    assert got.where("tag = 'warning'").count() == warned.count() > 0
+
+
 def test_late_partner_in_a_later_batch(spark):
     """A row that comes in the batch after its successor still takes its place in time."""
     def run(rows, make, name):

@@ -150,13 +150,13 @@ def ad_clicks(clicks: DataFrame, cap: int = 100, size="1 hour", slide="5 seconds
 
 
 def ad_clicks_stream(clicks: DataFrame, cap: int = 100, size="1 hour", slide="5 seconds",
-                     tz: str = "Asia/Shanghai", disorder="0 seconds") -> tuple[DataFrame, DataFrame]:
+                     tz: str = "Asia/Shanghai", disorder="0 seconds", salts: int = 1) -> tuple[DataFrame, DataFrame]:
     """(windowed clicks per province after the cap, warnings).  The cap
     processor keeps the event time (``eventTimeColumnName``), so the
     windowed count chains after it in append mode.  Input needs
-    ``province``."""
+    ``province``.  ``salts``: parts that a key's clicks are capped in first, for hot keys."""
     s = swin.event_time(clicks, "ts", disorder)
-    tagged = processors.daily_cap_stream(s, cap, tz, extra=("province",))
+    tagged = processors.daily_cap_stream(s, cap, tz, extra=("province",), salts=salts)
     counts = sliding.sliding_counts(tagged.where(F.col("tag") == "pass"), "province", "ts", size, slide)
     return counts, tagged.where(F.col("tag") == "warning")
 

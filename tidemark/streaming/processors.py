@@ -168,18 +168,30 @@ class DailyCap(EventOrder):
 
 
 def daily_cap_stream(clicks: DataFrame, cap: int = 100, tz: str = "Asia/Shanghai",
-                     keys=("user_id", "ad_id"), extra=()) -> DataFrame:
+                     keys=("user_id", "ad_id"), extra=(), salts: int = 1) -> DataFrame:
     """Tagged output (``pass`` / ``warning``) with the event time ``ts``
-    kept as the event-time column, so a windowed aggregation can follow."""
+    kept as the event-time column, so a windowed aggregation can follow.
+
+    With ``salts`` above 1 a key's rows are first capped in that many parts, dealt by a hash of time
+    and ``seq``: a row among the first ``cap`` of its key and day is so in its part, too, so the
+    cap of the whole key then sees at most ``salts * cap`` rows a day, however hot the key is.
+    """
     from tidemark.functions.time import local_day, next_local_midnight
-    d = prepare(clicks).withColumn(
-        "local_day", F.datediff(local_day("ts", tz), F.lit("1970-01-01")).cast("int")).withColumn(
-        "next_midnight_ms", F.floor(F.unix_micros(next_local_midnight("ts", tz, ntz=False)) / 1000).cast("bigint"))
-    cols = T.StructType([T.StructField(c, d.schema[c].dataType)
-                         for c in [*keys, "ts_ms", "seq", "local_day", "ts", *extra]])
-    schema = T.StructType([T.StructField("tag", T.StringType()), *cols])
-    return d.groupBy(*keys).transformWithState(
-        DailyCap(cap, cols), schema, "Append", "EventTime", eventTimeColumnName="ts")
+
+    def capped(rows: DataFrame, *by) -> DataFrame:
+        d = prepare(rows).withColumn(
+            "local_day", F.datediff(local_day("ts", tz), F.lit("1970-01-01")).cast("int")).withColumn(
+            "next_midnight_ms",
+            F.floor(F.unix_micros(next_local_midnight("ts", tz, ntz=False)) / 1000).cast("bigint"))
+        cols = T.StructType([T.StructField(c, d.schema[c].dataType)
+                             for c in [*keys, "ts_ms", "seq", "local_day", "ts", *extra]])
+        schema = T.StructType([T.StructField("tag", T.StringType()), *cols])
+        return d.groupBy(*keys, *by).transformWithState(
+            DailyCap(cap, cols), schema, "Append", "EventTime", eventTimeColumnName="ts")
+    if salts > 1:
+        dealt = clicks.withColumn("_salt", F.pmod(F.xxhash64("ts", "seq"), F.lit(salts)))
+        clicks = capped(dealt, "_salt").where("tag = 'pass'").drop("tag")
+    return capped(clicks)
 
 
 # ------------------------------------------------------------------ order timeout
